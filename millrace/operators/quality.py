@@ -32,7 +32,7 @@ def observe_quality(df: DataFrame, key: str = KEY_COLUMN,
 
 
 def quality_counts(df: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
-    """One row ``(rows, good_rows, bad_rows)`` from a single aggregate."""
-    return df.agg(F.count(F.lit(1)).alias("rows"),
+    """One row ``(total_rows, good_rows, bad_rows)`` from a single aggregate."""
+    return df.agg(F.count(F.lit(1)).alias("total_rows"),
                   F.count_if(~is_bad(key)).alias("good_rows"),
                   F.count_if(is_bad(key)).alias("bad_rows"))

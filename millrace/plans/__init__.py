@@ -1,13 +1,11 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame, and their SQL oracles."""
 
-from . import analytics
+from . import analytics, ingest_queries
 
 
 def registry() -> dict:
-    out = dict(analytics.QUERIES)
-    return out
+    return {**analytics.QUERIES, **ingest_queries.QUERIES}
 
 
 def oracle() -> dict:
-    out = dict(analytics.SQL)
-    return out
+    return {**analytics.SQL, **ingest_queries.SQL}

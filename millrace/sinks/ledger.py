@@ -59,14 +59,14 @@ def record_batch(spark: SparkSession, control: str, **fields) -> dict:
     return row
 
 
-def ledger(spark: SparkSession, control: str) -> DataFrame:
+def ledger_rows(spark: SparkSession, control: str) -> DataFrame:
     """Every ledger row ever written."""
     return read_or_empty(spark, _ledger_path(control), LEDGER_SCHEMA)
 
 
 def batch_states(spark: SparkSession, control: str) -> DataFrame:
     """Current state of each batch: its latest ledger row."""
-    rows = ledger(spark, control)
+    rows = ledger_rows(spark, control)
     cols = rows.columns
     return (rows.groupBy("batch_id")
                 .agg(F.max_by(F.struct(*cols), "event_time").alias("s"))
@@ -97,10 +97,15 @@ def watermark(spark: SparkSession, control: str) -> DataFrame:
 
 def current_watermark(spark: SparkSession, control: str):
     """The watermark as an aware UTC datetime, or ``None`` on a first run."""
-    ts = watermark(spark, control).first()["last_processed_time"]
+    return as_utc(watermark(spark, control).first()["last_processed_time"])
+
+
+def as_utc(ts):
+    """A collected timestamp as an aware UTC datetime. PySpark returns
+    instants as naive datetimes in the Python process's local zone."""
     if ts is None:
         return None
-    return ts.replace(tzinfo=timezone.utc) if ts.tzinfo is None else ts
+    return ts.astimezone(timezone.utc)
 
 
 def advance_watermark(spark: SparkSession, control: str, cutoff: datetime,
