@@ -26,13 +26,17 @@ def ordered_lag(df: DataFrame, order: str, value: str, bucket: Column,
     """
     x = df.withColumn("__bk", bucket)
     w = Window.partitionBy("__bk").orderBy(order)
-    x = x.withColumn(prev, F.lag(value).over(w)).withColumn("__first", F.row_number().over(w) == 1)
-    tails = (x.groupBy("__bk").agg(F.max_by(value, order).alias("__tail"))
-               .withColumn("__prev_tail", F.lag("__tail").over(Window.orderBy("__bk")))
-               .select("__bk", "__prev_tail"))
+    x = (x.withColumn(prev, F.lag(value).over(w))
+          .withColumn("__first", F.lag(order).over(w).isNull())
+          .withColumn("__last", F.lead(order).over(w).isNull()))
+    # Tails come from the same windowed rows, so both branches share one
+    # exchange (Spark reuses it) instead of recomputing the input.
+    tails = (x.where("__last").select("__bk", F.col(value).alias("__tail"))
+              .withColumn("__prev_tail", F.lag("__tail").over(Window.orderBy("__bk")))
+              .select("__bk", "__prev_tail"))
     return (x.join(tails, "__bk", "left")
              .withColumn(prev, F.when(F.col("__first"), F.col("__prev_tail")).otherwise(F.col(prev)))
-             .drop("__bk", "__first", "__prev_tail"))
+             .drop("__bk", "__first", "__last", "__prev_tail"))
 
 
 def declines(df: DataFrame, order: str, value: str, bucket: Column,

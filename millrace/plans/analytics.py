@@ -123,9 +123,14 @@ def q_user_activity_islands_sql(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(ISLANDS_SQL_TEXT.format(view=view))
 
 
+DAY_BUCKET = 1024   # days per bucket; day numbers live in a calendar-sized domain
+
+
 def q_user_activity_islands_df(spark: SparkSession, sf: str) -> DataFrame:
-    """The DataFrame form, bucketed (no whole-group window)."""
-    return islands(_activity_days(spark, sf), "day_no", by="user_id")
+    """The DataFrame form, bucketed (no whole-group window), globally sorted
+    like the SQL form (a range-partitioned sort, not one task)."""
+    out = islands(_activity_days(spark, sf), "day_no", by="user_id", width=DAY_BUCKET)
+    return out.orderBy("user_id", "min_sequence")
 
 
 # --- Q-4: swap two status values in one pass ---------------------------------
@@ -157,10 +162,14 @@ def _join_sides(spark: SparkSession, sf: str):
     return left, right
 
 
+# A dimension side is broadcast only after a row-count check against this.
+DIMENSION_MAX_ROWS = 100_000
+
+
 def _join_query(how: str):
     def q(spark: SparkSession, sf: str) -> DataFrame:
         left, right = _join_sides(spark, sf)
-        return equi_join(left, right, "lkey", "rkey", how)
+        return equi_join(left, right, "lkey", "rkey", how, right_max_rows=DIMENSION_MAX_ROWS)
     q.__name__ = f"q_join_{how}"
     return q
 

@@ -41,3 +41,16 @@ def test_join_cardinality_matches_real_joins(spark):
     for how in ("inner", "left", "right", "full"):
         assert got[how] == equi_join(left, right, "a", "b", how).count(), how
     assert got["cross"] == 60 * 40
+
+
+def test_bounded_right_side_joins_match_plain_joins(spark):
+    rng = random.Random(9)
+    left = spark.createDataFrame([(i, rng.choice([None, 1, 1, 1, 2, 3])) for i in range(80)], "lid int, a int")
+    right = spark.createDataFrame([(j, rng.choice([None, 1, 3, 7, 7])) for j in range(12)], "rid int, b int")
+    for how in ("inner", "left", "right", "full"):
+        fast = equi_join(left, right, "a", "b", how, right_max_rows=100)
+        plain = left.join(right, left.a == right.b, how)
+        assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr), how
+    # Over the bound: the plain join.
+    assert equi_join(left, right, "a", "b", "full", right_max_rows=5).count() == \
+        left.join(right, left.a == right.b, "full").count()
