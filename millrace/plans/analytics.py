@@ -59,6 +59,41 @@ def q_top3_customers_per_region(spark: SparkSession, sf: str) -> DataFrame:
     return top_customers_per_region(t("orders"), t("customer"), t("nation"), t("region"), 3)
 
 
+TOP3_SQL_TEXT = """
+WITH per_customer AS (
+    SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS rev
+    FROM {orders} GROUP BY o_custkey
+),
+customer_revenue AS (
+    SELECT r.r_name AS region, c.c_name AS customer_name,
+           CAST(SUM(p.rev) AS DOUBLE) AS total_revenue
+    FROM per_customer p
+    JOIN {customer} c ON p.o_custkey = c.c_custkey
+    JOIN {nation} n ON c.c_nationkey = n.n_nationkey
+    JOIN {region} r ON n.n_regionkey = r.r_regionkey
+    GROUP BY r.r_name, c.c_name
+),
+ranked AS (
+    SELECT region, customer_name, total_revenue,
+           ROW_NUMBER() OVER (PARTITION BY region
+                              ORDER BY total_revenue DESC, customer_name) AS rn
+    FROM customer_revenue
+)
+SELECT region, customer_name, total_revenue, CAST(rn AS BIGINT) AS rn
+FROM ranked WHERE rn <= 3
+"""
+
+
+def q_top3_customers_per_region_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The same question through ``spark.sql`` over temp views (same plan shape:
+    orders pre-aggregated per customer, partial window limit before the shuffle)."""
+    names = {}
+    for t in ("orders", "customer", "nation", "region"):
+        names[t] = f"millrace_{t}"
+        test_table(spark, sf, t).createOrReplaceTempView(names[t])
+    return spark.sql(TOP3_SQL_TEXT.format(**names))
+
+
 # --- Q-9: sum of each customer's top-2 orders -------------------------------
 
 def q_top2_orders_sum_per_customer(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,6 +216,7 @@ def q_join_cardinality(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "top3_customers_per_region": q_top3_customers_per_region,
+    "top3_customers_per_region_sql": q_top3_customers_per_region_sql,
     "top2_orders_sum_per_customer": q_top2_orders_sum_per_customer,
     "declining_revenue_days": q_declining_revenue_days,
     "consecutive_high_value_orders": q_consecutive_high_value_orders,
@@ -310,3 +346,4 @@ SQL = {
     """,
 }
 SQL["user_activity_islands_df"] = SQL["user_activity_islands_sql"]
+SQL["top3_customers_per_region_sql"] = SQL["top3_customers_per_region"]
