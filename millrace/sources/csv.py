@@ -3,7 +3,7 @@
 ``spark.read.csv(paths, header=True)`` takes the column names from one file
 and applies them to every file *by position*: a file with another column order
 or other names silently lands in the wrong columns. Here each file's first
-line is read first (a distributed scan of line 1 of every file), files are
+line is read first (a distributed read of the first bytes of each file), files are
 grouped by identical header, each group is read with its own header and
 conformed on its own, and the groups are unioned by name.
 """
@@ -19,25 +19,80 @@ from pyspark.sql import functions as F
 CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
 
 
-def file_headers(spark: SparkSession, paths: list) -> DataFrame:
-    """``(file_path, header)``: the first line of each file.
+HEAD_CHUNK = 64 * 1024          # bytes read per step while looking for the first line
+HEAD_LIMIT = 4 * 1024 * 1024    # a header line longer than this is not sniffed
+FILES_PER_TASK = 64
 
-    Only the first split of each file is scanned (``file_block_start = 0``); the
-    first line is the one with the smallest row id within that split."""
+
+def _first_line(path: str) -> str | None:
+    """First non-empty line of a file, reading only its first bytes. ``None``
+    for an empty file; raises if the file system is not reachable from Python."""
+    from pyarrow import fs
+    uri = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
+    filesystem, inner = fs.FileSystem.from_uri(uri)
+    buf = b""
+    with filesystem.open_input_stream(inner) as f:
+        while len(buf) < HEAD_LIMIT:
+            chunk = f.read(HEAD_CHUNK)
+            if not chunk:
+                break
+            buf += chunk
+            lines = buf.split(b"\n")
+            if any(ln.strip() for ln in lines[:-1]):
+                break
+    for ln in buf.split(b"\n"):
+        if ln.strip():
+            return ln.rstrip(b"\r").decode("utf-8-sig", errors="replace")
+    return None
+
+
+def _head_batches(batches):
+    import pandas as pd
+    for pdf in batches:
+        heads, ok = [], []
+        for p in pdf["file_path"]:
+            try:
+                heads.append(_first_line(p))
+                ok.append(True)
+            except Exception:   # scheme/credentials only Hadoop has: fall back
+                heads.append(None)
+                ok.append(False)
+        yield pd.DataFrame({"file_path": pdf["file_path"], "header": heads, "sniffed": ok})
+
+
+def _headers_by_scan(spark: SparkSession, paths: list) -> DataFrame:
+    """Fallback through Spark's text source. Note it scans whole files."""
     lines = (spark.read.text(paths)
-             .select("value", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_block_start").alias("block"))
-             .where(F.col("block") == 0)
+             .select("value", F.col("_metadata.file_path").alias("file_path"))
+             .where(F.trim("value") != "")
              .withColumn("row_id", F.monotonically_increasing_id()))
     return lines.groupBy("file_path").agg(F.min_by("value", "row_id").alias("header"))
 
 
+def sniff_headers(spark: SparkSession, paths: list) -> dict:
+    """``{file path: first non-empty line}`` for the files of one batch.
+
+    Distributed over the paths (``FILES_PER_TASK`` files per task); each task
+    reads only the first bytes of its files. Files on a file system Python
+    cannot open are sniffed by a Spark text scan instead. Empty files have no
+    header (and no rows) and are left out. The result is one short string per
+    file of the batch, whose path list the driver already holds."""
+    n = max(1, -(-len(paths) // FILES_PER_TASK))
+    listing = spark.createDataFrame([(p,) for p in paths], "file_path string").repartition(n)
+    rows = listing.mapInPandas(_head_batches,
+                               "file_path string, header string, sniffed boolean").collect()
+    heads = {r["file_path"]: r["header"] for r in rows if r["sniffed"] and r["header"] is not None}
+    failed = [r["file_path"] for r in rows if not r["sniffed"]]
+    if failed:
+        heads.update({r["file_path"]: r["header"] for r in _headers_by_scan(spark, failed).collect()})
+    return heads
+
+
 def group_by_header(spark: SparkSession, paths: list) -> dict:
-    """``{header line: [file paths]}`` for the files of one batch (driver-side,
-    one small row per file; the batch's path list is already on the driver)."""
+    """``{header line: [file paths]}`` for the files of one batch."""
     groups: dict = {}
-    for row in file_headers(spark, paths).collect():
-        groups.setdefault(row["header"], []).append(row["file_path"])
+    for path, header in sniff_headers(spark, paths).items():
+        groups.setdefault(header, []).append(path)
     return {h: sorted(ps) for h, ps in sorted(groups.items())}
 
 

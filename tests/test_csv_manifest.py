@@ -64,3 +64,14 @@ def test_file_window_bounds_and_first_run(spark):
 def test_run_cutoff_is_last_completed_second():
     now = dt.datetime(2026, 4, 29, 8, 53, 8, 213460, tzinfo=dt.timezone.utc)
     assert run_cutoff(now) == dt.datetime(2026, 4, 29, 8, 53, 7, tzinfo=dt.timezone.utc)
+
+
+def test_sniff_reads_first_nonempty_line_and_falls_back(spark, workdir):
+    from millrace.sources.csv import _headers_by_scan, sniff_headers
+    write(f"{workdir}/h1.csv", "\n\nx,y\n1,2\n")
+    write(f"{workdir}/h2.csv", "﻿a,b\r\n1,2\r\n")
+    write(f"{workdir}/empty.csv", "")
+    heads = sniff_headers(spark, [f"{workdir}/h1.csv", f"{workdir}/h2.csv", f"{workdir}/empty.csv"])
+    assert heads == {f"{workdir}/h1.csv": "x,y", f"{workdir}/h2.csv": "a,b"}
+    scanned = {r.file_path: r.header for r in _headers_by_scan(spark, [f"{workdir}/h1.csv"]).collect()}
+    assert list(scanned.values()) == ["x,y"]
