@@ -47,6 +47,9 @@ V1_CASTS = {"transaction_amount": "double", "quantity": "int", "transaction_time
 BATCH_COLUMNS = ("batch_id", "process_date")
 # ---------------------------------------------------------------------------
 
+# Prefix of the optional per-column "value present but not convertible" flags.
+FAIL_PREFIX = "__castfail_"
+
 
 class ConformError(ValueError):
     """A header that cannot be mapped unambiguously."""
@@ -86,11 +89,15 @@ def resolve_aliases(columns: list, aliases: dict = COLUMN_ALIASES) -> dict:
 
 
 def conform(df: DataFrame, schema=EXPECTED_SCHEMA, aliases: dict = COLUMN_ALIASES,
-            keep_extra: bool = True) -> DataFrame:
+            keep_extra: bool = True, flag_failures: bool = False) -> DataFrame:
     """Lower-case names, map aliases, add missing columns as typed NULLs, and
     convert every expected column (bad values become NULL). Columns that map
     to no standard name are kept as they are (after the expected ones) unless
-    ``keep_extra`` is false. One projection."""
+    ``keep_extra`` is false. One projection.
+
+    ``flag_failures`` appends a boolean ``__castfail_<name>`` per converted
+    column: a value was present but did not convert (it became NULL). The ingest
+    job counts these with an Observation and drops them before writing."""
     df = lowercase_columns(df)
     mapping = resolve_aliases(df.columns, aliases)
     used = set(mapping.values())
@@ -103,6 +110,11 @@ def conform(df: DataFrame, schema=EXPECTED_SCHEMA, aliases: dict = COLUMN_ALIASE
     std_names = {n for n, _ in schema}
     if keep_extra:
         exprs += [F.col(f"`{c}`") for c in df.columns if c not in used and c not in std_names]
+    if flag_failures:
+        for name, dtype in schema:
+            if dtype != "string":
+                raw = F.col(f"`{mapping[name]}`") if name in mapping else F.lit(None)
+                exprs.append((raw.isNotNull() & to_type(raw, dtype).isNull()).alias(FAIL_PREFIX + name))
     return df.select(*exprs)
 
 
@@ -123,7 +135,13 @@ def transform_v1(df: DataFrame, batch_id: str, process_date) -> DataFrame:
 
 
 def transform_v2(df: DataFrame, batch_id: str, process_date, schema=EXPECTED_SCHEMA,
-                 aliases: dict = COLUMN_ALIASES) -> DataFrame:
+                 aliases: dict = COLUMN_ALIASES, flag_failures: bool = False) -> DataFrame:
     """Second-generation standardization: alias mapping, expected schema with
     NULL padding and conversions, extra columns kept, batch stamps."""
-    return stamp_batch(conform(df, schema, aliases), batch_id, process_date)
+    return stamp_batch(conform(df, schema, aliases, flag_failures=flag_failures),
+                       batch_id, process_date)
+
+
+def failure_flags(df: DataFrame) -> list:
+    """The ``__castfail_*`` columns of a conformed DataFrame."""
+    return [c for c in df.columns if c.startswith(FAIL_PREFIX)]

@@ -28,9 +28,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.conform import transform_v1, transform_v2
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from ..operators.conform import FAIL_PREFIX, failure_flags, transform_v1, transform_v2
 from ..operators.incremental import batch_identity, run_cutoff, select_new_files
-from ..operators.quality import KEY_COLUMN, is_bad, observe_quality
+from ..operators.quality import KEY_COLUMN, is_bad
 from ..sinks import ledger as L
 from ..sinks.tables import write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
@@ -53,7 +56,7 @@ def standardize(version: str, batch_id: str, process_date):
     if version == "v1":
         return lambda df: transform_v1(df, batch_id, process_date)
     if version == "v2":
-        return lambda df: transform_v2(df, batch_id, process_date)
+        return lambda df: transform_v2(df, batch_id, process_date, flag_failures=True)
     raise ValueError(f"unknown version {version!r}")
 
 
@@ -62,25 +65,24 @@ def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
     """Steps 5-6 for an explicit file list; returns the counts."""
     df = read_csv_batch(spark, files, per_header=standardize(cfg.version, batch_id, process_date))
     if df is None:
-        return {"records_processed": 0, "bad_records": 0}
+        return {"records_processed": 0, "bad_records": 0, "cast_failures": None}
+    flags = failure_flags(df)
+    metrics = [F.count(F.lit(1)).alias("rows")]
     if cfg.version == "v2":
-        observed, obs = observe_quality(df, KEY_COLUMN)
-        good = observed.where(~is_bad())
-    else:   # the first-generation job has no quality split
-        observed, obs = _observe_rows(df)
-        good = observed
-    write_curated(good, cfg.target, fmt=cfg.fmt, replay_safe=cfg.replay_safe)
+        metrics.append(F.count_if(is_bad(KEY_COLUMN)).alias("bad"))
+    metrics += [F.count_if(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in flags]
+    obs = Observation("ingest")
+    observed = df.observe(obs, *metrics)
+    # The first-generation job has no quality split.
+    good = observed.where(~is_bad()) if cfg.version == "v2" else observed
+    write_curated(good.drop(*flags), cfg.target, fmt=cfg.fmt, replay_safe=cfg.replay_safe)
     m = obs.get
     bad = int(m.get("bad", 0) or 0)
     if bad > 0:
-        write_quarantine(df.where(is_bad()), cfg.target, fmt=cfg.fmt)
-    return {"records_processed": int(m["rows"]) - bad, "bad_records": bad}
-
-
-def _observe_rows(df: DataFrame):
-    from pyspark.sql import Observation, functions as F
-    obs = Observation("rows")
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+        write_quarantine(df.where(is_bad()).drop(*flags), cfg.target, fmt=cfg.fmt)
+    failures = {c[len(FAIL_PREFIX):]: int(m[c]) for c in flags}
+    return {"records_processed": int(m["rows"]) - bad, "bad_records": bad,
+            "cast_failures": failures or None}
 
 
 def run_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:

@@ -23,7 +23,7 @@ from ..sources.tables import read_or_empty
 LEDGER_SCHEMA = ("batch_id string, process_date date, low_watermark timestamp, "
                  "watermark_ts timestamp, files array<string>, status string, "
                  "records_processed bigint, bad_records bigint, error_message string, "
-                 "event_time timestamp")
+                 "event_time timestamp, cast_failures map<string,bigint>")
 WATERMARK_SCHEMA = "last_processed_time timestamp, batch_id string, event_time timestamp"
 
 PLANNED, SUCCESS, FAILED, NO_FILES = "PLANNED", "SUCCESS", "FAILED", "NO_FILES"

@@ -19,7 +19,7 @@ TXN_1 = HEADER + (
 TXN_2 = HEADER + (
     "TXN1001,C101,2500.75,2026-04-28T09:15:00Z,INDIA,P100,2,SUCCESS\n"
     "TXN1002,,499.99,2026-04-28T09:18:10Z,INDIA,P101,1,SUCCESS\n")
-TXN_ALIASED = "Qty,TxnID,Customer,Amount,Channel\n4,TXN9001,C900,10.5,web\n"
+TXN_ALIASED = "Qty,TxnID,Customer,Amount,Channel\n4,TXN9001,C900,10.5,web\nx,TXN9002,,n/a,web\n"
 
 
 def land(folder, name, text, mtime):
@@ -47,6 +47,7 @@ def test_incremental_runs(spark, workdir):
     r1 = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
     assert r1["status"] == "SUCCESS" and r1["records_processed"] == 5 and r1["bad_records"] == 1
     assert r1["batch_id"] == "batch_20260428_130000"
+    assert r1["cast_failures"] == {"transaction_amount": 0, "transaction_timestamp": 0, "quantity": 0}
     table = read_curated(spark, cfg.target)
     assert table.count() == 5   # the exact duplicate TXN3001 is kept
     assert dict(table.dtypes)["process_date"] == "date"
@@ -60,6 +61,8 @@ def test_incremental_runs(spark, workdir):
     land(cfg.landing, "late.csv", TXN_2, T0 - dt.timedelta(days=1))  # older than the watermark
     r3 = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=3))
     assert r3["files"] == [f"file:{cfg.landing}/txn_3.csv"] and r3["records_processed"] == 1
+    assert r3["bad_records"] == 1 and r3["cast_failures"]["quantity"] == 1
+    assert r3["cast_failures"]["transaction_amount"] == 1
     table = read_curated(spark, cfg.target)
     assert table.count() == 6
     new = table.where("transaction_id = 'TXN9001'").first()
