@@ -96,10 +96,16 @@ def runs(df: DataFrame, seq: str, by=(), min_length: int = 1, width: int | None
                     .agg(F.min("__lo").alias("lo"), F.max("__hi").alias("hi")))
     chained = _chain(edge_pieces, by)
     wc = Window.partitionBy(*by, "__chain")
-    piece_map = chained.select(*by, "__b", "__g",
+    keys = [(c, f"__pk{i}") for i, c in enumerate(by)]
+    piece_map = chained.select(*[F.col(c).alias(a) for c, a in keys],
+                               F.col("__b").alias("__pb"), F.col("__g").alias("__pg"),
                                F.min("lo").over(wc).alias("__rlo"),
                                F.max("hi").over(wc).alias("__rhi"))
-    out = (x.join(piece_map, on=[*by, "__b", "__g"], how="left")
+    # NULL group keys form a group too: null-safe equality on them.
+    cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in keys] + \
+           [F.col("__b") == F.col("__pb"), F.col("__g") == F.col("__pg")]
+    out = (x.join(piece_map, on=cond, how="left")
+            .drop(*[a for _, a in keys], "__pb", "__pg")
             .withColumn(start, F.coalesce("__rlo", "__lo"))
             .withColumn(length, F.coalesce("__rhi", "__hi") - F.col(start) + 1)
             .where(F.col(length) >= min_length))

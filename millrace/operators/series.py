@@ -10,37 +10,53 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 from pyspark.sql.window import Window
 
 from ..functions._util import as_col
 
 
 def ordered_lag(df: DataFrame, order: str, value: str, bucket: Column,
-                prev: str = "prev_value") -> DataFrame:
-    """Append ``prev``: ``value`` of the previous row in ascending ``order``.
+                prev: str = "prev_value", prev_order: str | None = None) -> DataFrame:
+    """Append ``prev``: ``value`` of the previous row in ascending ``order``
+    (and, if ``prev_order`` is given, that row's ``order`` value too).
 
     ``order`` must be unique (else "previous row" is ambiguous) and ``bucket``
     must be monotone in it (e.g. the month of a date), so bucket order agrees
     with row order. Per-bucket work is partitioned by bucket; only one row per
     bucket meets in the stitching window.
     """
+    po = prev_order or "__prev_order"
     x = df.withColumn("__bk", bucket)
     w = Window.partitionBy("__bk").orderBy(order)
     x = (x.withColumn(prev, F.lag(value).over(w))
-          .withColumn("__first", F.lag(order).over(w).isNull())
+          .withColumn(po, F.lag(order).over(w))
+          .withColumn("__first", F.col(po).isNull())
           .withColumn("__last", F.lead(order).over(w).isNull()))
     # Tails come from the same windowed rows, so both branches share one
     # exchange (Spark reuses it) instead of recomputing the input.
-    tails = (x.where("__last").select("__bk", F.col(value).alias("__tail"))
-              .withColumn("__prev_tail", F.lag("__tail").over(Window.orderBy("__bk")))
-              .select("__bk", "__prev_tail"))
-    return (x.join(tails, "__bk", "left")
-             .withColumn(prev, F.when(F.col("__first"), F.col("__prev_tail")).otherwise(F.col(prev)))
-             .drop("__bk", "__first", "__last", "__prev_tail"))
+    wb = Window.orderBy("__bk")
+    tails = (x.where("__last")
+              .select("__bk", F.lag(value).over(wb).alias("__prev_tail"),
+                      F.lag(order).over(wb).alias("__prev_tail_order")))
+    first = F.col("__first")
+    out = (x.join(tails, "__bk", "left")
+            .withColumn(prev, F.when(first, F.col("__prev_tail")).otherwise(F.col(prev)))
+            .withColumn(po, F.when(first, F.col("__prev_tail_order")).otherwise(F.col(po)))
+            .drop("__bk", "__first", "__last", "__prev_tail", "__prev_tail_order"))
+    return out if prev_order else out.drop(po)
 
 
 def declines(df: DataFrame, order: str, value: str, bucket: Column,
-             prev: str = "prev_value") -> DataFrame:
-    """Rows whose ``value`` is below the previous row's (previous *row*, not
-    previous calendar step: gaps in ``order`` are skipped over)."""
-    return ordered_lag(df, order, value, bucket, prev).where(as_col(value) < F.col(prev))
+             prev: str = "prev_value", adjacent_only: bool = False) -> DataFrame:
+    """Rows whose ``value`` is below the previous row's.
+
+    By default "previous" is the previous *row*: gaps in ``order`` are skipped
+    over. With ``adjacent_only`` the previous row must be exactly one step
+    earlier (one day for a date ``order``, one unit for an integer one)."""
+    out = ordered_lag(df, order, value, bucket, prev, prev_order="__po").where(as_col(value) < F.col(prev))
+    if adjacent_only:
+        is_date = isinstance(df.schema[order].dataType, DateType)
+        step = F.datediff(order, "__po") if is_date else F.col(order) - F.col("__po")
+        out = out.where(step == 1)
+    return out.drop("__po")

@@ -114,6 +114,15 @@ def q_declining_revenue_days(spark: SparkSession, sf: str) -> DataFrame:
                     prev="prev_revenue")
 
 
+def q_declining_revenue_adjacent_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Variant: only compare with the previous *calendar* day (a gap breaks it)."""
+    o = test_table(spark, sf, "orders")
+    daily = (o.groupBy(F.to_date("o_orderdate").alias("order_day"))
+              .agg(_money_sum("o_totalprice").cast("double").alias("revenue")))
+    return declines(daily, "order_day", "revenue", F.trunc("order_day", "month"),
+                    prev="prev_revenue", adjacent_only=True)
+
+
 # --- Q-3: orders in runs of >= 3 consecutive keys with value >= threshold -----
 
 def q_consecutive_high_value_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,6 +228,7 @@ QUERIES = {
     "top3_customers_per_region_sql": q_top3_customers_per_region_sql,
     "top2_orders_sum_per_customer": q_top2_orders_sum_per_customer,
     "declining_revenue_days": q_declining_revenue_days,
+    "declining_revenue_adjacent_days": q_declining_revenue_adjacent_days,
     "consecutive_high_value_orders": q_consecutive_high_value_orders,
     "user_activity_islands_sql": q_user_activity_islands_sql,
     "user_activity_islands_df": q_user_activity_islands_df,
@@ -291,6 +301,21 @@ SQL = {
         )
         SELECT order_day, revenue, prev_revenue FROM prev WHERE revenue < prev_revenue
     """,
+    "declining_revenue_adjacent_days": """
+        WITH daily AS (
+            SELECT CAST(o_orderdate AS DATE) AS order_day,
+                   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+            FROM orders GROUP BY 1
+        ),
+        prev AS (
+            SELECT order_day, revenue,
+                   LAG(revenue) OVER (ORDER BY order_day) AS prev_revenue,
+                   LAG(order_day) OVER (ORDER BY order_day) AS prev_day
+            FROM daily
+        )
+        SELECT order_day, revenue, prev_revenue FROM prev
+        WHERE revenue < prev_revenue AND date_diff('day', prev_day, order_day) = 1
+    """,
     "consecutive_high_value_orders": f"""
         WITH f AS (
             SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= {HIGH_VALUE}

@@ -12,7 +12,7 @@ typed values straight from ``orders``.
 
 from __future__ import annotations
 
-import time
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -205,9 +205,10 @@ def q_ingest_batch(spark: SparkSession, sf: str) -> DataFrame:
     landing = _write_csv_landing(spark, sf)
     cfg = IngestConfig(landing=landing, target=fresh_dir(spark, "curated"),
                        control=fresh_dir(spark, "control"), replay_safe=True)
-    time.sleep(1.1)   # files must be older than the cutoff's completed second
-    run_batch(spark, cfg)
-    run_batch(spark, cfg)
+    # The landing folder is complete (nothing else writes to it), so the cutoff
+    # may be "now" rather than the last completed second.
+    run_batch(spark, cfg, cutoff=datetime.now(timezone.utc))
+    run_batch(spark, cfg, cutoff=datetime.now(timezone.utc))
     return _expected_cols(read_curated(spark, cfg.target))
 
 

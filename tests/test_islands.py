@@ -73,3 +73,12 @@ def test_runs_match_brute_force_across_buckets(spark):
         got = {r.id: (r.run_start, r.run_length) for r in out.collect()}
         assert got == want, width
         assert set(out.columns) == {"id", "payload", "run_start", "run_length"}
+
+
+def test_runs_per_group_with_null_group(spark):
+    pairs = [(g, v) for g in ("a", None) for v in range(0, 40) if v % 10 != 9]
+    df = spark.createDataFrame(pairs, "g string, v bigint")
+    out = runs(df, "v", by="g", min_length=9, width=4)
+    got = sorted(((r.g or ""), r.v, r.run_start, r.run_length) for r in out.collect())
+    want = sorted(((g or ""), v, v - v % 10, 9) for g, v in pairs)
+    assert got == want

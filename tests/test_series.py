@@ -26,3 +26,18 @@ def test_ordered_lag_across_sparse_buckets(spark):
     got = {r.d: r.prev_value for r in ordered_lag(df, "d", "v", F.trunc("d", "month")).collect()}
     want = {rows[i][0]: (rows[i - 1][1] if i else None) for i in range(len(rows))}
     assert got == want
+
+
+def test_adjacent_only_skips_gaps(spark):
+    data = [("2026-05-01", 1000), ("2026-05-02", 900), ("2026-05-04", 800), ("2026-05-05", 700)]
+    df = spark.createDataFrame(data, "date string, price int").withColumn("date", parse_date("date"))
+    b = F.trunc("date", "month")
+    assert sorted(r.price for r in declines(df, "date", "price", b).collect()) == [700, 800, 900]
+    assert sorted(r.price for r in declines(df, "date", "price", b, adjacent_only=True).collect()) == [700, 900]
+
+
+def test_prev_order_across_buckets(spark):
+    df = spark.createDataFrame([(1, 5), (7, 3), (30, 9), (31, 1)], "k int, v int")
+    out = ordered_lag(df, "k", "v", (F.col("k") / 10).cast("int"), prev_order="pk")
+    assert sorted((r.k, r.prev_value, r.pk) for r in out.collect()) == \
+        [(1, None, None), (7, 5, 1), (30, 3, 7), (31, 9, 30)]
