@@ -10,12 +10,18 @@ conformed on its own, and the groups are unioned by name.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The header sniff runs Python in the executors; ship this module's functions
+# by value so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
 
 
