@@ -1,6 +1,7 @@
 """The incremental ingest job: new files -> conformed, typed, partitioned table.
 
-One run (``run_batch``):
+One run (``run_batch`` = ``plan_batch`` then ``process_batch``, which can also
+run as two separate jobs):
 
 1. take the cutoff (last completed second) *before* listing;
 2. if the newest ledger batch never finished, re-run exactly that batch
@@ -85,37 +86,58 @@ def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
             "cast_failures": failures or None}
 
 
-def run_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:
-    """One incremental run; returns the final ledger row as a dict."""
+def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:
+    """Step one (find the files): returns the batch to process as a dict.
+
+    If the newest batch never finished it is returned again (same id, files
+    and cutoff) instead of planning a new one. Otherwise the landing folder is
+    listed and a ``PLANNED`` ledger row is appended, or, with no new files, a
+    ``NO_FILES`` row is appended and the watermark moves to the cutoff."""
     pending = L.pending_batch(spark, cfg.control)
     if pending is not None:
-        batch_id, process_date = pending["batch_id"], pending["process_date"]
-        files, low = list(pending["files"] or []), L.as_utc(pending["low_watermark"])
-        cutoff = L.as_utc(pending["watermark_ts"])
-    else:
-        cutoff = cutoff or run_cutoff()
-        low = L.current_watermark(spark, cfg.control)
-        manifest = list_files(spark, cfg.landing, cfg.glob)
-        new = select_new_files(manifest, low, cutoff)
-        # The batch's own paths, one short string per file.
-        files = sorted(r["path"] for r in new.select("path").collect())
-        batch_id, process_date = batch_identity(cutoff)
-        base = dict(batch_id=batch_id, process_date=process_date, low_watermark=low,
-                    watermark_ts=cutoff, files=files)
-        if not files:
-            row = L.record_batch(spark, cfg.control, **base, status=L.NO_FILES,
-                                 records_processed=0, bad_records=0)
-            L.advance_watermark(spark, cfg.control, cutoff, batch_id)
-            return row
-        L.record_batch(spark, cfg.control, **base, status=L.PLANNED)
+        return dict(batch_id=pending["batch_id"], process_date=pending["process_date"],
+                    low_watermark=L.as_utc(pending["low_watermark"]),
+                    watermark_ts=L.as_utc(pending["watermark_ts"]),
+                    files=list(pending["files"] or []), status=pending["status"])
+    cutoff = cutoff or run_cutoff()
+    low = L.current_watermark(spark, cfg.control)
+    new = select_new_files(list_files(spark, cfg.landing, cfg.glob), low, cutoff)
+    # The batch's own paths, one short string per file.
+    files = sorted(r["path"] for r in new.select("path").collect())
+    batch_id, process_date = batch_identity(cutoff)
     base = dict(batch_id=batch_id, process_date=process_date, low_watermark=low,
                 watermark_ts=cutoff, files=files)
+    if not files:
+        row = L.record_batch(spark, cfg.control, **base, status=L.NO_FILES,
+                             records_processed=0, bad_records=0)
+        L.advance_watermark(spark, cfg.control, cutoff, batch_id)
+        return row
+    return L.record_batch(spark, cfg.control, **base, status=L.PLANNED)
+
+
+def process_batch(spark: SparkSession, cfg: IngestConfig, batch: dict | None = None) -> dict:
+    """Step two (process the files): read, standardize, split, write; then
+    ``SUCCESS`` and the watermark, or ``FAILED`` and re-raise. Without
+    ``batch`` the newest unfinished batch of the ledger is processed."""
+    if batch is None:
+        if L.pending_batch(spark, cfg.control) is None:   # nothing to do: latest state
+            latest = L.latest_batch(spark, cfg.control).first()
+            return latest.asDict() if latest is not None else {"status": L.NO_FILES}
+        batch = plan_batch(spark, cfg)
+    if batch.get("status") in L.TERMINAL:
+        return batch
+    base = {k: batch[k] for k in ("batch_id", "process_date", "low_watermark", "watermark_ts", "files")}
     try:
-        counts = ingest_files(spark, files, batch_id, process_date, cfg)
+        counts = ingest_files(spark, base["files"], base["batch_id"], base["process_date"], cfg)
     except Exception as e:
         L.record_batch(spark, cfg.control, **base, status=L.FAILED,
                        error_message=f"{type(e).__name__}: {e}"[:4000])
         raise
     row = L.record_batch(spark, cfg.control, **base, status=L.SUCCESS, **counts)
-    L.advance_watermark(spark, cfg.control, cutoff, batch_id)
+    L.advance_watermark(spark, cfg.control, base["watermark_ts"], base["batch_id"])
     return row
+
+
+def run_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:
+    """One incremental run (plan + process); returns the final ledger row."""
+    return process_batch(spark, cfg, plan_batch(spark, cfg, cutoff))

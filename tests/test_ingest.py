@@ -118,3 +118,19 @@ def test_stream_drains_each_file_once(spark, workdir):
     drain(spark, cfg)
     assert read_curated(spark, cfg.target).count() == 5
     assert read_curated(spark, quarantine_path(cfg.target)).count() == 1
+
+
+def test_plan_and_process_as_two_jobs(spark, workdir):
+    from millrace.plans.ingest import plan_batch, process_batch
+    cfg = cfg_for(workdir)
+    land(cfg.landing, "txn_1.csv", TXN_1, T0)
+    planned = plan_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
+    assert planned["status"] == "PLANNED" and len(planned["files"]) == 1
+    # Planning again before processing returns the same batch.
+    again = plan_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=2))
+    assert again["batch_id"] == planned["batch_id"]
+    assert L.current_watermark(spark, cfg.control) is None
+    done = process_batch(spark, cfg)        # picks the pending batch from the ledger
+    assert done["status"] == "SUCCESS" and done["records_processed"] == 4
+    assert L.current_watermark(spark, cfg.control) == T0 + dt.timedelta(hours=1)
+    assert process_batch(spark, cfg)["status"] == "SUCCESS"   # nothing pending: latest state
