@@ -80,7 +80,8 @@ def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
     m = obs.get
     bad = int(m.get("bad", 0) or 0)
     if bad > 0:
-        write_quarantine(df.where(is_bad()).drop(*flags), cfg.target, fmt=cfg.fmt)
+        write_quarantine(df.where(is_bad()).drop(*flags), cfg.target, fmt=cfg.fmt,
+                         replay_safe=cfg.replay_safe)
     failures = {c[len(FAIL_PREFIX):]: int(m[c]) for c in flags}
     return {"records_processed": int(m["rows"]) - bad, "bad_records": bad,
             "cast_failures": failures or None}

@@ -46,8 +46,9 @@ def quarantine_path(target: str) -> str:
 
 
 def write_quarantine(bad: DataFrame, target: str, fmt: str = "parquet",
-                     partition_by=PARTITION_COLUMNS) -> str:
-    """Append quarantined rows beside ``target``; returns the path."""
+                     partition_by=PARTITION_COLUMNS, replay_safe: bool = False) -> str:
+    """Write quarantined rows beside ``target`` (same layout rules as the
+    table, so a replayed batch replaces its own bad rows); returns the path."""
     path = quarantine_path(target)
-    bad.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
+    write_curated(bad, path, partition_by=partition_by, fmt=fmt, replay_safe=replay_safe)
     return path

@@ -15,8 +15,6 @@ mtime is older than ``maxFileAge`` relative to the newest seen is ignored.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,12 +31,15 @@ def start_stream_ingest(spark: SparkSession, cfg: IngestConfig, checkpoint: str
     files = stream_files(spark, cfg.landing, cfg.glob, max_files_per_trigger)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        paths = sorted(r["path"] for r in batch.select("path").collect())
-        now = datetime.now(timezone.utc)
-        batch_id, process_date = f"stream_{epoch_id:010d}", f"{now:%Y-%m-%d}"
-        base = dict(batch_id=batch_id, process_date=process_date, watermark_ts=now, files=paths)
-        if not paths:
+        rows = batch.select("path", "modificationTime").collect()   # this epoch's files
+        if not rows:
             return
+        paths = sorted(r["path"] for r in rows)
+        # Everything about the batch derives from its files, so a re-executed
+        # epoch (same files) gets the same id, date and partitions.
+        newest = max(L.as_utc(r["modificationTime"]) for r in rows)
+        batch_id, process_date = f"stream_{epoch_id:010d}", f"{newest:%Y-%m-%d}"
+        base = dict(batch_id=batch_id, process_date=process_date, watermark_ts=newest, files=paths)
         try:
             counts = ingest_files(spark, paths, batch_id, process_date, cfg)
         except Exception as e:

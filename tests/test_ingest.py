@@ -134,3 +134,21 @@ def test_plan_and_process_as_two_jobs(spark, workdir):
     assert done["status"] == "SUCCESS" and done["records_processed"] == 4
     assert L.current_watermark(spark, cfg.control) == T0 + dt.timedelta(hours=1)
     assert process_batch(spark, cfg)["status"] == "SUCCESS"   # nothing pending: latest state
+
+
+def test_replayed_batch_replaces_its_quarantine(spark, workdir):
+    from millrace.plans.ingest import ingest_files
+    cfg = cfg_for(workdir, replay_safe=True)
+    p = land(cfg.landing, "txn_2.csv", TXN_2, T0)
+    for _ in range(2):
+        ingest_files(spark, [p], "batch_q", "2026-04-28", cfg)
+    assert read_curated(spark, cfg.target).count() == 1
+    assert read_curated(spark, quarantine_path(cfg.target)).count() == 1
+
+
+def test_stream_batch_identity_comes_from_files(spark, workdir):
+    cfg = cfg_for(workdir, replay_safe=True)
+    land(cfg.landing, "txn_1.csv", TXN_1, T0)
+    drain(spark, cfg)
+    row = L.latest_batch(spark, cfg.control).first()
+    assert row.process_date == T0.date() and row.watermark_ts.astimezone(dt.timezone.utc) == T0
