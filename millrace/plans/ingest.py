@@ -27,9 +27,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
-
-from pyspark.sql import Observation
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.conform import FAIL_PREFIX, failure_flags, transform_v1, transform_v2
