@@ -54,3 +54,23 @@ def batch_identity(cutoff: datetime) -> tuple[str, str]:
     """``(batch_id, process_date)`` minted from the cutoff (UTC)."""
     c = cutoff.astimezone(timezone.utc)
     return f"batch_{c:%Y%m%d_%H%M%S}", f"{c:%Y-%m-%d}"
+
+
+def day_folders_glob(landing: str, day_format: str, low: datetime | None, cutoff: datetime,
+                     margin_days: int = 1) -> str:
+    """A glob over the day folders that can hold files of the ``(low, cutoff]``
+    window, for landings laid out by arrival day (e.g. ``%Y/%m/%d``).
+
+    Listing then touches only those folders instead of the whole, ever-growing
+    landing. ``margin_days`` extra days before ``low`` cover producers whose
+    clock or folder choice lags the store's mtime. A first run (no ``low``)
+    lists the whole landing."""
+    if low is None:
+        return landing
+    lo = (low.astimezone(timezone.utc) - timedelta(days=margin_days)).date()
+    hi = cutoff.astimezone(timezone.utc).date()
+    days, d = [], lo
+    while d <= hi:
+        days.append(d.strftime(day_format))
+        d += timedelta(days=1)
+    return f"{landing.rstrip('/')}/{{{','.join(days)}}}"

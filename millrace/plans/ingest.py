@@ -31,7 +31,8 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.conform import FAIL_PREFIX, failure_flags, transform_v1, transform_v2
-from ..operators.incremental import batch_identity, run_cutoff, select_new_files
+from ..operators.incremental import (batch_identity, day_folders_glob, run_cutoff,
+                                     select_new_files)
 from ..operators.quality import KEY_COLUMN, is_bad
 from ..sinks import ledger as L
 from ..sinks.tables import write_curated, write_quarantine
@@ -46,6 +47,7 @@ class IngestConfig:
     control: str                 # folder for ledger + watermark tables
     version: str = "v2"          # "v1": fixed renames, no split; "v2": aliases + quality split
     glob: str | None = "*.csv"
+    day_folders: str | None = None   # e.g. "%Y/%m/%d": landing laid out by arrival day
     replay_safe: bool = False
     fmt: str = "parquet"
 
@@ -100,7 +102,9 @@ def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None =
                     files=list(pending["files"] or []), status=pending["status"])
     cutoff = cutoff or run_cutoff()
     low = L.current_watermark(spark, cfg.control)
-    new = select_new_files(list_files(spark, cfg.landing, cfg.glob), low, cutoff)
+    where = day_folders_glob(cfg.landing, cfg.day_folders, low, cutoff) if cfg.day_folders \
+        else cfg.landing
+    new = select_new_files(list_files(spark, where, cfg.glob), low, cutoff)
     # The batch's own paths, one short string per file.
     files = sorted(r["path"] for r in new.select("path").collect())
     batch_id, process_date = batch_identity(cutoff)

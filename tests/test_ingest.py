@@ -152,3 +152,20 @@ def test_stream_batch_identity_comes_from_files(spark, workdir):
     drain(spark, cfg)
     row = L.latest_batch(spark, cfg.control).first()
     assert row.process_date == T0.date() and row.watermark_ts.astimezone(dt.timezone.utc) == T0
+
+
+def test_day_folder_listing_only_touches_recent_days(spark, workdir):
+    from millrace.operators.incremental import day_folders_glob
+    g = day_folders_glob("/l", "%Y/%m/%d", T0, T0 + dt.timedelta(days=1))
+    assert g == "/l/{2026/04/27,2026/04/28,2026/04/29}"
+    assert day_folders_glob("/l", "%Y/%m/%d", None, T0) == "/l"
+    cfg = cfg_for(workdir, day_folders="%Y/%m/%d")
+    land(f"{cfg.landing}/2026/04/28", "a.csv", TXN_1, T0)
+    r1 = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))       # first run: full listing
+    assert r1["records_processed"] == 4
+    land(f"{cfg.landing}/2026/04/29", "b.csv", TXN_2, T0 + dt.timedelta(days=1))
+    land(f"{cfg.landing}/2026/01/01", "stray.csv", TXN_2, T0 + dt.timedelta(days=1))  # outside the days
+    r2 = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(days=1, hours=1))
+    assert [f.rsplit("/", 1)[1] for f in r2["files"]] == ["b.csv"]
+    r3 = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(days=5))         # no folder for these days
+    assert r3["status"] == "NO_FILES"
