@@ -13,7 +13,8 @@ run as two separate jobs):
 5. read the files grouped by header, standardize each group, union by name;
 6. write good rows to the curated table, counting rows and bad rows with an
    ``Observation`` on the same pass; quarantine bad rows beside the table;
-7. ledger ``SUCCESS`` with counts, then advance the watermark.
+7. ledger ``SUCCESS`` with counts: the single commit point, which also moves
+   the watermark (it is the newest cutoff of a finished ledger row).
 
 Any failure in 5-7 appends a ``FAILED`` ledger row (with the error) and
 re-raises; the watermark does not move, so the next run retries the batch.
@@ -111,10 +112,9 @@ def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None =
     base = dict(batch_id=batch_id, process_date=process_date, low_watermark=low,
                 watermark_ts=cutoff, files=files)
     if not files:
-        row = L.record_batch(spark, cfg.control, **base, status=L.NO_FILES,
-                             records_processed=0, bad_records=0)
-        L.advance_watermark(spark, cfg.control, cutoff, batch_id)
-        return row
+        # Finished row: also moves the watermark to the cutoff.
+        return L.record_batch(spark, cfg.control, **base, status=L.NO_FILES,
+                              records_processed=0, bad_records=0)
     return L.record_batch(spark, cfg.control, **base, status=L.PLANNED)
 
 
@@ -136,9 +136,8 @@ def process_batch(spark: SparkSession, cfg: IngestConfig, batch: dict | None = N
         L.record_batch(spark, cfg.control, **base, status=L.FAILED,
                        error_message=f"{type(e).__name__}: {e}"[:4000])
         raise
-    row = L.record_batch(spark, cfg.control, **base, status=L.SUCCESS, **counts)
-    L.advance_watermark(spark, cfg.control, base["watermark_ts"], base["batch_id"])
-    return row
+    # The commit point: batch done and watermark moved in one append.
+    return L.record_batch(spark, cfg.control, **base, status=L.SUCCESS, **counts)
 
 
 def run_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:

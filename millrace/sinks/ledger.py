@@ -1,14 +1,18 @@
-"""Control tables: the batch ledger and the watermark.
+"""Control table: the batch ledger, which also carries the watermark.
 
-Both are small append-only Parquet tables under a control folder. Nothing is
+A small append-only Parquet table under a control folder. Nothing is
 overwritten in place: the state of a batch is its latest ledger row, the
-"latest batch" is the newest batch by cutoff, and the watermark is the
-maximum recorded cutoff. A crashed run therefore leaves history that a later
-run can read and finish, and a run's rows are only ever added.
+"latest batch" is the newest batch by cutoff, and the watermark is the newest
+cutoff among *finished* rows (``SUCCESS``, ``NO_FILES``, or an explicit
+``WATERMARK`` row). A crashed run therefore leaves history that a later run
+can read and finish, and a run's rows are only ever added.
 
 Commit order used by the ingest job: ledger ``PLANNED`` row (with the file
-list) -> data -> ledger ``SUCCESS`` row -> watermark. The watermark moves only
-after the data is written, so a failure never skips files.
+list) -> data -> ledger ``SUCCESS`` row. That last single-file append is the
+one commit point: it records the batch as done and moves the watermark at
+once, so no crash can leave a finished batch behind an old watermark (which
+would make the next run ingest its files again), and a failure before it
+never skips files.
 """
 
 from __future__ import annotations
@@ -24,20 +28,15 @@ LEDGER_SCHEMA = ("batch_id string, process_date date, low_watermark timestamp, "
                  "watermark_ts timestamp, files array<string>, status string, "
                  "records_processed bigint, bad_records bigint, error_message string, "
                  "event_time timestamp, cast_failures map<string,bigint>")
-WATERMARK_SCHEMA = "last_processed_time timestamp, batch_id string, event_time timestamp"
-
 PLANNED, SUCCESS, FAILED, NO_FILES = "PLANNED", "SUCCESS", "FAILED", "NO_FILES"
-TERMINAL = (SUCCESS, NO_FILES)
+WATERMARK = "WATERMARK"      # a watermark move that is not a batch (manual or imported)
+TERMINAL = (SUCCESS, NO_FILES, WATERMARK)
 
 
 def _ledger_path(control: str) -> str:
     return control.rstrip("/") + "/ledger"
 
 
-def _watermark_path(control: str) -> str:
-    return control.rstrip("/") + "/watermark"
-
-
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -66,7 +65,7 @@ def ledger_rows(spark: SparkSession, control: str) -> DataFrame:
 
 def batch_states(spark: SparkSession, control: str) -> DataFrame:
     """Current state of each batch: its latest ledger row."""
-    rows = ledger_rows(spark, control)
+    rows = ledger_rows(spark, control).where(F.col("status") != WATERMARK)
     cols = rows.columns
     return (rows.groupBy("batch_id")
                 .agg(F.max_by(F.struct(*cols), "event_time").alias("s"))
@@ -90,9 +89,10 @@ def pending_batch(spark: SparkSession, control: str):
 
 
 def watermark(spark: SparkSession, control: str) -> DataFrame:
-    """One row: ``last_processed_time`` (NULL before the first run)."""
-    return read_or_empty(spark, _watermark_path(control), WATERMARK_SCHEMA) \
-        .agg(F.max("last_processed_time").alias("last_processed_time"))
+    """One row: ``last_processed_time``, the newest cutoff of a finished row
+    (NULL before the first run)."""
+    return (ledger_rows(spark, control).where(F.col("status").isin(*TERMINAL))
+            .agg(F.max("watermark_ts").alias("last_processed_time")))
 
 
 def current_watermark(spark: SparkSession, control: str):
@@ -109,8 +109,9 @@ def as_utc(ts):
 
 
 def advance_watermark(spark: SparkSession, control: str, cutoff: datetime,
-                      batch_id: str | None = None) -> None:
-    """Record ``cutoff`` as processed. Never moves the watermark backwards
-    (readers take the maximum)."""
-    _append(spark, _watermark_path(control), WATERMARK_SCHEMA,
-            {"last_processed_time": cutoff, "batch_id": batch_id, "event_time": _now()})
+                      note: str | None = None) -> None:
+    """Record ``cutoff`` as processed without a batch (e.g. importing the
+    watermark of an earlier deployment). Never moves the watermark backwards:
+    readers take the maximum."""
+    record_batch(spark, control, batch_id=f"watermark_{cutoff:%Y%m%d_%H%M%S}",
+                 watermark_ts=cutoff, status=WATERMARK, error_message=note)

@@ -59,12 +59,23 @@ def read_watermark_record(spark: SparkSession, path) -> DataFrame:
 
 def import_control_records(spark: SparkSession, control: str, batch_path=None,
                            watermark_path=None) -> None:
-    """Append imported records to the ledger and watermark tables."""
+    """Append imported records to the ledger: batches as they are, the
+    watermark as a ``WATERMARK`` row (not a batch)."""
+    from ..sinks.ledger import LEDGER_SCHEMA, WATERMARK
+    target = control.rstrip("/") + "/ledger"
     if batch_path is not None:
-        read_batch_records(spark, batch_path).write.mode("append").parquet(
-            control.rstrip("/") + "/ledger")
+        read_batch_records(spark, batch_path).write.mode("append").parquet(target)
     if watermark_path is not None:
-        (read_watermark_record(spark, watermark_path)
-         .select("last_processed_time", F.lit(None).cast("string").alias("batch_id"),
-                 F.current_timestamp().alias("event_time"))
-         .write.mode("append").parquet(control.rstrip("/") + "/watermark"))
+        cols = [f.split()[0] for f in LEDGER_SCHEMA.split(", ")]
+        wm = read_watermark_record(spark, watermark_path)
+        fields = {
+            "batch_id": F.concat(F.lit("watermark_"),
+                                 F.date_format("last_processed_time", "yyyyMMdd_HHmmss")),
+            "watermark_ts": F.col("last_processed_time"),
+            "status": F.lit(WATERMARK),
+            "event_time": F.current_timestamp(),
+        }
+        empty = spark.createDataFrame([], LEDGER_SCHEMA)
+        typed = {f.name: f.dataType for f in empty.schema.fields}
+        wm.select(*[(fields[c] if c in fields else F.lit(None)).cast(typed[c]).alias(c)
+                    for c in cols]).write.mode("append").parquet(target)

@@ -169,3 +169,17 @@ def test_day_folder_listing_only_touches_recent_days(spark, workdir):
     assert [f.rsplit("/", 1)[1] for f in r2["files"]] == ["b.csv"]
     r3 = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(days=5))         # no folder for these days
     assert r3["status"] == "NO_FILES"
+
+
+def test_success_row_is_the_only_commit_point(spark, workdir):
+    cfg = cfg_for(workdir)
+    land(cfg.landing, "txn_1.csv", TXN_1, T0)
+    run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
+    # The watermark is the finished row's cutoff; nothing else was written.
+    assert L.current_watermark(spark, cfg.control) == T0 + dt.timedelta(hours=1)
+    assert sorted(os.listdir(cfg.control)) == ["ledger"]
+    # A manual move forwards is honoured, a move backwards is not.
+    L.advance_watermark(spark, cfg.control, T0 + dt.timedelta(hours=5))
+    L.advance_watermark(spark, cfg.control, T0)
+    assert L.current_watermark(spark, cfg.control) == T0 + dt.timedelta(hours=5)
+    assert L.latest_batch(spark, cfg.control).first().status == "SUCCESS"
