@@ -45,7 +45,7 @@ from ..sources.manifest import list_files
 class IngestConfig:
     landing: str                 # folder new CSV files arrive in
     target: str                  # curated table path
-    control: str                 # folder for ledger + watermark tables
+    control: str                 # folder for the ledger table
     version: str = "v2"          # "v1": fixed renames, no split; "v2": aliases + quality split
     glob: str | None = "*.csv"
     day_folders: str | None = None   # e.g. "%Y/%m/%d": landing laid out by arrival day
@@ -95,14 +95,13 @@ def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None =
     and cutoff) instead of planning a new one. Otherwise the landing folder is
     listed and a ``PLANNED`` ledger row is appended, or, with no new files, a
     ``NO_FILES`` row is appended and the watermark moves to the cutoff."""
-    pending = L.pending_batch(spark, cfg.control)
+    pending, low = L.control_state(spark, cfg.control)
     if pending is not None:
         return dict(batch_id=pending["batch_id"], process_date=pending["process_date"],
                     low_watermark=L.as_utc(pending["low_watermark"]),
                     watermark_ts=L.as_utc(pending["watermark_ts"]),
                     files=list(pending["files"] or []), status=pending["status"])
     cutoff = cutoff or run_cutoff()
-    low = L.current_watermark(spark, cfg.control)
     where = day_folders_glob(cfg.landing, cfg.day_folders, low, cutoff) if cfg.day_folders \
         else cfg.landing
     new = select_new_files(list_files(spark, where, cfg.glob), low, cutoff)

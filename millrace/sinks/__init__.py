@@ -1,8 +1,9 @@
-from .ledger import (FAILED, NO_FILES, PLANNED, SUCCESS, WATERMARK, advance_watermark, batch_states,
-                     current_watermark, latest_batch, ledger_rows, pending_batch, record_batch,
-                     watermark)
+from .ledger import (FAILED, NO_FILES, PLANNED, SUCCESS, WATERMARK, advance_watermark,
+                     batch_states, control_state, current_watermark, ensure_ledger,
+                     latest_batch, ledger_rows, pending_batch, record_batch, watermark)
 from .tables import quarantine_path, table_format, write_curated, write_quarantine
 
-__all__ = ["FAILED", "NO_FILES", "PLANNED", "SUCCESS", "WATERMARK", "advance_watermark", "batch_states",
-           "current_watermark", "latest_batch", "ledger_rows", "pending_batch", "record_batch",
-           "watermark", "quarantine_path", "table_format", "write_curated", "write_quarantine"]
+__all__ = ["FAILED", "NO_FILES", "PLANNED", "SUCCESS", "WATERMARK", "advance_watermark",
+           "batch_states", "control_state", "current_watermark", "ensure_ledger",
+           "latest_batch", "ledger_rows", "pending_batch", "record_batch", "watermark",
+           "quarantine_path", "table_format", "write_curated", "write_quarantine"]

@@ -22,7 +22,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import read_or_empty
 
 LEDGER_SCHEMA = ("batch_id string, process_date date, low_watermark timestamp, "
                  "watermark_ts timestamp, files array<string>, status string, "
@@ -58,9 +57,17 @@ def record_batch(spark: SparkSession, control: str, **fields) -> dict:
     return row
 
 
+def ensure_ledger(spark: SparkSession, control: str) -> str:
+    """Create the (empty) ledger table if it does not exist yet; idempotent
+    (``mode("ignore")`` writes nothing when the table is there)."""
+    path = _ledger_path(control)
+    spark.createDataFrame([], LEDGER_SCHEMA).coalesce(1).write.mode("ignore").parquet(path)
+    return path
+
+
 def ledger_rows(spark: SparkSession, control: str) -> DataFrame:
     """Every ledger row ever written."""
-    return read_or_empty(spark, _ledger_path(control), LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ensure_ledger(spark, control))
 
 
 def batch_states(spark: SparkSession, control: str) -> DataFrame:
@@ -72,32 +79,47 @@ def batch_states(spark: SparkSession, control: str) -> DataFrame:
                 .select("s.*"))
 
 
+def _state(spark: SparkSession, control: str) -> DataFrame:
+    """One row, one global aggregate (no shuffle of ledger rows): ``latest``,
+    the newest row of the newest batch (by cutoff, then event time), and
+    ``last_processed_time``, the newest cutoff among finished rows."""
+    rows = ledger_rows(spark, control)
+    is_batch = F.col("status") != WATERMARK
+    order = F.when(is_batch, F.struct("watermark_ts", "event_time"))
+    return rows.agg(
+        F.max_by(F.struct(*rows.columns), order).alias("latest"),
+        F.max(F.when(F.col("status").isin(*TERMINAL), F.col("watermark_ts"))).alias("last_processed_time"))
+
+
 def latest_batch(spark: SparkSession, control: str) -> DataFrame:
     """The newest batch (by cutoff) and its state; zero or one row."""
-    return (batch_states(spark, control)
-            .agg(F.max_by(F.struct("*"), "watermark_ts").alias("s"))
-            .where(F.col("s").isNotNull()).select("s.*"))
+    return _state(spark, control).where(F.col("latest").isNotNull()).select("latest.*")
+
+
+def control_state(spark: SparkSession, control: str):
+    """``(pending, watermark)`` from one small job: the newest batch if it did
+    not finish (``PLANNED``/``FAILED``, to be re-run before anything new) or
+    ``None``, and the watermark as an aware UTC datetime or ``None``."""
+    row = _state(spark, control).first()
+    latest = row["latest"]
+    pending = latest if latest is not None and latest["status"] not in TERMINAL else None
+    return pending, as_utc(row["last_processed_time"])
 
 
 def pending_batch(spark: SparkSession, control: str):
-    """The newest batch if it did not finish (``PLANNED`` or ``FAILED``), as a
-    Row, else ``None``. Such a batch must be re-run before a new one."""
-    row = latest_batch(spark, control).first()
-    if row is not None and row["status"] not in TERMINAL:
-        return row
-    return None
+    """The newest batch if it did not finish, as a Row, else ``None``."""
+    return control_state(spark, control)[0]
 
 
 def watermark(spark: SparkSession, control: str) -> DataFrame:
     """One row: ``last_processed_time``, the newest cutoff of a finished row
     (NULL before the first run)."""
-    return (ledger_rows(spark, control).where(F.col("status").isin(*TERMINAL))
-            .agg(F.max("watermark_ts").alias("last_processed_time")))
+    return _state(spark, control).select("last_processed_time")
 
 
 def current_watermark(spark: SparkSession, control: str):
     """The watermark as an aware UTC datetime, or ``None`` on a first run."""
-    return as_utc(watermark(spark, control).first()["last_processed_time"])
+    return control_state(spark, control)[1]
 
 
 def as_utc(ts):
