@@ -212,6 +212,18 @@ def q_ingest_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _expected_cols(read_curated(spark, cfg.target))
 
 
+def q_ingest_batch_v1(spark: SparkSession, sf: str) -> DataFrame:
+    """The first-generation job (fixed renames, three conversions, no quality
+    split) over a landing of files in the original header."""
+    landing = fresh_dir(spark, "landing")
+    raw_transactions(_orders(spark, sf), "A").write.option("header", "true") \
+        .mode("errorifexists").csv(f"{landing}/dialect_a")
+    cfg = IngestConfig(landing=landing, target=fresh_dir(spark, "curated"),
+                       control=fresh_dir(spark, "control"), version="v1")
+    run_batch(spark, cfg, cutoff=datetime.now(timezone.utc))
+    return _expected_cols(read_curated(spark, cfg.target))
+
+
 def q_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same through the availableNow file stream."""
     from ..streaming.ingest_stream import drain
@@ -237,6 +249,7 @@ QUERIES = {
     "quarantine_roundtrip": q_quarantine_roundtrip,
     "mixed_header_csv": q_mixed_header_csv,
     "ingest_batch": q_ingest_batch,
+    "ingest_batch_v1": q_ingest_batch_v1,
     "ingest_stream": q_ingest_stream,
 }
 
@@ -300,3 +313,4 @@ SQL = {
     "ingest_batch": f"SELECT {_CORE}, {_CHANNEL_B} FROM ({_TYPED}) t WHERE customer_id IS NOT NULL",
 }
 SQL["ingest_stream"] = SQL["ingest_batch"]
+SQL["ingest_batch_v1"] = f"SELECT {_CORE} FROM ({_TYPED}) t"
