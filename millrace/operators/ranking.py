@@ -21,16 +21,36 @@ def _names(cols) -> list:
     return [cols] if isinstance(cols, (str, Column)) else list(cols)
 
 
+SALTS = 64   # pre-cut fan-out for a large n (see top_n_per_group)
+
+
+def _group_limit_threshold(df: DataFrame) -> int:
+    conf = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    return int(conf)
+
+
 def top_n_per_group(df: DataFrame, by, order: Sequence, n: int,
                     rank_col: str = "rn") -> DataFrame:
     """Rows ranked ``1..n`` within each group of ``by``.
 
     ``order`` must end in a unique tie-break so the cut is deterministic
     (e.g. ``[F.desc("revenue"), "name"]``). ``rank_col`` is a bigint.
+
+    Spark pre-cuts each group to ``n`` rows before the shuffle only while
+    ``n`` is within ``spark.sql.optimizer.windowGroupLimitThreshold``. Above
+    it, the same two-level cut is written out: the top ``n`` per (group, hash
+    salt) first, so a hot group is spread over ``SALTS`` tasks, then the top
+    ``n`` per group over at most ``n * SALTS`` rows per group.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
-    w = Window.partitionBy(*[as_col(c) for c in _names(by)]).orderBy(*[as_col(c) for c in order])
+    keys = [as_col(c) for c in _names(by)]
+    order_cols = [as_col(c) for c in order]
+    if n > _group_limit_threshold(df):
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))
+        ws = Window.partitionBy(*keys, salt).orderBy(*order_cols)
+        df = df.withColumn("__pre", F.row_number().over(ws)).where(F.col("__pre") <= n).drop("__pre")
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
     return (df.withColumn(rank_col, F.row_number().over(w))
               .where(F.col(rank_col) <= n)
               .withColumn(rank_col, F.col(rank_col).cast("bigint")))

@@ -53,3 +53,13 @@ def test_partial_limit_before_shuffle(spark):
     plan = plan_text(top_n_per_group(df, "g", [F.desc("v")], 2))
     # Partial limit runs before the exchange, Final after it.
     assert "Partial" in plan and "Final" in plan and "WindowGroupLimit" in plan
+
+
+def test_large_n_uses_salted_precut(spark):
+    df = spark.range(6000).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"))
+    out = top_n_per_group(df, "g", [F.desc("v")], 1500)
+    assert out.count() == 3000
+    got = sorted(r.v for r in out.where("g = 0").collect())
+    assert got == list(range(6000 - 2 * 1500, 6000, 2))
+    assert sorted(r.rn for r in out.where("g = 1").collect()) == list(range(1, 1501))
+    assert "xxhash64" in plan_text(out)
