@@ -17,30 +17,37 @@ from ..functions._util import as_col
 
 
 def ordered_lag(df: DataFrame, order: str, value: str, bucket: Column,
-                prev: str = "prev_value", prev_order: str | None = None) -> DataFrame:
+                prev: str = "prev_value", prev_order: str | None = None,
+                by=()) -> DataFrame:
     """Append ``prev``: ``value`` of the previous row in ascending ``order``
-    (and, if ``prev_order`` is given, that row's ``order`` value too).
+    (and, if ``prev_order`` is given, that row's ``order`` value too), within
+    each series of ``by`` (default: one global series).
 
-    ``order`` must be unique (else "previous row" is ambiguous) and ``bucket``
-    must be monotone in it (e.g. the month of a date), so bucket order agrees
-    with row order. Per-bucket work is partitioned by bucket; only one row per
-    bucket meets in the stitching window.
+    ``order`` must be unique per series (else "previous row" is ambiguous) and
+    ``bucket`` must be monotone in it (e.g. the month of a date), so bucket
+    order agrees with row order. Per-bucket work is partitioned by (series,
+    bucket); only one row per bucket meets in the stitching window.
     """
+    by = [by] if isinstance(by, str) else list(by)
     po = prev_order or "__prev_order"
     x = df.withColumn("__bk", bucket)
-    w = Window.partitionBy("__bk").orderBy(order)
+    w = Window.partitionBy(*by, "__bk").orderBy(order)
     x = (x.withColumn(prev, F.lag(value).over(w))
           .withColumn(po, F.lag(order).over(w))
           .withColumn("__first", F.col(po).isNull())
           .withColumn("__last", F.lead(order).over(w).isNull()))
     # Tails come from the same windowed rows, so both branches share one
     # exchange (Spark reuses it) instead of recomputing the input.
-    wb = Window.orderBy("__bk")
+    wb = Window.partitionBy(*by).orderBy("__bk")
+    keys = [(c, f"__sk{i}") for i, c in enumerate(by)]
     tails = (x.where("__last")
-              .select("__bk", F.lag(value).over(wb).alias("__prev_tail"),
+              .select(*[F.col(c).alias(a) for c, a in keys], F.col("__bk").alias("__tbk"),
+                      F.lag(value).over(wb).alias("__prev_tail"),
                       F.lag(order).over(wb).alias("__prev_tail_order")))
+    cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in keys] + [F.col("__bk") == F.col("__tbk")]
     first = F.col("__first")
-    out = (x.join(tails, "__bk", "left")
+    out = (x.join(tails, cond, "left")
+            .drop(*[a for _, a in keys], "__tbk")
             .withColumn(prev, F.when(first, F.col("__prev_tail")).otherwise(F.col(prev)))
             .withColumn(po, F.when(first, F.col("__prev_tail_order")).otherwise(F.col(po)))
             .drop("__bk", "__first", "__last", "__prev_tail", "__prev_tail_order"))
@@ -48,13 +55,14 @@ def ordered_lag(df: DataFrame, order: str, value: str, bucket: Column,
 
 
 def declines(df: DataFrame, order: str, value: str, bucket: Column,
-             prev: str = "prev_value", adjacent_only: bool = False) -> DataFrame:
+             prev: str = "prev_value", adjacent_only: bool = False, by=()) -> DataFrame:
     """Rows whose ``value`` is below the previous row's.
 
     By default "previous" is the previous *row*: gaps in ``order`` are skipped
     over. With ``adjacent_only`` the previous row must be exactly one step
     earlier (one day for a date ``order``, one unit for an integer one)."""
-    out = ordered_lag(df, order, value, bucket, prev, prev_order="__po").where(as_col(value) < F.col(prev))
+    out = ordered_lag(df, order, value, bucket, prev, prev_order="__po", by=by) \
+        .where(as_col(value) < F.col(prev))
     if adjacent_only:
         is_date = isinstance(df.schema[order].dataType, DateType)
         step = F.datediff(order, "__po") if is_date else F.col(order) - F.col("__po")

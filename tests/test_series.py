@@ -41,3 +41,16 @@ def test_prev_order_across_buckets(spark):
     out = ordered_lag(df, "k", "v", (F.col("k") / 10).cast("int"), prev_order="pk")
     assert sorted((r.k, r.prev_value, r.pk) for r in out.collect()) == \
         [(1, None, None), (7, 5, 1), (30, 3, 7), (31, 9, 30)]
+
+
+def test_ordered_lag_per_series(spark):
+    rng = random.Random(4)
+    rows = [(g, k, rng.randint(0, 9)) for g in ("a", "b", None) for k in rng.sample(range(200), 40)]
+    df = spark.createDataFrame(rows, "g string, k int, v int")
+    got = {(r.g, r.k): r.prev_value
+           for r in ordered_lag(df, "k", "v", (F.col("k") / 16).cast("int"), by="g").collect()}
+    want = {}
+    for g in ("a", "b", None):
+        s = sorted((k, v) for gg, k, v in rows if gg == g)
+        want.update({(g, s[i][0]): (s[i - 1][1] if i else None) for i in range(len(s))})
+    assert got == want
