@@ -183,3 +183,16 @@ def test_success_row_is_the_only_commit_point(spark, workdir):
     L.advance_watermark(spark, cfg.control, T0)
     assert L.current_watermark(spark, cfg.control) == T0 + dt.timedelta(hours=5)
     assert L.latest_batch(spark, cfg.control).first().status == "SUCCESS"
+
+
+def test_command_line(spark, workdir, capsys):
+    import json as _json
+    from millrace.__main__ import main
+    land(f"{workdir}/landing", "txn_1.csv", TXN_1, T0)
+    args = ["--landing", f"{workdir}/landing", "--target", f"{workdir}/curated",
+            "--control", f"{workdir}/control", "--replay-safe"]
+    assert main(["plan", *args]) == 0
+    assert _json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "PLANNED"
+    assert main(["process", *args]) == 0
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["status"] == "SUCCESS" and out["records_processed"] == 4
