@@ -1,6 +1,6 @@
 """Command line: the ingest job as one step or as two jobs, or as a stream.
 
-    spark-submit --py-files millrace.zip -m millrace ingest  --landing L --target T --control C
+    spark-submit --py-files millrace.zip millrace_job.py ingest --landing L --target T --control C
     python -m millrace plan    --landing L --target T --control C   # step one: find files
     python -m millrace process --landing L --target T --control C   # step two: load them
     python -m millrace stream  --landing L --target T --control C   # drain with a file stream
