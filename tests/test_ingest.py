@@ -196,3 +196,18 @@ def test_command_line(spark, workdir, capsys):
     assert main(["process", *args]) == 0
     out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["status"] == "SUCCESS" and out["records_processed"] == 4
+
+
+def test_stream_one_file_per_trigger_mixed_headers(spark, workdir):
+    from millrace.streaming.ingest_stream import start_stream_ingest
+    cfg = cfg_for(workdir, replay_safe=True)
+    land(cfg.landing, "txn_1.csv", TXN_1, T0)
+    land(cfg.landing, "txn_3.csv", TXN_ALIASED, T0 + dt.timedelta(minutes=1))
+    q = start_stream_ingest(spark, cfg, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    states = L.batch_states(spark, cfg.control).collect()
+    assert sorted(r.batch_id for r in states) == ["stream_0000000000", "stream_0000000001"]
+    assert all(len(r.files) == 1 and r.status == "SUCCESS" for r in states)
+    table = read_curated(spark, cfg.target)
+    assert table.count() == 5 and "channel" in table.columns
