@@ -78,15 +78,22 @@ def _headers_by_scan(spark: SparkSession, paths: list) -> DataFrame:
 def sniff_headers(spark: SparkSession, paths: list) -> dict:
     """``{file path: first non-empty line}`` for the files of one batch.
 
-    Distributed over the paths (``FILES_PER_TASK`` files per task); each task
-    reads only the first bytes of its files. Files on a file system Python
+    Distributed over the paths (``FILES_PER_TASK`` files per task; a batch of
+    at most that many files is read by the driver); only the first bytes of
+    each file are read. Files on a file system Python
     cannot open are sniffed by a Spark text scan instead. Empty files have no
     header (and no rows) and are left out. The result is one short string per
     file of the batch, whose path list the driver already holds."""
-    n = max(1, -(-len(paths) // FILES_PER_TASK))
-    listing = spark.createDataFrame([(p,) for p in paths], "file_path string").repartition(n)
-    rows = listing.mapInPandas(_head_batches,
-                               "file_path string, header string, sniffed boolean").collect()
+    if len(paths) <= FILES_PER_TASK:
+        # A batch this small costs one task's worth of reads: do it here (as
+        # Spark's own CSV header inference does) instead of starting tasks.
+        import pandas as pd
+        rows = next(_head_batches([pd.DataFrame({"file_path": list(paths)})])).to_dict("records")
+    else:
+        n = -(-len(paths) // FILES_PER_TASK)
+        listing = spark.createDataFrame([(p,) for p in paths], "file_path string").repartition(n)
+        rows = listing.mapInPandas(_head_batches,
+                                   "file_path string, header string, sniffed boolean").collect()
     heads = {r["file_path"]: r["header"] for r in rows if r["sniffed"] and r["header"] is not None}
     failed = [r["file_path"] for r in rows if not r["sniffed"]]
     if failed:

@@ -75,3 +75,16 @@ def test_sniff_reads_first_nonempty_line_and_falls_back(spark, workdir):
     assert heads == {f"{workdir}/h1.csv": "x,y", f"{workdir}/h2.csv": "a,b"}
     scanned = {r.file_path: r.header for r in _headers_by_scan(spark, [f"{workdir}/h1.csv"]).collect()}
     assert list(scanned.values()) == ["x,y"]
+
+
+def test_sniff_distributed_for_many_files(spark, workdir, monkeypatch):
+    import millrace.sources.csv as C
+    monkeypatch.setattr(C, "FILES_PER_TASK", 2)
+    paths = []
+    for i in range(5):
+        p = f"{workdir}/m{i}.csv"
+        write(p, ("a,b\n" if i % 2 else "b,a\n") + "1,2\n")
+        paths.append(p)
+    heads = C.sniff_headers(spark, paths)
+    assert heads == {p: ("a,b" if i % 2 else "b,a") for i, p in enumerate(paths)}
+    assert len(C.group_by_header(spark, paths)) == 2
