@@ -37,18 +37,18 @@ def top_customers_per_region(orders: DataFrame, customer: DataFrame, nation: Dat
     """``region, customer_name, total_revenue, rn``.
 
     Orders are reduced to one row per customer before any join (partial
-    aggregation map-side), so the joins see #customers rows, not #orders.
-    nation/region are joined after; Spark broadcasts them when measured small.
+    aggregation map-side), and the dimensions are joined among themselves
+    first (nation-region, then customer), so the per-customer table passes
+    through a single join. Spark broadcasts each side when measured small.
     The ranking's partial window limit runs before its shuffle.
     """
     per_customer = orders.groupBy("o_custkey").agg(_money_sum("o_totalprice").alias("rev"))
-    joined = (per_customer
-              .join(customer.select("c_custkey", "c_name", "c_nationkey"),
-                    F.col("o_custkey") == F.col("c_custkey"))
-              .join(nation.select("n_nationkey", "n_regionkey"),
-                    F.col("c_nationkey") == F.col("n_nationkey"))
-              .join(region.select("r_regionkey", "r_name"),
-                    F.col("n_regionkey") == F.col("r_regionkey")))
+    geo = (nation.select("n_nationkey", "n_regionkey")
+           .join(region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")))
+    customer_region = (customer.select("c_custkey", "c_name", "c_nationkey")
+                       .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+                       .select("c_custkey", "c_name", "r_name"))
+    joined = per_customer.join(customer_region, F.col("o_custkey") == F.col("c_custkey"))
     totals = (joined.groupBy(F.col("r_name").alias("region"), F.col("c_name").alias("customer_name"))
                     .agg(F.sum("rev").cast("double").alias("total_revenue")))
     return top_n_per_group(totals, "region", [F.desc("total_revenue"), F.asc("customer_name")], n)
@@ -64,14 +64,18 @@ WITH per_customer AS (
     SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS rev
     FROM {orders} GROUP BY o_custkey
 ),
+customer_region AS (
+    SELECT c.c_custkey, c.c_name, r.r_name
+    FROM {customer} c
+    JOIN {nation} n ON c.c_nationkey = n.n_nationkey
+    JOIN {region} r ON n.n_regionkey = r.r_regionkey
+),
 customer_revenue AS (
-    SELECT r.r_name AS region, c.c_name AS customer_name,
+    SELECT cr.r_name AS region, cr.c_name AS customer_name,
            CAST(SUM(p.rev) AS DOUBLE) AS total_revenue
     FROM per_customer p
-    JOIN {customer} c ON p.o_custkey = c.c_custkey
-    JOIN {nation} n ON c.c_nationkey = n.n_nationkey
-    JOIN {region} r ON n.n_regionkey = r.r_regionkey
-    GROUP BY r.r_name, c.c_name
+    JOIN customer_region cr ON p.o_custkey = cr.c_custkey
+    GROUP BY cr.r_name, cr.c_name
 ),
 ranked AS (
     SELECT region, customer_name, total_revenue,
