@@ -14,13 +14,16 @@ def test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_curated(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a curated table back, merging file schemas so columns added by
-    later batches appear (NULL in older files). Partition columns come back
-    typed (``process_date`` as a date)."""
+def read_curated(spark: SparkSession, path: str, fmt: str = "parquet",
+                 merge_schema: bool = True) -> DataFrame:
+    """Read a curated table back. With ``merge_schema`` (the default) file
+    schemas are merged so columns added by later batches appear (NULL in older
+    files); that reads every footer (a distributed job), so a reader that knows
+    the schema is stable can turn it off. Partition columns come back typed
+    (``process_date`` as a date). Delta tables carry their own schema."""
     if fmt == "delta":
         return spark.read.format("delta").load(path)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
