@@ -62,27 +62,40 @@ def standardize(version: str, batch_id: str, process_date):
     raise ValueError(f"unknown version {version!r}")
 
 
+SOURCE_FILE = "__source_file"
+
+
 def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
                  cfg: IngestConfig) -> dict:
-    """Steps 5-6 for an explicit file list; returns the counts."""
-    df = read_csv_batch(spark, files, per_header=standardize(cfg.version, batch_id, process_date))
+    """Steps 5-6 for an explicit file list; returns the counts.
+
+    One pass reads, standardizes and writes the good rows while an
+    Observation counts rows, bad rows and conversion failures and collects the
+    (few) files that held bad rows. Only those files are read again, to write
+    the quarantine, so a clean batch is read once and a batch with one bad file
+    re-reads one file, not the batch."""
+    step = standardize(cfg.version, batch_id, process_date)
+    df = read_csv_batch(spark, files, per_header=step, file_column=SOURCE_FILE)
     if df is None:
         return {"records_processed": 0, "bad_records": 0, "cast_failures": None}
     flags = failure_flags(df)
+    split = cfg.version == "v2"       # the first-generation job has no quality split
     metrics = [F.count(F.lit(1)).alias("rows")]
-    if cfg.version == "v2":
-        metrics.append(F.count_if(is_bad(KEY_COLUMN)).alias("bad"))
+    if split:
+        metrics += [F.count_if(is_bad(KEY_COLUMN)).alias("bad"),
+                    F.collect_set(F.when(is_bad(KEY_COLUMN), F.col(SOURCE_FILE))).alias("bad_files")]
     metrics += [F.count_if(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in flags]
     obs = Observation("ingest")
     observed = df.observe(obs, *metrics)
-    # The first-generation job has no quality split.
-    good = observed.where(~is_bad()) if cfg.version == "v2" else observed
-    write_curated(good.drop(*flags), cfg.target, fmt=cfg.fmt, replay_safe=cfg.replay_safe)
+    good = observed.where(~is_bad()) if split else observed
+    write_curated(good.drop(*flags, SOURCE_FILE), cfg.target, fmt=cfg.fmt,
+                  replay_safe=cfg.replay_safe)
     m = obs.get
     bad = int(m.get("bad", 0) or 0)
     if bad > 0:
-        write_quarantine(df.where(is_bad()).drop(*flags), cfg.target, fmt=cfg.fmt,
-                         replay_safe=cfg.replay_safe)
+        again = read_csv_batch(spark, sorted(m["bad_files"]), per_header=step)
+        write_quarantine(again.where(is_bad()).drop(*failure_flags(again)), cfg.target,
+                         fmt=cfg.fmt, replay_safe=cfg.replay_safe)
     failures = {c[len(FAIL_PREFIX):]: int(m[c]) for c in flags}
     return {"records_processed": int(m["rows"]) - bad, "bad_records": bad,
             "cast_failures": failures or None}

@@ -111,12 +111,14 @@ def group_by_header(spark: SparkSession, paths: list) -> dict:
 
 def read_csv_batch(spark: SparkSession, paths: list,
                    per_header: Callable[[DataFrame], DataFrame] | None = None,
-                   options: dict | None = None) -> DataFrame | None:
+                   options: dict | None = None, file_column: str | None = None
+                   ) -> DataFrame | None:
     """Read CSV files (all columns as strings) with each file's own header.
 
     ``per_header`` (e.g. a conform step) runs on each header group before the
-    union, so name mapping happens per header, not per batch. Returns ``None``
-    when there is nothing to read (no files, or only empty files).
+    union, so name mapping happens per header, not per batch. ``file_column``
+    adds each row's source file (from the scan's file metadata). Returns
+    ``None`` when there is nothing to read (no files, or only empty files).
     """
     if not paths:
         return None
@@ -124,6 +126,8 @@ def read_csv_batch(spark: SparkSession, paths: list,
     parts = []
     for _header, group in group_by_header(spark, paths).items():
         df = spark.read.options(**opts).csv(group)
+        if file_column:
+            df = df.withColumn(file_column, F.col("_metadata.file_path"))
         parts.append(per_header(df) if per_header else df)
     if not parts:
         return None

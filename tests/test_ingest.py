@@ -211,3 +211,23 @@ def test_stream_one_file_per_trigger_mixed_headers(spark, workdir):
     assert all(len(r.files) == 1 and r.status == "SUCCESS" for r in states)
     table = read_curated(spark, cfg.target)
     assert table.count() == 5 and "channel" in table.columns
+
+
+def test_quarantine_rereads_only_files_with_bad_rows(spark, workdir, monkeypatch):
+    import millrace.plans.ingest as I
+    seen = []
+    real = I.read_csv_batch
+
+    def spy(spark_, paths, *a, **k):
+        seen.append(sorted(p.rsplit("/", 1)[1] for p in paths))
+        return real(spark_, paths, *a, **k)
+
+    monkeypatch.setattr(I, "read_csv_batch", spy)
+    cfg = cfg_for(workdir)
+    land(cfg.landing, "clean.csv", TXN_1, T0)
+    land(cfg.landing, "dirty.csv", TXN_2, T0)
+    r = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
+    assert r["bad_records"] == 1 and r["records_processed"] == 5
+    assert seen == [["clean.csv", "dirty.csv"], ["dirty.csv"]]
+    assert [x.transaction_id for x in read_curated(spark, quarantine_path(cfg.target)).collect()] == ["TXN1002"]
+    assert "__source_file" not in read_curated(spark, cfg.target).columns
