@@ -42,3 +42,18 @@ def test_ordered_lag_reuses_its_exchange(spark):
     out = ordered_lag(df, "k", "v", (F.col("k") / 100).cast("int"))
     out.collect()
     assert "ReusedExchange" in plan_text(out)
+
+
+def test_curated_reads_prune_by_process_date(spark, workdir):
+    import datetime as dt
+
+    from millrace.operators import transform_v2
+    from millrace.sinks import write_curated
+    from millrace.sources import read_curated
+    raw = spark.createDataFrame([("T1", "C1", "1.0")], ["id", "cust", "amount"])
+    for day in ("2026-04-28", "2026-04-29"):
+        write_curated(transform_v2(raw, f"b{day}", day), f"{workdir}/t", replay_safe=True)
+    q = read_curated(spark, f"{workdir}/t").where(F.col("process_date") == dt.date(2026, 4, 29))
+    plan = plan_text(q)
+    assert "PartitionFilters: [isnotnull(process_date" in plan and "2026-04-29" in plan
+    assert q.count() == 1
