@@ -109,22 +109,23 @@ def q_top2_orders_sum_per_customer(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- Q-1: days whose revenue is below the previous day's ---------------------
 
+def _daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per order day (partial aggregation: #days rows leave each task)."""
+    return (test_table(spark, sf, "orders")
+            .groupBy(F.to_date("o_orderdate").alias("order_day"))
+            .agg(_money_sum("o_totalprice").cast("double").alias("revenue")))
+
+
 def q_declining_revenue_days(spark: SparkSession, sf: str) -> DataFrame:
-    o = test_table(spark, sf, "orders")
-    daily = (o.groupBy(F.to_date("o_orderdate").alias("order_day"))
-              .agg(_money_sum("o_totalprice").cast("double").alias("revenue")))
     # Buckets by month: the stitching window sees one row per month.
-    return declines(daily, "order_day", "revenue", F.trunc("order_day", "month"),
-                    prev="prev_revenue")
+    return declines(_daily_revenue(spark, sf), "order_day", "revenue",
+                    F.trunc("order_day", "month"), prev="prev_revenue")
 
 
 def q_declining_revenue_adjacent_days(spark: SparkSession, sf: str) -> DataFrame:
     """Variant: only compare with the previous *calendar* day (a gap breaks it)."""
-    o = test_table(spark, sf, "orders")
-    daily = (o.groupBy(F.to_date("o_orderdate").alias("order_day"))
-              .agg(_money_sum("o_totalprice").cast("double").alias("revenue")))
-    return declines(daily, "order_day", "revenue", F.trunc("order_day", "month"),
-                    prev="prev_revenue", adjacent_only=True)
+    return declines(_daily_revenue(spark, sf), "order_day", "revenue",
+                    F.trunc("order_day", "month"), prev="prev_revenue", adjacent_only=True)
 
 
 # --- Q-3: orders in runs of >= 3 consecutive keys with value >= threshold -----
