@@ -231,3 +231,19 @@ def test_quarantine_rereads_only_files_with_bad_rows(spark, workdir, monkeypatch
     assert seen == [["clean.csv", "dirty.csv"], ["dirty.csv"]]
     assert [x.transaction_id for x in read_curated(spark, quarantine_path(cfg.target)).collect()] == ["TXN1002"]
     assert "__source_file" not in read_curated(spark, cfg.target).columns
+
+
+def test_stream_continuous_mode(spark, workdir):
+    from millrace.streaming.ingest_stream import start_stream_ingest
+    cfg = cfg_for(workdir, replay_safe=True)
+    land(cfg.landing, "txn_1.csv", TXN_1, T0)
+    q = start_stream_ingest(spark, cfg, available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert read_curated(spark, cfg.target).count() == 4
+        land(cfg.landing, "txn_2.csv", TXN_2, T0 + dt.timedelta(minutes=5))
+        q.processAllAvailable()
+        assert read_curated(spark, cfg.target).count() == 5
+    finally:
+        q.stop()
+    assert len(L.batch_states(spark, cfg.control).collect()) == 2
