@@ -23,8 +23,13 @@ _INTEGRAL = (IntegerType, LongType, ShortType, ByteType)
 
 
 def legacy_integral(c, dtype: DataType | str = "int") -> Column:
-    """String to an integral type with truncation of a fractional part."""
-    stripped = F.regexp_replace(F.trim(as_col(c)), _INT_WITH_FRACTION, "$1")
+    """String to an integral type with truncation of a fractional part.
+
+    The regex only runs on values holding a '.', so the common all-digit value
+    costs a plain ``try_cast`` (which trims surrounding blanks itself)."""
+    col = as_col(c)
+    stripped = F.when(col.contains("."),
+                      F.regexp_replace(F.trim(col), _INT_WITH_FRACTION, "$1")).otherwise(col)
     return stripped.try_cast(dtype)
 
 

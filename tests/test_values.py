@@ -27,3 +27,12 @@ def test_parse_date_and_ratio(spark):
     rows = df.select(parse_date("s").alias("d"), safe_ratio("n", "d").alias("r")).collect()
     assert rows[0].d == dt.date(2026, 5, 1) and rows[0].r == 0.25
     assert rows[1].d is None and rows[1].r is None
+
+
+def test_legacy_integral_cases(spark):
+    cases = {" 7 ": 7, "+4": 4, "3.": 3, " 2.9 ": 2, "-0.5": 0, ".5": None, "1e3": None,
+             "2.5d": None, "": None, None: None, "12345678901": None}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r.s: r.i for r in df.select("s", legacy_integral("s").alias("i")).collect()}
+    assert got == cases
+    assert df.select(legacy_integral("s", "bigint").alias("i")).where("s = '12345678901'").first().i == 12345678901
