@@ -197,6 +197,30 @@ def q_order_ratio_to_customer_max(spark: SparkSession, sf: str) -> DataFrame:
     return ratio_to_max(o, "o_custkey", "o_totalprice", max_col="max_totalprice", ratio_col="ratio")
 
 
+# --- Hot keys: the same operators where one group holds a third of the rows ----
+# lineitem's l_returnflag has three values with a third of the rows each.
+
+def _line_order():
+    return [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def q_top5_lineitems_per_returnflag(spark: SparkSession, sf: str) -> DataFrame:
+    """Top-N with three groups of a third of the table each: the partial
+    window limit keeps 5 rows per group per map task before the shuffle."""
+    li = test_table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return top_n_per_group(li, "l_returnflag", _line_order(), 5)
+
+
+def q_lineitem_ratio_to_flag_max(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratio to group max with six groups of a sixth of the table each:
+    partial maxima per task, then a join back (no whole-group window)."""
+    li = test_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice")
+    return ratio_to_max(li, ["l_returnflag", "l_linestatus"], "l_extendedprice",
+                        max_col="max_price", ratio_col="ratio")
+
+
 # --- Q-8 / JOIN-1..6: join kinds with duplicate and NULL keys ----------------
 # Left: orders keyed by nullif(o_custkey % 7, 0) -> keys 1..6 and NULL.
 # Right: nation keyed by nullif(n_nationkey % 5, 0) -> keys 1..4 (five rows
@@ -238,6 +262,8 @@ QUERIES = {
     "user_activity_islands_sql": q_user_activity_islands_sql,
     "user_activity_islands_df": q_user_activity_islands_df,
     "swap_order_status": q_swap_order_status,
+    "top5_lineitems_per_returnflag": q_top5_lineitems_per_returnflag,
+    "lineitem_ratio_to_flag_max": q_lineitem_ratio_to_flag_max,
     "order_ratio_to_customer_max": q_order_ratio_to_customer_max,
     "join_inner": _join_query("inner"),
     "join_left": _join_query("left"),
@@ -362,6 +388,25 @@ SQL = {
                o_totalprice / NULLIF(MAX(o_totalprice) OVER (PARTITION BY o_custkey), 0) AS ratio
         FROM orders
     """,
+    "top5_lineitems_per_returnflag": """
+        WITH ranked AS (
+            SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+                   ROW_NUMBER() OVER (PARTITION BY l_returnflag
+                                      ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,
+                                               l_partkey, l_suppkey) AS rn
+            FROM lineitem
+        )
+        SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+               CAST(rn AS BIGINT) AS rn
+        FROM ranked WHERE rn <= 5
+    """,
+    "lineitem_ratio_to_flag_max": """
+        SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_extendedprice,
+               MAX(l_extendedprice) OVER (PARTITION BY l_returnflag, l_linestatus) AS max_price,
+               l_extendedprice / NULLIF(MAX(l_extendedprice)
+                   OVER (PARTITION BY l_returnflag, l_linestatus), 0) AS ratio
+        FROM lineitem
+    """,
     "join_inner": _join_sql("INNER"),
     "join_left": _join_sql("LEFT"),
     "join_right": _join_sql("RIGHT"),

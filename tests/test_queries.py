@@ -49,3 +49,12 @@ def test_query_matches_oracle(spark, duck, name):
     d_cols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert _bag(df.columns, df.collect()) == _bag(d_cols, cur.fetchall())
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as E; "
+            "assert len(E.queries()) == len(E.oracle_sql())" % root)
+    subprocess.run([sys.executable, "-c", code], check=True, cwd="/", timeout=120)
