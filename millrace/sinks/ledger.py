@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,9 +66,20 @@ def ensure_ledger(spark: SparkSession, control: str) -> str:
     return path
 
 
+def _existing_ledger(spark: SparkSession, control: str) -> DataFrame | None:
+    """The ledger table, or ``None`` before its first row is written."""
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_path(control))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
+
+
 def ledger_rows(spark: SparkSession, control: str) -> DataFrame:
-    """Every ledger row ever written."""
-    return spark.read.schema(LEDGER_SCHEMA).parquet(ensure_ledger(spark, control))
+    """Every ledger row ever written (empty before the first run)."""
+    rows = _existing_ledger(spark, control)
+    return rows if rows is not None else spark.createDataFrame([], LEDGER_SCHEMA)
 
 
 def batch_states(spark: SparkSession, control: str) -> DataFrame:
@@ -100,6 +112,8 @@ def control_state(spark: SparkSession, control: str):
     """``(pending, watermark)`` from one small job: the newest batch if it did
     not finish (``PLANNED``/``FAILED``, to be re-run before anything new) or
     ``None``, and the watermark as an aware UTC datetime or ``None``."""
+    if _existing_ledger(spark, control) is None:    # first run: no job needed
+        return None, None
     row = _state(spark, control).first()
     latest = row["latest"]
     pending = latest if latest is not None and latest["status"] not in TERMINAL else None

@@ -10,6 +10,7 @@ conformed on its own, and the groups are unioned by name.
 
 from __future__ import annotations
 
+import csv
 import sys
 from collections.abc import Callable
 from functools import reduce
@@ -17,6 +18,7 @@ from functools import reduce
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # The header sniff runs Python in the executors; ship this module's functions
 # by value so executors need no installed copy of the package.
@@ -109,6 +111,23 @@ def group_by_header(spark: SparkSession, paths: list) -> dict:
     return {h: sorted(ps) for h, ps in sorted(groups.items())}
 
 
+def header_schema(header: str, options: dict) -> StructType | None:
+    """All-string schema named by a sniffed header line, so Spark does not run
+    a job to infer it again. ``None`` (let Spark infer) for anything unusual:
+    non-default parsing options, empty or duplicate (case-insensitive) names."""
+    if set(options) - {"header", "mode", "sep", "delimiter", "quote", "escape"}:
+        return None
+    sep = options.get("sep", options.get("delimiter", ","))
+    if len(sep) != 1:
+        return None
+    names = next(csv.reader([header], delimiter=sep, quotechar=options.get("quote", '"'),
+                            escapechar=options.get("escape", "\\")), [])
+    lowered = [n.lower() for n in names]
+    if not names or any(n == "" for n in names) or len(set(lowered)) != len(lowered):
+        return None
+    return StructType([StructField(n, StringType(), True) for n in names])
+
+
 def read_csv_batch(spark: SparkSession, paths: list,
                    per_header: Callable[[DataFrame], DataFrame] | None = None,
                    options: dict | None = None, file_column: str | None = None
@@ -124,8 +143,12 @@ def read_csv_batch(spark: SparkSession, paths: list,
         return None
     opts = {**CSV_OPTIONS, **(options or {})}
     parts = []
-    for _header, group in group_by_header(spark, paths).items():
-        df = spark.read.options(**opts).csv(group)
+    for header, group in group_by_header(spark, paths).items():
+        reader = spark.read.options(**opts)
+        schema = header_schema(header, opts)
+        if schema is not None:          # the header line is skipped, names are ours
+            reader = reader.schema(schema)
+        df = reader.csv(group)
         if file_column:
             df = df.withColumn(file_column, F.col("_metadata.file_path"))
         parts.append(per_header(df) if per_header else df)

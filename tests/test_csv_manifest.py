@@ -88,3 +88,20 @@ def test_sniff_distributed_for_many_files(spark, workdir, monkeypatch):
     heads = C.sniff_headers(spark, paths)
     assert heads == {p: ("a,b" if i % 2 else "b,a") for i, p in enumerate(paths)}
     assert len(C.group_by_header(spark, paths)) == 2
+
+
+def test_header_schema_from_sniffed_line():
+    from millrace.sources.csv import header_schema
+    opts = {"header": "true", "mode": "PERMISSIVE"}
+    assert [f.name for f in header_schema('id,"cust,id",amt', opts).fields] == ["id", "cust,id", "amt"]
+    assert header_schema("a,,b", opts) is None            # empty name: let Spark name it
+    assert header_schema("a,A", opts) is None             # case-insensitive duplicate
+    assert header_schema("a;b", {**opts, "sep": ";"}).fieldNames() == ["a", "b"]
+    assert header_schema("a,b", {**opts, "multiLine": "true"}) is None
+
+
+def test_quoted_header_names_read_back(spark, workdir):
+    write(f"{workdir}/q.csv", '"id","custId","extra col"\nT1,C1,x\n')
+    out = read_csv_batch(spark, [f"{workdir}/q.csv"], per_header=conform)
+    r = out.first()
+    assert (r.transaction_id, r.customer_id, r["extra col"]) == ("T1", "C1", "x")
