@@ -91,11 +91,11 @@ def batch_states(spark: SparkSession, control: str) -> DataFrame:
                 .select("s.*"))
 
 
-def _state(spark: SparkSession, control: str) -> DataFrame:
+def _state(spark: SparkSession, control: str, rows: DataFrame | None = None) -> DataFrame:
     """One row, one global aggregate (no shuffle of ledger rows): ``latest``,
     the newest row of the newest batch (by cutoff, then event time), and
     ``last_processed_time``, the newest cutoff among finished rows."""
-    rows = ledger_rows(spark, control)
+    rows = rows if rows is not None else ledger_rows(spark, control)
     is_batch = F.col("status") != WATERMARK
     order = F.when(is_batch, F.struct("watermark_ts", "event_time"))
     return rows.agg(
@@ -112,9 +112,10 @@ def control_state(spark: SparkSession, control: str):
     """``(pending, watermark)`` from one small job: the newest batch if it did
     not finish (``PLANNED``/``FAILED``, to be re-run before anything new) or
     ``None``, and the watermark as an aware UTC datetime or ``None``."""
-    if _existing_ledger(spark, control) is None:    # first run: no job needed
+    rows = _existing_ledger(spark, control)
+    if rows is None:                                 # first run: no job needed
         return None, None
-    row = _state(spark, control).first()
+    row = _state(spark, control, rows).first()
     latest = row["latest"]
     pending = latest if latest is not None and latest["status"] not in TERMINAL else None
     return pending, as_utc(row["last_processed_time"])
