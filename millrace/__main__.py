@@ -27,7 +27,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--version", choices=["v1", "v2"], default="v2")
     p.add_argument("--glob", default="*.csv")
     p.add_argument("--day-folders", default=None, help='e.g. "%%Y/%%m/%%d"')
-    p.add_argument("--replay-safe", action="store_true")
+    p.add_argument("--append", action="store_true",
+                   help="plain append by process_date (default: replay-safe partitions)")
     p.add_argument("--format", default="parquet", choices=["parquet", "delta"])
     p.add_argument("--master", default=None)
     return p
@@ -37,7 +38,7 @@ def main(argv=None) -> int:
     a = _parser().parse_args(argv)
     spark = build_session(a.master)
     cfg = IngestConfig(landing=a.landing, target=a.target, control=a.control, version=a.version,
-                       glob=a.glob, day_folders=a.day_folders, replay_safe=a.replay_safe,
+                       glob=a.glob, day_folders=a.day_folders, replay_safe=not a.append,
                        fmt=a.format)
     if a.command == "stream":
         from .streaming.ingest_stream import drain

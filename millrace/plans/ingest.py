@@ -18,9 +18,12 @@ run as two separate jobs):
 
 Any failure in 5-7 appends a ``FAILED`` ledger row (with the error) and
 re-raises; the watermark does not move, so the next run retries the batch.
-With ``replay_safe`` the table is partitioned by (process_date, batch_id)
-and written with dynamic partition overwrite, so a retried batch replaces
-its own partitions and never duplicates rows.
+With ``replay_safe`` (the default) the table is partitioned by
+(process_date, batch_id) and written with dynamic partition overwrite, so a
+retried batch replaces its own partitions and never duplicates rows; with it
+off, the table is a plain append partitioned by process_date (a batch re-run
+after its data write but before its ledger commit would then add its rows
+twice).
 """
 
 from __future__ import annotations
@@ -49,7 +52,7 @@ class IngestConfig:
     version: str = "v2"          # "v1": fixed renames, no split; "v2": aliases + quality split
     glob: str | None = "*.csv"
     day_folders: str | None = None   # e.g. "%Y/%m/%d": landing laid out by arrival day
-    replay_safe: bool = False
+    replay_safe: bool = True         # False: plain append by process_date only
     fmt: str = "parquet"
 
 

@@ -41,7 +41,7 @@ T0 = dt.datetime(2026, 4, 28, 12, 0, tzinfo=dt.timezone.utc)
 
 
 def test_incremental_runs(spark, workdir):
-    cfg = cfg_for(workdir)
+    cfg = cfg_for(workdir, replay_safe=False)       # plain append layout
     land(cfg.landing, "txn_1.csv", TXN_1, T0)
     land(cfg.landing, "txn_2.csv", TXN_2, T0 + dt.timedelta(minutes=1))
     r1 = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
@@ -50,6 +50,9 @@ def test_incremental_runs(spark, workdir):
     assert r1["cast_failures"] == {"transaction_amount": 0, "transaction_timestamp": 0, "quantity": 0}
     table = read_curated(spark, cfg.target)
     assert table.count() == 5   # the exact duplicate TXN3001 is kept
+    assert sorted(d for d in os.listdir(cfg.target) if d[0] not in "_.") == ["process_date=2026-04-28"]
+    assert all(not d.startswith("batch_id=")
+               for d in os.listdir(f"{cfg.target}/process_date=2026-04-28"))
     assert dict(table.dtypes)["process_date"] == "date"
     bad = read_curated(spark, quarantine_path(cfg.target)).collect()
     assert [r.transaction_id for r in bad] == ["TXN1002"]
@@ -190,7 +193,7 @@ def test_command_line(spark, workdir, capsys):
     from millrace.__main__ import main
     land(f"{workdir}/landing", "txn_1.csv", TXN_1, T0)
     args = ["--landing", f"{workdir}/landing", "--target", f"{workdir}/curated",
-            "--control", f"{workdir}/control", "--replay-safe"]
+            "--control", f"{workdir}/control"]
     assert main(["plan", *args]) == 0
     assert _json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "PLANNED"
     assert main(["process", *args]) == 0
@@ -247,3 +250,11 @@ def test_stream_continuous_mode(spark, workdir):
     finally:
         q.stop()
     assert len(L.batch_states(spark, cfg.control).collect()) == 2
+
+
+def test_default_layout_is_replay_safe(spark, workdir):
+    cfg = cfg_for(workdir)
+    assert cfg.replay_safe
+    land(cfg.landing, "txn_1.csv", TXN_1, T0)
+    r = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
+    assert [d for d in os.listdir(f"{cfg.target}/process_date=2026-04-28") if d[0] not in "_."] == [f"batch_id={r['batch_id']}"]
