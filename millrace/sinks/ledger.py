@@ -23,6 +23,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import path_exists
+
 
 LEDGER_SCHEMA = ("batch_id string, process_date date, low_watermark timestamp, "
                  "watermark_ts timestamp, files array<string>, status string, "
@@ -68,6 +70,8 @@ def ensure_ledger(spark: SparkSession, control: str) -> str:
 
 def _existing_ledger(spark: SparkSession, control: str) -> DataFrame | None:
     """The ledger table, or ``None`` before its first row is written."""
+    if path_exists(_ledger_path(control)) is False:
+        return None
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_path(control))
     except AnalysisException as e:

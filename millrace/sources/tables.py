@@ -34,3 +34,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parqu
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], schema)
         raise
+
+
+def path_exists(path: str) -> bool | None:
+    """Whether ``path`` exists, asked of the file system directly (metadata
+    only, no Spark job); ``None`` when Python cannot reach that file system, in
+    which case the caller lets Spark find out."""
+    try:
+        from pyarrow import fs
+        uri = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
+        filesystem, inner = fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:")
+                                                   else "file://" + uri)
+        return filesystem.get_file_info(inner).type != fs.FileType.NotFound
+    except Exception:
+        return None
