@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 
+from .tables import path_exists
+
 MANIFEST_SCHEMA = "path string, modificationTime timestamp, length bigint"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -22,6 +24,8 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None,
 
     A folder that does not exist gives an empty manifest, not an error.
     """
+    if not any(ch in folder for ch in "*?[{") and path_exists(folder) is False:
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
