@@ -23,10 +23,18 @@ from ..sinks import ledger as L
 from ..sources.manifest import stream_files
 
 
+MAX_FILES_PER_TRIGGER = 10_000
+
+
 def start_stream_ingest(spark: SparkSession, cfg: IngestConfig, checkpoint: str | None = None,
-                        available_now: bool = True, max_files_per_trigger: int | None = None,
+                        available_now: bool = True,
+                        max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                         processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream; ``available_now`` drains what is there and stops."""
+    """Start the stream; ``available_now`` drains what is there and stops.
+
+    Each micro-batch takes at most ``max_files_per_trigger`` files, so a
+    backlog of millions of files becomes many bounded batches (bounded path
+    lists on the driver and in the ledger), not one huge one."""
     checkpoint = checkpoint or cfg.control.rstrip("/") + "/stream_checkpoint"
     files = stream_files(spark, cfg.landing, cfg.glob, max_files_per_trigger)
 
