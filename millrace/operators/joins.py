@@ -59,7 +59,8 @@ def equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 
 def join_cardinality(left: DataFrame, right: DataFrame, left_key: str,
                      right_key: str) -> DataFrame:
-    """Rows ``(join_kind, row_count)`` for inner, left, right, full and cross."""
+    """Rows ``(join_kind, row_count decimal(38,0))`` for inner, left, right,
+    full and cross."""
     dec = "decimal(38,0)"
     lc = left.groupBy(F.col(left_key).alias("__k")).agg(F.count(F.lit(1)).cast(dec).alias("cl"))
     rc = right.groupBy(F.col(right_key).alias("__k")).agg(F.count(F.lit(1)).cast(dec).alias("cr"))
@@ -81,5 +82,6 @@ def join_cardinality(left: DataFrame, right: DataFrame, left_key: str,
                  (F.col("inner") + F.col("left_only") + F.col("right_only")).alias("n")),
         F.struct(F.lit("cross").alias("join_kind"), (F.col("nl") * F.col("nr")).alias("n")),
     )).alias("k"))
+    # decimal(38,0): a cross count of two large tables overflows bigint.
     return kinds.select(F.col("k.join_kind").alias("join_kind"),
-                        F.col("k.n").cast("bigint").alias("row_count"))
+                        F.col("k.n").alias("row_count"))

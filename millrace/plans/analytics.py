@@ -413,11 +413,13 @@ SQL = {
     "join_full": _join_sql("FULL OUTER"),
     "join_cardinality": f"""
         WITH {_JOIN_SIDES_SQL}
-        SELECT 'inner' AS join_kind, COUNT(*) AS row_count FROM l JOIN r ON l.lkey = r.rkey
-        UNION ALL SELECT 'left', COUNT(*) FROM l LEFT JOIN r ON l.lkey = r.rkey
-        UNION ALL SELECT 'right', COUNT(*) FROM l RIGHT JOIN r ON l.lkey = r.rkey
-        UNION ALL SELECT 'full', COUNT(*) FROM l FULL OUTER JOIN r ON l.lkey = r.rkey
-        UNION ALL SELECT 'cross', COUNT(*) FROM l CROSS JOIN r
+        SELECT 'inner' AS join_kind, CAST(COUNT(*) AS DECIMAL(38,0)) AS row_count
+        FROM l JOIN r ON l.lkey = r.rkey
+        UNION ALL SELECT 'left', CAST(COUNT(*) AS DECIMAL(38,0)) FROM l LEFT JOIN r ON l.lkey = r.rkey
+        UNION ALL SELECT 'right', CAST(COUNT(*) AS DECIMAL(38,0)) FROM l RIGHT JOIN r ON l.lkey = r.rkey
+        UNION ALL SELECT 'full', CAST(COUNT(*) AS DECIMAL(38,0))
+        FROM l FULL OUTER JOIN r ON l.lkey = r.rkey
+        UNION ALL SELECT 'cross', CAST(COUNT(*) AS DECIMAL(38,0)) FROM l CROSS JOIN r
     """,
 }
 SQL["user_activity_islands_df"] = SQL["user_activity_islands_sql"]

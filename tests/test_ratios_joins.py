@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from millrace.operators import equi_join, join_cardinality, ratio_to_max
 
 
@@ -54,3 +56,14 @@ def test_bounded_right_side_joins_match_plain_joins(spark):
     # Over the bound: the plain join.
     assert equi_join(left, right, "a", "b", "full", right_max_rows=5).count() == \
         left.join(right, left.a == right.b, "full").count()
+
+
+def test_cross_count_is_a_product_of_counts(spark):
+    # No join is materialized: the counts come from per-key counts, and the
+    # result type is decimal(38,0), so cross counts beyond bigint still fit.
+    left = spark.range(3_000_000).select((F.col("id") % 2).alias("k"))
+    right = spark.range(3_100_000).select((F.col("id") % 2).alias("k"))
+    got = dict(map(tuple, join_cardinality(left, right, "k", "k").collect()))
+    assert int(got["cross"]) == 3_000_000 * 3_100_000
+    assert int(got["inner"]) == 2 * 1_500_000 * 1_550_000
+    assert dict(join_cardinality(left, right, "k", "k").dtypes)["row_count"] == "decimal(38,0)"
