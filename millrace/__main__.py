@@ -30,6 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--append", action="store_true",
                    help="plain append by process_date (default: replay-safe partitions)")
     p.add_argument("--format", default="parquet", choices=["parquet", "delta"])
+    p.add_argument("--max-files", type=int, default=None,
+                   help="bound one batch to the oldest N files (the rest wait)")
     p.add_argument("--master", default=None)
     return p
 
@@ -39,7 +41,7 @@ def main(argv=None) -> int:
     spark = build_session(a.master)
     cfg = IngestConfig(landing=a.landing, target=a.target, control=a.control, version=a.version,
                        glob=a.glob, day_folders=a.day_folders, replay_safe=not a.append,
-                       fmt=a.format)
+                       fmt=a.format, max_files=a.max_files)
     if a.command == "stream":
         from .streaming.ingest_stream import drain
         drain(spark, cfg)

@@ -51,9 +51,12 @@ def run_cutoff(now: datetime | None = None) -> datetime:
 
 
 def batch_identity(cutoff: datetime) -> tuple[str, str]:
-    """``(batch_id, process_date)`` minted from the cutoff (UTC)."""
+    """``(batch_id, process_date)`` minted from the cutoff (UTC):
+    ``batch_%Y%m%d_%H%M%S``, with ``_%f`` appended when the cutoff is not a whole
+    second (a cutoff lowered to a file's mtime), so ids never collide."""
     c = cutoff.astimezone(timezone.utc)
-    return f"batch_{c:%Y%m%d_%H%M%S}", f"{c:%Y-%m-%d}"
+    suffix = f"_{c:%f}" if c.microsecond else ""
+    return f"batch_{c:%Y%m%d_%H%M%S}{suffix}", f"{c:%Y-%m-%d}"
 
 
 def day_folders_glob(landing: str, day_format: str, low: datetime | None, cutoff: datetime,

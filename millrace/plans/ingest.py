@@ -53,6 +53,7 @@ class IngestConfig:
     glob: str | None = "*.csv"
     day_folders: str | None = None   # e.g. "%Y/%m/%d": landing laid out by arrival day
     replay_safe: bool = True         # False: plain append by process_date only
+    max_files: int | None = None     # bound a batch: oldest files first, cutoff lowered to fit
     fmt: str = "parquet"
 
 
@@ -121,6 +122,8 @@ def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None =
     where = day_folders_glob(cfg.landing, cfg.day_folders, low, cutoff) if cfg.day_folders \
         else cfg.landing
     new = select_new_files(list_files(spark, where, cfg.glob), low, cutoff)
+    if cfg.max_files:
+        cutoff, new = _bounded(new, cutoff, cfg.max_files)
     # The batch's own paths, one short string per file.
     files = sorted(r["path"] for r in new.select("path").collect())
     batch_id, process_date = batch_identity(cutoff)
@@ -133,6 +136,18 @@ def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None =
     return L.record_batch(spark, cfg.control, **base, status=L.PLANNED)
 
 
+def _bounded(new, cutoff: datetime, max_files: int):
+    """Keep the oldest files of the window, at most ``max_files`` of them plus
+    any sharing the last one's mtime, and lower the cutoff to that mtime: the
+    watermark then never passes a file that was left for the next run."""
+    edge = (new.orderBy("modificationTime").limit(max_files)
+               .agg(F.max("modificationTime").alias("m"), F.count(F.lit(1)).alias("n")).first())
+    if edge["n"] < max_files:
+        return cutoff, new
+    bound = L.as_utc(edge["m"])
+    return min(cutoff, bound), new.where(F.col("modificationTime") <= F.lit(bound))
+
+
 def process_batch(spark: SparkSession, cfg: IngestConfig, batch: dict | None = None) -> dict:
     """Step two (process the files): read, standardize, split, write; then
     ``SUCCESS`` and the watermark, or ``FAILED`` and re-raise. Without

@@ -105,3 +105,10 @@ def test_quoted_header_names_read_back(spark, workdir):
     out = read_csv_batch(spark, [f"{workdir}/q.csv"], per_header=conform)
     r = out.first()
     assert (r.transaction_id, r.customer_id, r["extra col"]) == ("T1", "C1", "x")
+
+
+def test_batch_identity_formats():
+    from millrace.operators import batch_identity
+    utc = dt.timezone.utc
+    assert batch_identity(dt.datetime(2026, 4, 29, 8, 53, 8, tzinfo=utc)) == ("batch_20260429_085308", "2026-04-29")
+    assert batch_identity(dt.datetime(2026, 4, 29, 8, 53, 8, 200, tzinfo=utc))[0] == "batch_20260429_085308_000200"

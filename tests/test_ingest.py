@@ -258,3 +258,17 @@ def test_default_layout_is_replay_safe(spark, workdir):
     land(cfg.landing, "txn_1.csv", TXN_1, T0)
     r = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
     assert [d for d in os.listdir(f"{cfg.target}/process_date=2026-04-28") if d[0] not in "_."] == [f"batch_id={r['batch_id']}"]
+
+
+def test_max_files_bounds_a_backlog_without_skipping(spark, workdir):
+    cfg = cfg_for(workdir, max_files=2)
+    for i in range(5):
+        land(cfg.landing, f"f{i}.csv", TXN_1, T0 + dt.timedelta(minutes=i))
+    land(cfg.landing, "tie.csv", TXN_1, T0 + dt.timedelta(minutes=1))   # same mtime as f1
+    seen = []
+    for _ in range(4):
+        r = run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
+        seen.append(sorted(f.rsplit("/", 1)[1] for f in r["files"]))
+    assert seen == [["f0.csv", "f1.csv", "tie.csv"], ["f2.csv", "f3.csv"], ["f4.csv"], []]
+    assert read_curated(spark, cfg.target).count() == 6 * 4
+    assert L.current_watermark(spark, cfg.control) == T0 + dt.timedelta(hours=1)
