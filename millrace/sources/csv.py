@@ -33,8 +33,10 @@ FILES_PER_TASK = 64
 
 
 def _first_line(path: str) -> str | None:
-    """First non-empty line of a file, reading only its first bytes. ``None``
-    for an empty file; raises if the file system is not reachable from Python."""
+    """First non-empty line of a file, reading only its first bytes. Compressed
+    files (``.gz``, ``.bz2``, ...) are decompressed by extension, as Spark's CSV
+    reader does. ``None`` for an empty file; raises if the file system is not
+    reachable from Python."""
     from pyarrow import fs
     uri = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
     filesystem, inner = fs.FileSystem.from_uri(uri)

@@ -112,3 +112,13 @@ def test_batch_identity_formats():
     utc = dt.timezone.utc
     assert batch_identity(dt.datetime(2026, 4, 29, 8, 53, 8, tzinfo=utc)) == ("batch_20260429_085308", "2026-04-29")
     assert batch_identity(dt.datetime(2026, 4, 29, 8, 53, 8, 200, tzinfo=utc))[0] == "batch_20260429_085308_000200"
+
+
+def test_gzip_csv_headers_are_sniffed_decompressed(spark, workdir):
+    import gzip
+    with gzip.open(f"{workdir}/g.csv.gz", "wt") as f:
+        f.write("id,custId,txnAmt\nT1,C1,1.5\n")
+    write(f"{workdir}/p.csv", "amount,id,customerid\n2.5,T2,C2\n")
+    out = read_csv_batch(spark, [f"{workdir}/g.csv.gz", f"{workdir}/p.csv"], per_header=conform)
+    got = sorted((r.transaction_id, r.customer_id, r.transaction_amount) for r in out.collect())
+    assert got == [("T1", "C1", 1.5), ("T2", "C2", 2.5)]
