@@ -82,3 +82,16 @@ def test_runs_per_group_with_null_group(spark):
     got = sorted(((r.g or ""), r.v, r.run_start, r.run_length) for r in out.collect())
     want = sorted(((g or ""), v, v - v % 10, 9) for g, v in pairs)
     assert got == want
+
+
+def test_bucket_arithmetic_is_exact_for_huge_and_negative_keys(spark):
+    from millrace.functions import integral_bucket
+    vals = [2 ** 60 + 999, 2 ** 60 + 1000, -1, -1000, -1001, 0]
+    df = spark.createDataFrame([(v,) for v in vals], "v bigint")
+    got = {r.v: r.b for r in df.select("v", integral_bucket("v", 1000).alias("b")).collect()}
+    assert got == {v: v // 1000 for v in vals}
+    base = 2 ** 60
+    keys = spark.createDataFrame([(base + i,) for i in (0, 1, 2, 5, 6, 1023, 1024, 1025)], "v bigint")
+    got_isl = sorted((r.min_sequence - base, r.max_sequence - base)
+                     for r in islands(keys, "v", width=1024).collect())
+    assert got_isl == [(0, 2), (5, 6), (1023, 1025)]
