@@ -214,12 +214,13 @@ def q_ingest_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_ingest_batch_v1(spark: SparkSession, sf: str) -> DataFrame:
     """The first-generation job (fixed renames, three conversions, no quality
-    split) over a landing of files in the original header."""
+    split) over a landing of files in the original header, with that job's
+    plain append layout (partitioned by process_date only)."""
     landing = fresh_dir(spark, "landing")
     raw_transactions(_orders(spark, sf), "A").write.option("header", "true") \
         .mode("errorifexists").csv(f"{landing}/dialect_a")
     cfg = IngestConfig(landing=landing, target=fresh_dir(spark, "curated"),
-                       control=fresh_dir(spark, "control"), version="v1")
+                       control=fresh_dir(spark, "control"), version="v1", replay_safe=False)
     run_batch(spark, cfg, cutoff=datetime.now(timezone.utc))
     return _expected_cols(read_curated(spark, cfg.target))
 
