@@ -1,14 +1,14 @@
 """Gaps and islands over an integer sequence, without a single-partition window.
 
 An island is a maximal run of consecutive integers of ``seq`` (per group
-``by``); duplicates count once (``dense_rank``, not ``row_number``, so
-1,2,2,3 is one island 1..3).
+``by``); duplicates count once (1,2,2,3 is one island 1..3).
 
 The textbook form ranks the whole group in one window. For a global sequence
 that is one task for the whole table, and for a hot group one task for a third
 of it. Here the sequence is cut into fixed-width buckets ``floor(seq / K)``:
 
-1. inside each (group, bucket) ``seq - dense_rank()`` labels the run pieces;
+1. keys are de-duplicated (partially, before the shuffle), and inside each
+   (group, bucket) ``seq - row_number()`` labels the run pieces;
 2. a piece that touches neither bucket edge is a whole island;
 3. pieces touching an edge (at most two per bucket) are chained across
    buckets with a window over those edge pieces only, per group.
@@ -40,12 +40,19 @@ def bucket_width(df: DataFrame, seq: str, target_buckets: int = TARGET_BUCKETS,
 
 
 def _labelled(df: DataFrame, seq: str, by: list, width: int) -> DataFrame:
-    """Rows with bucket ``__b`` and in-bucket piece label ``__g``."""
-    x = (df.where(F.col(seq).isNotNull())
-           .withColumn("__v", F.col(seq).cast("bigint"))
-           .withColumn("__b", integral_bucket("__v", width)))
+    """Distinct ``(by, __v)`` keys with bucket ``__b`` and in-bucket piece
+    label ``__g``.
+
+    Islands depend only on distinct values, so keys are de-duplicated first:
+    ``distinct`` aggregates partially before its shuffle, so a value repeated in a
+    third of the rows leaves each map task as one row, and every ranking
+    window then sees at most ``width`` keys per (group, bucket)."""
+    keys = (df.where(F.col(seq).isNotNull())
+              .select(*by, F.col(seq).cast("bigint").alias("__v"))
+              .withColumn("__b", integral_bucket("__v", width))
+              .distinct())
     w = Window.partitionBy(*by, "__b").orderBy("__v")
-    return x.withColumn("__g", F.col("__v") - F.dense_rank().over(w))
+    return keys.withColumn("__g", F.col("__v") - F.row_number().over(w))
 
 
 def _is_edge(lo, hi, width: int):
@@ -83,7 +90,11 @@ def islands(df: DataFrame, seq: str, by=(), width: int | None = None,
 def runs(df: DataFrame, seq: str, by=(), min_length: int = 1, width: int | None = None,
          start: str = "run_start", length: str = "run_length") -> DataFrame:
     """Input rows whose island has at least ``min_length`` distinct values,
-    with the island's first value and length appended."""
+    with the island's first value and length appended.
+
+    Run boundaries are found on the distinct keys (as in ``islands``), then
+    joined back to the rows on (group, value): broadcast when the qualifying
+    keys are few, otherwise a shuffled join whose hot keys AQE splits."""
     by = [by] if isinstance(by, str) else list(by)
     width = width or bucket_width(df, seq)
     x = _labelled(df, seq, by, width)
@@ -96,17 +107,21 @@ def runs(df: DataFrame, seq: str, by=(), min_length: int = 1, width: int | None
                     .agg(F.min("__lo").alias("lo"), F.max("__hi").alias("hi")))
     chained = _chain(edge_pieces, by)
     wc = Window.partitionBy(*by, "__chain")
-    keys = [(c, f"__pk{i}") for i, c in enumerate(by)]
-    piece_map = chained.select(*[F.col(c).alias(a) for c, a in keys],
+    pkeys = [(c, f"__pk{i}") for i, c in enumerate(by)]
+    piece_map = chained.select(*[F.col(c).alias(a) for c, a in pkeys],
                                F.col("__b").alias("__pb"), F.col("__g").alias("__pg"),
                                F.min("lo").over(wc).alias("__rlo"),
                                F.max("hi").over(wc).alias("__rhi"))
     # NULL group keys form a group too: null-safe equality on them.
-    cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in keys] + \
+    cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in pkeys] + \
            [F.col("__b") == F.col("__pb"), F.col("__g") == F.col("__pg")]
-    out = (x.join(piece_map, on=cond, how="left")
-            .drop(*[a for _, a in keys], "__pb", "__pg")
-            .withColumn(start, F.coalesce("__rlo", "__lo"))
-            .withColumn(length, F.coalesce("__rhi", "__hi") - F.col(start) + 1)
-            .where(F.col(length) >= min_length))
-    return out.drop("__v", "__b", "__g", "__lo", "__hi", "__rlo", "__rhi")
+    info = (x.join(piece_map, on=cond, how="left")
+             .withColumn("__start", F.coalesce("__rlo", "__lo"))
+             .withColumn("__len", F.coalesce("__rhi", "__hi") - F.col("__start") + 1)
+             .where(F.col("__len") >= min_length)
+             .select(*[F.col(c).alias(a) for c, a in pkeys], "__v", "__start", "__len"))
+    back = [F.col(c).eqNullSafe(F.col(a)) for c, a in pkeys] + \
+           [F.col(seq).cast("bigint") == F.col("__v")]
+    return (df.join(info, on=back, how="inner")
+              .withColumn(start, F.col("__start")).withColumn(length, F.col("__len"))
+              .drop(*[a for _, a in pkeys], "__v", "__start", "__len"))

@@ -95,3 +95,17 @@ def test_bucket_arithmetic_is_exact_for_huge_and_negative_keys(spark):
     got_isl = sorted((r.min_sequence - base, r.max_sequence - base)
                      for r in islands(keys, "v", width=1024).collect())
     assert got_isl == [(0, 2), (5, 6), (1023, 1025)]
+
+
+def test_runs_keep_every_row_of_a_hot_duplicated_value(spark):
+    from planutil import plan_text
+    # value 5 is a third of the rows; 4..6 is a run of three distinct values
+    hot = [(5, i) for i in range(600)]
+    rest = [(v, 10_000 + v) for v in list(range(4, 7)) + list(range(20, 22)) for _ in range(300)]
+    df = spark.createDataFrame(hot + rest, "v bigint, payload bigint")
+    out = runs(df, "v", min_length=3, width=4)
+    got = out.groupBy("v").count().collect()
+    assert sorted((r.v, r["count"]) for r in got) == [(4, 300), (5, 900), (6, 300)]
+    assert {(r.run_start, r.run_length) for r in out.select("run_start", "run_length").collect()} == {(4, 3)}
+    plan = plan_text(out)
+    assert "partial" in plan.lower() and "hashpartitioning(__b" in plan
