@@ -272,3 +272,15 @@ def test_max_files_bounds_a_backlog_without_skipping(spark, workdir):
     assert seen == [["f0.csv", "f1.csv", "tie.csv"], ["f2.csv", "f3.csv"], ["f4.csv"], []]
     assert read_curated(spark, cfg.target).count() == 6 * 4
     assert L.current_watermark(spark, cfg.control) == T0 + dt.timedelta(hours=1)
+
+
+def test_command_line_stream(spark, workdir, capsys):
+    import json as _json
+    from millrace.__main__ import main
+    land(f"{workdir}/landing", "txn_2.csv", TXN_2, T0)
+    args = ["stream", "--landing", f"{workdir}/landing", "--target", f"{workdir}/curated",
+            "--control", f"{workdir}/control"]
+    assert main(args) == 0
+    assert _json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "DRAINED"
+    assert read_curated(spark, f"{workdir}/curated").count() == 1
+    assert read_curated(spark, quarantine_path(f"{workdir}/curated")).count() == 1
