@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, personal_data, quality_rules, secret_scan
+from . import (byte_cnn, license_scan, personal_data, quality_rules, rank_profiles, secret_scan,
+               sentencepiece_codec, token_orc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.codec_report(table(spark, sf_dir, "documents"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
@@ -23,9 +28,23 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("notices")
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op4_personal_data, op5_quality_rules, op8_licenses)}
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_profiles.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_orc.tokens_report(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sentencepiece, op2_secrets, op4_personal_data, op5_quality_rules, op6_quality_classifier,
+    op8_licenses, op9_language, op10_token_orc)}
 SQL = {"op5_quality_rules": quality_rules.SQL}
