@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (byte_cnn, license_scan, personal_data, quality_rules, rank_profiles, secret_scan,
-               sentencepiece_codec, token_orc)
+from . import (byte_cnn, decontaminate, license_scan, personal_data, quality_rules, rank_profiles,
+               secret_scan, sentencepiece_codec, token_orc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("notices")
 
@@ -46,5 +50,5 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_secrets, op4_personal_data, op5_quality_rules, op6_quality_classifier,
-    op8_licenses, op9_language, op10_token_orc)}
+    op7_decontamination, op8_licenses, op9_language, op10_token_orc)}
 SQL = {"op5_quality_rules": quality_rules.SQL}
