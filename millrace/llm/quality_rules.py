@@ -137,7 +137,7 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT r, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+         [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines
   FROM d
 ), grams AS (
   SELECT r, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
@@ -153,7 +153,7 @@ WITH d AS (
          CAST(len(lines) AS BIGINT) AS n_lines,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
-         CAST(len(list_filter(words, x -> regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS BIGINT) AS n_upper_words
+         CAST(len([x FOR x IN words IF regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')]) AS BIGINT) AS n_upper_words
   FROM w LEFT JOIN rep USING (r)
 ), f AS (
   SELECT *, CAST((CASE WHEN n_words < 50 THEN 1 ELSE 0 END)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (byte_cnn, decontaminate, license_scan, personal_data, quality_rules, rank_profiles,
+from . import (byte_cnn, decontaminate, license_scan, ngram_join, personal_data, quality_rules, rank_profiles,
                secret_scan, sentencepiece_codec, token_orc)
 
 
@@ -20,6 +20,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_digest(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,6 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sentencepiece, op2_secrets, op4_personal_data, op5_quality_rules, op6_quality_classifier,
+    op1_sentencepiece, op2_secrets, op3_ngram_join, op4_personal_data, op5_quality_rules, op6_quality_classifier,
     op7_decontamination, op8_licenses, op9_language, op10_token_orc)}
-SQL = {"op5_quality_rules": quality_rules.SQL}
+SQL = {"op3_ngram_join": ngram_join.SQL, "op5_quality_rules": quality_rules.SQL}
