@@ -78,7 +78,7 @@ class Grams:
         one = a1[a1 > 0]
         two = x[:-1] * b + x[1:]
         two = two[(x[:-1] > 0) | (x[1:] > 0)]
-        three = ((a0 * b + a1) * b + a2)[(a1 > 0) & ((a0 > 0) | (a2 > 0))]
+        three = ((a0 * b + a1) * b + a2)[a1 > 0]
         all_ = np.concatenate([one, two + b, three + b * b + b])
         all_.sort()
         if not len(all_):
