@@ -1,0 +1,72 @@
+"""The corpus pipeline: every stage on its own input, planted cases, awkward and empty tables."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from millrace.llm import decontaminate, ngram_join, personal_data, rank_profiles, stages
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stage_names_and_entry():
+    import __spark_entry__ as E
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontaminate",
+                                                      "personal_data", "encode"]
+    assert "pipeline" in E.queries() and "pipeline" not in E.oracle_sql()
+    for n in range(1, 11):
+        assert any(q.startswith(f"op{n}_") for q in E.queries()), n
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_each_stage_on_its_own_input(spark, docs):
+    kept = stages.known_language(spark, docs, SF)
+    verdict = rows(rank_profiles.identify(docs))
+    assert kept.columns == docs.columns
+    assert rows(kept).keys() == {i for i, r in verdict.items()
+                                 if r.lang_pred != "und" and r.score >= stages.LEAST_LANGUAGE_SCORE}
+
+    one = stages.one_of_each_group(spark, docs, SF)
+    groups = rows(ngram_join.link_components(spark, docs))
+    assert one.columns == docs.columns
+    assert rows(one).keys() == {r.component_id for r in groups.values()} and one.count() == len(rows(one))
+
+    clean = stages.without_benchmark(spark, docs, SF)
+    bad = {r.doc_id for r in decontaminate.contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    assert bad and rows(clean).keys() == rows(docs).keys() - bad
+    assert all(tuple(r) == tuple(rows(docs)[i]) for i, r in rows(clean).items())
+
+    red, model = rows(stages.redacted(spark, docs, SF)), personal_data.fit_model(docs)
+    for i, r in rows(docs).items():
+        assert red[i].text == personal_data.redact_text(r.text, model) and red[i].n_chars == len(red[i].text)
+        assert not personal_data.base_spans(red[i].text)
+        if not personal_data.find_spans(r.text, model):
+            assert red[i] == r
+
+
+def test_whole_run(spark, docs):
+    out = rows(corpus_pipeline.run(spark, SF))
+    step = docs
+    for _, stage in corpus_pipeline.STAGES:
+        step = stage(spark, step, SF)
+    want = rows(step)
+    assert out.keys() == want.keys()
+    for i, r in out.items():
+        assert r == want[i] and len(r.ids) == r.n_tokens and r.parity and r.round_trip
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) >= 0
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_on_awkward_and_empty_tables(spark, awkward, empty, k):
+    name, stage = corpus_pipeline.STAGES[k]
+    got = stage(spark, awkward, SF)
+    n = {"language": 8, "near_duplicates": 12, "decontaminate": 15, "personal_data": 15, "encode": 15}[name]
+    assert got.count() == n
+    if name != "encode":
+        assert got.columns == awkward.columns
+    assert stage(spark, empty, SF).count() == 0
