@@ -5,7 +5,7 @@ An island is a maximal run of consecutive integers of ``seq`` (per group
 
 The textbook form ranks the whole group in one window. For a global sequence
 that is one task for the whole table, and for a hot group one task for a third
-of it. Here the sequence is cut into fixed-width buckets ``floor(seq / K)``:
+of it. Here the sequence is cut into buckets:
 
 1. keys are de-duplicated (partially, before the shuffle), and inside each
    (group, bucket) ``seq - row_number()`` labels the run pieces;
@@ -13,8 +13,13 @@ of it. Here the sequence is cut into fixed-width buckets ``floor(seq / K)``:
 3. pieces touching an edge (at most two per bucket) are chained across
    buckets with a window over those edge pieces only, per group.
 
-``K`` is chosen from the value span so the number of buckets, and therefore of
-edge pieces, stays bounded; every other step is partitioned by bucket.
+Without a ``width``, bucket bounds are approximate quantiles of the distinct
+keys, so every bucket holds about as many keys wherever they lie, and one
+far-off key changes nothing. The quantiles are a scalar subquery of the plan;
+building it runs no job. With a ``width`` (for sequences in a known, dense
+domain, such as day numbers) buckets are ``floor(seq / width)``.
+
+Rows whose sequence is NULL belong to no island or run and are left out.
 """
 
 from __future__ import annotations
@@ -25,38 +30,47 @@ from pyspark.sql.window import Window
 
 from ..functions.values import integral_bucket
 
-TARGET_BUCKETS = 65536   # upper bound on buckets, hence on edge pieces (x2)
-MIN_WIDTH = 1024         # smallest bucket width
-
-
-def bucket_width(df: DataFrame, seq: str, target_buckets: int = TARGET_BUCKETS,
-                 min_width: int = MIN_WIDTH) -> int:
-    """Bucket width from the value span (one two-value aggregate)."""
-    row = df.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return min_width
-    span = int(row["hi"]) - int(row["lo"]) + 1
-    return max(min_width, -(-span // target_buckets))
-
-
-def _labelled(df: DataFrame, seq: str, by: list, width: int) -> DataFrame:
-    """Distinct ``(by, __v)`` keys with bucket ``__b`` and in-bucket piece
+BUCKETS = 484            # quantile buckets, hence at most twice as many edge pieces a group
+STEP = 22                # bounds are searched in two levels of about STEP
+ACCURACY = 10_000        # of approx_percentile: bucket sizes are within 1/ACCURACY of all keys
+
+
+def _bucketed(keys: DataFrame, width: int | None) -> DataFrame:
+    """``keys`` (with ``__v``) plus bucket ``__b`` and its limits ``__from <= __v < __to``
+    (NULL where the outermost bucket is open)."""
+    if width is not None:
+        b = keys.withColumn("__b", integral_bucket("__v", width))
+        return (b.withColumn("__from", F.col("__b") * F.lit(width).cast("bigint"))
+                 .withColumn("__to", F.col("__from") + F.lit(width).cast("bigint")))
+    shares = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    bounds = keys.agg(F.percentile_approx("__v", shares, F.lit(ACCURACY)).alias("q")).scalar()
+    return (keys.withColumn("__q", bounds)
+            .withColumn("__c", F.expr(f"size(filter(__q, (x, i) -> i % {STEP} = {STEP - 1} and x <= __v))"))
+            .withColumn("__b", F.expr(f"__c * {STEP} + size(filter(slice(__q, __c * {STEP} + 1, {STEP}), x -> x <= __v))"))
+            .withColumn("__from", F.expr("if(__b > 0, get(__q, __b - 1), null)"))
+            .withColumn("__to", F.expr("get(__q, __b)"))
+            .withColumn("__b", F.col("__b").cast("bigint")).drop("__q", "__c"))
+
+
+def _labelled(df: DataFrame, seq: str, by: list, width: int | None) -> DataFrame:
+    """Distinct ``(by, __v)`` keys with bucket ``__b``, its limits, and in-bucket piece
     label ``__g``.
 
     Islands depend only on distinct values, so keys are de-duplicated first:
     ``distinct`` aggregates partially before its shuffle, so a value repeated in a
     third of the rows leaves each map task as one row, and every ranking
-    window then sees at most ``width`` keys per (group, bucket)."""
+    window then sees one bucket's keys."""
     keys = (df.where(F.col(seq).isNotNull())
               .select(*by, F.col(seq).cast("bigint").alias("__v"))
-              .withColumn("__b", integral_bucket("__v", width))
               .distinct())
     w = Window.partitionBy(*by, "__b").orderBy("__v")
-    return keys.withColumn("__g", F.col("__v") - F.row_number().over(w))
+    return _bucketed(keys, width).withColumn("__g", F.col("__v") - F.row_number().over(w))
 
 
-def _is_edge(lo, hi, width: int):
-    return (F.pmod(lo, F.lit(width)) == 0) | (F.pmod(hi, F.lit(width)) == width - 1)
+def _is_edge(lo, hi):
+    """Whether a piece reaches a limit of its bucket."""
+    return (F.coalesce(lo == F.col("__from"), F.lit(False))
+            | F.coalesce(hi + 1 == F.col("__to"), F.lit(False)))
 
 
 def _chain(edges: DataFrame, by: list) -> DataFrame:
@@ -73,11 +87,10 @@ def islands(df: DataFrame, seq: str, by=(), width: int | None = None,
             start: str = "min_sequence", end: str = "max_sequence") -> DataFrame:
     """One row per island: ``by..., start, end`` (bigint)."""
     by = [by] if isinstance(by, str) else list(by)
-    width = width or bucket_width(df, seq)
     pieces = (_labelled(df.select(*by, seq), seq, by, width)
-              .groupBy(*by, "__b", "__g")
+              .groupBy(*by, "__b", "__g", "__from", "__to")
               .agg(F.min("__v").alias("lo"), F.max("__v").alias("hi")))
-    edge = _is_edge(F.col("lo"), F.col("hi"), width)
+    edge = _is_edge(F.col("lo"), F.col("hi"))
     whole = pieces.where(~edge).select(*by, "lo", "hi")
     merged = (_chain(pieces.where(edge), by)
               .groupBy(*by, "__chain")
@@ -96,11 +109,10 @@ def runs(df: DataFrame, seq: str, by=(), min_length: int = 1, width: int | None
     joined back to the rows on (group, value): broadcast when the qualifying
     keys are few, otherwise a shuffled join whose hot keys AQE splits."""
     by = [by] if isinstance(by, str) else list(by)
-    width = width or bucket_width(df, seq)
     x = _labelled(df, seq, by, width)
     wp = Window.partitionBy(*by, "__b", "__g")
     x = x.withColumn("__lo", F.min("__v").over(wp)).withColumn("__hi", F.max("__v").over(wp))
-    edge = _is_edge(F.col("__lo"), F.col("__hi"), width)
+    edge = _is_edge(F.col("__lo"), F.col("__hi"))
     # Edge pieces (<= 2 per bucket) and the island each belongs to.
     edge_pieces = (x.where(edge)
                     .groupBy(*by, "__b", "__g")

@@ -16,45 +16,40 @@ from pyspark.sql import functions as F
 JOIN_KINDS = ("inner", "left", "right", "full", "cross")
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Size check before broadcasting: stops reading after ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _position(df: DataFrame, name: str) -> int:
+    """Index of a column by exact name, else ignoring case."""
+    exact = [i for i, c in enumerate(df.columns) if c == name]
+    return (exact or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()])[0]
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-              how: str = "inner", right_max_rows: int | None = None) -> DataFrame:
+              how: str = "inner") -> DataFrame:
     """Join on ``left_key == right_key``; both key columns are kept. NULL keys
-    never match; duplicate keys multiply.
+    never match; duplicate keys multiply. Columns are matched by position, so
+    names that occur on both sides, or differ only by case, are no trouble.
 
-    With ``right_max_rows`` the right side is checked to hold at most that many
-    rows; if it does, it is broadcast and the big left side is never shuffled,
-    so a hot left key costs nothing extra, for every join kind:
-
-    * inner / left: broadcast hash join;
-    * right / full: the inner (or left) broadcast join, plus the right rows
-      whose key never occurs on the left, found by an anti-join against the
-      left side's *distinct keys* (partially aggregated map-side), with the
-      left columns NULL.
-
-    Beyond the bound (or without it) this is the plain shuffled join, where AQE
-    re-plans and splits skewed partitions where the join kind allows.
+    There is one path for every size; AQE converts to a broadcast join where
+    the measured side is small enough. Inner and left joins are the plain
+    equi-join, whose hot partitions AQE splits. AQE cannot split the left side of
+    a right join nor either side of a full join, so these are written as the
+    inner (or left) join plus the right rows whose key never occurs on the
+    left, found by an anti-join against the left side's *distinct keys*
+    (partially aggregated, so a hot key leaves each task once).
     """
     if how == "cross":
         raise ValueError("cross joins are not materialized; use join_cardinality")
-    if how not in ("inner", "left", "right", "full"):
-        return left.join(right, left[left_key] == right[right_key], how)
-    shared_names = set(left.columns) & set(right.columns)
-    if right_max_rows is None or shared_names or not has_at_most(right, right_max_rows):
-        return left.join(right, left[left_key] == right[right_key], how)
-    small = F.broadcast(right)
-    cond = left[left_key] == small[right_key]
-    if how in ("inner", "left"):
-        return left.join(small, cond, how)
-    matched = left.join(small, cond, "inner" if how == "right" else "left")
-    left_keys = left.select(F.col(left_key).alias("__lk")).where(F.col("__lk").isNotNull()).distinct()
-    unmatched = (right.join(left_keys, F.col(right_key) == F.col("__lk"), "left_anti")
-                 .select(*[F.lit(None).cast(t).alias(c) for c, t in left.dtypes], *right.columns))
-    return matched.unionByName(unmatched)
+    lc, rc = [f"l{i}" for i in range(len(left.columns))], [f"r{i}" for i in range(len(right.columns))]
+    lk, rk = lc[_position(left, left_key)], rc[_position(right, right_key)]
+    l, r = left.toDF(*lc), right.toDF(*rc)
+    cond = F.col(lk) == F.col(rk)
+    if how not in ("right", "full"):
+        out = l.join(r, cond, how)
+        return out.toDF(*left.columns, *(right.columns if len(out.columns) > len(lc) else []))
+    matched = l.join(r, cond, "inner" if how == "right" else "left")
+    keys = l.select(F.col(lk).alias("k")).where(F.col("k").isNotNull()).distinct()
+    unmatched = (r.join(keys, F.col(rk) == F.col("k"), "left_anti")
+                 .select(*[F.lit(None).cast(t).alias(c) for c, t in l.dtypes], *rc))
+    return matched.union(unmatched).toDF(*left.columns, *right.columns)
 
 
 def join_cardinality(left: DataFrame, right: DataFrame, left_key: str,

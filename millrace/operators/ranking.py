@@ -1,9 +1,10 @@
 """Top-N per group and sums over it.
 
-Written as ``row_number() <= n`` over a partitioned window, which Catalyst
-plans as a ``WindowGroupLimit`` *before* the shuffle (Partial) and again after
-it (Final): each map task forwards at most ``n`` rows per group, so a group
-holding a third of the table costs no more shuffle than a small one.
+Written as ``row_number() <= n`` over partitioned windows in two levels, which
+Catalyst plans (for moderate ``n``) with a ``WindowGroupLimit`` *before* each
+shuffle (Partial) and after it (Final): each map task forwards at most ``n`` rows
+per group, so a group holding a third of the table costs no more shuffle than
+a small one.
 """
 
 from __future__ import annotations
@@ -21,12 +22,7 @@ def _names(cols) -> list:
     return [cols] if isinstance(cols, (str, Column)) else list(cols)
 
 
-SALTS = 64   # pre-cut fan-out for a large n (see top_n_per_group)
-
-
-def _group_limit_threshold(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    return int(conf)
+SALTS = 1024   # parts a group is cut into before the final cut
 
 
 def top_n_per_group(df: DataFrame, by, order: Sequence, n: int,
@@ -36,32 +32,33 @@ def top_n_per_group(df: DataFrame, by, order: Sequence, n: int,
     ``order`` must end in a unique tie-break so the cut is deterministic
     (e.g. ``[F.desc("revenue"), "name"]``). ``rank_col`` is a bigint.
 
-    Spark pre-cuts each group to ``n`` rows before the shuffle only while
-    ``n`` is within ``spark.sql.optimizer.windowGroupLimitThreshold``. Above
-    it, the same two-level cut is written out: the top ``n`` per (group, hash
-    salt) first, so a hot group is spread over ``SALTS`` tasks, then the top
-    ``n`` per group over at most ``n * SALTS`` rows per group.
+    The same two-level cut for every ``n`` and every column type: the top ``n``
+    of each (group, part), where a part holds the rows of some input
+    partitions, then the top ``n`` of each group over at most ``n * SALTS`` rows.
+    A hot group is so spread over ``SALTS`` tasks. For an ``n`` within
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark also cuts before
+    each shuffle.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
     keys = [as_col(c) for c in _names(by)]
     order_cols = [as_col(c) for c in order]
-    if n > _group_limit_threshold(df):
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))
-        ws = Window.partitionBy(*keys, salt).orderBy(*order_cols)
-        df = df.withColumn("__pre", F.row_number().over(ws)).where(F.col("__pre") <= n).drop("__pre")
+    # The part only spreads the work; the final cut does not depend on it.
+    parts = df.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    first = Window.partitionBy(*keys, "__part").orderBy(*order_cols)
+    cut = (parts.withColumn("__pre", F.row_number().over(first))
+                .where(F.col("__pre") <= n).drop("__pre", "__part"))
     w = Window.partitionBy(*keys).orderBy(*order_cols)
-    return (df.withColumn(rank_col, F.row_number().over(w))
-              .where(F.col(rank_col) <= n)
-              .withColumn(rank_col, F.col(rank_col).cast("bigint")))
+    return (cut.withColumn(rank_col, F.row_number().over(w))
+               .where(F.col(rank_col) <= n)
+               .withColumn(rank_col, F.col(rank_col).cast("bigint")))
 
 
 def top_n_sum(df: DataFrame, by, value, order: Sequence, n: int,
               alias: str = "total") -> DataFrame:
     """Sum of ``value`` over the top ``n`` rows of each group.
 
-    The window and the aggregate share the same clustering on ``by``, so the
-    plan has one exchange, and the partial window limit runs before it.
+    The final window and the aggregate share the same clustering on ``by``.
     """
     keys = _names(by)
     top = top_n_per_group(df, keys, order, n, rank_col="__rn")

@@ -60,31 +60,21 @@ def q_top3_customers_per_region(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TOP3_SQL_TEXT = """
-WITH per_customer AS (
-    SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS rev
-    FROM {orders} GROUP BY o_custkey
-),
-customer_region AS (
-    SELECT c.c_custkey, c.c_name, r.r_name
-    FROM {customer} c
-    JOIN {nation} n ON c.c_nationkey = n.n_nationkey
-    JOIN {region} r ON n.n_regionkey = r.r_regionkey
-),
-customer_revenue AS (
-    SELECT cr.r_name AS region, cr.c_name AS customer_name,
-           CAST(SUM(p.rev) AS DOUBLE) AS total_revenue
-    FROM per_customer p
-    JOIN customer_region cr ON p.o_custkey = cr.c_custkey
-    GROUP BY cr.r_name, cr.c_name
-),
-ranked AS (
-    SELECT region, customer_name, total_revenue,
-           ROW_NUMBER() OVER (PARTITION BY region
-                              ORDER BY total_revenue DESC, customer_name) AS rn
-    FROM customer_revenue
+SELECT area AS region, buyer AS customer_name, spent AS total_revenue, CAST(place AS BIGINT) AS rn
+FROM (
+    SELECT area, buyer, spent, ROW_NUMBER() OVER by_area AS place
+    FROM (
+        SELECT r.r_name AS area, c.c_name AS buyer, CAST(SUM(o.paid) AS DOUBLE) AS spent
+        FROM (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS paid
+              FROM {orders} GROUP BY o_custkey) o
+        JOIN {customer} c ON c.c_custkey = o.o_custkey
+        JOIN {nation} n ON n.n_nationkey = c.c_nationkey
+        JOIN {region} r ON r.r_regionkey = n.n_regionkey
+        GROUP BY r.r_name, c.c_name
+    )
+    WINDOW by_area AS (PARTITION BY area ORDER BY spent DESC, buyer)
 )
-SELECT region, customer_name, total_revenue, CAST(rn AS BIGINT) AS rn
-FROM ranked WHERE rn <= 3
+WHERE place <= 3
 """
 
 
@@ -148,25 +138,27 @@ def _activity_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ISLANDS_SQL_TEXT = """
-WITH ranked AS (
-    SELECT user_id, day_no,
-           DENSE_RANK() OVER (PARTITION BY user_id ORDER BY day_no) AS rn
+WITH starts AS (
+    -- `user` is a reserved word and so is written with back quotes.
+    SELECT user_id AS `user`, day_no,
+           IF(day_no - LAG(day_no) OVER (PARTITION BY user_id ORDER BY day_no) = 1, 0, 1) AS begins
     FROM {view}
 ),
-grouped AS (
-    SELECT user_id, day_no, day_no - rn AS island_id FROM ranked
+counted AS (
+    SELECT `user`, day_no,
+           SUM(begins) OVER (PARTITION BY `user` ORDER BY day_no
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nth
+    FROM starts
 )
-SELECT user_id,
-       MIN(day_no) AS min_sequence,
-       MAX(day_no) AS max_sequence
-FROM grouped
-GROUP BY user_id, island_id
-ORDER BY user_id, min_sequence
+SELECT `user` AS user_id, MIN(day_no) AS min_sequence, MAX(day_no) AS max_sequence
+FROM counted
+GROUP BY `user`, nth
+ORDER BY `user`, min_sequence
 """
 
 
 def q_user_activity_islands_sql(spark: SparkSession, sf: str) -> DataFrame:
-    """The SQL form: a temp view plus a two-CTE statement."""
+    """The SQL form: a temp view and one statement; start flags, then their running count."""
     view = "millrace_activity_days"
     _activity_days(spark, sf).createOrReplaceTempView(view)
     return spark.sql(ISLANDS_SQL_TEXT.format(view=view))
@@ -235,14 +227,10 @@ def _join_sides(spark: SparkSession, sf: str):
     return left, right
 
 
-# A dimension side is broadcast only after a row-count check against this.
-DIMENSION_MAX_ROWS = 100_000
-
-
 def _join_query(how: str):
     def q(spark: SparkSession, sf: str) -> DataFrame:
         left, right = _join_sides(spark, sf)
-        return equi_join(left, right, "lkey", "rkey", how, right_max_rows=DIMENSION_MAX_ROWS)
+        return equi_join(left, right, "lkey", "rkey", how)
     q.__name__ = f"q_join_{how}"
     return q
 
@@ -291,22 +279,16 @@ def _join_sql(kind: str) -> str:
 
 SQL = {
     "top3_customers_per_region": """
-        WITH per_customer AS (
-            SELECT r.r_name AS region, c.c_name AS customer_name,
-                   CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
-            FROM orders o
-            JOIN customer c ON o.o_custkey = c.c_custkey
-            JOIN nation n ON c.c_nationkey = n.n_nationkey
-            JOIN region r ON n.n_regionkey = r.r_regionkey
-            GROUP BY r.r_name, c.c_name
-        ),
-        ranked AS (
-            SELECT *, ROW_NUMBER() OVER (PARTITION BY region
-                                         ORDER BY total_revenue DESC, customer_name) AS rn
-            FROM per_customer
-        )
-        SELECT region, customer_name, total_revenue, CAST(rn AS BIGINT) AS rn
-        FROM ranked WHERE rn <= 3
+        SELECT r.r_name AS region, c.c_name AS customer_name,
+               CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+               ROW_NUMBER() OVER (PARTITION BY r.r_name
+                                  ORDER BY SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) DESC, c.c_name) AS rn
+        FROM orders o
+        JOIN customer c ON c.c_custkey = o.o_custkey
+        JOIN nation n ON n.n_nationkey = c.c_nationkey
+        JOIN region r ON r.r_regionkey = n.n_regionkey
+        GROUP BY r.r_name, c.c_name
+        QUALIFY rn <= 3
     """,
     "top2_orders_sum_per_customer": """
         WITH ranked AS (

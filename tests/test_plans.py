@@ -13,16 +13,22 @@ def _big(spark, n=20000):
                                  F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50).alias("a"))
 
 
-def test_bounded_joins_never_shuffle_the_big_side(spark):
+def test_small_side_is_broadcast_by_measured_size_only(spark):
     big = _big(spark)
     small = spark.range(30).select(F.col("id").alias("rid"), (F.col("id") % 7).alias("b"))
     for how in ("inner", "left", "right", "full"):
-        plan = plan_text(equi_join(big, small, "a", "b", how, right_max_rows=1000))
-        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan, how
-        # the only shuffle allowed is of the big side's distinct keys (partial agg first)
-        for line in plan.splitlines():
-            if "Arguments: hashpartitioning" in line:
-                assert "lid" not in line
+        out = equi_join(big, small, "a", "b", how)
+        out.collect()
+        assert "BroadcastHashJoin" in plan_text(out), how
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = plan_text(equi_join(big, small, "a", "b", how))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        # No forced broadcast, and no join kind whose hot side cannot be split.
+        assert "Broadcast" not in plan and "FullOuter" not in plan and "RightOuter" not in plan, how
 
 
 def test_ratio_to_max_uses_no_window(spark):

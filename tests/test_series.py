@@ -8,13 +8,11 @@ from millrace.operators import declines, ordered_lag
 
 
 def test_declining_days(spark):
-    data = [("2026-05-01", 1000), ("2026-05-02", 900), ("2026-05-03", 850), ("2026-05-04", 950),
-            ("2026-05-05", 800), ("2026-05-06", 700), ("2026-05-07", 750)]
-    df = spark.createDataFrame(data, "date string, price int").withColumn("date", parse_date("date"))
-    out = declines(df, "date", "price", F.trunc("date", "month"), prev="prev_price")
-    got = sorted((r.date.isoformat(), r.price, r.prev_price) for r in out.collect())
-    assert got == [("2026-05-02", 900, 1000), ("2026-05-03", 850, 900),
-                   ("2026-05-05", 800, 950), ("2026-05-06", 700, 800)]
+    levels = [("2031-01-30", 40), ("2031-01-31", 44), ("2031-02-01", 41), ("2031-02-02", 41), ("2031-02-05", 3)]
+    df = spark.createDataFrame(levels, "day string, level int").withColumn("day", parse_date("day"))
+    out = declines(df, "day", "level", F.trunc("day", "month"), prev="before")
+    assert sorted((r.day.isoformat(), r.level, r.before) for r in out.collect()) == [
+        ("2031-02-01", 41, 44), ("2031-02-05", 3, 41)]
 
 
 def test_ordered_lag_across_sparse_buckets(spark):
