@@ -82,7 +82,7 @@ def resolve_aliases(columns: list, aliases: dict = COLUMN_ALIASES) -> dict:
         candidates = [std] + [n for n in names if n != std]
         hits = [c for c in candidates if c in cols]
         if len(hits) > 1:
-            raise ConformError(f"Multiple columns found for {std}: {hits}")
+            raise ConformError(f"ambiguous header: {hits} all stand for {std}")
         if hits:
             mapping[std] = hits[0]
     return mapping

@@ -1,12 +1,12 @@
 """Data-quality split: rows with a NULL key are quarantined, the rest are good.
 
-Counts are gathered with an ``Observation`` on the same pass that writes the
-data, instead of separate ``count()`` actions that would re-read the input.
+The ingest job gathers its counts with an ``Observation`` on the same pass that
+writes the data, instead of separate ``count()`` actions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEY_COLUMN = "customer_id"
@@ -22,15 +22,6 @@ def split_by_key(df: DataFrame, key: str = KEY_COLUMN) -> tuple[DataFrame, DataF
     return df.where(~is_bad(key)), df.where(is_bad(key))
 
 
-def observe_quality(df: DataFrame, key: str = KEY_COLUMN,
-                    name: str = "quality") -> tuple[DataFrame, Observation]:
-    """Attach row and bad-row counters; read them after the first action."""
-    obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.count_if(is_bad(key)).alias("bad"))
-    return observed, obs
-
-
 def quality_counts(df: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
     """One row ``(total_rows, good_rows, bad_rows)`` from a single aggregate."""
     return df.agg(F.count(F.lit(1)).alias("total_rows"),

@@ -1,35 +1,45 @@
 """The incremental ingest job: new files -> conformed, typed, partitioned table.
 
 One run (``run_batch`` = ``plan_batch`` then ``process_batch``, which can also
-run as two separate jobs):
+run as two separate jobs) takes one bounded batch; ``run_until_drained`` repeats
+it until nothing is left:
 
 1. take the cutoff (last completed second) *before* listing;
-2. if the newest ledger batch never finished, re-run exactly that batch
-   (same id, same files); otherwise
-3. list the landing folder (Spark listing), keep files with
-   ``watermark < mtime <= cutoff``, mint ``batch_id``/``process_date``;
-   no files -> ledger ``NO_FILES``, watermark -> cutoff, stop;
-4. ledger ``PLANNED`` (with the file list);
-5. read the files grouped by header, standardize each group, union by name;
+2. if a batch never finished, re-run exactly that batch (same id, same files);
+   otherwise
+3. list the landing folder (Spark listing, every name) and keep the files with
+   ``mtime <= cutoff`` that no batch has taken yet (an anti-join of the listing
+   with the ``files`` control table on path and mtime). The oldest ones, up to
+   ``max_files`` and ``max_bytes``, are the batch; with files left over, the batch's
+   cutoff is lowered to before the first of them. No files -> ledger
+   ``NO_FILES``, watermark -> cutoff, stop;
+4. append the batch's files to ``files``, then the ledger's ``PLANNED`` row;
+5. read the files grouped by header, standardize each group, union by name. A
+   file that is gone, or whose header cannot be mapped, is rejected on its own;
 6. write good rows to the curated table, counting rows and bad rows with an
    ``Observation`` on the same pass; quarantine bad rows beside the table;
-7. ledger ``SUCCESS`` with counts: the single commit point, which also moves
-   the watermark (it is the newest cutoff of a finished ledger row).
-
-Any failure in 5-7 appends a ``FAILED`` ledger row (with the error) and
-re-raises; the watermark does not move, so the next run retries the batch.
-With ``replay_safe`` (the default) the table is partitioned by
-(process_date, batch_id) and written with dynamic partition overwrite, so a
-retried batch replaces its own partitions and never duplicates rows; with it
-off, the table is a plain append partitioned by process_date (a batch re-run
-after its data write but before its ledger commit would then add its rows
-twice).
+7. outcomes of the files, then ledger ``SUCCESS`` with counts: the single commit
+   point, which also moves the watermark.
+
+Any failure in 5-7 appends a ``FAILED`` ledger row (with the whole error) and
+re-raises; the watermark does not move, so the next run retries the batch,
+unless it is given up with ``abandon_batch``. With ``replay_safe`` (the default)
+the table is partitioned by (process_date, batch_id) and written with dynamic
+partition overwrite, so a retried batch replaces its own partitions and never
+duplicates rows; with it off, the table is a plain append partitioned by
+process_date (a batch re-run after its data write but before its ledger commit
+would then add its rows twice).
+
+Because files are chosen by what was taken and not by the watermark alone, a
+file that appears late with an old mtime, in an old day folder, or beside files
+of the same second is never skipped. Names Spark's readers cannot see (a leading
+``_`` or ``.``) are recorded in ``files`` as ``HIDDEN`` and counted in the ledger.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +51,7 @@ from ..operators.quality import KEY_COLUMN, is_bad
 from ..sinks import ledger as L
 from ..sinks.tables import write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
-from ..sources.manifest import list_files
+from ..sources.manifest import hidden_files, list_files
 
 
 @dataclass
@@ -50,10 +60,13 @@ class IngestConfig:
     target: str                  # curated table path
     control: str                 # folder for the ledger table
     version: str = "v2"          # "v1": fixed renames, no split; "v2": aliases + quality split
-    glob: str | None = "*.csv"
+    glob: str | None = None      # an optional filter on names; by default every file counts
     day_folders: str | None = None   # e.g. "%Y/%m/%d": landing laid out by arrival day
+    margin_days: int = 1             # day folders listed before the watermark's day
+    full_listing_every: int = 24     # with day folders: every so many runs list everything
     replay_safe: bool = True         # False: plain append by process_date only
-    max_files: int | None = None     # bound a batch: oldest files first, cutoff lowered to fit
+    max_files: int = 10_000          # bounds of one batch, and so of the paths the driver
+    max_bytes: int = 1 << 40         # holds; the rest waits for the next batch
     fmt: str = "parquet"
 
 
@@ -71,17 +84,19 @@ SOURCE_FILE = "__source_file"
 
 def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
                  cfg: IngestConfig) -> dict:
-    """Steps 5-6 for an explicit file list; returns the counts.
+    """Steps 5-6 for an explicit file list (one bounded batch); returns the counts, and
+    ``rejected``: (path, error) of files left out.
 
     One pass reads, standardizes and writes the good rows while an
     Observation counts rows, bad rows and conversion failures and collects the
-    (few) files that held bad rows. Only those files are read again, to write
-    the quarantine, so a clean batch is read once and a batch with one bad file
-    re-reads one file, not the batch."""
+    files that held bad rows (at most the batch's ``max_files`` paths). Only
+    those files are read again, to write the quarantine, so a clean batch is
+    read once and a batch with one bad file re-reads one file, not the batch."""
     step = standardize(cfg.version, batch_id, process_date)
-    df = read_csv_batch(spark, files, per_header=step, file_column=SOURCE_FILE)
+    rejected: list = []
+    df = read_csv_batch(spark, files, per_header=step, file_column=SOURCE_FILE, rejected=rejected)
     if df is None:
-        return {"records_processed": 0, "bad_records": 0, "cast_failures": None}
+        return {"records_processed": 0, "bad_records": 0, "cast_failures": None, "rejected": rejected}
     flags = failure_flags(df)
     split = cfg.version == "v2"       # the first-generation job has no quality split
     metrics = [F.count(F.lit(1)).alias("rows")]
@@ -102,50 +117,68 @@ def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
                          fmt=cfg.fmt, replay_safe=cfg.replay_safe)
     failures = {c[len(FAIL_PREFIX):]: int(m[c]) for c in flags}
     return {"records_processed": int(m["rows"]) - bad, "bad_records": bad,
-            "cast_failures": failures or None}
+            "cast_failures": failures or None, "rejected": rejected}
 
 
 def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:
-    """Step one (find the files): returns the batch to process as a dict.
+    """Step one (find the files): returns the batch to process as a dict, with its paths
+    under ``files``.
 
-    If the newest batch never finished it is returned again (same id, files
-    and cutoff) instead of planning a new one. Otherwise the landing folder is
-    listed and a ``PLANNED`` ledger row is appended, or, with no new files, a
-    ``NO_FILES`` row is appended and the watermark moves to the cutoff."""
+    A batch that never finished is returned again (same id, files and cutoff)
+    instead of planning a new one. Otherwise the landing folder is listed, and
+    the batch is recorded, or, with no new files, a ``NO_FILES`` row is appended
+    and the watermark moves to the cutoff."""
     pending, low = L.control_state(spark, cfg.control)
     if pending is not None:
         return dict(batch_id=pending["batch_id"], process_date=pending["process_date"],
                     low_watermark=L.as_utc(pending["low_watermark"]),
-                    watermark_ts=L.as_utc(pending["watermark_ts"]),
-                    files=list(pending["files"] or []), status=pending["status"])
+                    watermark_ts=L.as_utc(pending["watermark_ts"]), full_listing=pending["full_listing"],
+                    n_files=pending["n_files"], hidden_files=pending["hidden_files"],
+                    files=[p for p, _, _ in L.batch_files(spark, cfg.control, pending["batch_id"])],
+                    status=pending["status"])
     cutoff = cutoff or run_cutoff()
-    where = day_folders_glob(cfg.landing, cfg.day_folders, low, cutoff) if cfg.day_folders \
-        else cfg.landing
-    new = select_new_files(list_files(spark, where, cfg.glob), low, cutoff)
-    if cfg.max_files:
-        cutoff, new = _bounded(new, cutoff, cfg.max_files)
-    # The batch's own paths, one short string per file.
-    files = sorted(r["path"] for r in new.select("path").collect())
+    where, full = cfg.landing, True
+    if cfg.day_folders and low and L.runs_since_full_listing(spark, cfg.control) + 1 < cfg.full_listing_every:
+        where, full = day_folders_glob(cfg.landing, cfg.day_folders, low, cutoff, cfg.margin_days), False
+    taken = L.taken_files(spark, cfg.control)
+    new = (select_new_files(list_files(spark, where, cfg.glob), None, cutoff)
+           .join(taken, ["path", "modificationTime"], "left_anti"))
+    cutoff, files = _bounded(new, cutoff, cfg)
+    hidden = _new_hidden(spark, cfg, taken, cutoff) if full else []
     batch_id, process_date = batch_identity(cutoff)
-    base = dict(batch_id=batch_id, process_date=process_date, low_watermark=low,
-                watermark_ts=cutoff, files=files)
-    if not files:
-        # Finished row: also moves the watermark to the cutoff.
-        return L.record_batch(spark, cfg.control, **base, status=L.NO_FILES,
-                              records_processed=0, bad_records=0)
-    return L.record_batch(spark, cfg.control, **base, status=L.PLANNED)
-
-
-def _bounded(new, cutoff: datetime, max_files: int):
-    """Keep the oldest files of the window, at most ``max_files`` of them plus
-    any sharing the last one's mtime, and lower the cutoff to that mtime: the
-    watermark then never passes a file that was left for the next run."""
-    edge = (new.orderBy("modificationTime").limit(max_files)
-               .agg(F.max("modificationTime").alias("m"), F.count(F.lit(1)).alias("n")).first())
-    if edge["n"] < max_files:
-        return cutoff, new
-    bound = L.as_utc(edge["m"])
-    return min(cutoff, bound), new.where(F.col("modificationTime") <= F.lit(bound))
+    batch_id = L.unused_batch_id(spark, cfg.control, batch_id)
+    base = dict(batch_id=batch_id, process_date=process_date, low_watermark=low, watermark_ts=cutoff,
+                n_files=len(files), hidden_files=len(hidden), full_listing=full)
+    L.record_files(spark, cfg.control, batch_id, [(*f, "a name Spark's readers skip") for f in hidden], L.HIDDEN)
+    L.record_files(spark, cfg.control, batch_id, [(*f, None) for f in files], L.PLANNED)
+    # A batch without files is finished: it also moves the watermark to the cutoff.
+    counts = {} if files else dict(records_processed=0, bad_records=0, rejected_files=0)
+    row = L.record_batch(spark, cfg.control, **base, **counts, status=L.PLANNED if files else L.NO_FILES)
+    return {**row, "files": [p for p, _, _ in files]}
+
+
+def _bounded(new, cutoff: datetime, cfg: IngestConfig) -> tuple[datetime, list]:
+    """The oldest files of the listing within the bounds of a batch (one at least), and the
+    cutoff, lowered to before the first file that is left for the next batch."""
+    oldest = (new.orderBy("modificationTime", "path").limit(cfg.max_files + 1)
+              .select("path", "modificationTime", "length").collect())
+    files, size = [], 0
+    for r in oldest:
+        size += r["length"]
+        if files and (len(files) == cfg.max_files or size > cfg.max_bytes):
+            return min(cutoff, L.as_utc(r["modificationTime"]) - timedelta(microseconds=1)), files
+        files.append((r["path"], L.as_utc(r["modificationTime"]), r["length"]))
+    return cutoff, files
+
+
+def _new_hidden(spark: SparkSession, cfg: IngestConfig, taken, cutoff: datetime) -> list:
+    """Files no reader sees, not recorded yet (``(path, mtime, length)``)."""
+    found = [f for f in hidden_files(spark, cfg.landing) if f[1] <= cutoff]
+    if not found:
+        return []
+    rows = spark.createDataFrame(found, "path string, modificationTime timestamp, length bigint")
+    left = rows.join(taken, ["path", "modificationTime"], "left_anti").select("path", "modificationTime", "length")
+    return [(r["path"], L.as_utc(r["modificationTime"]), r["length"]) for r in left.collect()]
 
 
 def process_batch(spark: SparkSession, cfg: IngestConfig, batch: dict | None = None) -> dict:
@@ -159,17 +192,33 @@ def process_batch(spark: SparkSession, cfg: IngestConfig, batch: dict | None = N
         batch = plan_batch(spark, cfg)
     if batch.get("status") in L.TERMINAL:
         return batch
-    base = {k: batch[k] for k in ("batch_id", "process_date", "low_watermark", "watermark_ts", "files")}
+    base = {k: batch[k] for k in ("batch_id", "process_date", "low_watermark", "watermark_ts",
+                                  "n_files", "hidden_files", "full_listing")}
+    return {**finish(spark, cfg, base, batch["files"]), "files": batch["files"]}
+
+
+def finish(spark: SparkSession, cfg: IngestConfig, base: dict, files: list) -> dict:
+    """Load the files of a recorded batch and write its outcome to the control tables."""
     try:
-        counts = ingest_files(spark, base["files"], base["batch_id"], base["process_date"], cfg)
+        counts = ingest_files(spark, files, base["batch_id"], base["process_date"], cfg)
+        rejected = counts.pop("rejected")
+        L.record_files(spark, cfg.control, base["batch_id"], [(p, None, None, e) for p, e in rejected], L.REJECTED)
     except Exception as e:
-        L.record_batch(spark, cfg.control, **base, status=L.FAILED,
-                       error_message=f"{type(e).__name__}: {e}"[:4000])
+        L.record_batch(spark, cfg.control, **base, status=L.FAILED, error_message=f"{type(e).__name__}: {e}")
         raise
     # The commit point: batch done and watermark moved in one append.
-    return L.record_batch(spark, cfg.control, **base, status=L.SUCCESS, **counts)
+    return L.record_batch(spark, cfg.control, **base, status=L.SUCCESS, rejected_files=len(rejected), **counts)
 
 
 def run_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:
-    """One incremental run (plan + process); returns the final ledger row."""
+    """One incremental run (plan + process); returns the final ledger row, with ``files``."""
     return process_batch(spark, cfg, plan_batch(spark, cfg, cutoff))
+
+
+def run_until_drained(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> list:
+    """Bounded batches, each committed on its own, until the landing holds nothing new
+    as of one cutoff; returns their final ledger rows."""
+    cutoff, done = cutoff or run_cutoff(), []
+    while not done or done[-1]["status"] != L.NO_FILES:
+        done.append(run_batch(spark, cfg, cutoff))
+    return done

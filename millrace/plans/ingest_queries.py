@@ -21,15 +21,16 @@ from ..operators.conform import conform, transform_v1, transform_v2
 from ..operators.incremental import select_new_files
 from ..operators.quality import quality_counts, split_by_key
 from ..session import fresh_dir
+from ..sinks import ledger as L
 from ..sinks.tables import quarantine_path, write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
 from ..sources.manifest import list_files
 from ..sources.tables import read_curated, test_table
-from .ingest import IngestConfig, run_batch
+from .ingest import IngestConfig, run_batch, run_until_drained
 
 BATCH_ID, PROCESS_DATE = "batch_20260428_000000", "2026-04-28"
 
-# Header dialects (source names as a producer might send them).
+# Header dialects, source names that the aliases must know.
 DIALECT_A = ["transaction_id", "custId", "txnAmt", "transaction_timestamp", "country",
              "product_id", "quantity", "status"]
 DIALECT_B = ["Channel", "Qty", "TxnID", "Customer", "Amount", "Txn_Time", "Location", "PID",
@@ -145,8 +146,11 @@ def _bound(spark, sf, before: str):
 
 
 def q_incremental_window(spark: SparkSession, sf: str) -> DataFrame:
-    return select_new_files(_events_manifest(spark, sf), _bound(spark, sf, "2024-01-10"),
-                            _bound(spark, sf, "2024-01-20"))
+    # Both bounds from one aggregate, as a scalar subquery.
+    b = test_table(spark, sf, "events").agg(F.struct(*[
+        F.max(F.when(F.col("ts") < F.lit(day).cast("timestamp_ntz"), F.col("ts"))).alias(name)
+        for name, day in (("lo", "2024-01-10"), ("hi", "2024-01-20"))])).scalar()
+    return select_new_files(_events_manifest(spark, sf), b["lo"], b["hi"])
 
 
 def q_incremental_first_run(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,6 +229,92 @@ def q_ingest_batch_v1(spark: SparkSession, sf: str) -> DataFrame:
     return _expected_cols(read_curated(spark, cfg.target))
 
 
+def _put(spark: SparkSession, lines: DataFrame, path: str, mtime: datetime | None = None) -> None:
+    """Write one column of lines as the one file ``path``, optionally back-dated."""
+    folder = fresh_dir(spark, "file")
+    lines.coalesce(1).write.mode("append").text(folder)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    fs = to.getFileSystem(conf)
+    part = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder))
+            if s.getPath().getName().startswith("part-")][0]
+    fs.mkdirs(to.getParent())
+    fs.rename(part, to)
+    if mtime:
+        fs.setTimes(to, int(mtime.timestamp() * 1000), -1)
+
+
+def _csv_lines(spark: SparkSession, rows: DataFrame, blank: int = 0) -> DataFrame:
+    """Rows as CSV lines under a header, with some blank lines ahead of it."""
+    head = spark.createDataFrame([("",)] * blank + [(",".join(rows.columns),)], "value string").coalesce(1)
+    return head.union(rows.select(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in rows.columns])).coalesce(1))
+
+
+# Names that globs, URIs or name filters would miss; one eighth of the orders each.
+AWKWARD_NAMES = ["upper.CSV", "noextension", "txn 1.csv", "txn[1].csv", "100%.txt", "a{b}*#+ü.csv",
+                 "2026/01/02/back.csv", "late.csv"]
+
+
+def q_ingest_awkward_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """A landing of awkward names, leading blank lines, a back-dated day folder and,
+    after the first run, a late file much older than the watermark: every row of
+    ``orders`` with a customer arrives, exactly once."""
+    landing, orders = fresh_dir(spark, "landing"), _orders(spark, sf)
+    cfg = IngestConfig(landing=landing, target=fresh_dir(spark, "curated"), control=fresh_dir(spark, "control"))
+    for i, name in enumerate(AWKWARD_NAMES):
+        part = raw_transactions(orders.where(F.pmod("o_orderkey", F.lit(8)) == i), "AB"[i % 2])
+        if name == "late.csv":
+            run_batch(spark, cfg, cutoff=datetime.now(timezone.utc))
+        old = datetime(2026, 1, 2, tzinfo=timezone.utc) if i > 5 else None
+        _put(spark, _csv_lines(spark, part, blank=i % 3), f"{landing}/{name}", old)
+    run_until_drained(spark, cfg, cutoff=datetime.now(timezone.utc))
+    return _expected_cols(read_curated(spark, cfg.target))
+
+
+def _two_runs(spark: SparkSession, sf: str) -> IngestConfig:
+    cfg = IngestConfig(landing=_write_csv_landing(spark, sf), target=fresh_dir(spark, "curated"),
+                       control=fresh_dir(spark, "control"))
+    cutoff = datetime.now(timezone.utc)
+    run_batch(spark, cfg, cutoff=cutoff)
+    run_batch(spark, cfg, cutoff=cutoff)          # same cutoff: must not hide the first
+    return cfg
+
+
+def q_ingest_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """The run record of two runs with one cutoff: status and counts of each batch, the
+    rows of the table that carry the batch's id and date, whether it is the latest
+    batch, and whether the watermark stands at its cutoff."""
+    cfg = _two_runs(spark, sf)
+    states = L.batch_states(spark, cfg.control)
+    stamped = (read_curated(spark, cfg.target).groupBy("batch_id", "process_date")
+               .agg(F.count(F.lit(1)).alias("stamped_rows")))
+    latest = L.latest_batch(spark, cfg.control).select("batch_id", F.lit(True).alias("latest"))
+    mark = L.watermark(spark, cfg.control).scalar()
+    return (states.join(stamped, ["batch_id", "process_date"], "left").join(latest, "batch_id", "left")
+            .select("status", "records_processed", "bad_records", "rejected_files", "hidden_files",
+                    F.coalesce("stamped_rows", F.lit(0)).cast("long").alias("stamped_rows"),
+                    F.coalesce(F.col("cast_failures")["transaction_amount"], F.lit(0)).cast("long").alias("amount_failures"),
+                    F.coalesce("latest", F.lit(False)).alias("latest"),
+                    (F.col("watermark_ts") == mark).alias("at_watermark")))
+
+
+def q_ingest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The bad rows of a real run, as the job quarantines them."""
+    return _expected_cols(read_curated(spark, quarantine_path(_two_runs(spark, sf).target)))
+
+
+def q_ingest_all_bad(spark: SparkSession, sf: str) -> DataFrame:
+    """A landing of bad rows only: the table is there, typed and empty, and joins the
+    quarantine's rows."""
+    landing = fresh_dir(spark, "landing")
+    raw_transactions(_orders(spark, sf).where("o_orderstatus = 'P'"), "A").write \
+        .option("header", "true").mode("append").csv(landing)
+    cfg = IngestConfig(landing=landing, target=fresh_dir(spark, "curated"), control=fresh_dir(spark, "control"))
+    run_batch(spark, cfg, cutoff=datetime.now(timezone.utc))
+    return _expected_cols(read_curated(spark, cfg.target).withColumn("destination", F.lit("curated")).unionByName(
+        read_curated(spark, quarantine_path(cfg.target)).withColumn("destination", F.lit("quarantine"))))
+
+
 def q_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same through the availableNow file stream."""
     from ..streaming.ingest_stream import drain
@@ -252,6 +342,10 @@ QUERIES = {
     "ingest_batch": q_ingest_batch,
     "ingest_batch_v1": q_ingest_batch_v1,
     "ingest_stream": q_ingest_stream,
+    "ingest_awkward_landing": q_ingest_awkward_landing,
+    "ingest_ledger": q_ingest_ledger,
+    "ingest_quarantine": q_ingest_quarantine,
+    "ingest_all_bad": q_ingest_all_bad,
 }
 
 # Expected typed values, straight from orders.
@@ -314,4 +408,19 @@ SQL = {
     "ingest_batch": f"SELECT {_CORE}, {_CHANNEL_B} FROM ({_TYPED}) t WHERE customer_id IS NOT NULL",
 }
 SQL["ingest_stream"] = SQL["ingest_batch"]
+_KEY = "CAST(substr(transaction_id, 4) AS BIGINT)"
+SQL["ingest_awkward_landing"] = f"""
+    SELECT {_CORE}, CASE WHEN {_KEY} % 8 % 2 = 0 THEN NULL ELSE channel END AS channel
+    FROM ({_TYPED}) t WHERE customer_id IS NOT NULL"""
+SQL["ingest_ledger"] = f"""
+    SELECT 'SUCCESS' AS status, COUNT(customer_id) AS records_processed,
+           COUNT(*) - COUNT(customer_id) AS bad_records, CAST(0 AS BIGINT) AS rejected_files,
+           CAST(0 AS BIGINT) AS hidden_files, COUNT(customer_id) AS stamped_rows,
+           COUNT(*) - COUNT(transaction_amount) AS amount_failures, TRUE AS latest, TRUE AS at_watermark
+    FROM ({_TYPED}) t
+    UNION ALL
+    SELECT 'NO_FILES', 0, 0, 0, 0, 0, 0, FALSE, TRUE"""
+SQL["ingest_quarantine"] = f"SELECT {_CORE}, {_CHANNEL_B} FROM ({_TYPED}) t WHERE customer_id IS NULL"
+SQL["ingest_all_bad"] = f"""
+    SELECT {_CORE}, 'quarantine' AS destination FROM ({_TYPED}) t WHERE customer_id IS NULL"""
 SQL["ingest_batch_v1"] = f"SELECT {_CORE} FROM ({_TYPED}) t"

@@ -1,14 +1,15 @@
 """Control table: the batch ledger, which also carries the watermark.
 
-A small append-only Parquet table under a control folder. Nothing is
-overwritten in place: the state of a batch is its latest ledger row, the
-"latest batch" is the newest batch by cutoff, and the watermark is the newest
-cutoff among *finished* rows (``SUCCESS``, ``NO_FILES``, or an explicit
-``WATERMARK`` row). A crashed run therefore leaves history that a later run
-can read and finish, and a run's rows are only ever added.
-
-Commit order used by the ingest job: ledger ``PLANNED`` row (with the file
-list) -> data -> ledger ``SUCCESS`` row. That last single-file append is the
+Two append-only Parquet tables under a control folder. ``ledger`` has a few rows
+for each batch and no paths; ``files`` has a row for each file of a batch and
+one for its outcome. Nothing is overwritten in place: the state of a batch is
+its ``SUCCESS`` row if it has one, else its latest row; the "latest batch" is the
+newest batch by cutoff; and the watermark is the newest cutoff among *finished*
+rows (``SUCCESS``, ``NO_FILES``, or an explicit ``WATERMARK`` row). A crashed run
+therefore leaves history that a later run can read and finish.
+
+Commit order used by the ingest job: ``files`` rows -> ledger ``PLANNED`` row ->
+data -> outcomes of files -> ledger ``SUCCESS`` row. That last single-file append is the
 one commit point: it records the batch as done and moves the watermark at
 once, so no crash can leave a finished batch behind an old watermark (which
 would make the next run ingest its files again), and a failure before it
@@ -27,12 +28,19 @@ from ..sources.tables import path_exists
 
 
 LEDGER_SCHEMA = ("batch_id string, process_date date, low_watermark timestamp, "
-                 "watermark_ts timestamp, files array<string>, status string, "
-                 "records_processed bigint, bad_records bigint, error_message string, "
-                 "event_time timestamp, cast_failures map<string,bigint>")
+                 "watermark_ts timestamp, status string, n_files bigint, rejected_files bigint, "
+                 "hidden_files bigint, full_listing boolean, records_processed bigint, "
+                 "bad_records bigint, error_message string, event_time timestamp, "
+                 "cast_failures map<string,bigint>")
+FILES_SCHEMA = ("batch_id string, path string, modificationTime timestamp, length bigint, "
+                "state string, error string, event_time timestamp")
 PLANNED, SUCCESS, FAILED, NO_FILES = "PLANNED", "SUCCESS", "FAILED", "NO_FILES"
 WATERMARK = "WATERMARK"      # a watermark move that is not a batch (manual or imported)
-TERMINAL = (SUCCESS, NO_FILES, WATERMARK)
+ABANDONED = "ABANDONED"      # given up by hand; its files stay taken
+RELEASED = "RELEASED"        # given up by hand; its files may be taken again
+TERMINAL = (SUCCESS, NO_FILES, WATERMARK, ABANDONED, RELEASED)
+MOVES_WATERMARK = (SUCCESS, NO_FILES, WATERMARK)
+DONE, REJECTED, HIDDEN = "DONE", "REJECTED", "HIDDEN"    # outcomes of files
 
 
 def _ledger_path(control: str) -> str:
@@ -60,14 +68,6 @@ def record_batch(spark: SparkSession, control: str, **fields) -> dict:
     return row
 
 
-def ensure_ledger(spark: SparkSession, control: str) -> str:
-    """Create the (empty) ledger table if it does not exist yet; idempotent
-    (``mode("ignore")`` writes nothing when the table is there)."""
-    path = _ledger_path(control)
-    spark.createDataFrame([], LEDGER_SCHEMA).coalesce(1).write.mode("ignore").parquet(path)
-    return path
-
-
 def _existing_ledger(spark: SparkSession, control: str) -> DataFrame | None:
     """The ledger table, or ``None`` before its first row is written."""
     if path_exists(_ledger_path(control)) is False:
@@ -82,29 +82,86 @@ def _existing_ledger(spark: SparkSession, control: str) -> DataFrame | None:
 
 def ledger_rows(spark: SparkSession, control: str) -> DataFrame:
     """Every ledger row ever written (empty before the first run)."""
-    rows = _existing_ledger(spark, control)
-    return rows if rows is not None else spark.createDataFrame([], LEDGER_SCHEMA)
+    return _read(spark, _ledger_path(control), LEDGER_SCHEMA)
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A control table, empty before its first row."""
+    if path_exists(path) is False:
+        return spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def record_files(spark: SparkSession, control: str, batch_id: str, rows: list, state: str) -> None:
+    """Append one row for each ``(path, modificationTime, length, error)`` of one batch."""
+    if rows:
+        now = _now()
+        (spark.createDataFrame([(batch_id, p, m, n, state, e, now) for p, m, n, e in rows], FILES_SCHEMA)
+         .coalesce(1).write.mode("append").parquet(control.rstrip("/") + "/files"))
+
+
+def file_rows(spark: SparkSession, control: str) -> DataFrame:
+    """Every file row ever written."""
+    return _read(spark, control.rstrip("/") + "/files", FILES_SCHEMA)
+
+
+def taken_files(spark: SparkSession, control: str) -> DataFrame:
+    """``(path, modificationTime)`` of the files of all batches but released ones."""
+    freed = ledger_rows(spark, control).where(F.col("status") == RELEASED).select("batch_id")
+    return (file_rows(spark, control).where(F.col("state").isin(PLANNED, HIDDEN))
+            .join(freed, "batch_id", "left_anti").select("path", "modificationTime"))
+
+
+def batch_files(spark: SparkSession, control: str, batch_id: str) -> list:
+    """``(path, modificationTime, length)`` of one batch's files (bounded by the plan)."""
+    rows = file_rows(spark, control).where((F.col("batch_id") == batch_id) & (F.col("state") == PLANNED))
+    return sorted((r["path"], as_utc(r["modificationTime"]), r["length"]) for r in rows.collect())
+
+
+def abandon_batch(spark: SparkSession, control: str, batch_id: str, note: str | None = None,
+                  release: bool = False) -> None:
+    """Give up an unfinished batch, so that later files can be taken. Its files stay
+    recorded as taken, or with ``release`` may be taken by the next batch. The
+    watermark does not move."""
+    record_batch(spark, control, batch_id=batch_id, status=RELEASED if release else ABANDONED,
+                 error_message=note)
+
+
+def unused_batch_id(spark: SparkSession, control: str, batch_id: str) -> str:
+    """``batch_id``, or with a run suffix if the ledger already has it."""
+    same = F.col("batch_id").rlike(f"^{batch_id}(_r[0-9]+)?$")
+    n = ledger_rows(spark, control).where(same).select("batch_id").distinct().count()
+    return f"{batch_id}_r{n + 1}" if n else batch_id
 
 
 def batch_states(spark: SparkSession, control: str) -> DataFrame:
-    """Current state of each batch: its latest ledger row."""
+    """Current state of each batch: its ``SUCCESS`` row, else its latest row."""
     rows = ledger_rows(spark, control).where(F.col("status") != WATERMARK)
     cols = rows.columns
     return (rows.groupBy("batch_id")
-                .agg(F.max_by(F.struct(*cols), "event_time").alias("s"))
+                .agg(F.max_by(F.struct(*cols), F.struct(F.col("status") == SUCCESS, "event_time")).alias("s"))
                 .select("s.*"))
 
 
 def _state(spark: SparkSession, control: str, rows: DataFrame | None = None) -> DataFrame:
-    """One row, one global aggregate (no shuffle of ledger rows): ``latest``,
-    the newest row of the newest batch (by cutoff, then event time), and
-    ``last_processed_time``, the newest cutoff among finished rows."""
+    """One row, one global aggregate over the (path-free) ledger: ``latest``, the newest
+    row of the newest batch by cutoff, where a run that found nothing never hides
+    one that loaded data; ``last_processed_time``, the newest cutoff among finished
+    rows; and the time of the last finished run that listed the whole landing."""
     rows = rows if rows is not None else ledger_rows(spark, control)
-    is_batch = F.col("status") != WATERMARK
-    order = F.when(is_batch, F.struct("watermark_ts", "event_time"))
+    is_batch = (F.col("status") != WATERMARK) & F.col("watermark_ts").isNotNull()
+    order = F.when(is_batch, F.struct("watermark_ts", F.col("status") != NO_FILES,
+                                      F.col("status") == SUCCESS, "event_time"))
+    finished = F.col("status").isin(SUCCESS, NO_FILES)
     return rows.agg(
         F.max_by(F.struct(*rows.columns), order).alias("latest"),
-        F.max(F.when(F.col("status").isin(*TERMINAL), F.col("watermark_ts"))).alias("last_processed_time"))
+        F.max(F.when(F.col("status").isin(*MOVES_WATERMARK), F.col("watermark_ts"))).alias("last_processed_time"),
+        F.max(F.when(finished & F.col("full_listing"), F.col("event_time"))).alias("last_full"))
 
 
 def latest_batch(spark: SparkSession, control: str) -> DataFrame:
@@ -113,16 +170,23 @@ def latest_batch(spark: SparkSession, control: str) -> DataFrame:
 
 
 def control_state(spark: SparkSession, control: str):
-    """``(pending, watermark)`` from one small job: the newest batch if it did
-    not finish (``PLANNED``/``FAILED``, to be re-run before anything new) or
-    ``None``, and the watermark as an aware UTC datetime or ``None``."""
+    """``(pending, watermark)``: the newest batch that did not finish
+    (``PLANNED``/``FAILED``, to be re-run before anything new) or ``None``, and the
+    watermark as an aware UTC datetime or ``None``."""
     rows = _existing_ledger(spark, control)
     if rows is None:                                 # first run: no job needed
         return None, None
-    row = _state(spark, control, rows).first()
-    latest = row["latest"]
-    pending = latest if latest is not None and latest["status"] not in TERMINAL else None
-    return pending, as_utc(row["last_processed_time"])
+    open_ = (batch_states(spark, control).where(~F.col("status").isin(*TERMINAL))
+             .orderBy(F.desc("event_time")).limit(1).collect())
+    mark = _state(spark, control, rows).first()["last_processed_time"]
+    return (open_[0] if open_ else None), as_utc(mark)
+
+
+def runs_since_full_listing(spark: SparkSession, control: str) -> int:
+    """Finished runs after the last one that listed the whole landing."""
+    last = _state(spark, control).first()["last_full"]
+    rows = ledger_rows(spark, control).where(F.col("status").isin(SUCCESS, NO_FILES))
+    return rows.where(F.col("event_time") > F.lit(last)).count() if last else rows.count()
 
 
 def pending_batch(spark: SparkSession, control: str):

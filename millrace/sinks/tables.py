@@ -2,16 +2,48 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..sources.tables import path_exists
 
 PARTITION_COLUMNS = ("process_date",)
 
 
-def table_format(spark: SparkSession) -> str:
-    """``delta`` when the session is configured with the Delta catalog, else
-    ``parquet``. Delta itself is never reimplemented here."""
-    catalog = spark.conf.get("spark.sql.catalog.spark_catalog", "") or ""
-    return "delta" if "delta" in catalog.lower() else "parquet"
+def schema_path(path: str) -> str:
+    """The small table beside ``path`` that holds its schema, one row for each change."""
+    return path.rstrip("/") + "_schema"
+
+
+def recorded_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The table's schema as its writers recorded it, or ``None`` if none did."""
+    if path_exists(schema_path(path)) is False:
+        return None
+    try:
+        rows = spark.read.schema("schema string, at timestamp").parquet(schema_path(path)).collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
+    merged = StructType()
+    for r in sorted(rows, key=lambda r: r["at"]):
+        known = {f.name for f in merged.fields}
+        for f in StructType.fromJson(json.loads(r["schema"])).fields:
+            if f.name not in known:
+                merged = merged.add(f.name, f.dataType, True)
+    return merged if merged.fields else None
+
+
+def record_schema(df: DataFrame, path: str) -> None:
+    """Add a row to the schema table if ``df`` brings columns it does not have yet."""
+    spark, old = df.sparkSession, recorded_schema(df.sparkSession, path)
+    if {f.name for f in df.schema.fields} - {f.name for f in (old or StructType()).fields}:
+        (spark.createDataFrame([(df.schema.json(),)], "schema string").withColumn("at", F.current_timestamp())
+         .coalesce(1).write.mode("append").parquet(schema_path(path)))
 
 
 def write_curated(df: DataFrame, path: str, partition_by=PARTITION_COLUMNS,
@@ -25,7 +57,12 @@ def write_curated(df: DataFrame, path: str, partition_by=PARTITION_COLUMNS,
     only the partitions being written (dynamic partition overwrite), so
     re-running a batch replaces its own rows instead of duplicating them and
     leaves every other batch alone.
+
+    A Parquet table's schema is recorded beside it, so it can be read without
+    opening its files, also when every batch so far was empty.
     """
+    if fmt == "parquet":
+        record_schema(df, path)
     cols = list(partition_by)
     if replay_safe and "batch_id" not in cols:
         cols.append("batch_id")

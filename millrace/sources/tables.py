@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 
@@ -14,22 +16,23 @@ def test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_curated(spark: SparkSession, path: str, fmt: str = "parquet",
-                 merge_schema: bool = True) -> DataFrame:
-    """Read a curated table back. With ``merge_schema`` (the default) file
-    schemas are merged so columns added by later batches appear (NULL in older
-    files); that reads every footer (a distributed job), so a reader that knows
-    the schema is stable can turn it off. Partition columns come back typed
-    (``process_date`` as a date). Delta tables carry their own schema."""
+def read_curated(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Read a curated table back, with the schema its writers recorded: columns
+    added by later batches are NULL in older files, no footer is opened to find
+    them, and a table that has no rows yet is empty and typed. Without a record
+    (a table of another writer) the file schemas are merged, which reads every
+    footer. Partition columns come back typed (``process_date`` as a date).
+    Delta tables carry their own schema."""
+    from ..sinks.tables import recorded_schema
     if fmt == "delta":
         return spark.read.format("delta").load(path)
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
-
-
-def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """Read a control table with a fixed schema; a missing table is empty."""
+    schema = recorded_schema(spark, path)
+    if schema is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    if path_exists(path) is False:
+        return spark.createDataFrame([], schema)
     try:
-        return spark.read.schema(schema).format(fmt).load(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], schema)
@@ -37,14 +40,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parqu
 
 
 def path_exists(path: str) -> bool | None:
-    """Whether ``path`` exists, asked of the file system directly (metadata
-    only, no Spark job); ``None`` when Python cannot reach that file system, in
-    which case the caller lets Spark find out."""
-    try:
-        from pyarrow import fs
-        uri = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
-        filesystem, inner = fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:")
-                                                   else "file://" + uri)
-        return filesystem.get_file_info(inner).type != fs.FileType.NotFound
-    except Exception:
+    """Whether a local ``path`` exists, asked of the file system directly (metadata
+    only, no Spark job); ``None`` for any other file system, in which case the
+    caller lets Spark find out."""
+    if "://" in path and not path.startswith("file://"):
         return None
+    return os.path.exists(path.removeprefix("file:"))

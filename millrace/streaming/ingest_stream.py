@@ -8,9 +8,9 @@ batch id derived from the epoch, so a re-executed epoch (after a failure)
 writes the same batch id again; with ``replay_safe`` it replaces its own
 partitions.
 
-Differences from the mtime window, by design of the file source: a file
-rewritten under the same path is not picked up again, and a new file whose
-mtime is older than ``maxFileAge`` relative to the newest seen is ignored.
+A difference from the batch job, by design of the file source: a file rewritten
+under the same path is not picked up again. Late files are: the age limit of
+the source is set so that it drops none (see ``stream_files``).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.ingest import IngestConfig, ingest_files
+from ..plans.ingest import IngestConfig, finish
 from ..sinks import ledger as L
 from ..sources.manifest import stream_files
 
@@ -34,27 +34,22 @@ def start_stream_ingest(spark: SparkSession, cfg: IngestConfig, checkpoint: str
 
     Each micro-batch takes at most ``max_files_per_trigger`` files, so a
     backlog of millions of files becomes many bounded batches (bounded path
-    lists on the driver and in the ledger), not one huge one."""
+    lists on the driver), not one huge one."""
     checkpoint = checkpoint or cfg.control.rstrip("/") + "/stream_checkpoint"
     files = stream_files(spark, cfg.landing, cfg.glob, max_files_per_trigger)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.select("path", "modificationTime").collect()   # this epoch's files
+        rows = batch.select("path", "modificationTime", "length").collect()   # this epoch's files
         if not rows:
             return
-        paths = sorted(r["path"] for r in rows)
+        files_ = sorted((r["path"], L.as_utc(r["modificationTime"]), r["length"]) for r in rows)
         # Everything about the batch derives from its files, so a re-executed
         # epoch (same files) gets the same id, date and partitions.
-        newest = max(L.as_utc(r["modificationTime"]) for r in rows)
-        batch_id, process_date = f"stream_{epoch_id:010d}", f"{newest:%Y-%m-%d}"
-        base = dict(batch_id=batch_id, process_date=process_date, watermark_ts=newest, files=paths)
-        try:
-            counts = ingest_files(spark, paths, batch_id, process_date, cfg)
-        except Exception as e:
-            L.record_batch(spark, cfg.control, **base, status=L.FAILED,
-                           error_message=f"{type(e).__name__}: {e}"[:4000])
-            raise
-        L.record_batch(spark, cfg.control, **base, status=L.SUCCESS, **counts)
+        newest = max(m for _, m, _ in files_)
+        base = dict(batch_id=f"stream_{epoch_id:010d}", process_date=f"{newest:%Y-%m-%d}",
+                    watermark_ts=newest, n_files=len(files_))
+        L.record_files(spark, cfg.control, base["batch_id"], [(*f, None) for f in files_], L.PLANNED)
+        finish(spark, cfg, base, [p for p, _, _ in files_])
 
     w = files.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:

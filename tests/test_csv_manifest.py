@@ -34,12 +34,13 @@ def test_nothing_to_read(spark):
 
 
 def test_list_files(spark, workdir):
-    write(f"{workdir}/file1.txt", "data")
-    os.makedirs(f"{workdir}/sub", exist_ok=True)
-    m = list_files(spark, workdir, recursive=False)
-    rows = m.collect()
-    assert len(rows) == 1 and rows[0].path.endswith("file1.txt") and rows[0].length == 4
-    assert list_files(spark, f"{workdir}/missing").count() == 0
+    write(f"{workdir}/top.dat", "12345")
+    write(f"{workdir}/deep/er/low.dat", "1")
+    flat = {r.path.rsplit("/", 1)[1]: r.length for r in list_files(spark, workdir, recursive=False).collect()}
+    assert flat == {"top.dat": 5}
+    assert list_files(spark, workdir).count() == 2
+    assert list_files(spark, f"{workdir}/nowhere").columns == ["path", "modificationTime", "length"]
+    assert list_files(spark, f"{workdir}/nowhere").isEmpty()
 
 
 def _manifest(spark, rows):
@@ -47,10 +48,11 @@ def _manifest(spark, rows):
 
 
 def test_file_window(spark):
-    m = _manifest(spark, [("file1", dt.datetime(2024, 1, 1, 10)), ("file2", dt.datetime(2024, 1, 2, 10))])
-    got = select_new_files(m, "2024-01-01T12:00:00", "2024-01-03T00:00:00")
-    assert [r.path for r in got.collect()] == ["file2"]
-    assert select_new_files(_manifest(spark, []), "2024-01-01T00:00:00", "2024-01-02T00:00:00").count() == 0
+    stamps = [dt.datetime(2030, 6, d, h) for d in (1, 2, 3) for h in (0, 12)]
+    m = _manifest(spark, [(f"f{i}", t) for i, t in enumerate(stamps)])
+    got = select_new_files(m, "2030-06-01T11:59:59", "2030-06-02T12:00:00")
+    assert sorted(r.path for r in got.collect()) == ["f1", "f2", "f3"]
+    assert select_new_files(m.limit(0), "2030-06-01T00:00:00", "2030-06-04T00:00:00").isEmpty()
 
 
 def test_file_window_bounds_and_first_run(spark):
@@ -67,14 +69,14 @@ def test_run_cutoff_is_last_completed_second():
 
 
 def test_sniff_reads_first_nonempty_line_and_falls_back(spark, workdir):
-    from millrace.sources.csv import _headers_by_scan, sniff_headers
+    from millrace.sources.csv import _headers_by_spark, sniff_headers
     write(f"{workdir}/h1.csv", "\n\nx,y\n1,2\n")
     write(f"{workdir}/h2.csv", "﻿a,b\r\n1,2\r\n")
     write(f"{workdir}/empty.csv", "")
     heads = sniff_headers(spark, [f"{workdir}/h1.csv", f"{workdir}/h2.csv", f"{workdir}/empty.csv"])
     assert heads == {f"{workdir}/h1.csv": "x,y", f"{workdir}/h2.csv": "a,b"}
-    scanned = {r.file_path: r.header for r in _headers_by_scan(spark, [f"{workdir}/h1.csv"]).collect()}
-    assert list(scanned.values()) == ["x,y"]
+    by_spark = _headers_by_spark(spark, [f"{workdir}/h1.csv", f"{workdir}/h2.csv", f"{workdir}/empty.csv"])
+    assert by_spark == {f"file:{workdir}/h1.csv": "x,y", f"file:{workdir}/h2.csv": "a,b"}
 
 
 def test_sniff_distributed_for_many_files(spark, workdir, monkeypatch):

@@ -3,7 +3,7 @@ import os
 
 from millrace.operators import select_new_files, transform_v2
 from millrace.session import fresh_dir, shared_root
-from millrace.sinks import quarantine_path, table_format, write_curated, write_quarantine
+from millrace.sinks import quarantine_path, recorded_schema, write_curated, write_quarantine
 from millrace.sources import read_curated
 
 
@@ -14,8 +14,17 @@ def test_shared_folder_comes_from_the_session(spark):
     assert a != b and a.startswith(root)
 
 
-def test_table_format_defaults_to_parquet(spark):
-    assert table_format(spark) == "parquet"
+def test_schema_is_recorded_once_per_change(spark, workdir):
+    target = f"{workdir}/t"
+    one = spark.createDataFrame([("T1", "C1")], ["id", "cust"])
+    for i in range(2):
+        write_curated(transform_v2(one, f"b{i}", "2026-04-28"), target)
+    assert spark.read.parquet(f"{target}_schema").count() == 1
+    write_curated(transform_v2(one.selectExpr("*", "1 as more"), "b3", "2026-04-29"), target)
+    assert spark.read.parquet(f"{target}_schema").count() == 2
+    assert "more" in recorded_schema(spark, target).names
+    got = read_curated(spark, target)
+    assert got.where("more is null").count() == 2 and got.count() == 3
 
 
 def test_quarantine_beside_the_table_keeps_it_readable(spark, workdir):
@@ -27,7 +36,8 @@ def test_quarantine_beside_the_table_keeps_it_readable(spark, workdir):
     assert path == quarantine_path(target) and not path.startswith(target + "/")
     assert read_curated(spark, target).count() == 1
     assert read_curated(spark, path).count() == 1
-    assert sorted(os.listdir(workdir)) == ["curated", "curated_bad_records"]
+    assert sorted(os.listdir(workdir)) == ["curated", "curated_bad_records", "curated_bad_records_schema",
+                                           "curated_schema"]
 
 
 def test_window_bounds_accept_iso_strings_with_offsets(spark):
