@@ -16,16 +16,20 @@ change a component is found (up to a 64-bit hash collision).
    leave out hot shingles first, and use all shingles where the rest is too
    little (then both sets of a pair do). Signatures travel packed by bucket.
 3. *Star search.* In each group of nodes with a common signature the smallest
-   node is the pivot. A pivot's shingles are the query of a T-occurrence search
-   over the nodes it met: DivideSkip merges the short inverted lists with a
-   heap, binary-probes the long ones, and retains nodes that reach the overlap.
-   Pivots with many nodes are split into blocks.
+   node is the pivot. A node's sketch, one bit for each shingle's hash modulo a
+   power of two, bounds from below how many shingles two sets differ in; pivot
+   and node go on only if that leaves a link possible. Then a pivot's shingles
+   are the query of a T-occurrence search over the nodes it met: DivideSkip merges the
+   short inverted lists with a heap, binary-probes the long ones, and retains
+   nodes that reach the overlap. Pivots with many nodes are split into blocks.
 4. *Components* by alternating large and small stars, in checkpointed rounds.
-5. *Rest.* Groups whose nodes are still in different components are searched
-   node by node in blocks, with the same T-occurrence search, for links between
-   components. Groups of near copies are whole by then and emit nothing.
+5. *Rest.* In groups whose nodes are still in different components, the sketches
+   of nodes of different components are compared in blocks; where a link is
+   possible, the same T-occurrence search decides. Groups of near copies are
+   whole by then and emit nothing.
 
-No step forms the pairs of a group. Intermediate tables are Parquet in the
+Only sets that may still link are fetched, from one document of each node. No
+step forms the pairs of a group. Intermediate tables are Parquet in the
 shared folder, so lost executors only repeat their own tasks.
 
 Defined results: null or empty texts have an empty set and are their own
@@ -70,29 +74,55 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+#: Random 64-bit values of the bytes, and an odd base with its powers and their inverses.
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _COEFFICIENTS[0])
+_BASE = 0x2545F4914F6CDD1D
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_powers[0]) < n:
+        size = max(n, 1 << 16)
+        for k, r in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            x = np.full(size, r, np.uint64)
+            x[0] = 1
+            _powers[k] = np.multiply.accumulate(x)
+    return _powers[0], _powers[1]
 
 
-_HASH = _WordHash()
+SEGMENT = 1 << 20               # bytes hashed at once; segments end between words
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, in order. A word's hash is a polynomial over
+    its bytes, taken for all words at once from one running sum."""
+    out, at = [], 0
+    while at < len(data):
+        end = at + SEGMENT
+        if end < len(data):
+            spaces = [i for i in (data.find(c, end) for c in b" \t\n\x0b\x0c\r") if i >= 0]
+            end = min(spaces, default=len(data))
+        x = np.frombuffer(data, np.uint8, min(end, len(data)) - at, at)
+        at += len(x)
+        edge = np.flatnonzero(np.diff(_SPACE[x], prepend=True, append=True))
+        first, last = edge[::2], edge[1::2]
+        power, inverse = _power(len(x) + 1)
+        total = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(_BYTE[x] * power[:len(x)], out=total[1:])
+        out.append((total[last] - total[first]) * inverse[first])
+    return _mix(np.concatenate(out)) if out else np.zeros(0, _U)
 
 
 def shingle_set(text: str) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles. Words split on ASCII white space,
-    and only A-Z are lowered: exactly what bytes.lower and bytes.split do."""
-    words = text.encode("utf-8").lower().split()
-    if not words:
-        return np.zeros(0, _U)
-    if len(words) < WORDS:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], _U)
-    h = np.array(list(map(_HASH.__getitem__, words)), _U)
-    n = len(h) - WORDS + 1
-    total = h[:n] * _COEFFICIENTS[0]
-    for j in range(1, WORDS):
+    and only A-Z are lowered, which is what bytes.lower does."""
+    h = word_hashes(text.encode("utf-8").lower())
+    if not len(h):
+        return h
+    n = max(1, len(h) - WORDS + 1)
+    total = np.full(n, min(len(h), WORDS), np.uint64)
+    for j in range(min(len(h), WORDS)):
         total += h[j:j + n] * _COEFFICIENTS[j]
     return np.unique(_mix(total))
 
@@ -102,6 +132,30 @@ def fingerprint(shingles: np.ndarray) -> int:
     return int(np.int64(xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Bits at the shingles' hashes modulo the power of two above the set's size (64 at least)."""
+    size = max(64, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else 64
+    bits = np.zeros(size, bool)
+    bits[(_mix(shingles) & _U(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(sketch_: bytes, size: int) -> int:
+    """A sketch as an integer of ``size`` bytes: as if its hashes were taken modulo that."""
+    x, n = int.from_bytes(sketch_, "little"), len(sketch_)
+    while n > size:
+        n //= 2
+        x = (x | (x >> (8 * n))) & ((1 << (8 * n)) - 1)
+    return x
+
+
+def may_link(n: int, a: bytes, m: int, b: bytes) -> bool:
+    """False only if two sets of these sizes and sketches differ in too many shingles."""
+    size = min(len(a), len(b))
+    return (10 * min(n, m) >= 8 * max(n, m)
+            and (folded(a, size) ^ folded(b, size)).bit_count() <= (n + m) // 9)
+
+
 def overlap_needed(a, b):
     """Least intersection size for 100 * I >= 80 * U: I >= 4 (a + b) / 9."""
     return -(-4 * (a + b) // 9)
@@ -226,13 +280,15 @@ def _stored(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFra
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (null for an empty set), n, and on a batch's first row its frequent shingles."""
+    """doc_id, fp (null for an empty set), n, sketch, and on a batch's first row its
+    frequent shingles."""
     def work(ids, texts):
-        fps, ns, sets = [], [], {}
+        fps, ns, sketches, sets = [], [], [], {}
         for t in texts:
             s = shingle_set(t)
             ns.append(len(s))
             fps.append(fingerprint(s) if len(s) else None)
+            sketches.append(sketch(s) if len(s) else None)
             if len(s):
                 sets[fps[-1]] = s
         frequent: list[int] = []
@@ -247,8 +303,8 @@ def _nodes(docs: DataFrame) -> DataFrame:
             frequent = v[c >= least].astype(np.int64).tolist()
             counts = c[c >= least].tolist()
         pad = len(ids) - 1
-        return [ids, fps, ns, [frequent] + [None] * pad, [counts] + [None] * pad]
-    return map_batches(docs, "doc_id long, fp long, n long, frequent array<long>, counts array<long>", work)
+        return [ids, fps, ns, sketches, [frequent] + [None] * pad, [counts] + [None] * pad]
+    return map_batches(docs, "doc_id long, fp long, n long, sketch binary, frequent array<long>, counts array<long>", work)
 
 
 def _hot_shingles(nodes: DataFrame) -> np.ndarray:
@@ -324,11 +380,38 @@ def _groups(packed: DataFrame, buckets: int) -> DataFrame:
             .mapInArrow(run, "gid long, pivot long, fp long, m long"))
 
 
+BITS = 1 << 25                  # of the fixed-size filter of wanted ids (4 MB, whatever their number)
+
+
+def _filtered(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` without most of the rows whose id is not wanted, so that they are not shuffled.
+    The filter never loses a wanted row; the join after it is exact."""
+    spot = F.pmod(F.xxhash64("key"), F.lit(BITS))
+    maps = (wanted.select(spot.alias("spot"))
+            .groupBy(F.bitmap_bucket_number("spot").alias("b"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect())
+    parts = {r.b: bytes(r.bits) for r in maps}
+    width = 8 * 4096
+    bits = np.zeros((BITS // width + 2) * width, bool)
+    for b, raw in parts.items():
+        bits[b * width:(b + 1) * width] = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")
+    bits = np.packbits(bits)
+    at = (F.bitmap_bucket_number(spot) * width + F.bitmap_bit_position(spot)).alias("at")
+
+    def run(batches):
+        own = np.unpackbits(bits).astype(bool)
+        for b in batches:
+            keep = own[b.column(2).to_numpy()]
+            yield b.select(["doc_id", "text"]).filter(pa.array(keep, pa.bool_()))
+    return (docs.withColumn("key", F.col("doc_id")).select("doc_id", "text", at)
+            .mapInArrow(run, "doc_id long, text string"))
+
+
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows fp, shingles (packed) for the wanted nodes, from one document of each."""
     one = (nodes.filter(F.col("fp").isNotNull()).join(wanted.select("fp"), "fp", "left_semi")
            .groupBy("fp").agg(F.min("doc_id").alias("key")))
-    texts = docs.join(one, F.col("doc_id").eqNullSafe(F.col("key"))).select("fp", "text")
+    texts = _filtered(docs, one).join(one, F.col("doc_id").eqNullSafe(F.col("key"))).select("fp", "text")
 
     def work(fps, texts):
         sets = [shingle_set(t) for t in texts]
@@ -338,8 +421,21 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(texts, "fp long, shingles binary", work).dropDuplicates(["fp"])
 
 
-def _searched(rows: DataFrame, keys: list[str], search) -> DataFrame:
-    """Run ``search(list of (side, fp, label, set)) -> links`` on each group of ``keys``."""
+def _possible(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The (pivot, fp) rows whose sketches leave a link possible."""
+    one = nodes.select("fp", "n", "sketch")
+    both = (edges.join(one, "fp").select("pivot", F.col("fp").alias("other"), F.col("n").alias("m"),
+                                         F.col("sketch").alias("theirs"))
+            .join(one, F.col("pivot") == F.col("fp")).select("pivot", "other", "n", "sketch", "m", "theirs"))
+
+    def work(pivots, others, n, a, m, b):
+        at = [i for i in range(len(n)) if may_link(n[i], a[i], m[i], b[i])]
+        return [[pivots[i] for i in at], [others[i] for i in at]]
+    return map_batches(both, "pivot long, fp long", work)
+
+
+def _by_group(rows: DataFrame, keys: list[str], values: list[str], search) -> DataFrame:
+    """Rows u, v from ``search(list of value tuples)`` on each group of ``keys``."""
     def run(batches):
         key, group = None, []
         for b in batches:
@@ -348,16 +444,15 @@ def _searched(rows: DataFrame, keys: list[str], search) -> DataFrame:
                     yield out(search(group))
                     group = []
                 key = row[:len(keys)]
-                side, fp, label, packed = row[len(keys):]
-                group.append((side, fp, label, np.frombuffer(packed, _U)))
+                group.append(row[len(keys):])
         if group:
             yield out(search(group))
 
     def out(links):
         return pa.RecordBatch.from_arrays(
             [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["u", "v"])
-    return (rows.select(*keys, "side", "fp", "label", "shingles").repartition(*keys)
-            .sortWithinPartitions(*keys, "side", "fp").mapInArrow(run, "u long, v long"))
+    return (rows.select(*keys, *values).repartition(*keys).sortWithinPartitions(*keys, *values[:2])
+            .mapInArrow(run, "u long, v long"))
 
 
 def _star_links(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -369,63 +464,57 @@ def _star_links(edges: DataFrame, sets: DataFrame) -> DataFrame:
                        F.lit(1).alias("side")))
     queries = blocks.select("pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
                             F.col("pivot").alias("fp"), F.lit(0).alias("side"))
-    rows = members.unionByName(queries).join(sets, "fp").withColumn("label", F.lit(0).cast("long"))
+    rows = members.unionByName(queries).join(sets, "fp")
 
     def search(group):
-        links, query = [], None
         if group[0][0] != 0:
-            return links
-        query, others = group[0], group[1:]
+            return []
+        (_, pivot, query), others = group[0], group[1:]
+        query, links = np.frombuffer(query, _U), []
         for a in range(0, len(others), BLOCK):
             part = others[a:a + BLOCK]
-            links += [(query[1], part[i][1]) for i, _ in divide_skip(query[3], [x[3] for x in part])]
+            found = divide_skip(query, [np.frombuffer(x[2], _U) for x in part])
+            links += [(pivot, part[i][1]) for i, _ in found]
         return links
-    return _searched(rows, ["pivot", "block"], search)
+    return _by_group(rows, ["pivot", "block"], ["side", "fp", "shingles"], search)
 
 
-def _rest_links(groups: DataFrame, label: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between different components among the nodes of the same group."""
+def _rest_pairs(groups: DataFrame, label: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Nodes (pivot, fp) of one group but different components that may link."""
     rest = groups.filter("m > 2")
-    nodes = (rest.select("gid", "fp").unionByName(rest.select("gid", F.col("pivot").alias("fp")).distinct())
-             .join(label, "fp", "left").select("gid", "fp", F.coalesce("root", "fp").alias("label")))
-    open_ = (nodes.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                      F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("who"))
+    members = (rest.select("gid", "fp").unionByName(rest.select("gid", F.col("pivot").alias("fp")).distinct())
+               .join(label, "fp", "left").select("gid", "fp", F.coalesce("root", "fp").alias("label")))
+    open_ = (members.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                        F.count(F.lit(1)).alias("m"),
+                                        F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("who"))
              .filter("lo <> hi"))
     # Many signatures make the same group: search it once.
-    once = open_.groupBy("m", "who").agg(F.min("gid").alias("gid"))
-    once = once.withColumn("blocks", F.ceil(F.col("m") / BLOCK))
-    rows = (nodes.join(once, "gid").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks"))))
+    once = (open_.groupBy("m", "who").agg(F.min("gid").alias("gid"))
+            .withColumn("blocks", F.ceil(F.col("m") / BLOCK)))
+    rows = (members.join(once, "gid").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+            .join(nodes.select("fp", "n", "sketch"), "fp"))
     # Each pair of blocks meets in one task; a node goes to the pairs of its own block.
     pair = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     pair = pair.select("gid", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                       (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "label")
+                       (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "label", "n", "sketch")
 
     def search(group):
-        parent: dict[int, int] = {}
-
-        def root(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-        links = []
-        sides = {g[0] for g in group}
-        lab = np.array([g[2] for g in group])
-        left = np.array([g[0] == 0 for g in group])
-        sets_ = [g[3] for g in group]
-        for i, g in enumerate(group):
-            if len(sides) > 1 and g[0] == 1:
+        side, fp, label, n = (np.array([g[i] for g in group], np.int64) for i in range(4))
+        size = min(len(g[4]) for g in group)                 # bytes; fold all to the smallest
+        bits = np.frombuffer(b"".join(folded(g[4], size).to_bytes(size, "little") for g in group), _U)
+        bits = bits.reshape(len(group), -1)
+        halves, out = len(set(side)) > 1, []
+        for i in range(len(group)):
+            if halves and side[i] == 1:
                 continue
-            others = lab != g[2]
-            others &= ~left if len(sides) > 1 else np.arange(len(group)) > i
-            wanted = [j for j in np.flatnonzero(others) if root(g[2]) != root(group[j][2])]
-            for j, _ in divide_skip(g[3], sets_, np.array(wanted, int)) if wanted else ():
-                a, b = root(g[2]), root(group[j][2])
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    links.append((g[1], group[j][1]))
-        return links
-    return _searched(pair.join(sets, "fp"), ["gid", "x", "y"], search)
+            later = np.flatnonzero(side == 1) if halves else np.arange(i + 1, len(group))
+            later = later[(label[later] != label[i]) & (10 * np.minimum(n[later], n[i]) >= 8 * np.maximum(n[later], n[i]))]
+            differ = np.bitwise_count(bits[later] ^ bits[i]).sum(1)
+            for j in later[differ <= (n[later] + n[i]) // 9]:
+                out.append((min(fp[i], fp[j]), max(fp[i], fp[j])))
+        return out
+    found = _by_group(pair, ["gid", "x", "y"], ["side", "fp", "label", "n", "sketch"], search)
+    return found.select(F.col("u").alias("pivot"), F.col("v").alias("fp")).distinct()
 
 
 def components(spark: SparkSession, links: DataFrame, root: str, name: str) -> DataFrame:
@@ -460,17 +549,22 @@ def link_components(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     entries = nodes.agg(F.sum("n")).first()[0] or 0
     buckets = max(32, -(-entries // (2 * BUCKET_ENTRIES)))
     groups = _stored(spark, _groups(_packed_signatures(docs, hot, buckets), buckets), root, "groups")
-    edges = groups.select("pivot", "fp").distinct()
-    edges = _stored(spark, edges, root, "edges")
-    met = edges.select("fp").unionByName(edges.select(F.col("pivot").alias("fp"))).distinct()
-    sets = _stored(spark, _sets_of(docs, nodes, met), root, "sets")
-    links = _stored(spark, _star_links(edges, sets), root, "links")
-    first = _stored(spark, components(spark, links, root, "stars"), root, "first")
-    more = _stored(spark, _rest_links(groups, first, sets), root, "rest")
-    label = first
-    if not more.isEmpty():
-        whole = links.unionByName(more)
-        label = _stored(spark, components(spark, whole, root, "all"), root, "label")
+    one = _stored(spark, nodes.filter(F.col("fp").isNotNull()).select("fp", "n", "sketch").dropDuplicates(["fp"]),
+                  root, "sketches")
+
+    def links_of(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs that link, by T-occurrence search over their nodes' whole sets."""
+        ends = pairs.select("fp").unionByName(pairs.select(F.col("pivot").alias("fp"))).distinct()
+        sets = _stored(spark, _sets_of(docs, nodes, ends), root, f"{name}-sets")
+        return _stored(spark, _star_links(pairs, sets), root, f"{name}-links")
+
+    edges = _stored(spark, _possible(groups.select("pivot", "fp").distinct(), one), root, "edges")
+    links = links_of(edges, "star")
+    label = _stored(spark, components(spark, links, root, "stars"), root, "label")
+    pairs = _stored(spark, _rest_pairs(groups, label, one), root, "pairs")
+    if not pairs.isEmpty():
+        whole = links.unionByName(links_of(pairs, "rest"))
+        label = _stored(spark, components(spark, whole, root, "all"), root, "whole")
     ids = nodes.select("doc_id", "fp", "n").filter(F.col("fp").isNotNull())
     named = (ids.groupBy("fp").agg(F.min("doc_id").alias("lowest")).join(label, "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))

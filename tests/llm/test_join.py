@@ -77,6 +77,36 @@ def test_divide_skip_is_exact():
         assert sorted(nj.divide_skip(core, sets)) == want
 
 
+def test_word_hashes_tell_words_apart_wherever_they_stand(monkeypatch):
+    rng = np.random.default_rng(6)
+    words = sorted({bytes(rng.integers(97, 100, int(rng.integers(1, 9))).astype(np.uint8)) for _ in range(3000)}
+                   | {"é".encode(), "日本".encode(), b"\x00", b"\x00\x00", b"x" * 5000})
+    one = {w: int(nj.word_hashes(w)[0]) for w in words}
+    assert len(set(one.values())) == len(words)
+    for size in (nj.SEGMENT, 7):
+        monkeypatch.setattr(nj, "SEGMENT", size)
+        order = rng.permutation(len(words))
+        text = b" \n\t".join(words[i] for i in order) + b"\r"
+        assert [int(h) for h in nj.word_hashes(b"\x0b" + text)] == [one[words[i]] for i in order]
+    assert len(nj.word_hashes(b"")) == len(nj.word_hashes(b" \n ")) == 0
+
+
+def test_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(3)
+    ruled_out = 0
+    for _ in range(2000):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([rng.choice(a, int(rng.integers(1, len(a) + 1)), replace=False),
+                                      rng.integers(0, 1 << 63, int(rng.integers(0, n // 4 + 2))).astype(np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        ok = nj.may_link(len(a), nj.sketch(a), len(b), nj.sketch(b))
+        if 100 * common >= 80 * (len(a) + len(b) - common):
+            assert ok
+        ruled_out += not ok
+    assert ruled_out > 1000
+
+
 def test_all_documents_against_sql(spark, docs):
     con = duckdb.connect()
     con.register("documents", docs.select("doc_id", "text").toArrow())
