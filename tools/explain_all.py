@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from millrace import plans  # noqa: E402
 from millrace.session import build_session  # noqa: E402
 
 
@@ -37,7 +37,7 @@ def main(argv) -> int:
     spark = build_session("local[8]", shuffle_partitions=16)
     print(f"# Physical plans (final AQE plans, {os.path.basename(sf)}, local[8])\n")
     print("Generated by `tools/explain_all.py`. Scan lines show what reached the Parquet reader.\n")
-    for name, fn in E.queries().items():
+    for name, fn in plans.registry().items():
         df = fn(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         df.collect()
