@@ -9,9 +9,8 @@ from the stored ids by one numpy gather. The store is emptied when it reaches
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable, Sequence
-
-from itertools import chain
+from collections.abc import Callable, Hashable
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -19,7 +18,9 @@ LONG_CHUNK = 64
 
 
 class ChunkStore:
-    def __init__(self, encode: Callable[[list], list[Sequence[int]]], most: int = 400_000):
+    """``encode``: distinct chunks -> the ids of each as packed 32-bit integers."""
+
+    def __init__(self, encode: Callable[[list], list[bytes]], most: int = 600_000):
         self.encode, self.most = encode, most
         self.clear()
 
@@ -28,7 +29,7 @@ class ChunkStore:
         self.start = np.zeros(1024, np.int64)
         self.size = np.zeros(1024, np.int64)
         self.flat = np.zeros(8192, np.int32)
-        self.used = 0
+        self.rows = self.used = 0
 
     def _grown(self, a: np.ndarray, least: int) -> np.ndarray:
         if least <= len(a):
@@ -39,47 +40,37 @@ class ChunkStore:
 
     def _add(self, chunks: list) -> None:
         ids = self.encode(chunks)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, total = len(self.row), int(sizes.sum())
-        self.start = self._grown(self.start, first + len(ids))
-        self.size = self._grown(self.size, first + len(ids))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        end, total = self.rows + len(ids), int(sizes.sum())
+        self.start, self.size = self._grown(self.start, end), self._grown(self.size, end)
         self.flat = self._grown(self.flat, self.used + total)
-        self.size[first:first + len(ids)] = sizes
-        self.start[first:first + len(ids)] = self.used + np.cumsum(sizes) - sizes
-        self.flat[self.used:self.used + total] = np.array(list(chain.from_iterable(ids)), np.int32)
-        self.used += total
-        self.row.update(zip(chunks, range(first, first + len(chunks))))
+        self.size[self.rows:end] = sizes
+        self.start[self.rows:end] = self.used + np.cumsum(sizes) - sizes
+        self.flat[self.used:self.used + total] = np.frombuffer(b"".join(ids), np.int32)
+        self.row.update(zip(chunks, range(self.rows, end)))
+        self.rows, self.used = end, self.used + total
 
     def texts(self, texts: list[list]) -> list[np.ndarray]:
         """Ids of each text, given as its list of chunks."""
-        row = self.row
-        missing = sorted(set().union(*texts) - row.keys())
+        chunks = list(chain.from_iterable(texts))
+        rows = np.fromiter(map(self.row.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(rows < 0).tolist()
         if missing:
-            self._add(missing)
-        sizes_of = [len(t) for t in texts]
-        rows = np.array(list(map(row.__getitem__, chain.from_iterable(texts))), np.int64)
+            new = list({chunks[i] for i in missing})
+            self._add(new)
+            rows[missing] = [self.row[chunks[i]] for i in missing]
         size = self.size[rows]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        gather = np.arange(total) + np.repeat(self.start[rows] - (ends - size), size)
-        out = self.flat[gather]
-        upto = np.concatenate([[0], ends])[np.cumsum([0, *sizes_of])]
-        result = [out[a:b] for a, b in zip(upto, upto[1:])]
-        if len(row) > self.most or self.used > 16 * self.most or \
-                any(len(c) > LONG_CHUNK for c in missing):
-            for c in [c for c in missing if len(c) > LONG_CHUNK]:
-                del row[c]          # its ids stay in flat until the next clear
-            if len(row) > self.most or self.used > 16 * self.most:
+        out = self.flat[np.arange(total) + np.repeat(self.start[rows] - (ends - size), size)]
+        upto = np.concatenate([[0], ends])[np.cumsum([0, *map(len, texts)])]
+        if missing:
+            for c in new:
+                if len(c) > LONG_CHUNK:
+                    del self.row[c]         # its ids stay in the arrays until the next clear
+            if self.rows > self.most or self.used > 8 * self.most:
                 self.clear()
-            else:
-                self._repack()
-        return result
-
-    def _repack(self) -> None:
-        """Row numbers must stay dense, so drop the holes that removed chunks left."""
-        rows = np.fromiter(self.row.values(), np.int64, len(self.row))
-        self.start[:len(rows)], self.size[:len(rows)] = self.start[rows], self.size[rows]
-        self.row = {c: i for i, c in enumerate(self.row)}
+        return [out[a:b] for a, b in zip(upto, upto[1:])]
 
 
 def in_groups(n_items: int, weight: Callable[[int], int], most: int = 1 << 21):

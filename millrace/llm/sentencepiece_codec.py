@@ -25,6 +25,7 @@ import functools
 import re
 import struct
 import zlib
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -184,17 +185,18 @@ class Codec:
             rf"{MARK}*[^{MARK}\n]+|{MARK}+" if self.cut_marks and self.cut_lines else
             rf"{MARK}*[^{MARK}]+|{MARK}+" if self.cut_marks else
             r"[^\n]+" if self.cut_lines else r"(?s:.+)"))
-        # With an identity normaliser, segments can be checked one by one behind a line
+        # With an identity normaliser and no unknown pieces (neighbours among those are
+        # fused), segments can be checked one by one behind a line
         # break, which no piece crosses. Otherwise whole texts are compared.
         m = self.model
-        self.by_segment = bool(self.cut_marks and self.cut_lines and m.escape
+        self.by_segment = bool(self.cut_marks and self.cut_lines and m.escape and m.byte_fallback
                                and not m.charsmap and not m.squeeze)
         self.ahead = self.reference.encode("\n") if self.by_segment else []
         self.bad: set[str] = set()           # segments on which the two libraries differ
         self.lossy: set[str] = set()         # segments that decode to something else
         self.store = ChunkStore(self._encode)
 
-    def _encode(self, segments: list[str]) -> list[list[int]]:
+    def _encode(self, segments: list[str]) -> list[bytes]:
         if len(self.bad) + len(self.lossy) > 100_000:
             self.bad, self.lossy = set(), set()
         own = [e.ids for e in self.bare.encode_batch(segments, add_special_tokens=False)]
@@ -209,7 +211,7 @@ class Codec:
                 self.bad.add(s)
             if text != "." + s.replace(MARK, " "):
                 self.lossy.add(s)
-        return exact
+        return [array("i", x).tobytes() for x in exact]
 
     @functools.cached_property
     def guard(self) -> list[int]:

@@ -26,6 +26,8 @@ import json
 import os
 import re
 import zlib
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -62,8 +64,9 @@ class WordEncoder:
     _L = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])"
     _SIGN = rb"[!-&(-/:-@\[-`{-~]"
     PART = re.compile(_L + rb"+(?=" + _SIGN + rb"|\Z)|" + _SIGN + rb"+(?=[a-z])")
-    PLAIN = re.compile(_L + rb"+\Z")
-    MOST = 600_000
+    WORD = re.compile(rb"(" + _L + rb"+)(" + _SIGN + rb"*)\Z")
+    SIGNS = frozenset(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+    MOST = 800_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -77,37 +80,48 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelled = {ord(c): spell.pre_tokenize_str(c)[0][0] for c in self.LETTERS}
-        self.known: dict[bytes, list[int]] = {}
-        self.store = ChunkStore(self.chunks, most=300_000)
-
-    def parts(self, chunk: bytes) -> list[bytes]:
+        self.known: dict[bytes, bytes] = {}         # part -> packed ids
+        self.store = ChunkStore(self.chunks)
+
+    def parts(self, chunk: bytes) -> tuple[bytes, ...]:
+        # By far the most: a word, then one sign or nothing.
+        if chunk.isalpha():
+            return (chunk,)
+        if chunk[-1] in self.SIGNS and chunk[:-1].isalpha():
+            return chunk[:-1], chunk[-1:]
+        m = self.WORD.match(chunk)
+        if m:
+            return m.groups() if m.end(1) < len(chunk) else (chunk,)
         if b"<|" in chunk:                  # may hold a special token
-            return [chunk]
+            return (chunk,)
         out, at = [], 0
         while at < len(chunk):
             m = self.PART.match(chunk, at)
             end = m.end() if m else len(chunk)
             out.append(chunk[at:end])
             at = end
-        return out
+        return tuple(out)
 
-    def chunks(self, chunks: list[bytes]) -> list[list[int]]:
+    def chunks(self, chunks: list[bytes]) -> list[bytes]:
         known = self.known
-        cut = [self.parts(c) for c in chunks] if self.cuts else [[c] for c in chunks]
-        new = sorted(set().union(*cut) - known.keys())
-        plain = {p for p in new if self.cuts and self.PLAIN.match(p)}
-        rest = [p for p in new if p not in plain]
-        tokenize, spelled = self.tk.model.tokenize, self.spelled
-        fresh = {p: [t.id for t in tokenize(p.decode("utf-8").translate(spelled))] for p in plain}
-        fresh |= zip(rest, (e.ids for e in self.tk.encode_batch(
-            [p.decode("utf-8") for p in rest], add_special_tokens=False)))
+        cut = [self.parts(c) for c in chunks] if self.cuts else [(c,) for c in chunks]
+        tokenize, spelled, rest, fresh = self.tk.model.tokenize, self.spelled, [], {}
+        for p in set(chain.from_iterable(cut)) - known.keys():
+            if self.cuts and p.isalpha() and p.islower():       # ASCII: spelled as it is
+                fresh[p] = array("i", [t.id for t in tokenize(p.decode("ascii"))]).tobytes()
+            elif self.cuts and (m := self.WORD.match(p)) and not m.group(2):
+                fresh[p] = array("i", [t.id for t in tokenize(p.decode("utf-8").translate(spelled))]).tobytes()
+            else:
+                rest.append(p)
+        for p, e in zip(rest, self.tk.encode_batch([p.decode("utf-8") for p in rest], add_special_tokens=False)):
+            fresh[p] = array("i", e.ids).tobytes()
         known |= fresh
-        out = [known[c[0]] if len(c) == 1 else [i for p in c for i in known[p]] for c in cut]
-        if len(known) > self.MOST:
-            known.clear()
+        out = [known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c]) for c in cut]
         for p in fresh:
             if len(p) > LONG_CHUNK:
-                known.pop(p, None)
+                del known[p]
+        if len(known) > self.MOST:
+            known.clear()
         return out
 
     def split(self, text: str) -> list[bytes]:
@@ -146,14 +160,18 @@ def encode_ranges(df: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END
         for b in batches:
             if not b.num_rows:
                 continue
-            ids = [np.append(x, np.int32(end_id)) for x in encode_texts(b.column(1).to_pylist(), path)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids = encode_texts(b.column(1).to_pylist(), path)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
             ends = np.cumsum(sizes)
+            flat = np.full(ends[-1], end_id, np.int32)
+            own = np.ones(len(flat), bool)
+            own[ends - 1] = False
+            flat[own] = np.concatenate(ids)
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(np.full(len(ids), part, np.int32)),
                 pa.array(start + ends - sizes), pa.array(sizes),
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                                         pa.array(np.concatenate(ids).astype(np.int32)))], schema=_ARROW)
+                                         pa.array(flat))], schema=_ARROW)
             start += int(ends[-1])
 
     return dealt.sortWithinPartitions(*order).mapInArrow(run, _DDL)

@@ -120,7 +120,7 @@ def whole(path, cache={}):
 
 
 @pytest.mark.parametrize("t", ["<|endoftext|> a<|endoftext|>b", "H̱ ẖ İ", "don't 's'sa .'s a.'re",
-                               "A.B.C a..b 1a2 ß÷é.", "ÀÉ À", "ﬁ İ ſ K", "a" * 500 + "." + "b" * 500])
+                               "A.B.C a..b 1a2 ß÷é.", "ÀÉ À", "ﬁ İ ſ K", "Word. ẃord. word' it's. x<| <|endoftext|. a\x00 b\x7f É. É̂.", "a" * 500 + "." + "b" * 500])
 def test_word_encoder_cases(t):
     path = public_tokenizers.path(token_orc.VOCABULARY)
     for _ in range(2):
