@@ -297,8 +297,8 @@ def _nodes(docs: DataFrame) -> DataFrame:
             values = np.concatenate(list(sets.values()))
             least = max(4, math.ceil(HOT / 2 * len(sets)))
             # Only hashes in often hit cells of a table can be frequent; count those.
-            cell = (values >> _U(40)).astype(np.int64)
-            often = values[np.bincount(cell, minlength=1 << 24)[cell] >= least]
+            cell = (values >> _U(44)).astype(np.int64)
+            often = values[np.bincount(cell, minlength=1 << 20)[cell] >= least]
             v, c = np.unique(often, return_counts=True)
             frequent = v[c >= least].astype(np.int64).tolist()
             counts = c[c >= least].tolist()
@@ -399,10 +399,10 @@ def _filtered(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     at = (F.bitmap_bucket_number(spot) * width + F.bitmap_bit_position(spot)).alias("at")
 
     def run(batches):
-        own = np.unpackbits(bits).astype(bool)
         for b in batches:
-            keep = own[b.column(2).to_numpy()]
-            yield b.select(["doc_id", "text"]).filter(pa.array(keep, pa.bool_()))
+            spots = b.column(2).to_numpy()
+            keep = (bits[spots >> 3] >> (7 - (spots & 7))) & 1
+            yield b.select(["doc_id", "text"]).filter(pa.array(keep.astype(bool)))
     return (docs.withColumn("key", F.col("doc_id")).select("doc_id", "text", at)
             .mapInArrow(run, "doc_id long, text string"))
 

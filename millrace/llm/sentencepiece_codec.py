@@ -194,7 +194,7 @@ class Codec:
         self.ahead = self.reference.encode("\n") if self.by_segment else []
         self.bad: set[str] = set()           # segments on which the two libraries differ
         self.lossy: set[str] = set()         # segments that decode to something else
-        self.store = ChunkStore(self._encode)
+        self.store = ChunkStore(self._encode, most=250_000)
 
     def _encode(self, segments: list[str]) -> list[bytes]:
         if len(self.bad) + len(self.lossy) > 100_000:
