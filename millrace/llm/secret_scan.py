@@ -12,9 +12,15 @@ it) and asks two questions:
   identifiers of the same length show, which gives a discovery p-value that a
   short token cannot make small.
 
-The discovery p-values of one document form one family; they go through a
-Benjamini-Hochberg step-up with weights by length (longer tokens carry more
-evidence), so the share of false finds stays at ``FDR``.
+``=`` belongs to a token only as trailing padding, so a value is a token without
+the name before it. Where a token is not found as a whole (a path that ends in a
+secret, a token that mixes alphabets, or one that a base find cuts into), its
+pieces between separators are tested, and the longest found ones reported.
+
+The discovery p-values of one document's tokens form one family, those of the
+pieces a second one; each goes through a Benjamini-Hochberg step-up with weights
+by length (longer tokens carry more evidence), so the share of false finds stays
+at ``FDR`` in each, and pieces never cost a whole token its find.
 
 The family is the document, so a result never depends on other rows: the scan
 is one narrow pass, with no shuffle, and any lost task is simply run again.
@@ -55,7 +61,10 @@ ORDINARY_AGREE = 0.060
 ORDINARY_CHANGE = 0.15
 LENGTH_UNIT = 32
 
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % TOKEN_LEAST)
+_TOKEN = re.compile(r"[A-Za-z0-9+/_-]{%d,}(?:=+(?![A-Za-z0-9+/_=-]))?" % TOKEN_LEAST)
+_PATH = re.compile(r"[^/]+")
+#: Cuts of a token that no alphabet holds: each leaves one alphabet's own signs.
+_MIXED = [re.compile(r"[^+/]+"), re.compile(r"[^_-]+")]
 
 _DIGITS = "0123456789"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -186,19 +195,45 @@ def step_up(tests: list[tuple[float, int]], level: float = FDR) -> list[bool]:
     return [x <= cut and cut > 0 or x == 0.0 for x in q]
 
 
+def _pieces(token: str, s: int, out: set[tuple[int, int]]) -> set[tuple[int, int]]:
+    """Spans of the parts of a token (which starts at ``s``) that are worth a test of their own."""
+    body = token.rstrip("=")
+    for cut in [_PATH] + (_MIXED if infer_encoding(body) is None else []):
+        for m in cut.finditer(body):
+            if TOKEN_LEAST <= m.end() - m.start() < len(body):
+                # Padding goes with the last part.
+                part = token[m.start():] if m.end() == len(body) else m.group()
+                span = (s + m.start(), s + m.start() + len(part))
+                if span not in out:
+                    out.add(span)
+                    _pieces(part, span[0], out)
+    return out
+
+
+def _accepted(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of a family of spans that the battery and the step-up take for random."""
+    held = [(span, r) for span in spans if (r := battery(text[span[0]:span[1]]))]
+    chosen = step_up([(r["p_ordinary"], r["length"]) for _, r in held])
+    return [span for (span, r), ok in zip(held, chosen) if ok and r["p_random"] >= RANDOM_LEVEL]
+
+
 def scan_text(text: str) -> list[tuple[int, int, str]]:
     """All spans of one text: base finds, then accepted random tokens elsewhere."""
     base = base_spans(text)
-    spots, tests, random_like = [], [], []
-    for m in _TOKEN.finditer(text):
-        s, e = m.span()
-        if not overlaps(s, e, base) and (r := battery(m.group())):
-            spots.append((s, e))
-            tests.append((r["p_ordinary"], r["length"]))
-            random_like.append(r["p_random"] >= RANDOM_LEVEL)
-    accepted = step_up(tests)
-    return base + [(s, e, "random") for (s, e), ok, like in zip(spots, accepted, random_like)
-                   if ok and like]
+    tokens = [m.span() for m in _TOKEN.finditer(text)]
+    whole = _accepted(text, [x for x in tokens if not overlaps(*x, base)])
+    pieces: set[tuple[int, int]] = set()
+    for s, e in set(tokens).difference(whole):
+        _pieces(text[s:e], s, pieces)
+    parts: list[tuple[int, int]] = []
+    last = -1
+    # Longest first among those that start together; a part inside a longer one adds nothing.
+    found = _accepted(text, sorted(x for x in pieces if not overlaps(*x, base)))
+    for s, e in sorted(found, key=lambda x: (x[0], -x[1])):
+        if e > last:
+            parts.append((s, e))
+            last = e
+    return base + [(s, e, "random") for s, e in sorted(whole + parts)]
 
 
 def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

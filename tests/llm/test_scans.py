@@ -96,6 +96,29 @@ def test_battery_finds_random_tokens_and_leaves_text():
     assert not [x for x in secret_scan.scan_text(prose) if x[2] == "random"]
 
 
+def test_battery_looks_behind_names_and_inside_paths():
+    rng = np.random.default_rng(7)
+    base62, base64, url = (list(dict(secret_scan.ENCODINGS)[k]) for k in ("base62", "base64", "base64url"))
+    draw = lambda alphabet: "".join(rng.choice(alphabet, 64))
+    forms = {"AUTH={}": base62, "PRIVATE_KEY={}": base64, "sig={}==": base64, "GET /x?key={}&v=1": url,
+             "/services/team0/channel/{}": base62, "a_very_long_variable_name_indeed={}": base62,
+             "export-of-the+{}": base62, "0123456789abcdef/{}": base62}
+    for form, alphabet in forms.items():
+        held = 0
+        for _ in range(40):
+            secret = draw(alphabet)
+            text = f"see {form.format(secret)} here"
+            spans = [(s, e) for s, e, k in secret_scan.scan_text(text) if k == "random"]
+            assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+            # A whole path may be found too; its span then holds the secret.
+            at = text.index(secret)
+            held += any(s <= at and at + len(secret) <= e for s, e in spans)
+        assert held >= 34, (form, held)
+    plain = ("name=state_of_the_art_implementation_of_things a=/usr/local/share/applications/configuration "
+             "the-long+name_of-a/path_that+mixes-signs/of_all+kinds-together x=" + "=" * 40)
+    assert not [x for x in secret_scan.scan_text(plain) if x[2] == "random"]
+
+
 def test_step_up_is_the_textbook_procedure_for_equal_lengths():
     rng = np.random.default_rng(3)
     for _ in range(200):
