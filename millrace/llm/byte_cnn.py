@@ -11,8 +11,11 @@ logit, and the mean logit over all chunks gives one probability.
 Training uses at most ``FIT_ROWS`` labelled documents of each class of up to
 ``FIT_BYTES`` bytes, taken in the order of a hash of the id, never from the
 held-out fold (documented bounds; the sample is read through a join with its
-own ids only). It runs on the driver with Adam and a fixed seed. Scoring is one
-narrow pass over every whole text.
+own ids only). It runs on the driver with Adam and a fixed seed. The sample's
+share of a class is not the table's, so after training the constant is moved by
+the difference of their log odds, the table's counted over all labels outside the
+held-out fold: scores do not depend on where the bound cuts. Scoring is one narrow
+pass over every whole text.
 
 Defined results: a null or empty text is scored like a text of zero bytes; null
 ids are held out; with no labels, or labels of one class only, every score is
@@ -127,12 +130,17 @@ def score_texts(net: Network, texts: list[str]) -> list[float]:
     return out
 
 
-def train(texts: list[str], labels: list[int]) -> Network:
-    """Adam on the log loss; only the positions that win a max-pool carry gradient."""
+def train(texts: list[str], labels: list[int], totals: tuple[int, int] | None = None) -> Network:
+    """Adam on the log loss; only the positions that win a max-pool carry gradient.
+
+    ``totals``: labels 0 and 1 of the whole table that the sample was drawn from
+    (the sample's own if not given).
+    """
     net = Network.start()
+    zeros, ones = totals or (len(labels) - sum(labels), sum(labels))
     if len(set(labels)) < 2:
         net.out[:] = 0
-        share = (sum(labels) + 1) / (len(labels) + 2)
+        share = (ones + 1) / (zeros + ones + 2)
         net.const = float(np.log(share / (1 - share)))
         return net
     y = np.array(labels, np.float32)
@@ -179,7 +187,7 @@ def train(texts: list[str], labels: list[int]) -> Network:
                 m1[k] += 0.1 * (grad[k] - m1[k])
                 m2[k] += 0.001 * (grad[k] ** 2 - m2[k])
                 p -= RATE * (m1[k] / (1 - 0.9 ** step)) / (np.sqrt(m2[k] / (1 - 0.999 ** step)) + 1e-8)
-    net.const = float(params["const"][0])
+    net.const = float(params["const"][0]) + float(np.log(ones / zeros) - np.log(y.mean() / (1 - y.mean())))
     return net
 
 
@@ -196,10 +204,11 @@ def fit_network(docs: DataFrame, labels: DataFrame) -> Network:
     # Not more than 2 * FIT_ROWS ids: a proven bound, so they may be broadcast.
     chosen = marked.filter("y = 1").orderBy(*order).limit(FIT_ROWS).unionByName(
         marked.filter("y = 0").orderBy(*order).limit(FIT_ROWS))
+    count = marked.agg(*[F.count_if(F.col("y") == k).alias(f"n{k}") for k in (0, 1)]).first()
     rows = (id_and_text(docs).filter(F.octet_length("text") <= FIT_BYTES)
             .join(F.broadcast(chosen), "doc_id").collect())
     sample = sorted({(r.doc_id, r.text, int(r.y)) for r in rows})
-    return train([t for _, t, _ in sample], [y for _, _, y in sample])
+    return train([t for _, t, _ in sample], [y for _, _, y in sample], (count.n0, count.n1))
 
 
 def classify(docs: DataFrame, labels: DataFrame, net: Network | None = None) -> DataFrame:

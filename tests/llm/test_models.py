@@ -112,6 +112,25 @@ def test_network_covers_whole_texts():
     assert abs(byte_cnn.score_text(net, big) - naive_score(net, big)) < 1e-4
 
 
+def test_scores_keep_the_share_of_the_table_when_the_sample_is_bounded(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, "".join(rng.choice(list("abcdefgh "), 200)), int(i % 10 > 0)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    means = []
+    for most in (byte_cnn.FIT_ROWS, 60):                   # texts say nothing: scores are about the share, 0.9
+        monkeypatch.setattr(byte_cnn, "FIT_ROWS", most)
+        monkeypatch.setattr(byte_cnn, "EPOCHS", 2)
+        got = byte_cnn.classify(df, df).collect()
+        means.append(np.mean([r.score for r in got]))
+        assert np.mean([r.predicted for r in got]) > 0.95
+    assert min(means) > 0.8 and abs(means[0] - means[1]) < 0.1
+
+
+def test_one_class_in_the_sample_gives_the_share_of_the_table():
+    net = byte_cnn.train(["a", "b"], [1, 1], (3, 9))
+    assert abs(byte_cnn.score_text(net, "a") - 10 / 14) < 1e-6
+
+
 def test_classifier_awkward_and_empty(spark, awkward, empty, labels):
     none = spark.createDataFrame([], "doc_id long, quality int, score double")
     assert {r.score for r in byte_cnn.classify(awkward, none).collect()} == {0.5}
