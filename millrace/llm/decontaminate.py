@@ -5,12 +5,19 @@ letters and non-ASCII characters make words). A first narrow pass counts the
 items' words over all documents. An item's n-gram is *rare* if, going by these
 counts, it would turn up by chance in less than one of ``RARE_WORDS`` words;
 counts of words, not of n-grams, so that an often leaked item keeps its seeds.
-Every item keeps at least its ``LEAST_SEEDS`` rarest ones.
+Every item keeps at least its ``LEAST_SEEDS`` rarest ones, and the rarest one of
+every five words, so that every excerpt (below) holds a seed.
 
 A second narrow pass looks for seeds in the documents. Each hit gives a window
 of the document as long as the item plus slack on both sides (hits on nearby
 diagonals share one), and a Smith-Waterman alignment of item and window scores
-exact, edited and partly reordered copies.
+exact, edited and partly reordered copies. A find is either
+
+* a copy of the item: at least ``COVER`` of its words and ``SCORE`` of the perfect
+  score (an item of ``LEAST_WORDS`` words or fewer may miss one word, if one of its
+  rare n-grams is there, and no word if not), or
+* an excerpt, whatever the item's length: ``EXCERPT`` equal words, and four more for
+  each word that differs, is missing or is too many. All excerpts are found.
 
 The test items are the stated query set. They are taken in blocks of about
 ``BLOCK_BYTES`` of text, one pair of passes each, so what is sent to executors
@@ -18,7 +25,8 @@ is bounded whatever the size of the benchmark, and no text is ever shuffled.
 
 Defined results: null or empty texts and items, and items of fewer than ``GRAM``
 words, match nothing; null ids are kept; repeated items are reported each;
-repeated rows give repeated results; a document matching one item in several
+repeated rows give repeated results; an item of four or five words whose edit
+leaves no ``GRAM`` words in a row is not found; a document matching one item in several
 places gives one row with its best place (ties: the first) and their number.
 """
 
@@ -42,6 +50,10 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 #: A find needs this share of the perfect score, this share of the item's words,
 #: and at least so many words (all, if the item has fewer).
 SCORE, COVER, LEAST_WORDS = 0.5, 0.55, 8
+#: Or this many equal words in an alignment in which an edit outweighs four of them.
+EXCERPT, EDIT = 13, -4 * MATCH
+#: Four equal words an edit and EXCERPT more: five of them stand in a row, however many edits.
+ROW = 5
 
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                for b in range(256))
@@ -80,39 +92,45 @@ class Seeds:
     first: np.ndarray
     item: np.ndarray
     offset: np.ndarray
+    rare: np.ndarray
 
 
 def rare_seeds(items: Items, counts: np.ndarray, total: int) -> Seeds:
     """``counts``: occurrences of each word number in the corpus of ``total`` words."""
     share = counts / max(1, total)
-    key, item, offset = [], [], []
+    key, item, offset, rare = [], [], [], []
     for i, x in enumerate(items.words):
         if len(x) < GRAM:
             continue
         chance = share[x[:-2]] * share[x[1:-1]] * share[x[2:]]
         cut = max(1 / RARE_WORDS, np.sort(chance)[min(LEAST_SEEDS, len(chance)) - 1])
-        at = np.flatnonzero(chance <= cut)
+        keep = chance <= cut
+        if len(x) >= EXCERPT:
+            rows = np.lib.stride_tricks.sliding_window_view(chance, ROW - GRAM + 1)
+            keep[rows.argmin(1) + np.arange(len(rows))] = True
+        at = np.flatnonzero(keep)
         key.append(items.keys(x)[at])
         item.append(np.full(len(at), i))
         offset.append(at)
+        rare.append(chance[at] <= 1 / RARE_WORDS)
     if not key:
         e = np.zeros(0, np.int64)
-        return Seeds(items, e, np.zeros(1, np.int64), e, e)
+        return Seeds(items, e, np.zeros(1, np.int64), e, e, e > 0)
     k, i, o = np.concatenate(key), np.concatenate(item), np.concatenate(offset)
     order = np.lexsort((o, i, k))
     keys, first = np.unique(k[order], return_index=True)
-    return Seeds(items, keys, np.append(first, len(k)), i[order], o[order])
+    return Seeds(items, keys, np.append(first, len(k)), i[order], o[order], np.concatenate(rare)[order])
 
 
-def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int, int]:
+def align(item: np.ndarray, window: np.ndarray, mismatch: int = MISMATCH, gap: int = GAP) -> tuple[int, int, int, int]:
     """Smith-Waterman on word numbers: (score, equal words, start, end) in the window."""
     n, m = len(item), len(window)
     h = np.zeros((n + 1, m + 1), np.int32)
-    slope = np.arange(m + 1, dtype=np.int32) * -GAP
+    slope = np.arange(m + 1, dtype=np.int32) * -gap
     for i in range(1, n + 1):
         row = np.zeros(m + 1, np.int32)
-        row[1:] = h[i - 1, :-1] + np.where(window == item[i - 1], MATCH, MISMATCH)
-        np.maximum(row, h[i - 1] + GAP, out=row)
+        row[1:] = h[i - 1, :-1] + np.where(window == item[i - 1], MATCH, mismatch)
+        np.maximum(row, h[i - 1] + gap, out=row)
         np.maximum(row, 0, out=row)
         h[i] = np.maximum.accumulate(row + slope) - slope       # gaps along the window
     best = int(h.max())
@@ -122,17 +140,19 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int, int]:
     end, equal = j, 0
     while h[i, j] > 0:
         same = window[j - 1] == item[i - 1]
-        if h[i, j] == h[i - 1, j - 1] + (MATCH if same else MISMATCH):
+        if h[i, j] == h[i - 1, j - 1] + (MATCH if same else mismatch):
             equal += int(same)
             i, j = i - 1, j - 1
-        elif h[i, j] == h[i - 1, j] + GAP:
+        elif h[i, j] == h[i - 1, j] + gap:
             i -= 1
         else:
             j -= 1
     return best, equal, j, end
 
 
-def needed_words(length: int) -> int:
+def needed_words(length: int, rare: bool = False) -> int:
+    if rare and GRAM < length <= LEAST_WORDS:
+        return length - 1
     return max(-(-int(100 * COVER) * length // 100), min(length, LEAST_WORDS))
 
 
@@ -149,15 +169,17 @@ def find_items(text: str, seeds: Seeds) -> list[tuple[int, float, int, int, int,
     at = np.searchsorted(seeds.keys, key)
     at[at == len(seeds.keys)] = 0
     hit = seeds.keys[at] == key
-    spots: dict[int, set[int]] = {}
+    spots: dict[int, dict[int, bool]] = {}
     for p, a in zip(known[hit], at[hit]):
         for s in range(seeds.first[a], seeds.first[a + 1]):
-            spots.setdefault(int(seeds.item[s]), set()).add(int(p - seeds.offset[s]))
+            own, d = spots.setdefault(int(seeds.item[s]), {}), int(p - seeds.offset[s])
+            own[d] = own.get(d, False) or bool(seeds.rare[s])
     out = []
     for i, diagonals in sorted(spots.items()):
         item = items.words[i]
-        need, slack = needed_words(len(item)), max(4, len(item) // 4)
+        slack = max(4, len(item) // 4)
         bag = np.unique(item, return_counts=True)
+        grams = np.unique(items.keys(item))
         best, places, last_end = None, 0, -1
         run: list[int] = []
         for d in [*sorted(diagonals), None]:
@@ -166,14 +188,19 @@ def find_items(text: str, seeds: Seeds) -> list[tuple[int, float, int, int, int,
                 continue
             a = max(0, run[0] - slack)
             window = x[a:run[-1] + len(item) + slack]
+            need = needed_words(len(item), any(diagonals[r] for r in run))
             run = [d] if d is not None else []
             # No alignment has more equal words than the two have words in common.
             there = np.bincount(window, minlength=len(items.number) + 1)[bag[0]] if len(items.number) < 4096 else \
                 np.array([(window == w).sum() for w in bag[0]])
-            if np.minimum(there, bag[1]).sum() < need:
-                continue
-            score, equal, s, e = align(item, window)
-            if equal >= need and score >= SCORE * MATCH * len(item):
+            score, equal, s, e = align(item, window) if np.minimum(there, bag[1]).sum() >= need else (0, 0, 0, 0)
+            found = equal >= need and score >= SCORE * MATCH * len(item)
+            # An excerpt has E >= EXCERPT + 4 X equal words in X + 1 rows, so E - 2 (X + 1) of its n-grams are the item's.
+            if not found and len(window) >= EXCERPT and \
+                    np.isin(items.keys(window), grams).sum() >= EXCERPT - GRAM + 1:
+                score, equal, s, e = align(item, window, EDIT, EDIT)
+                found = score >= EXCERPT * MATCH
+            if found:
                 if a + s >= last_end:
                     places += 1
                     last_end = a + e

@@ -205,6 +205,50 @@ def test_decontamination_edited_copies_hot_items_and_blocks(spark, monkeypatch):
         assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == {1001, 1002, 1003}
 
 
+def test_decontamination_excerpts_of_long_items():
+    """Excerpts are found whatever the item's length, exactly those that reach the strict score."""
+    rng = np.random.default_rng(12)
+    prose = lambda n: [f"w{v}" for v in rng.zipf(1.4, n) % 5000]
+    items = [prose(n) for n in (200, 59, 120, 1000)]
+    texts = []
+    for q in items:
+        for n in (11, 12, 13, 14, 17, 20, 30, 50):
+            for edits in range(4):
+                at = int(rng.integers(0, len(q) - n))
+                part = list(q[at:at + n])
+                for i in rng.choice(n, edits, replace=False):
+                    part[i] = "edited" if rng.random() < 0.6 else ""
+                texts.append(" ".join(prose(40) + part + prose(25)))
+    texts.append(" ".join(prose(30) + items[0][40:140] + prose(30)))
+    block = decontaminate.Items.of([(i, " ".join(q)) for i, q in enumerate(items)])
+    get = lambda t: np.array([block.number.get(w, 0) for w in decontaminate.words_of(t)])
+    counts = np.bincount(np.concatenate([get(t) for t in texts]), minlength=len(block.number) + 1)
+    seeds = decontaminate.rare_seeds(block, counts, int(counts.sum()))
+    new = 0
+    for t in texts:
+        x, got = get(t), {r[0] for r in decontaminate.find_items(t, seeds)}
+        for i, q in enumerate(block.words):
+            strict = decontaminate.align(q, x, decontaminate.EDIT, decontaminate.EDIT)[0] >= 13 * decontaminate.MATCH
+            score, equal, _, _ = decontaminate.align(q, x)
+            whole = equal >= decontaminate.needed_words(len(q)) and score >= 0.5 * decontaminate.MATCH * len(q)
+            assert (i in got) == (strict or whole), (i, t)
+            new += strict and not whole
+    assert new > 30
+    assert decontaminate.find_items(texts[-1], seeds)[0][2] >= 100
+
+
+def test_decontamination_short_items_may_miss_a_word_by_a_rare_seed():
+    block = decontaminate.Items.of([(0, "alpha bravo charlie delta echo foxtrot golf"), (1, "one two three four five"),
+                                    (2, "kilo lima mike")])
+    counts = np.full(len(block.number) + 1, 10)
+    rare, common = (decontaminate.rare_seeds(block, counts, n) for n in (1_000_000_000, 1000))
+    text = "x alpha bravo charlie changed echo foxtrot golf y one two three four six z kilo lima nine"
+    assert [r[0] for r in decontaminate.find_items(text, rare)] == [0, 1]
+    assert decontaminate.find_items(text, common) == []
+    whole = "x alpha bravo charlie delta echo foxtrot golf y one two three four five z kilo lima mike"
+    assert [r[0] for r in decontaminate.find_items(whole, common)] == [0, 1, 2]
+
+
 def test_decontamination_awkward_and_empty(spark, awkward, empty, benchmark):
     assert decontaminate.contaminated(awkward, benchmark).count() == 0
     assert decontaminate.contaminated(empty, benchmark).count() == 0
