@@ -28,8 +28,14 @@ change a component is found (up to a 64-bit hash collision).
    possible, the same T-occurrence search decides. Groups of near copies are
    whole by then and emit nothing.
 
+``all_links`` and ``link_counts`` give the links themselves and their number for each
+document: the same nodes, signatures and T-occurrence search, with every pair of a
+group that the sketches allow. Their cost grows with the number of such pairs.
+
 Only sets that may still link are fetched, from one document of each node. No
-step forms the pairs of a group. Intermediate tables are Parquet in the
+step of the components forms the pairs of a group of near copies; step 5 does compare
+the sketches of all pairs of a group whose nodes do not link, and one bucket of
+signatures is grouped in one task. Intermediate tables are Parquet in the
 shared folder, so lost executors only repeat their own tasks.
 
 Defined results: null or empty texts have an empty set and are their own
@@ -479,11 +485,15 @@ def _star_links(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return _by_group(rows, ["pivot", "block"], ["side", "fp", "shingles"], search)
 
 
-def _rest_pairs(groups: DataFrame, label: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Nodes (pivot, fp) of one group but different components that may link."""
-    rest = groups.filter("m > 2")
-    members = (rest.select("gid", "fp").unionByName(rest.select("gid", F.col("pivot").alias("fp")).distinct())
-               .join(label, "fp", "left").select("gid", "fp", F.coalesce("root", "fp").alias("label")))
+def _rest_pairs(groups: DataFrame, label: DataFrame | None, nodes: DataFrame) -> DataFrame:
+    """Nodes (pivot, fp) of one group but different components that may link; all nodes
+    of one group that may link, if there is no ``label``."""
+    rest = groups if label is None else groups.filter("m > 2")
+    members = rest.select("gid", "fp").unionByName(rest.select("gid", F.col("pivot").alias("fp")).distinct())
+    if label is None:
+        members = members.withColumn("label", F.col("fp"))
+    else:
+        members = members.join(label, "fp", "left").select("gid", "fp", F.coalesce("root", "fp").alias("label"))
     open_ = (members.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                         F.count(F.lit(1)).alias("m"),
                                         F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("who"))
@@ -539,11 +549,8 @@ def components(spark: SparkSession, links: DataFrame, root: str, name: str) -> D
         before = tuple(state)
 
 
-def link_components(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
-    root = fresh_dir(spark, "ngram-join")
-    docs = id_and_text(df, id_col, text_col)
+def _prepared(spark: SparkSession, docs: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their nodes, signature groups, and one sketch of each node."""
     nodes = _stored(spark, _nodes(docs), root, "nodes")
     hot = _hot_shingles(nodes)
     entries = nodes.agg(F.sum("n")).first()[0] or 0
@@ -551,19 +558,53 @@ def link_components(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     groups = _stored(spark, _groups(_packed_signatures(docs, hot, buckets), buckets), root, "groups")
     one = _stored(spark, nodes.filter(F.col("fp").isNotNull()).select("fp", "n", "sketch").dropDuplicates(["fp"]),
                   root, "sketches")
+    return nodes, groups, one
+
+
+def _links_of(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, root: str,
+              name: str) -> DataFrame:
+    """The pairs that link, by T-occurrence search over their nodes' whole sets."""
+    ends = pairs.select("fp").unionByName(pairs.select(F.col("pivot").alias("fp"))).distinct()
+    sets = _stored(spark, _sets_of(docs, nodes, ends), root, f"{name}-sets")
+    return _stored(spark, _star_links(pairs, sets), root, f"{name}-links")
+
 
-    def links_of(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs that link, by T-occurrence search over their nodes' whole sets."""
-        ends = pairs.select("fp").unionByName(pairs.select(F.col("pivot").alias("fp"))).distinct()
-        sets = _stored(spark, _sets_of(docs, nodes, ends), root, f"{name}-sets")
-        return _stored(spark, _star_links(pairs, sets), root, f"{name}-links")
+def all_links(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
+              text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every link between different sets once (fp u < v), and the sets' documents (doc_id,
+    fp, n_shingles; null fp for an empty set). Documents of one fp link too."""
+    root = fresh_dir(spark, "ngram-links")
+    docs = id_and_text(df, id_col, text_col)
+    nodes, groups, one = _prepared(spark, docs, root)
+    pairs = _stored(spark, _rest_pairs(groups, None, one), root, "pairs")
+    return (_links_of(spark, docs, nodes, pairs, root, "all"),
+            nodes.select("doc_id", "fp", F.col("n").alias("n_shingles")))
+
+
+def link_counts(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, n_links (other rows that link with it)."""
+    links, members = all_links(spark, df, id_col, text_col)
+    copies = members.filter(F.col("fp").isNotNull()).groupBy("fp").agg(F.count(F.lit(1)).alias("copies"))
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    others = (both.join(copies, F.col("v") == F.col("fp")).groupBy("u").agg(F.sum("copies").alias("others"))
+              .withColumnRenamed("u", "fp"))
+    n_links = F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).alias("n_links")
+    return (members.join(copies.join(others, "fp", "left"), "fp", "left")
+            .select("doc_id", "n_shingles", n_links))
 
+
+def link_components(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+    root = fresh_dir(spark, "ngram-join")
+    docs = id_and_text(df, id_col, text_col)
+    nodes, groups, one = _prepared(spark, docs, root)
     edges = _stored(spark, _possible(groups.select("pivot", "fp").distinct(), one), root, "edges")
-    links = links_of(edges, "star")
+    links = _links_of(spark, docs, nodes, edges, root, "star")
     label = _stored(spark, components(spark, links, root, "stars"), root, "label")
     pairs = _stored(spark, _rest_pairs(groups, label, one), root, "pairs")
     if not pairs.isEmpty():
-        whole = links.unionByName(links_of(pairs, "rest"))
+        whole = links.unionByName(_links_of(spark, docs, nodes, pairs, root, "rest"))
         label = _stored(spark, components(spark, whole, root, "all"), root, "whole")
     ids = nodes.select("doc_id", "fp", "n").filter(F.col("fp").isNotNull())
     named = (ids.groupBy("fp").agg(F.min("doc_id").alias("lowest")).join(label, "fp", "left")

@@ -152,6 +152,37 @@ def test_small_blocks_and_buckets(spark, monkeypatch):
     test_groups_chains_and_shared_passages(spark)
 
 
+def test_all_links_and_their_number(spark, empty, monkeypatch):
+    rng = np.random.default_rng(4)
+    vocab = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(2000)]
+    prose = lambda n: [str(w) for w in rng.choice(vocab, n)]
+    base, chain, texts = prose(150), prose(200), ["", None, "one two", "One two"]
+    for _ in range(60):                                    # near copies; most of them link with one another
+        w = list(base)
+        for i in rng.choice(150, int(rng.integers(0, 5)), replace=False):
+            w[i] = str(rng.choice(vocab))
+        texts.append(" ".join(w))
+    for _ in range(12):
+        chain = chain[7:] + prose(7)
+        texts += [" ".join(chain)] * int(rng.integers(1, 4))
+    texts += [" ".join(prose(40)) for _ in range(20)]
+    sets = words_sets(texts)
+    links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets)
+             if i != j and a and b and 100 * len(a & b) >= 80 * len(a | b)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for block in (nj.BLOCK, 7):
+        monkeypatch.setattr(nj, "BLOCK", block)
+        found, members = nj.all_links(spark, df)
+        of = {r.doc_id: r.fp for r in members.collect()}
+        got = [(r.u, r.v) for r in found.collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == {(of[i], of[j]) for i, j in links if of[i] < of[j]}
+    counts = {r.doc_id: (r.n_shingles, r.n_links) for r in nj.link_counts(spark, df).collect()}
+    assert counts == {i: (len(s), sum(x == i for x, _ in links)) for i, s in enumerate(sets)}
+    assert max(n for _, n in counts.values()) > 20
+    assert nj.link_counts(spark, empty).count() == 0
+
+
 def test_awkward_and_empty(spark, awkward, empty):
     rows = nj.link_components(spark, awkward).collect()
     assert len(rows) == awkward.count()
