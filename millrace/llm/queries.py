@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (byte_cnn, decontaminate, license_scan, ngram_join, personal_data, quality_rules, rank_profiles,
-               secret_scan, sentencepiece_codec, token_orc)
+from . import (byte_cnn, centroids, decontaminate, license_scan, ngram_join, packing, personal_data, prefix_trie,
+               quality_rules, rank_profiles, secret_scan, sentencepiece_codec, token_orc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +52,21 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.tokens_report(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build_trie(spark, table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_secrets, op3_ngram_join, op4_personal_data, op5_quality_rules, op6_quality_classifier,
-    op7_decontamination, op8_licenses, op9_language, op10_token_orc)}
-SQL = {"op3_ngram_join": ngram_join.SQL, "op5_quality_rules": quality_rules.SQL}
+    op7_decontamination, op8_licenses, op9_language, op10_token_orc,
+    op11_packing, op12_centroids, op13_prefix_trie)}
+SQL = {"op3_ngram_join": ngram_join.SQL, "op5_quality_rules": quality_rules.SQL,
+       "op12_centroids": centroids.SQL, "op13_prefix_trie": prefix_trie.SQL}
