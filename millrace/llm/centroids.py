@@ -67,7 +67,7 @@ def first_centroids(kept: DataFrame, clusters: int = CLUSTERS) -> np.ndarray:
     """The vectors with the smallest SHA-256 of ``2:<vec_id>``, one row each."""
     name = F.concat(F.lit("2:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
     first = kept.select(F.sha2(name, 256).alias("h"), "v").orderBy("h", "v").limit(clusters).collect()
-    return np.array([r["v"] for r in first], np.int64).reshape(len(first), -1)
+    return np.array([r["v"] for r in first], np.int64).reshape(len(first), len(first[0]["v"]) if first else 0)
 
 
 def shards(kept: DataFrame, dimensions: int = DIMENSIONS, block: int = BLOCK) -> DataFrame:

@@ -15,8 +15,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm import centroids, packing, prefix_trie
 
-from .conftest import AWKWARD, SF
-
+SF = "/root/testdata/sf0.001"
 TEXT = st.text(alphabet=st.one_of(st.sampled_from("aeinr st.,'\n\té \x85\xa0\x1c<|>-_0AÉ"), st.characters(
     exclude_categories=("Cs",))), max_size=60)
 
@@ -40,8 +39,8 @@ def test_ids_are_the_tokenizers(encoder, tokenizer, texts):
         assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
-def test_ids_of_awkward_texts(encoder, tokenizer):
-    texts = [t or "" for _, t, _, _ in AWKWARD] + [
+def test_ids_of_awkward_texts(encoder, tokenizer, awkward):
+    texts = [r["text"] or "" for r in awkward.collect()] + [
         "a  b\n\nc", " lead", "trail ", "it's we'll.\nDon't!", "<|endoftext|> x<|endoftext|>\n", "\n", " ", "　 a"]
     for t, ids in zip(texts, encoder.encode(texts)):
         assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids
@@ -109,7 +108,7 @@ def test_packing_of_documents(spark, docs, tokenizer):
 
 def test_packing_of_awkward_and_empty(spark, awkward, empty, tokenizer):
     rows = packing.pack(spark, awkward, capacity=64).collect()
-    packed(rows, [(i, t) for i, t, _, _ in AWKWARD], tokenizer, 64)
+    packed(rows, [(r["doc_id"], r["text"]) for r in awkward.collect()], tokenizer, 64)
     assert packing.pack(spark, empty).collect() == []
 
 
@@ -138,7 +137,7 @@ def test_clusters_against_plain_lloyd(spark, n, k):
     rng = random.Random(n)
     rows = [(i, [rng.gauss(i % 3, 1) for _ in range(6)]) for i in range(n)]
     rows += [(1, rows[1][1]), (None, rows[0][1]), (2, rows[3][1])] if n > 10 else []      # repeated rows and ids
-    rows += [(900, None), (901, [1.0] * 5), (902, [1.0, None, 1, 1, 1, 1]), (903, [float("nan")] * 6),
+    rows += [(900, None), (901, [1.0] * 5), (902, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (903, [float("nan")] * 6),
              (904, [float("inf")] * 6), (905, [])]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows],
                                "vec_id long, embedding array<double>, cluster int, chunk long").repartition(5)
