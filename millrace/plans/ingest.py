@@ -5,15 +5,17 @@ run as two separate jobs) takes one bounded batch; ``run_until_drained`` repeats
 it until nothing is left:
 
 1. take the cutoff (last completed second) *before* listing;
-2. if a batch never finished, re-run exactly that batch (same id, same files);
-   otherwise
+2. if a batch never finished and no other run holds it, re-run exactly that
+   batch (same id, same files); otherwise
 3. list the landing folder (Spark listing, every name) and keep the files with
    ``mtime <= cutoff`` that no batch has taken yet (an anti-join of the listing
    with the ``files`` control table on path and mtime). The oldest ones, up to
    ``max_files`` and ``max_bytes``, are the batch; with files left over, the batch's
    cutoff is lowered to before the first of them. No files -> ledger
    ``NO_FILES``, watermark -> cutoff, stop;
-4. append the batch's files to ``files``, then the ledger's ``PLANNED`` row;
+4. append the batch's files to ``files`` under an attempt, claim the batch by
+   creating the next numbered claim (see ``sinks/claims.py``; a run that was beaten
+   to it goes back to 2), then the ledger's ``PLANNED`` row;
 5. read the files grouped by header, standardize each group, union by name. A
    file that is gone, or whose header cannot be mapped, is rejected on its own;
 6. write good rows to the curated table, counting rows and bad rows with an
@@ -30,6 +32,12 @@ duplicates rows; with it off, the table is a plain append partitioned by
 process_date (a batch re-run after its data write but before its ledger commit
 would then add its rows twice).
 
+Any number of runs may work on one landing: a file belongs to one claimed
+batch, and a batch to the run that holds its lease (``lease_seconds``; a run that
+fails, or a later run of the same ``owner``, need not wait for its end). A run that
+dies between any two writes loses nothing: what it had not claimed is free, what
+it had claimed is pending.
+
 Because files are chosen by what was taken and not by the watermark alone, a
 file that appears late with an old mtime, in an old day folder, or beside files
 of the same second is never skipped. Names Spark's readers cannot see (a leading
@@ -38,6 +46,8 @@ of the same second is never skipped. Names Spark's readers cannot see (a leading
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -48,6 +58,7 @@ from ..operators.conform import FAIL_PREFIX, failure_flags, transform_v1, transf
 from ..operators.incremental import (batch_identity, day_folders_glob, run_cutoff,
                                      select_new_files)
 from ..operators.quality import KEY_COLUMN, is_bad
+from ..sinks import claims as C
 from ..sinks import ledger as L
 from ..sinks.tables import write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
@@ -68,6 +79,22 @@ class IngestConfig:
     max_files: int = 10_000          # bounds of one batch, and so of the paths the driver
     max_bytes: int = 1 << 40         # holds; the rest waits for the next batch
     fmt: str = "parquet"
+    owner: str | None = None         # who holds leases; by default the Spark application
+    lease_seconds: int = 6 * 3600    # how long another owner leaves an unfinished batch alone
+    on_step: Callable[[str], None] | None = None     # told after each step is durable
+
+
+#: The steps told to ``on_step``, in order.
+STEPS = ("files", "claimed", "planned", "data", "quarantine", "outcomes", "finished")
+
+
+class Overtaken(RuntimeError):
+    """Another run took this batch over, because its lease had ended."""
+
+
+def _told(cfg: IngestConfig, step: str) -> None:
+    if cfg.on_step:
+        cfg.on_step(step)
 
 
 def standardize(version: str, batch_id: str, process_date):
@@ -109,12 +136,14 @@ def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
     good = observed.where(~is_bad()) if split else observed
     write_curated(good.drop(*flags, SOURCE_FILE), cfg.target, fmt=cfg.fmt,
                   replay_safe=cfg.replay_safe)
+    _told(cfg, "data")
     m = obs.get
     bad = int(m.get("bad", 0) or 0)
     if bad > 0:
         again = read_csv_batch(spark, sorted(m["bad_files"]), per_header=step)
         write_quarantine(again.where(is_bad()).drop(*failure_flags(again)), cfg.target,
                          fmt=cfg.fmt, replay_safe=cfg.replay_safe)
+    _told(cfg, "quarantine")
     failures = {c[len(FAIL_PREFIX):]: int(m[c]) for c in flags}
     return {"records_processed": int(m["rows"]) - bad, "bad_records": bad,
             "cast_failures": failures or None, "rejected": rejected}
@@ -128,15 +157,30 @@ def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None =
     instead of planning a new one. Otherwise the landing folder is listed, and
     the batch is recorded, or, with no new files, a ``NO_FILES`` row is appended
     and the watermark moves to the cutoff."""
-    pending, low = L.control_state(spark, cfg.control)
-    if pending is not None:
-        return dict(batch_id=pending["batch_id"], process_date=pending["process_date"],
-                    low_watermark=L.as_utc(pending["low_watermark"]),
-                    watermark_ts=L.as_utc(pending["watermark_ts"]), full_listing=pending["full_listing"],
-                    n_files=pending["n_files"], hidden_files=pending["hidden_files"],
-                    files=[p for p, _, _ in L.batch_files(spark, cfg.control, pending["batch_id"])],
-                    status=pending["status"])
     cutoff = cutoff or run_cutoff()
+    while True:
+        number = C.next_claim(spark, cfg.control)       # before anything is read that a claim could change
+        open_, low = L.open_batches(spark, cfg.control)
+        for pending in open_:
+            if pending["status"] != L.FAILED and C.held_by_other(spark, cfg.control, pending["batch_id"], _owner(spark, cfg)):
+                continue
+            return dict(batch_id=pending["batch_id"], process_date=pending["process_date"],
+                        low_watermark=L.as_utc(pending["low_watermark"]),
+                        watermark_ts=L.as_utc(pending["watermark_ts"]), full_listing=pending["full_listing"],
+                        n_files=pending["n_files"], hidden_files=pending["hidden_files"],
+                        files=[p for p, _, _ in L.batch_files(spark, cfg.control, pending["batch_id"])],
+                        status=pending["status"])
+        batch = _new_batch(spark, cfg, number, low, cutoff)
+        if batch is not None:
+            return batch
+
+
+def _owner(spark: SparkSession, cfg: IngestConfig) -> str:
+    return cfg.owner or spark.sparkContext.applicationId
+
+
+def _new_batch(spark: SparkSession, cfg: IngestConfig, number: int, low, cutoff: datetime) -> dict | None:
+    """A batch of files nobody has, claimed under ``number``; ``None`` if another run was faster."""
     where, full = cfg.landing, True
     if cfg.day_folders and low and L.runs_since_full_listing(spark, cfg.control) + 1 < cfg.full_listing_every:
         where, full = day_folders_glob(cfg.landing, cfg.day_folders, low, cutoff, cfg.margin_days), False
@@ -149,11 +193,20 @@ def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None =
     batch_id = L.unused_batch_id(spark, cfg.control, batch_id)
     base = dict(batch_id=batch_id, process_date=process_date, low_watermark=low, watermark_ts=cutoff,
                 n_files=len(files), hidden_files=len(hidden), full_listing=full)
-    L.record_files(spark, cfg.control, batch_id, [(*f, "a name Spark's readers skip") for f in hidden], L.HIDDEN)
-    L.record_files(spark, cfg.control, batch_id, [(*f, None) for f in files], L.PLANNED)
-    # A batch without files is finished: it also moves the watermark to the cutoff.
-    counts = {} if files else dict(records_processed=0, bad_records=0, rejected_files=0)
-    row = L.record_batch(spark, cfg.control, **base, **counts, status=L.PLANNED if files else L.NO_FILES)
+    attempt = uuid.uuid4().hex if files else None
+    L.record_files(spark, cfg.control, batch_id, [(*f, "a name Spark's readers skip") for f in hidden], L.HIDDEN, attempt)
+    L.record_files(spark, cfg.control, batch_id, [(*f, None) for f in files], L.PLANNED, attempt)
+    _told(cfg, "files")
+    if not files:
+        # A batch without files is finished: it also moves the watermark to the cutoff.
+        row = L.record_batch(spark, cfg.control, **base, status=L.NO_FILES, records_processed=0, bad_records=0,
+                             rejected_files=0)
+        return {**row, "files": []}
+    if not C.claim(spark, cfg.control, number, **base, attempt=attempt, event_time=L.now()):
+        return None
+    _told(cfg, "claimed")
+    row = L.record_batch(spark, cfg.control, **base, status=L.PLANNED)
+    _told(cfg, "planned")
     return {**row, "files": [p for p, _, _ in files]}
 
 
@@ -192,27 +245,45 @@ def process_batch(spark: SparkSession, cfg: IngestConfig, batch: dict | None = N
         batch = plan_batch(spark, cfg)
     if batch.get("status") in L.TERMINAL:
         return batch
+    held = C.lease(spark, cfg.control, batch["batch_id"], _owner(spark, cfg), cfg.lease_seconds,
+                   failed=batch.get("status") == L.FAILED)
+    if not held:
+        raise Overtaken(f"another run holds {batch['batch_id']}")
     base = {k: batch[k] for k in ("batch_id", "process_date", "low_watermark", "watermark_ts",
                                   "n_files", "hidden_files", "full_listing")}
-    return {**finish(spark, cfg, base, batch["files"]), "files": batch["files"]}
+    return {**finish(spark, cfg, base, batch["files"], held), "files": batch["files"]}
 
 
-def finish(spark: SparkSession, cfg: IngestConfig, base: dict, files: list) -> dict:
+def finish(spark: SparkSession, cfg: IngestConfig, base: dict, files: list, lease: int | None = None) -> dict:
     """Load the files of a recorded batch and write its outcome to the control tables."""
+    def check() -> None:
+        if lease and not C.holds(spark, cfg.control, base["batch_id"], lease):
+            raise Overtaken(f"another run took over {base['batch_id']}")
     try:
         counts = ingest_files(spark, files, base["batch_id"], base["process_date"], cfg)
         rejected = counts.pop("rejected")
+        check()
         L.record_files(spark, cfg.control, base["batch_id"], [(p, None, None, e) for p, e in rejected], L.REJECTED)
+        _told(cfg, "outcomes")
+    except Overtaken:
+        raise                       # the other run records the outcome
     except Exception as e:
         L.record_batch(spark, cfg.control, **base, status=L.FAILED, error_message=f"{type(e).__name__}: {e}")
         raise
     # The commit point: batch done and watermark moved in one append.
-    return L.record_batch(spark, cfg.control, **base, status=L.SUCCESS, rejected_files=len(rejected), **counts)
+    row = L.record_batch(spark, cfg.control, **base, status=L.SUCCESS, rejected_files=len(rejected), **counts)
+    _told(cfg, "finished")
+    return row
 
 
 def run_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:
-    """One incremental run (plan + process); returns the final ledger row, with ``files``."""
-    return process_batch(spark, cfg, plan_batch(spark, cfg, cutoff))
+    """One incremental run (plan + process); returns the final ledger row, with ``files``. A
+    batch that another run takes up meanwhile is left to it."""
+    while True:
+        try:
+            return process_batch(spark, cfg, plan_batch(spark, cfg, cutoff))
+        except Overtaken:
+            continue
 
 
 def run_until_drained(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> list:

@@ -26,7 +26,7 @@ from ..sinks.tables import quarantine_path, write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
 from ..sources.manifest import list_files
 from ..sources.tables import read_curated, test_table
-from .ingest import IngestConfig, run_batch, run_until_drained
+from .ingest import STEPS, IngestConfig, run_batch, run_until_drained
 
 BATCH_ID, PROCESS_DATE = "batch_20260428_000000", "2026-04-28"
 
@@ -271,6 +271,31 @@ def q_ingest_awkward_landing(spark: SparkSession, sf: str) -> DataFrame:
     return _expected_cols(read_curated(spark, cfg.target))
 
 
+class _Killed(BaseException):
+    """Ends a run at once, as losing the driver would: nothing of the job catches it."""
+
+
+def q_ingest_crash_recovery(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs that die after each of the job's durable steps in turn, on small batches, then runs that
+    do not: every row of ``orders`` with a customer arrives, exactly once."""
+    landing, todo = _write_csv_landing(spark, sf), list(STEPS)
+    files = list_files(spark, landing).count()
+
+    def die(step: str) -> None:
+        if todo and step == todo[0]:
+            del todo[0]
+            raise _Killed(step)
+    cfg = IngestConfig(landing=landing, target=fresh_dir(spark, "curated"), control=fresh_dir(spark, "control"),
+                       max_files=max(1, -(-files // 3)), on_step=die)
+    cutoff = datetime.now(timezone.utc)
+    while True:
+        try:
+            run_until_drained(spark, cfg, cutoff=cutoff)
+            return _expected_cols(read_curated(spark, cfg.target))
+        except _Killed:
+            continue
+
+
 def _two_runs(spark: SparkSession, sf: str) -> IngestConfig:
     cfg = IngestConfig(landing=_write_csv_landing(spark, sf), target=fresh_dir(spark, "curated"),
                        control=fresh_dir(spark, "control"))
@@ -343,6 +368,7 @@ QUERIES = {
     "ingest_batch_v1": q_ingest_batch_v1,
     "ingest_stream": q_ingest_stream,
     "ingest_awkward_landing": q_ingest_awkward_landing,
+    "ingest_crash_recovery": q_ingest_crash_recovery,
     "ingest_ledger": q_ingest_ledger,
     "ingest_quarantine": q_ingest_quarantine,
     "ingest_all_bad": q_ingest_all_bad,
@@ -407,7 +433,7 @@ SQL = {
     "mixed_header_csv": f"SELECT {_CORE}, {_CHANNEL_B} FROM ({_TYPED}) t",
     "ingest_batch": f"SELECT {_CORE}, {_CHANNEL_B} FROM ({_TYPED}) t WHERE customer_id IS NOT NULL",
 }
-SQL["ingest_stream"] = SQL["ingest_batch"]
+SQL["ingest_stream"] = SQL["ingest_crash_recovery"] = SQL["ingest_batch"]
 _KEY = "CAST(substr(transaction_id, 4) AS BIGINT)"
 SQL["ingest_awkward_landing"] = f"""
     SELECT {_CORE}, CASE WHEN {_KEY} % 8 % 2 = 0 THEN NULL ELSE channel END AS channel

@@ -8,16 +8,19 @@ newest batch by cutoff; and the watermark is the newest cutoff among *finished*
 rows (``SUCCESS``, ``NO_FILES``, or an explicit ``WATERMARK`` row). A crashed run
 therefore leaves history that a later run can read and finish.
 
-Commit order used by the ingest job: ``files`` rows -> ledger ``PLANNED`` row ->
-data -> outcomes of files -> ledger ``SUCCESS`` row. That last single-file append is the
-one commit point: it records the batch as done and moves the watermark at
-once, so no crash can leave a finished batch behind an old watermark (which
-would make the next run ingest its files again), and a failure before it
-never skips files.
+Commit order used by the ingest job: ``files`` rows of an attempt -> claim
+(``claims``) -> ledger ``PLANNED`` row -> data -> outcomes of files -> ledger ``SUCCESS``
+row. The claim is the one commit point of planning: before it the rows of ``files``
+belong to nobody and their files are free, after it the batch is pending, with or
+without its ``PLANNED`` row. The last single-file append is the one commit point of
+loading: it records the batch as done and moves the watermark at once, so no
+crash can leave a finished batch behind an old watermark (which would make the
+next run ingest its files again), and a failure before it never skips files.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import path_exists
-
+from .claims import claim_rows, claims_path
 
 LEDGER_SCHEMA = ("batch_id string, process_date date, low_watermark timestamp, "
                  "watermark_ts timestamp, status string, n_files bigint, rejected_files bigint, "
@@ -33,7 +36,7 @@ LEDGER_SCHEMA = ("batch_id string, process_date date, low_watermark timestamp, "
                  "bad_records bigint, error_message string, event_time timestamp, "
                  "cast_failures map<string,bigint>")
 FILES_SCHEMA = ("batch_id string, path string, modificationTime timestamp, length bigint, "
-                "state string, error string, event_time timestamp")
+                "state string, error string, event_time timestamp, attempt string")
 PLANNED, SUCCESS, FAILED, NO_FILES = "PLANNED", "SUCCESS", "FAILED", "NO_FILES"
 WATERMARK = "WATERMARK"      # a watermark move that is not a batch (manual or imported)
 ABANDONED = "ABANDONED"      # given up by hand; its files stay taken
@@ -47,21 +50,30 @@ def _ledger_path(control: str) -> str:
     return control.rstrip("/") + "/ledger"
 
 
-def _now() -> datetime:
+def now() -> datetime:
     return datetime.now(timezone.utc)
 
 
 def _append(spark: SparkSession, path: str, schema: str, row: dict) -> None:
     names = [f.split()[0] for f in schema.split(", ")]
-    # One control row; coalesce(1) keeps it in one small file.
-    spark.createDataFrame([tuple(row.get(n) for n in names)], schema) \
-        .coalesce(1).write.mode("append").parquet(path)
+    append_control(spark.createDataFrame([tuple(row.get(n) for n in names)], schema), path)
+
+
+def append_control(rows: DataFrame, path: str) -> None:
+    """Append a few rows to a control table, as one small file in a folder of its own: writers
+    that share an output folder share its temporary files, and would remove each other's."""
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{path}/{now():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}")
+
+
+def read_control(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A control table, whose files lie in folders of their own (or, of older versions, flat)."""
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def record_batch(spark: SparkSession, control: str, **fields) -> dict:
     """Append one ledger row; ``event_time`` is stamped now."""
     row = dict(fields)
-    row.setdefault("event_time", _now())
+    row.setdefault("event_time", now())
     if isinstance(row.get("process_date"), str):
         row["process_date"] = datetime.fromisoformat(row["process_date"]).date()
     _append(spark, _ledger_path(control), LEDGER_SCHEMA, row)
@@ -73,7 +85,7 @@ def _existing_ledger(spark: SparkSession, control: str) -> DataFrame | None:
     if path_exists(_ledger_path(control)) is False:
         return None
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_path(control))
+        return read_control(spark, _ledger_path(control), LEDGER_SCHEMA)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
@@ -90,19 +102,22 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if path_exists(path) is False:
         return spark.createDataFrame([], schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return read_control(spark, path, schema)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], schema)
         raise
 
 
-def record_files(spark: SparkSession, control: str, batch_id: str, rows: list, state: str) -> None:
-    """Append one row for each ``(path, modificationTime, length, error)`` of one batch."""
+def record_files(spark: SparkSession, control: str, batch_id: str, rows: list, state: str,
+                 attempt: str | None = None) -> None:
+    """Append one row for each ``(path, modificationTime, length, error)`` of one batch.
+
+    Rows of an ``attempt`` count once a claim names it; others once the ledger has the batch."""
     if rows:
-        now = _now()
-        (spark.createDataFrame([(batch_id, p, m, n, state, e, now) for p, m, n, e in rows], FILES_SCHEMA)
-         .coalesce(1).write.mode("append").parquet(control.rstrip("/") + "/files"))
+        at = now()
+        append_control(spark.createDataFrame([(batch_id, p, m, n, state, e, at, attempt) for p, m, n, e in rows],
+                                             FILES_SCHEMA), control.rstrip("/") + "/files")
 
 
 def file_rows(spark: SparkSession, control: str) -> DataFrame:
@@ -110,16 +125,26 @@ def file_rows(spark: SparkSession, control: str) -> DataFrame:
     return _read(spark, control.rstrip("/") + "/files", FILES_SCHEMA)
 
 
+def owned_files(spark: SparkSession, control: str) -> DataFrame:
+    """The rows of ``files`` that belong to a batch: of a claimed attempt, or of no attempt and
+    a batch of the ledger. What a crashed or beaten run left is not among them."""
+    rows = file_rows(spark, control)
+    claimed = claim_rows(spark, control).select("batch_id", "attempt")
+    known = ledger_rows(spark, control).select("batch_id").distinct()
+    return (rows.where(F.col("attempt").isNotNull()).join(claimed, ["batch_id", "attempt"], "left_semi")
+            .unionByName(rows.where(F.col("attempt").isNull()).join(known, "batch_id", "left_semi")))
+
+
 def taken_files(spark: SparkSession, control: str) -> DataFrame:
     """``(path, modificationTime)`` of the files of all batches but released ones."""
     freed = ledger_rows(spark, control).where(F.col("status") == RELEASED).select("batch_id")
-    return (file_rows(spark, control).where(F.col("state").isin(PLANNED, HIDDEN))
+    return (owned_files(spark, control).where(F.col("state").isin(PLANNED, HIDDEN))
             .join(freed, "batch_id", "left_anti").select("path", "modificationTime"))
 
 
 def batch_files(spark: SparkSession, control: str, batch_id: str) -> list:
     """``(path, modificationTime, length)`` of one batch's files (bounded by the plan)."""
-    rows = file_rows(spark, control).where((F.col("batch_id") == batch_id) & (F.col("state") == PLANNED))
+    rows = owned_files(spark, control).where((F.col("batch_id") == batch_id) & (F.col("state") == PLANNED))
     return sorted((r["path"], as_utc(r["modificationTime"]), r["length"]) for r in rows.collect())
 
 
@@ -133,15 +158,24 @@ def abandon_batch(spark: SparkSession, control: str, batch_id: str, note: str |
 
 
 def unused_batch_id(spark: SparkSession, control: str, batch_id: str) -> str:
-    """``batch_id``, or with a run suffix if the ledger already has it."""
+    """``batch_id``, or with a run suffix if the ledger or a claim already has it."""
     same = F.col("batch_id").rlike(f"^{batch_id}(_r[0-9]+)?$")
-    n = ledger_rows(spark, control).where(same).select("batch_id").distinct().count()
+    known = ledger_rows(spark, control).select("batch_id").unionByName(claim_rows(spark, control).select("batch_id"))
+    n = known.where(same).distinct().count()
     return f"{batch_id}_r{n + 1}" if n else batch_id
 
 
+def _with_claims(spark: SparkSession, control: str) -> DataFrame:
+    """Ledger rows, and a ``PLANNED`` row for each claimed batch (a run may have ended between both)."""
+    claims = claim_rows(spark, control).where(F.col("batch_id").isNotNull()).drop("attempt")
+    return ledger_rows(spark, control).unionByName(claims.withColumn("status", F.lit(PLANNED)),
+                                                   allowMissingColumns=True)
+
+
 def batch_states(spark: SparkSession, control: str) -> DataFrame:
-    """Current state of each batch: its ``SUCCESS`` row, else its latest row."""
-    rows = ledger_rows(spark, control).where(F.col("status") != WATERMARK)
+    """Current state of each batch: its ``SUCCESS`` row, else its latest row (of the ledger or,
+    before that has one, its claim)."""
+    rows = _with_claims(spark, control).where(F.col("status") != WATERMARK)
     cols = rows.columns
     return (rows.groupBy("batch_id")
                 .agg(F.max_by(F.struct(*cols), F.struct(F.col("status") == SUCCESS, "event_time")).alias("s"))
@@ -173,13 +207,19 @@ def control_state(spark: SparkSession, control: str):
     """``(pending, watermark)``: the newest batch that did not finish
     (``PLANNED``/``FAILED``, to be re-run before anything new) or ``None``, and the
     watermark as an aware UTC datetime or ``None``."""
+    open_, mark = open_batches(spark, control)
+    return (open_[0] if open_ else None), mark
+
+
+def open_batches(spark: SparkSession, control: str):
+    """``(batches, watermark)``: the batches that did not finish, newest first (at most one for
+    each run at work), and the watermark."""
     rows = _existing_ledger(spark, control)
-    if rows is None:                                 # first run: no job needed
-        return None, None
-    open_ = (batch_states(spark, control).where(~F.col("status").isin(*TERMINAL))
-             .orderBy(F.desc("event_time")).limit(1).collect())
+    if rows is None and path_exists(claims_path(control)) is False:     # first run: no job needed
+        return [], None
+    open_ = batch_states(spark, control).where(~F.col("status").isin(*TERMINAL)).collect()
     mark = _state(spark, control, rows).first()["last_processed_time"]
-    return (open_[0] if open_ else None), as_utc(mark)
+    return sorted(open_, key=lambda r: r["event_time"], reverse=True), as_utc(mark)
 
 
 def runs_since_full_listing(spark: SparkSession, control: str) -> int:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.tables import path_exists
+from .ledger import append_control, read_control
 
 PARTITION_COLUMNS = ("process_date",)
 
@@ -24,7 +25,7 @@ def recorded_schema(spark: SparkSession, path: str) -> StructType | None:
     if path_exists(schema_path(path)) is False:
         return None
     try:
-        rows = spark.read.schema("schema string, at timestamp").parquet(schema_path(path)).collect()
+        rows = read_control(spark, schema_path(path), "schema string, at timestamp").collect()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
@@ -42,8 +43,8 @@ def record_schema(df: DataFrame, path: str) -> None:
     """Add a row to the schema table if ``df`` brings columns it does not have yet."""
     spark, old = df.sparkSession, recorded_schema(df.sparkSession, path)
     if {f.name for f in df.schema.fields} - {f.name for f in (old or StructType()).fields}:
-        (spark.createDataFrame([(df.schema.json(),)], "schema string").withColumn("at", F.current_timestamp())
-         .coalesce(1).write.mode("append").parquet(schema_path(path)))
+        append_control(spark.createDataFrame([(df.schema.json(),)], "schema string")
+                       .withColumn("at", F.current_timestamp()), schema_path(path))
 
 
 def write_curated(df: DataFrame, path: str, partition_by=PARTITION_COLUMNS,

@@ -292,7 +292,7 @@ def test_success_row_is_the_only_commit_point(spark, workdir):
     run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
     # The watermark is the finished row's cutoff; nothing else was written.
     assert L.current_watermark(spark, cfg.control) == T0 + dt.timedelta(hours=1)
-    assert sorted(os.listdir(cfg.control)) == ["files", "ledger"]
+    assert sorted(os.listdir(cfg.control)) == ["claims", "files", "leases", "ledger"]
     # A manual move forwards is honoured, a move backwards is not.
     L.advance_watermark(spark, cfg.control, T0 + dt.timedelta(hours=5))
     L.advance_watermark(spark, cfg.control, T0)
