@@ -1,10 +1,9 @@
 """Top-N per group and sums over it.
 
-Written as ``row_number() <= n`` over partitioned windows in two levels, which
-Catalyst plans (for moderate ``n``) with a ``WindowGroupLimit`` *before* each
-shuffle (Partial) and after it (Final): each map task forwards at most ``n`` rows
-per group, so a group holding a third of the table costs no more shuffle than
-a small one.
+Written as ``row_number() <= n`` over a partitioned window, which Catalyst plans
+with a ``WindowGroupLimit`` *before* the shuffle (Partial) and after it (Final):
+each map task forwards at most ``n`` rows per group, so a group holding a third of
+the table costs no more shuffle than a small one, and one shuffle is enough.
 """
 
 from __future__ import annotations
@@ -22,7 +21,8 @@ def _names(cols) -> list:
     return [cols] if isinstance(cols, (str, Column)) else list(cols)
 
 
-SALTS = 1024   # parts a group is cut into before the final cut
+SALTS = 1024   # parts a group is cut into before the final cut, where n is large
+ONE_LEVEL = 100     # the largest n whose n rows a map task and group may meet in one task
 
 
 def top_n_per_group(df: DataFrame, by, order: Sequence, n: int,
@@ -32,22 +32,24 @@ def top_n_per_group(df: DataFrame, by, order: Sequence, n: int,
     ``order`` must end in a unique tie-break so the cut is deterministic
     (e.g. ``[F.desc("revenue"), "name"]``). ``rank_col`` is a bigint.
 
-    The same two-level cut for every ``n`` and every column type: the top ``n``
-    of each (group, part), where a part holds the rows of some input
-    partitions, then the top ``n`` of each group over at most ``n * SALTS`` rows.
-    A hot group is so spread over ``SALTS`` tasks. For an ``n`` within
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark also cuts before
-    each shuffle.
+    Up to ``ONE_LEVEL`` one shuffle does: the limit before it leaves a group ``n`` rows
+    a map task. A larger ``n`` (beyond Spark's
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` nothing is cut before a shuffle)
+    takes two: the top ``n`` of each (group, part), a part holding the rows of some
+    input partitions, so that a hot group is spread over ``SALTS`` tasks, then the top
+    ``n`` of each group over at most ``n * SALTS`` rows.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
     keys = [as_col(c) for c in _names(by)]
     order_cols = [as_col(c) for c in order]
-    # The part only spreads the work; the final cut does not depend on it.
-    parts = df.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    first = Window.partitionBy(*keys, "__part").orderBy(*order_cols)
-    cut = (parts.withColumn("__pre", F.row_number().over(first))
-                .where(F.col("__pre") <= n).drop("__pre", "__part"))
+    cut = df
+    if n > ONE_LEVEL:
+        # The part only spreads the work; the final cut does not depend on it.
+        parts = df.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        first = Window.partitionBy(*keys, "__part").orderBy(*order_cols)
+        cut = (parts.withColumn("__pre", F.row_number().over(first))
+                    .where(F.col("__pre") <= n).drop("__pre", "__part"))
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     return (cut.withColumn(rank_col, F.row_number().over(w))
                .where(F.col(rank_col) <= n)

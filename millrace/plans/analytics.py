@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import parse_date
 from ..functions.values import swap_values
 from ..operators.islands import islands, runs
+from ..operators.positions import global_lag, global_row_number
 from ..operators.joins import equi_join, join_cardinality
 from ..operators.ranking import top_n_per_group, top_n_sum
 from ..operators.ratios import ratio_to_max
@@ -127,6 +128,23 @@ def q_consecutive_high_value_orders(spark: SparkSession, sf: str) -> DataFrame:
     return runs(o, "o_orderkey", min_length=3)
 
 
+# --- one global order over every line item --------------------------------------
+
+_LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
+
+
+def q_global_row_number(spark: SparkSession, sf: str) -> DataFrame:
+    """Each line item's place in the order of shipping (one order over the whole table)."""
+    items = test_table(spark, sf, "lineitem").select(*_LINE_ORDER)
+    return global_row_number(items, _LINE_ORDER, "place").drop("l_shipdate")
+
+
+def q_global_lag(spark: SparkSession, sf: str) -> DataFrame:
+    """Each line item's price, and that of the item shipped just before it."""
+    items = test_table(spark, sf, "lineitem").select(*_LINE_ORDER, "l_extendedprice")
+    return global_lag(items, [*_LINE_ORDER, "l_extendedprice"], {"prev_price": "l_extendedprice"}).drop("l_shipdate")
+
+
 # --- Q-6 / Q-7: islands of consecutive activity days per user ----------------
 
 def _activity_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,6 +265,8 @@ QUERIES = {
     "declining_revenue_days": q_declining_revenue_days,
     "declining_revenue_adjacent_days": q_declining_revenue_adjacent_days,
     "consecutive_high_value_orders": q_consecutive_high_value_orders,
+    "global_row_number": q_global_row_number,
+    "global_lag": q_global_lag,
     "user_activity_islands_sql": q_user_activity_islands_sql,
     "user_activity_islands_df": q_user_activity_islands_df,
     "swap_order_status": q_swap_order_status,
@@ -278,6 +298,15 @@ def _join_sql(kind: str) -> str:
 
 
 SQL = {
+    "global_row_number": """
+        SELECT l_orderkey, l_linenumber,
+               row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) AS place
+        FROM lineitem""",
+    "global_lag": """
+        SELECT l_orderkey, l_linenumber, l_extendedprice,
+               lag(l_extendedprice) OVER (
+                   ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS prev_price
+        FROM lineitem""",
     "top3_customers_per_region": """
         SELECT r.r_name AS region, c.c_name AS customer_name,
                CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
