@@ -9,10 +9,11 @@ fallback, and the matching decoder.
 Pieces never hold the marker after another character, nor a line break with
 anything else; where a model's vocabulary shows this, a normalised text may be
 cut before each run of markers and around line breaks, and has the ids of its
-segments. Each distinct segment is encoded once per worker by the library's
-multithreaded ``encode_batch``, decoded again, and checked against the
-SentencePiece library itself (parity). A segment on which the two differ takes
-the SentencePiece ids and its documents are reported with ``parity`` false.
+segments. Each distinct segment is encoded by the library's multithreaded
+``encode_batch`` when a worker meets it first, decoded again, and checked against
+the SentencePiece library (parity). The ids are always the rebuilt tokenizer's;
+where the two differ, the documents are reported with ``parity`` false. Both
+marks are stored on the segment's ids and evicted with them.
 
 Defined results: null and empty texts have no ids (the dummy prefix is not
 added to nothing) and pass both checks; null ids are kept; repeated rows give
@@ -165,6 +166,13 @@ def build_tokenizer(m: PieceModel):
     return tk
 
 
+#: Marks on the first id of a stored segment, evicted with it: SentencePiece gives other
+#: ids; the ids decode to something else. Ids are smaller.
+DIFFERS, LOSSY = 1 << 30, 1 << 29
+#: Letters of the segments that go to the libraries as one text.
+GROUP_LETTERS = 400
+
+
 class Codec:
     """Encoder and decoder of one model file, with parity checks by segment."""
 
@@ -192,13 +200,50 @@ class Codec:
         self.by_segment = bool(self.cut_marks and self.cut_lines and m.escape and m.byte_fallback
                                and not m.charsmap and not m.squeeze)
         self.ahead = self.reference.encode("\n") if self.by_segment else []
-        self.bad: set[str] = set()           # segments on which the two libraries differ
-        self.lossy: set[str] = set()         # segments that decode to something else
+        #: Text of each id; None for bytes, whose text depends on their neighbours.
+        self.spelled = ["\n" if p == "<0x0A>" else None if kind not in (NORMAL, USER_DEFINED) else p
+                        for p, _, kind in m.pieces]
+        line = [i for i, p in enumerate(m.pieces) if p[0] in ("\n", "<0x0A>")]
+        self.line = line[0] if line else -1
         self.store = ChunkStore(self._encode, most=250_000)
 
     def _encode(self, segments: list[str]) -> list[bytes]:
-        if len(self.bad) + len(self.lossy) > 100_000:
-            self.bad, self.lossy = set(), set()
+        """Packed ids of segments, their first id marked with ``DIFFERS`` or ``LOSSY``.
+
+        Short segments go to both libraries as lines of a few hundred letters (no
+        piece crosses a line break); a group on which anything differs is checked
+        again segment by segment.
+        """
+        if not self.by_segment:
+            return self._singly(segments)
+        groups: list[list[int]] = [[]]
+        size = 0
+        for i, s in enumerate(segments):
+            if size + len(s) > GROUP_LETTERS and groups[-1]:
+                groups.append([])
+                size = 0
+            groups[-1].append(i)
+            size += len(s) + 1
+        texts = ["\n".join([segments[i] for i in g]) for g in groups]
+        own = [e.ids for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)]
+        n = len(self.ahead)
+        exact = self.reference.encode(["\n" + t.replace(MARK, " ") for t in texts], num_threads=1)
+        out: list[bytes] = [b""] * len(segments)
+        for g, text, a, b in zip(groups, texts, own, exact):
+            said = [self.spelled[i] for i in a]
+            ids = np.array(a, np.int32)
+            ends = np.flatnonzero(ids == self.line)
+            if a == b[n:] and len(ends) == len(g) - 1 and None not in said and "".join(said) == text:
+                raw, at = ids.tobytes(), 0
+                for i, e in zip(g, [*ends.tolist(), len(a)]):
+                    out[i] = raw[4 * at:4 * e]
+                    at = e + 1
+            else:
+                for i, x in zip(g, self._singly([segments[i] for i in g])):
+                    out[i] = x
+        return out
+
+    def _singly(self, segments: list[str]) -> list[bytes]:
         own = [e.ids for e in self.bare.encode_batch(segments, add_special_tokens=False)]
         exact = own
         if self.by_segment:
@@ -206,12 +251,13 @@ class Codec:
             exact = [x[n:] for x in self.reference.encode(
                 ["\n" + s.replace(MARK, " ") for s in segments], num_threads=1)]
         back = self.bare.decode_batch([self.guard + x for x in own], skip_special_tokens=False)
+        out = []
         for s, a, b, text in zip(segments, own, exact, back):
-            if a != b:
-                self.bad.add(s)
-            if text != "." + s.replace(MARK, " "):
-                self.lossy.add(s)
-        return [array("i", x).tobytes() for x in exact]
+            ids = array("i", a)
+            if ids:
+                ids[0] |= DIFFERS * (a != b) | LOSSY * (text != "." + s.replace(MARK, " "))
+            out.append(ids.tobytes())
+        return out
 
     @functools.cached_property
     def guard(self) -> list[int]:
@@ -230,15 +276,15 @@ class Codec:
         out = []
         for a, b in in_groups(len(texts), lambda i: len(texts[i])):
             segments = [self.segment.findall(self.normalize(t)) for t in texts[a:b]]
-            ids = self.store.texts(segments)
-            for s, x in zip(segments, ids):
-                out.append((x, not self.bad or self.bad.isdisjoint(s),
-                            not self.lossy or self.lossy.isdisjoint(s)))
+            for x in self.store.texts(segments):
+                marks = int(np.bitwise_or.reduce(x)) if len(x) else 0
+                if marks >= LOSSY:
+                    x = x & (LOSSY - 1)
+                out.append((x, not marks & DIFFERS, not marks & LOSSY))
             if not self.by_segment:
                 exact = self.reference.encode(texts[a:b], num_threads=1)
                 for i, e in enumerate(exact, a):
-                    if list(out[i][0]) != e:
-                        out[i] = (np.array(e, np.int32), False, out[i][2])
+                    out[i] = (out[i][0], list(out[i][0]) == e, out[i][2])
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
