@@ -40,6 +40,20 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return d.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
 
+#: Bytes of a batch that one step of Python works on.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches: Iterable[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in pieces of about ``most`` bytes (one row at least)."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        step = max(1, b.num_rows * most // max(1, b.nbytes))
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
 def map_batches(df: DataFrame, ddl: str,
                 work: Callable[..., Iterable[Sequence]]) -> DataFrame:
     """One narrow Arrow pass. ``work(*columns as lists)`` returns output columns."""
@@ -47,11 +61,10 @@ def map_batches(df: DataFrame, ddl: str,
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                out = work(*[c.to_pylist() for c in b.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
+        for b in slices(batches):
+            out = work(*[c.to_pylist() for c in b.columns])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
 
     return df.mapInArrow(run, schema)
 
