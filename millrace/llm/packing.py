@@ -64,7 +64,7 @@ class ByteEncoder:
 
     The byte-level splitter starts a new token at white space that follows
     anything else, whatever stands before, so texts are cut there; each distinct
-    chunk is encoded once. A chunk of Latin letters and then stops is two tokens
+    chunk is encoded once. A chunk of Latin letters or digits and then stops is two tokens
     to the splitter, and each such part is encoded once as well.
     """
 
@@ -74,9 +74,9 @@ class ByteEncoder:
     DOUBLE = re.compile(r"\s\s")
     ANY = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
     LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ"
-    PART = re.compile(rf"(\n?)([{LETTERS}]+)([.,;:!?]*)\Z")
+    PART = re.compile(rf"({AS_IS}|\n?)([{LETTERS}]+|[0-9]+)([.,;:!?]*)\Z")
     STOPS = frozenset(".,;:!?")
-    MOST = 500_000
+    MOST = 1_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -89,7 +89,7 @@ class ByteEncoder:
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelled = {c: spell.pre_tokenize_str(chr(c))[0][0] for c in range(1, 0x250)}
         self.known: dict[str, bytes] = {}
-        self.store = ChunkStore(self._chunks, most=500_000)
+        self.store = ChunkStore(self._chunks, most=1_000_000)
 
     def split(self, text: str) -> list[str]:
         if not text:
@@ -141,12 +141,13 @@ class ByteEncoder:
                 if k[-1:] in self.STOPS and k[:-1].isalpha():
                     out.append(word(" " + k[:-1]) + rest(k[-1]))
                     continue
-            if k[:1] == self.AS_IS:
-                out.append(rest(k[1:]))
-            elif m := self.PART.match(k):
-                line, letters, stops = m.groups()
-                ids = rest(line) + word(letters) if line else word(" " + letters)
+            if m := self.PART.match(k):
+                ahead, letters, stops = m.groups()
+                ids = (word(" " + letters) if not ahead else
+                       rest(ahead) + word(letters) if ahead == "\n" else word(letters))
                 out.append(ids + rest(stops) if stops else ids)
+            elif k[:1] == self.AS_IS:
+                out.append(rest(k[1:]))
             else:
                 out.append(rest(k if k[:1] == "\n" else " " + k))
         if len(self.known) > self.MOST:
