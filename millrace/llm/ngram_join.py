@@ -23,19 +23,22 @@ change a component is found (up to a 64-bit hash collision).
    short inverted lists with a heap, binary-probes the long ones, and retains
    nodes that reach the overlap. Pivots with many nodes are split into blocks.
 4. *Components* by alternating large and small stars, in checkpointed rounds.
-5. *Rest.* In groups whose nodes are still in different components, the sketches
-   of nodes of different components are compared in blocks; where a link is
-   possible, the same T-occurrence search decides. Groups of near copies are
-   whole by then and emit nothing.
+5. *Rest.* Groups whose nodes are still in different components take three more
+   pivots, each held against the nodes of other components, with components formed
+   anew in between. Then each node outside its group's largest component is held
+   against the nearest nodes by finer sketches, and where it had more of them that
+   may link, against all. The T-occurrence search decides each time.
 
 ``all_links`` and ``link_counts`` give the links themselves and their number for each
 document: the same nodes, signatures and T-occurrence search, with every pair of a
 group that the sketches allow. Their cost grows with the number of such pairs.
 
 Only sets that may still link are fetched, from one document of each node. No
-step of the components forms the pairs of a group of near copies; step 5 does compare
-the sketches of all pairs of a group whose nodes do not link, and one bucket of
-signatures is grouped in one task. Intermediate tables are Parquet in the
+step of the components forms the pairs of a group of near copies. Step 5 compares the
+sketches of the nodes that are left outside with those of their group, so a group
+of m nodes of which none link costs m * m sketch comparisons in blocks, and rows only
+where sketches allow a link. A signature that many sets share is combined where it
+is made, so its bucket holds a few numbers a slice of the input. Intermediate tables are Parquet in the
 shared folder, so lost executors only repeat their own tasks.
 
 Defined results: null or empty texts have an empty set and are their own
@@ -57,12 +60,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from ._batches import id_and_text, map_batches
+from ._batches import id_and_text, map_batches, slices
 
 WORDS = 5
 HOT = 0.005
 BAND = 1.6
 BLOCK = 512                     # nodes searched at once
+PIVOTS = 3                      # further pivots of a group before its outer nodes are searched one by one
+NEAREST = 8                     # nodes by sketch that an outer node is held against first
+FINE = 2                        # times the bits of the sketches of that search
 BUCKET_ENTRIES = 1 << 20        # signatures in one bucket, about
 
 _U = np.uint64
@@ -138,9 +144,10 @@ def fingerprint(shingles: np.ndarray) -> int:
     return int(np.int64(xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)))
 
 
-def sketch(shingles: np.ndarray) -> bytes:
-    """Bits at the shingles' hashes modulo the power of two above the set's size (64 at least)."""
-    size = max(64, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else 64
+def sketch(shingles: np.ndarray, fine: int = 1) -> bytes:
+    """Bits at the shingles' hashes modulo the power of two above the set's size (64 at least), or
+    ``fine`` times that."""
+    size = fine * max(64, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else 64 * fine
     bits = np.zeros(size, bool)
     bits[(_mix(shingles) & _U(size - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -201,9 +208,14 @@ def signatures(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
     With more than H non-empty segments, H being the most shingles that differ,
     one of them must be whole in both sets. Universe 0 leaves out hot shingles;
-    where it has too few segments, universe 1 (all shingles) is added, and where
-    that has too few, universe 2 (each shingle alone). If either set of a pair
-    has enough segments in a universe, both emit it.
+    where it has too few segments, universe 1 (its shingles alone) is added; where it
+    has no more than H shingles, universe 2 (segments of all shingles), and where that
+    has too few, universe 3 (each shingle alone). If either set of a pair has enough
+    in a universe, both emit it. Texts that share a template but hold more than H
+    other shingles so never meet by the template.
+
+    Of more than H segments the first H + 1 do: the one of two sets whose H + 1 end
+    first has a whole one among them, and the other set's reach at least as far.
     """
     rest = h
     if len(hot):
@@ -213,12 +225,14 @@ def signatures(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
     out = []
     for tag, differ in _tags(len(h)):
         own = _segment_hashes(rest, tag, 0)
-        out.append(own)
+        out.append(own[:differ + 1])
         if len(own) <= differ:
-            whole = _segment_hashes(h, tag, 1)
-            out.append(whole)
-            if len(whole) <= differ:
-                out.append(_mix(h + _U(tag * 4 + 2)))
+            out.append(_mix(rest[:differ + 1] + _U(tag * 4 + 1)))
+            if len(rest) <= differ:
+                whole = _segment_hashes(h, tag, 2)
+                out.append(whole[:differ + 1])
+                if len(whole) <= differ:
+                    out.append(_mix(h[:differ + 1] + _U(tag * 4 + 3)))
     return np.concatenate(out)
 
 
@@ -323,12 +337,28 @@ def _hot_shingles(nodes: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.h for r in rows], np.int64).astype(_U))
 
 
+#: A signature that so many sets of one slice share is combined there.
+COMBINE = 16
+
+
 def _packed_signatures(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Rows bucket, sig, who, fps, ns: a batch's signatures of one bucket as packed integers."""
-    schema = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("sig", "who", "fps", "ns")])
+    """Rows deal, bucket, sig, who, fps, ns: a slice's signatures of one bucket as packed integers.
+
+    Of a signature that many sets of the slice share, only the smallest set goes to
+    the bucket, with the number of sets it stands for; the group itself leaves as a
+    row of bucket -1 (sig, pivot, set of each other one), dealt anywhere. So a signature that a third
+    of all sets share is a few numbers a slice where its bucket is put together.
+    """
+    schema = pa.schema([("deal", pa.int32()), ("bucket", pa.int32())]
+                       + [(c, pa.binary()) for c in ("sig", "who", "fps", "ns")])
+
+    def row(deal, bucket, *arrays):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([deal], pa.int32()), pa.array([bucket], pa.int32())]
+            + [pa.array([x.tobytes()], pa.binary()) for x in arrays], schema=schema)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             sets: dict[int, np.ndarray] = {}
             for t in b.column(1).to_pylist():
                 s = shingle_set(t)
@@ -336,45 +366,72 @@ def _packed_signatures(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFr
                     sets.setdefault(fingerprint(s), s)
             if not sets:
                 continue
-            fps = np.array(list(sets), np.int64)
-            ns = np.array([len(s) for s in sets.values()], np.uint32)
-            each = [signatures(s, hot) for s in sets.values()]
+            fps = np.sort(np.array(list(sets), np.int64))
+            each = [signatures(sets[f], hot) for f in fps.tolist()]
             who = np.repeat(np.arange(len(each), dtype=np.uint32), [len(x) for x in each])
             sig = np.concatenate(each)
+            order = np.argsort(sig, kind="stable")          # a signature's sets stay in ascending order
+            sig, who = sig[order], who[order]
+            first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            m = np.diff(np.append(first, len(sig)))
+            shared = m >= COMBINE
+            if shared.any():
+                pivot = np.repeat(who[first], m)
+                inner = np.repeat(shared, m)
+                inner[first] = False
+                yield row(int(fps[0] % buckets), -1, sig[inner], pivot[inner], fps, who[inner])
+                stay = ~inner
+                weight = np.ones(len(sig), np.uint32)
+                weight[first[shared]] = m[shared]
+                sig, who, weight = sig[stay], who[stay], weight[stay]
+            else:
+                weight = np.ones(len(sig), np.uint32)
             bucket = (sig % _U(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
-            sig, who, bucket = sig[order], who[order], bucket[order]
+            sig, who, weight, bucket = sig[order], who[order], weight[order], bucket[order]
             first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             for s, e in zip(first, [*first[1:], len(bucket)]):
                 here, own = np.unique(who[s:e], return_inverse=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket[s]], pa.int32())] + [pa.array([x.tobytes()], pa.binary()) for x in (
-                        sig[s:e], own.astype(np.uint32), fps[here], ns[here])], schema=schema)
-    return docs.mapInArrow(run, "bucket int, sig binary, who binary, fps binary, ns binary")
+                yield row(bucket[s], bucket[s], sig[s:e], own.astype(np.uint32), fps[here], weight[s:e])
+    return docs.mapInArrow(run, "deal int, bucket int, sig binary, who binary, fps binary, ns binary")
+
+
+_GROUP = "gid long, pivot long, fp long, m long"
 
 
 def _groups(packed: DataFrame, buckets: int) -> DataFrame:
-    """Rows gid, pivot, fp, m: each node of a signature group of m >= 2 nodes but its pivot."""
+    """Rows gid, pivot, fp, m: each node of a signature group of m >= 2 nodes but a pivot."""
     def groups_of(parts: list[tuple]) -> pa.RecordBatch:
         sig = np.concatenate([np.frombuffer(p[0], _U) for p in parts])
         fp = np.concatenate([np.frombuffer(p[2], np.int64)[np.frombuffer(p[1], np.uint32)] for p in parts])
+        weight = np.concatenate([np.frombuffer(p[3], np.uint32) for p in parts]).astype(np.int64)
         order = np.lexsort((fp, sig))
-        sig, fp = sig[order], fp[order]
-        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (fp[1:] != fp[:-1])])
-        sig, fp = sig[new], fp[new]
+        sig, fp, weight = sig[order], fp[order], weight[order]
+        new = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (fp[1:] != fp[:-1])]))
+        sig, fp, weight = sig[new], fp[new], np.maximum.reduceat(weight, new)
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         m = np.diff(np.append(first, len(sig)))
-        pivot, size = np.repeat(fp[first], m), np.repeat(m, m)
-        keep = (size > 1) & (fp != pivot)
+        pivot, size = np.repeat(fp[first], m), np.repeat(np.add.reduceat(weight, first), m)
+        keep = fp != pivot
         return pa.RecordBatch.from_arrays(
             [pa.array(sig[keep].astype(np.int64)), pa.array(pivot[keep]), pa.array(fp[keep]), pa.array(size[keep])],
             names=["gid", "pivot", "fp", "m"])
 
+    def combined(sig, pivot, fps, who):
+        sig, fps = np.frombuffer(sig, np.int64), np.frombuffer(fps, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(sig), pa.array(fps[np.frombuffer(pivot, np.uint32)]),
+             pa.array(fps[np.frombuffer(who, np.uint32)]), pa.array(np.full(len(sig), COMBINE))],
+            names=["gid", "pivot", "fp", "m"])
+
     def run(batches):
         bucket, parts = None, []
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in range(5)]
+            cols = [b.column(i).to_pylist() for i in range(1, 6)]
             for row in zip(*cols):
+                if row[0] < 0:
+                    yield combined(*row[1:])
+                    continue
                 if row[0] != bucket and parts:
                     yield groups_of(parts)
                     parts = []
@@ -382,8 +439,7 @@ def _groups(packed: DataFrame, buckets: int) -> DataFrame:
                 parts.append(row[1:])
         if parts:
             yield groups_of(parts)
-    return (packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(run, "gid long, pivot long, fp long, m long"))
+    return packed.repartition(buckets, "deal").sortWithinPartitions("bucket").mapInArrow(run, _GROUP)
 
 
 BITS = 1 << 25                  # of the fixed-size filter of wanted ids (4 MB, whatever their number)
@@ -485,45 +541,80 @@ def _star_links(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return _by_group(rows, ["pivot", "block"], ["side", "fp", "shingles"], search)
 
 
-def _rest_pairs(groups: DataFrame, label: DataFrame | None, nodes: DataFrame) -> DataFrame:
-    """Nodes (pivot, fp) of one group but different components that may link; all nodes
-    of one group that may link, if there is no ``label``."""
-    rest = groups if label is None else groups.filter("m > 2")
-    members = rest.select("gid", "fp").unionByName(rest.select("gid", F.col("pivot").alias("fp")).distinct())
-    if label is None:
-        members = members.withColumn("label", F.col("fp"))
-    else:
-        members = members.join(label, "fp", "left").select("gid", "fp", F.coalesce("root", "fp").alias("label"))
+def _all_pairs(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """All pairs (pivot, fp) of nodes of one group that may link."""
+    members = _members(groups).withColumn("label", F.col("fp"))
+    rows = _once(members).join(nodes.select("fp", "n", "sketch"), "fp")
+    return _near(rows, None)
+
+
+def _members(groups: DataFrame) -> DataFrame:
+    """Rows gid, fp of whole groups."""
+    return groups.select("gid", "fp").unionByName(groups.select("gid", F.col("pivot").alias("fp"))).distinct()
+
+
+def _once(members: DataFrame) -> DataFrame:
+    """Rows gid, fp, label, m of the groups that hold several labels; of groups with the same nodes, one."""
     open_ = (members.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                         F.count(F.lit(1)).alias("m"),
                                         F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("who"))
              .filter("lo <> hi"))
-    # Many signatures make the same group: search it once.
-    once = (open_.groupBy("m", "who").agg(F.min("gid").alias("gid"))
-            .withColumn("blocks", F.ceil(F.col("m") / BLOCK)))
-    rows = (members.join(once, "gid").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-            .join(nodes.select("fp", "n", "sketch"), "fp"))
-    # Each pair of blocks meets in one task; a node goes to the pairs of its own block.
-    pair = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    pair = pair.select("gid", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                       (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "label", "n", "sketch")
+    return members.join(open_.groupBy("m", "who").agg(F.min("gid").alias("gid")), "gid")
+
+
+def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+    return members.select("gid", "fp").join(label, "fp", "left").select(
+        "gid", "fp", F.coalesce("root", "fp").alias("label"))
+
+
+def _pivots(open_: DataFrame, turn: int) -> DataFrame:
+    """Rows pivot, fp: the nodes of each group that are in another component than its ``turn``-th pivot.
+    Pivots are smallest by a hash, so groups that share most nodes share most pivots."""
+    pivot = open_.groupBy("gid").agg(F.min_by(F.struct("fp", "label"), F.xxhash64("fp", F.lit(turn))).alias("p"))
+    return (open_.join(pivot, "gid").filter(F.col("label") != F.col("p.label"))
+            .select(F.col("p.fp").alias("pivot"), "fp").distinct())
+
+
+def _near(rows: DataFrame, most: int | None) -> DataFrame:
+    """Rows pivot, fp: for each node outside its group's largest component, the ``most`` nearest
+    nodes by sketch (or all) that may link and are in other components. A node that has more
+    of them is also paired with itself.
+
+    ``rows`` are gid, fp, label, n, sketch. The outer nodes of a group are dealt to
+    blocks; each block meets the whole group.
+    """
+    size = rows.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("c"))
+    main = size.groupBy("gid").agg(F.max_by("label", "c").alias("main"), F.sum("c").alias("m"), F.max("c").alias("c"))
+    main = main.select("gid", "main", F.ceil((F.col("m") - F.col("c")) / BLOCK).alias("blocks"))
+    all_ = rows.select("gid", "fp", "label", "n", "sketch").join(main, "gid").withColumn("outer", F.col("label") != F.col("main"))
+    own = F.when(F.col("outer"), F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    dealt = all_.withColumn("own", own).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("side", (F.col("own").isNull() | (F.col("own") != F.col("block"))).cast("int"))
 
     def search(group):
         side, fp, label, n = (np.array([g[i] for g in group], np.int64) for i in range(4))
-        size = min(len(g[4]) for g in group)                 # bytes; fold all to the smallest
-        bits = np.frombuffer(b"".join(folded(g[4], size).to_bytes(size, "little") for g in group), _U)
-        bits = bits.reshape(len(group), -1)
-        halves, out = len(set(side)) > 1, []
-        for i in range(len(group)):
-            if halves and side[i] == 1:
-                continue
-            later = np.flatnonzero(side == 1) if halves else np.arange(i + 1, len(group))
-            later = later[(label[later] != label[i]) & (10 * np.minimum(n[later], n[i]) >= 8 * np.maximum(n[later], n[i]))]
-            differ = np.bitwise_count(bits[later] ^ bits[i]).sum(1)
-            for j in later[differ <= (n[later] + n[i]) // 9]:
-                out.append((min(fp[i], fp[j]), max(fp[i], fp[j])))
+        width = np.array([len(g[4]) for g in group])
+        out = []
+        # Only sets of neighbouring sketch sizes can link: fold to the smaller of the two.
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero((width >= w) & (width <= 2 * w))
+            bits = np.frombuffer(b"".join(folded(group[i][4], w).to_bytes(w, "little") for i in at), _U)
+            bits = bits.reshape(len(at), -1)
+            narrow = width[at] == w
+            for k in np.flatnonzero(side[at] == 0).tolist():
+                i = at[k]
+                j = np.flatnonzero((label[at] != label[i]) & (narrow | narrow[k]))
+                j = j[10 * np.minimum(n[at[j]], n[i]) >= 8 * np.maximum(n[at[j]], n[i])]
+                differ = np.bitwise_count(bits[j] ^ bits[k]).sum(1)
+                near = differ <= (n[at[j]] + n[i]) // 9
+                j, differ = at[j[near]], differ[near]
+                for t in j[np.lexsort((fp[j], differ))][:most].tolist():
+                    out.append((min(fp[i], fp[t]), max(fp[i], fp[t])))
+                if most is not None and len(j) > most:
+                    out.append((fp[i], fp[i]))
         return out
-    found = _by_group(pair, ["gid", "x", "y"], ["side", "fp", "label", "n", "sketch"], search)
+    found = _by_group(dealt, ["gid", "block"], ["side", "fp", "label", "n", "sketch"], search)
     return found.select(F.col("u").alias("pivot"), F.col("v").alias("fp")).distinct()
 
 
@@ -549,6 +640,53 @@ def components(spark: SparkSession, links: DataFrame, root: str, name: str) -> D
         before = tuple(state)
 
 
+def _closed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, groups: DataFrame, label: DataFrame,
+            root: str) -> DataFrame:
+    """Labels after the search of the groups whose nodes are still in several components."""
+    open_ = _stored(spark, _once(_labelled(_members(groups.filter("m > 2")), label)), root, "open-0")
+    if open_.isEmpty():
+        return label
+    sets = _stored(spark, _with_sketches(_sets_of(docs, nodes, open_.select("fp").distinct())), root, "open-sets")
+    sketches = sets.select("fp", "n", "sketch")
+
+    def linked(pairs: DataFrame, turn: int) -> DataFrame | None:
+        links = _stored(spark, _star_links(pairs, sets.select("fp", "shingles")), root, f"open-links-{turn}")
+        if links.isEmpty():
+            return None
+        edges = links.unionByName(label.select(F.col("fp").alias("u"), F.col("root").alias("v")))
+        return _stored(spark, components(spark, edges, root, f"open-{turn}"), root, f"open-label-{turn}")
+
+    for turn in range(1, PIVOTS + 3):
+        if turn <= PIVOTS:
+            pairs = _possible(_pivots(open_, turn), sketches)
+        elif turn == PIVOTS + 1:
+            pairs = _near(open_.join(sketches, "fp"), NEAREST)
+        else:
+            # Nodes that had more than their nearest: all that is left, in the groups they are in.
+            more = near.filter("pivot = fp").select("fp")
+            again = open_.join(open_.join(more, "fp", "left_semi").select("gid").distinct(), "gid")
+            if again.isEmpty():
+                break
+            pairs = _near(again.join(sketches, "fp"), None).join(near, ["pivot", "fp"], "left_anti")
+        near = _stored(spark, pairs, root, f"open-pairs-{turn}")
+        new = linked(near.filter("pivot <> fp"), turn)
+        if new is None:
+            continue
+        label = new
+        open_ = _stored(spark, _once(_labelled(open_, label)), root, f"open-{turn}")
+        if open_.isEmpty():
+            break
+    return label
+
+
+def _with_sketches(sets: DataFrame) -> DataFrame:
+    """Rows fp, n, sketch, shingles, with sketches of ``FINE`` times the bits."""
+    def work(fps, raw):
+        each = [np.frombuffer(x, _U) for x in raw]
+        return [fps, [len(x) for x in each], [sketch(x, FINE) for x in each], raw]
+    return map_batches(sets.select("fp", "shingles"), "fp long, n long, sketch binary, shingles binary", work)
+
+
 def _prepared(spark: SparkSession, docs: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their nodes, signature groups, and one sketch of each node."""
     nodes = _stored(spark, _nodes(docs), root, "nodes")
@@ -576,7 +714,7 @@ def all_links(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     root = fresh_dir(spark, "ngram-links")
     docs = id_and_text(df, id_col, text_col)
     nodes, groups, one = _prepared(spark, docs, root)
-    pairs = _stored(spark, _rest_pairs(groups, None, one), root, "pairs")
+    pairs = _stored(spark, _all_pairs(groups, one), root, "pairs")
     return (_links_of(spark, docs, nodes, pairs, root, "all"),
             nodes.select("doc_id", "fp", F.col("n").alias("n_shingles")))
 
@@ -602,10 +740,7 @@ def link_components(spark: SparkSession, df: DataFrame, id_col: str = "doc_id",
     edges = _stored(spark, _possible(groups.select("pivot", "fp").distinct(), one), root, "edges")
     links = _links_of(spark, docs, nodes, edges, root, "star")
     label = _stored(spark, components(spark, links, root, "stars"), root, "label")
-    pairs = _stored(spark, _rest_pairs(groups, label, one), root, "pairs")
-    if not pairs.isEmpty():
-        whole = links.unionByName(_links_of(spark, docs, nodes, pairs, root, "rest"))
-        label = _stored(spark, components(spark, whole, root, "all"), root, "whole")
+    label = _closed(spark, docs, nodes, groups, label, root)
     ids = nodes.select("doc_id", "fp", "n").filter(F.col("fp").isNotNull())
     named = (ids.groupBy("fp").agg(F.min("doc_id").alias("lowest")).join(label, "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))

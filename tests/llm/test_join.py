@@ -1,10 +1,14 @@
 """Operator 3 against brute force: signatures, the T-occurrence search, and whole components."""
 
+import random
+
 import numpy as np
 
 import duckdb
 
 from millrace.llm import ngram_join as nj
+from millrace.llm._batches import id_and_text
+from millrace.session import fresh_dir
 
 
 def brute(sets):
@@ -196,3 +200,48 @@ def test_awkward_and_empty(spark, awkward, empty):
     nulls = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (9, "A b c d e f")],
                                   "doc_id long, text string")
     assert {r.component_id for r in nj.link_components(spark, nulls).collect()} == {9}
+
+
+def test_templates_that_do_not_link_make_few_pairs(spark):
+    """Texts that share 120 of 150 words, none linked: candidates grow with the texts, not their pairs."""
+    made = {}
+    for n in (300, 600):
+        rng = random.Random(5)
+        base = [f"t{i}" for i in range(120)]
+        rows = [(i, " ".join(base + [f"p{rng.randrange(10 ** 9)}" for _ in range(30)])) for i in range(n)]
+        docs = id_and_text(spark.createDataFrame(rows, "doc_id long, text string"))
+        root = fresh_dir(spark, "templates")
+        nodes, groups, one = nj._prepared(spark, docs, root)
+        made[n] = groups.count()
+        out = nj.link_components(spark, docs).collect()
+        assert {r["component_id"] for r in out} == set(range(n))
+    assert made[600] <= 2.5 * made[300] + 600
+
+
+def test_chains_of_near_copies_with_many_pivots(spark):
+    """Edited copies of edited copies: most do not link with any one pivot; components are brute force's."""
+    rng = random.Random(9)
+    rows, i = [], 0
+    for family in range(4):
+        words = [f"f{family}w{k}" for k in range(90)]
+        for _ in range(60):
+            words = list(words)
+            for _ in range(rng.choice([1, 1, 2, 4])):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+            rows.append((i, " ".join(words)))
+            i += 1
+    got = {r["doc_id"]: r["component_id"] for r in nj.link_components(
+        spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    sets = {k: set(nj.shingle_set(t).tolist()) for k, t in rows}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert got == {k: find(k) for k in sets}
