@@ -79,5 +79,19 @@ def sha256_hex(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def overlaps(s: int, e: int, spans: Iterable[Span]) -> bool:
-    return any(s < b and a < e for a, b, _ in spans)
+class Cover:
+    """Which characters of a text some span covers. Adding and asking cost the span's length."""
+
+    def __init__(self, size: int, spans: Iterable[Sequence] = ()):
+        self.size, self.mask = size, b""
+        for x in spans:
+            self.add(x[0], x[1])
+
+    def add(self, s: int, e: int) -> None:
+        if not self.mask:
+            self.mask = bytearray(self.size)
+        self.mask[s:e] = b"\x01" * (e - s)
+
+    def hits(self, s: int, e: int) -> bool:
+        """Whether s..e overlaps a span."""
+        return bool(self.mask) and self.mask.find(b"\x01", s, e) >= 0

@@ -35,12 +35,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batches import id_and_text, map_batches
+from ._batches import id_and_text, map_batches, slices
 
 GRAM = 3
 RARE_WORDS = 1_000_000
@@ -123,31 +125,52 @@ def rare_seeds(items: Items, counts: np.ndarray, total: int) -> Seeds:
 
 
 def align(item: np.ndarray, window: np.ndarray, mismatch: int = MISMATCH, gap: int = GAP) -> tuple[int, int, int, int]:
-    """Smith-Waterman on word numbers: (score, equal words, start, end) in the window."""
+    """Smith-Waterman on word numbers: (score, equal words, start, end) in the window.
+
+    Of the matrix, every ``stride``-th row is kept; the rows between two of them are made
+    again when the path is followed back, so memory grows with the window and the
+    root of the item's length.
+    """
     n, m = len(item), len(window)
-    h = np.zeros((n + 1, m + 1), np.int32)
     slope = np.arange(m + 1, dtype=np.int32) * -gap
-    for i in range(1, n + 1):
-        row = np.zeros(m + 1, np.int32)
-        row[1:] = h[i - 1, :-1] + np.where(window == item[i - 1], MATCH, mismatch)
-        np.maximum(row, h[i - 1] + gap, out=row)
-        np.maximum(row, 0, out=row)
-        h[i] = np.maximum.accumulate(row + slope) - slope       # gaps along the window
-    best = int(h.max())
+    stride = max(16, math.isqrt(n))
+
+    def rows(first: np.ndarray, start: int, stop: int):
+        """Rows start + 1 .. stop, from the row ``first`` at ``start``."""
+        h = first
+        for i in range(start + 1, stop + 1):
+            row = np.zeros(m + 1, np.int32)
+            row[1:] = h[:-1] + np.where(window == item[i - 1], MATCH, mismatch)
+            np.maximum(row, h + gap, out=row)
+            np.maximum(row, 0, out=row)
+            h = np.maximum.accumulate(row + slope) - slope       # gaps along the window
+            yield i, h
+    kept = {0: np.zeros(m + 1, np.int32)}
+    best, i, j = 0, 0, 0
+    for r, h in rows(kept[0], 0, n):
+        if r % stride == 0:
+            kept[r] = h
+        top = int(h.max())
+        if top > best:
+            best, i, j = top, r, int(h.argmax())
     if best == 0:
         return 0, 0, 0, 0
-    i, j = (int(v) for v in np.unravel_index(int(np.argmax(h)), h.shape))
     end, equal = j, 0
-    while h[i, j] > 0:
+    base, block = -1, {}
+    while True:
+        if i - 1 < base or base < 0:
+            base = max(0, i - 1) // stride * stride
+            block = {base: kept[base], **dict(rows(kept[base], base, i))}
+        if block[i][j] <= 0:
+            return best, equal, j, end
         same = window[j - 1] == item[i - 1]
-        if h[i, j] == h[i - 1, j - 1] + (MATCH if same else mismatch):
+        if block[i][j] == block[i - 1][j - 1] + (MATCH if same else mismatch):
             equal += int(same)
             i, j = i - 1, j - 1
-        elif h[i, j] == h[i - 1, j] + gap:
+        elif block[i][j] == block[i - 1][j] + gap:
             i -= 1
         else:
             j -= 1
-    return best, equal, j, end
 
 
 def needed_words(length: int, rare: bool = False) -> int:
@@ -256,13 +279,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows, with all their columns, in which no test item is found."""
+    names = docs.columns
+    at = names.index("text") if "text" in names else [n.lower() for n in names].index("text")
     kept = docs
     for items in _blocks(benchmark, "item_id"):
         seeds = fit_seeds(docs, items)
 
         def run(batches, seeds=seeds):
-            for b in batches:
-                texts = b.column(b.schema.get_field_index("text")).to_pylist()
+            for b in slices(batches):
+                texts = b.column(at).to_pylist()
                 yield b.filter(pa.array([not find_items(t or "", seeds) for t in texts], pa.bool_()))
         kept = kept.mapInArrow(run, kept.schema)
     return kept

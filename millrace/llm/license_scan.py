@@ -22,23 +22,48 @@ import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
-from ._batches import id_and_text, map_batches
+from ._batches import Cover, id_and_text, map_batches
 
 # Base phrases and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Notices of the fuzzy search, as normalised words.
+#: Notices of the fuzzy search, as normalised words.
 NOTICES: list[tuple[str, str]] = [
     ("apache-2.0", "licensed under the apache license version 2 0"),
+    ("apache-2.0", "spdx license identifier apache 2 0"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit", "licensed under the mit license"),
+    ("mit", "spdx license identifier mit"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
+    ("isc", "licensed under the isc license"),
     ("bsd", "redistribution and use in source and binary forms"),
+    ("bsd-2-clause", "spdx license identifier bsd 2 clause"),
+    ("bsd-3-clause", "spdx license identifier bsd 3 clause"),
     ("gpl", "gnu general public license"),
+    ("gpl-2.0", "gnu general public license version 2"),
+    ("gpl-3.0", "gnu general public license version 3"),
+    ("lgpl", "gnu lesser general public license"),
+    ("agpl", "gnu affero general public license"),
     ("cc-by", "licensed under cc by 4 0"),
+    ("cc-by", "creative commons attribution"),
+    ("cc-by-3.0", "creative commons attribution 3 0 unported"),
+    ("cc-by-4.0", "creative commons attribution 4 0 international"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
+    ("cc-by-nc", "creative commons attribution noncommercial"),
+    ("cc-by-nd", "creative commons attribution noderivatives"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by", "creative commons attribution"),
+    ("cc-by-sa", "creative commons attribution sharealike"),
+    ("cc0", "creative commons zero v1 0 universal"),
+    ("cc0", "licensed under cc0 1 0"),
     ("mpl", "mozilla public license"),
+    ("mpl-2.0", "mozilla public license version 2 0"),
+    ("epl-2.0", "eclipse public license version 2 0"),
+    ("bsl-1.0", "boost software license version 1 0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("zlib", "this software is provided as is without any express or implied warranty"),
+    ("wtfpl", "do what the fuck you want to public license"),
+    ("odbl", "open data commons open database license"),
+    ("ofl-1.1", "sil open font license version 1 1"),
     ("reserved", "all rights reserved"),
 ]
 
@@ -96,11 +121,35 @@ def fuzzy_notices(joined: str) -> list[tuple[int, int, int, int]]:
             if m and (m.start() == 0 or joined[m.start() - 1] == " ") and \
                     (m.end() == len(joined) or joined[m.end()] == " "):
                 hits.add((sum(m.fuzzy_counts), m.start(), m.end()))
-        taken: list[tuple[int, int]] = []
+        taken = Cover(len(joined))
         for e, a, b in sorted(hits):
-            if all(b <= x or y <= a for x, y in taken):
-                taken.append((a, b))
+            if not taken.hits(a, b):
+                taken.add(a, b)
                 out.append((k, a, b, e))
+    return _versions(out)
+
+
+_FAMILY = [re.sub("[0-9]", "#", n) for _, n in NOTICES]
+
+
+def _versions(finds: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Of notices that differ in digits only, the nearest at each place (several, if they are as near)."""
+    families: dict[str, list] = {}
+    for f in finds:
+        families.setdefault(_FAMILY[f[0]], []).append(f)
+    out = []
+    for family, own in families.items():
+        if _FAMILY.count(family) == 1:
+            out += own
+            continue
+        # By place: finds that overlap are one place.
+        place: list = []
+        for f in sorted(own, key=lambda f: f[1:3]) + [None]:
+            if place and (f is None or f[1] >= max(x[2] for x in place)):
+                least = min(x[3] for x in place)
+                out += [x for x in place if x[3] == least]
+                place = []
+            place.append(f)
     return out
 
 
@@ -111,13 +160,18 @@ def scan_text(text: str) -> dict:
     padded = f" {joined} "
     places, labels = [], set()
     for phrase, label in BASE_PHRASES.items():
-        needle, at = f" {phrase} ", -1
+        needle, at, last, word = f" {phrase} ", -1, 0, 0
         while (at := padded.find(needle, at + 1)) >= 0:
-            places.append(padded.count(" ", 0, at))
+            word += padded.count(" ", last, at)         # words before it, counted once
+            last = at
+            places.append(word)
             labels.add(label)
-    finds = [{"label": NOTICES[k][0], "edits": e, "first_word": joined.count(" ", 0, a),
-              "n_words": joined.count(" ", a, b) + 1,
-              "similarity": 1.0 - e / len(NOTICES[k][1])} for k, a, b, e in fuzzy_notices(joined)]
+    finds, last, word = [], 0, 0
+    for k, a, b, e in sorted(fuzzy_notices(joined), key=lambda x: x[1]):
+        word += joined.count(" ", last, a)
+        last = a
+        finds.append({"label": NOTICES[k][0], "edits": e, "first_word": word, "n_words": joined.count(" ", a, b) + 1,
+                      "similarity": 1.0 - e / len(NOTICES[k][1])})
     if finds:                               # spans in the text itself, only where something is found
         spots = [m.span() for m in _WORD.finditer(text.translate(_CAPITALS))]
         for f in finds:

@@ -2,28 +2,36 @@
 
 Base kinds (email, ip, card, phone) are found by pattern and always reported.
 Looser patterns give further candidates: phone numbers without a country sign,
-written-out emails, social security numbers, IBANs and names after a title.
-Every candidate is voted on by labelers that look at different evidence:
-
-* the strictness of its pattern (regex labelers, with checksums),
-* word lists near it that speak for or against (gazetteer labelers),
-* the characters and tokens around it (context labelers).
-
-Expectation-maximisation over all candidates of the corpus estimates how
-reliable each labeler is, without any gold label; its posteriors train a
-logistic span classifier on features of the candidate. Both only need counts
-of (votes, features) patterns, whose number is bounded by the definitions and
-not by the data, so the corpus is reduced to them by one partial aggregation.
-The classifier then decides the loose candidates in a second narrow pass.
-
-Defined results: null or empty text, and tables without candidates, give no
-spans (an empty corpus gives a classifier that accepts nothing); null ids are
-kept; repeated rows count again in the statistics; texts are read whole, in
-linear time.
+written-out emails, social security numbers, IBANs and names after a title or
+with a known given name. Every candidate is voted on by labelers that look at
+different evidence:
+
+* regex labelers: strict pattern, checksums and number ranges;
+* gazetteer labelers: words near it that speak for or against, given names;
+* context labelers: the characters and tokens around it, repeated digits.
+
+Expectation-maximisation over the candidates of the corpus estimates, for each
+kind, how reliable each labeler is and how many candidates are personal, without
+any gold label. Both start from what the labeler is defined to mean
+(``VOTE_PRIOR``, ``KIND_PRIOR``, worth ``STRENGTH`` and ``KIND_STRENGTH`` candidates), so a
+kind that the corpus does not hold keeps its labelers' verdict, and base kinds say
+nothing about others. The posteriors train a logistic span classifier on features of
+the candidate, among them the checksums: on the corpus's patterns and, lightly, on
+every pattern the definitions allow. It decides the loose candidates in a second
+narrow pass.
+
+Both fits only need counts of (votes, features) patterns, whose number is bounded
+by the definitions and not by the data, so the corpus is reduced to them by one
+partial aggregation.
+
+Defined results: null or empty text gives no spans; a table without candidates
+gives the classifier of the definitions alone; null ids are kept; repeated rows
+count again in the statistics; texts are read whole, in linear time.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from dataclasses import dataclass
@@ -32,7 +40,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batches import id_and_text, map_batches, overlaps, sha256_hex, span_list
+from ._batches import Cover, id_and_text, map_batches, sha256_hex, span_list
 
 KINDS = {"email": 0, "ip": 1, "card": 2, "phone": 3,
          "phone_local": 4, "email_spelled": 5, "ssn": 6, "iban": 7, "person": 8}
@@ -51,14 +59,29 @@ _SPELLED = re.compile(r"\b[A-Za-z0-9_.-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
 _PERSON = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Señor|Señora)\.? [A-Z][a-zà-ÿ]{1,30}(?: [A-Z][a-zà-ÿ]{1,30})?\b")
+_NAME = re.compile(r"\b[A-Z][a-zà-ÿ]{1,30} [A-Z][a-zà-ÿ]{1,30}\b")
 _TITLE = re.compile(r"Mr|Ms|Dr|Prof|Herr|Frau|Mada|Mons|Señor")
 _DIGIT = re.compile(r"[0-9]")
 
 #: Gazetteers: words near a candidate that speak for it, and against it.
-FOR = frozenset("phone tel telephone call mobile fax contact email mail write ssn social security iban "
-                "account bank name telefon kontakt teléfono correo téléphone courriel nom konto".split())
-AGAINST = frozenset("version isbn issn part serial order invoice model page section chapter figure "
-                    "table example sample test id total price".split())
+FOR = frozenset("phone tel telephone call mobile cell fax contact reach dial whatsapp email mail write ssn social "
+                "security iban account bank transfer payee name telefon kontakt handy anruf konto kontonummer "
+                "teléfono móvil llamar correo cuenta nombre téléphone portable appeler courriel compte nom".split())
+AGAINST = frozenset("version isbn issn part serial order invoice model page section chapter figure table example "
+                    "sample test id total price sku lot batch article item ticket case build release revision "
+                    "artikel seite bestellung rechnung beispiel página pedido factura ejemplo commande facture "
+                    "exemple numéro ref reference".split())
+#: Given names that are common in the four languages of the labelers.
+GIVEN = frozenset("""
+Adam Alan Alice Amy Andrew Anna Anne Anthony Barbara Benjamin Brian Carl Carol Charles Christine Daniel David Deborah
+Diana Donald Edward Elizabeth Emily Emma Eric Frank George Grace Hannah Helen Henry Jack Jacob James Jane Jennifer
+Jessica John Joseph Julia Karen Kevin Laura Linda Lisa Margaret Maria Mark Martin Mary Matthew Michael Nancy Oliver
+Olivia Patricia Paul Peter Rachel Rebecca Richard Robert Ruth Samuel Sandra Sarah Sophia Stephen Steven Susan Thomas
+Victoria William Andreas Bernd Christoph Claudia Dieter Erika Friedrich Günter Hans Heike Heinrich Ingrid Jürgen Karin
+Klaus Lukas Manfred Matthias Monika Petra Sabine Stefan Ursula Uwe Werner Wolfgang Antoine Camille Chloé Claire Émile
+François Gérard Hélène Isabelle Jacques Jean Julien Louis Lucie Luc Marie Mathieu Nicolas Odile Philippe Pierre Sylvie
+Thérèse Yves Alejandro Ana Antonio Carlos Carmen Diego Elena Fernando Francisco Isabel Javier Jorge José Juan Juana
+Lucía Luis Manuel Miguel Pablo Pedro Pilar Rafael Rosa Sofía Teresa""".split())
 NEAR = 40          # characters looked at on either side
 
 
@@ -124,9 +147,13 @@ def loose_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
         out += [(*m.span(), "iban") for m in _IBAN.finditer(text)]
     if "at)" in text or "at]" in text:
         out += [(*m.span(), "email_spelled") for m in _SPELLED.finditer(text)]
-    if _TITLE.search(text):
-        out += [(*m.span(), "person") for m in _PERSON.finditer(text)]
-    return [x for x in out if not overlaps(x[0], x[1], base)]
+    titled = [(*m.span(), "person") for m in _PERSON.finditer(text)] if _TITLE.search(text) else []
+    taken = Cover(len(text), titled)
+    out += titled
+    out += [(*m.span(), "person") for m in _NAME.finditer(text)
+            if m.group().split(" ", 1)[0] in GIVEN and not taken.hits(*m.span())]
+    known = Cover(len(text), base)
+    return [x for x in out if not known.hits(x[0], x[1])]
 
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -144,29 +171,61 @@ def evidence(text: str, span: tuple[int, int, str]) -> tuple[tuple[int, ...], tu
     crowded = sum(c.isdigit() for c in left + right) > 12
     labelled = left.rstrip()[-1:] in (":", "=", "<", "(")
     one_digit = bool(digits) and len(set(digits)) <= 2
+    check = (1 if _iban_ok(body) else -1) if kind == "iban" else \
+        (-1 if digits[:3] in ("000", "666") or digits[:1] == "9" or digits[3:5] == "00" or digits[5:] == "0000" else 1) \
+        if kind == "ssn" else 0
+    named = kind == "person" and any(w in GIVEN for w in body.split())
     votes = (
         1 if kind in BASE else 0,                                             # strict pattern
-        (1 if _iban_ok(body) else -1) if kind == "iban" else
-        (-1 if digits[:3] in ("000", "666") or digits[:1] == "9" else 1) if kind == "ssn" else 0,
+        check,                                                                # checksums, number ranges
         1 if spoken_for else 0,                                               # gazetteers
         -1 if spoken_against else 0,
+        1 if named else 0,
         1 if labelled else 0,                                                 # context
         -1 if glued or crowded else 0,
-        -1 if one_digit else (1 if kind in ("email_spelled", "person") else 0),
+        -1 if one_digit else 0,
     )
-    features = (KINDS[kind], int(spoken_for), int(spoken_against), int(labelled), int(glued),
-                int(crowded), int(one_digit), min(3, len(body) // 10))
+    features = (KINDS[kind], check + 1, int(spoken_for), int(spoken_against), int(named), int(labelled),
+                int(glued or crowded), int(one_digit), min(3, len(body) // 10))
     return votes, features
 
 
-N_VOTES, N_FEATURES = 7, 8
+N_VOTES, N_FEATURES = 8, 9
+
+#: What each labeler is defined to mean: chances of its votes (-1, 0, 1) on spans that are not
+#: personal, and on those that are.
+VOTE_PRIOR = np.repeat(np.array([
+    [[.01, .60, .39], [.01, .30, .69]],         # strict pattern
+    [[.60, .35, .05], [.005, .35, .645]],       # checksum
+    [[.01, .79, .20], [.01, .49, .50]],         # a word for it
+    [[.60, .39, .01], [.03, .96, .01]],         # a word against it
+    [[.01, .79, .20], [.01, .49, .50]],         # a given name
+    [[.01, .84, .15], [.01, .64, .35]],         # a label ahead
+    [[.45, .54, .01], [.05, .94, .01]],         # glued or crowded
+    [[.40, .59, .01], [.02, .97, .01]],         # one digit again and again
+])[None], len(KINDS), 0)
+# Most numbers lie in a social security number's ranges, so that says little for one.
+VOTE_PRIOR[KINDS["ssn"], 1] = [[.30, .01, .69], [.005, .005, .99]]
+#: The labelers that look at a kind at all (others abstain, which then says nothing).
+LOOKS = np.array([[j != 1 or k in ("ssn", "iban") for j in range(N_VOTES)] for k in KINDS])
+LOOKS[:, 4] = [k == "person" for k in KINDS]
+LOOKS[:, 0] = [k in BASE for k in KINDS]
+LOOKS[:, 7] = [k not in ("person", "email", "email_spelled") for k in KINDS]
+#: Share of candidates of a kind that are personal, before any is seen.
+KIND_PRIOR = np.array([.95, .95, .95, .95, .65, .85, .65, .65, .75])
+STRENGTH, KIND_STRENGTH = 200.0, 20.0
+#: Weight of all patterns that the definitions allow, next to the corpus's, in the classifier's fit.
+DEFINED_WEIGHT = 200.0
+RIDGE = 0.01
 
 
 @dataclass(frozen=True)
 class SpanModel:
     """Labeler reliabilities and the span classifier; small and picklable."""
     weights: tuple[float, ...]
-    reliability: tuple[tuple[float, float], ...] = ()
+    shares: tuple[float, ...] = ()              # of personal candidates, by kind
+    #: By kind and labeler: chance of a vote for a personal span, and of one against another.
+    reliability: tuple[tuple[tuple[float, float], ...], ...] = ()
 
     def probability(self, features: tuple[int, ...]) -> float:
         x = _design(np.array([features]))[0]
@@ -175,47 +234,82 @@ class SpanModel:
 
 def _design(features: np.ndarray) -> np.ndarray:
     kinds = np.eye(len(KINDS))[features[:, 0]]
-    sizes = np.eye(4)[features[:, 7]]
-    return np.hstack([np.ones((len(features), 1)), kinds, features[:, 1:7], sizes])
+    checks = np.eye(3)[features[:, 1]]
+    sizes = np.eye(4)[features[:, 8]]
+    return np.hstack([np.ones((len(features), 1)), kinds, checks, features[:, 2:8], sizes])
 
 
-def fit_patterns(votes: np.ndarray, features: np.ndarray, n: np.ndarray, rounds: int = 60) -> SpanModel:
-    """EM over vote patterns (with counts ``n``), then the logistic classifier on its posteriors."""
-    width = 1 + len(KINDS) + 6 + 4
-    if not len(n):
-        return SpanModel(weights=(-30.0, *[0.0] * (width - 1)))
-    weight = n / n.sum() * min(float(n.sum()), 1e6)
-    score = votes.sum(1)
-    post = np.where(score > 0, 0.9, np.where(score < 0, 0.1, 0.4))
+WIDTH = 1 + len(KINDS) + 3 + 6 + 4
+
+
+def posterior(votes: np.ndarray, kind: np.ndarray, tables: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Chance that a pattern is personal, by Bayes' rule over the labelers that look at its kind."""
     onehot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)       # pattern, labeler, vote
-    for _ in range(rounds):
-        table = []
-        for p in (1 - post, post):
-            c = np.einsum("p,pjv->jv", weight * p, onehot) + 1.0
-            table.append(np.log(c / c.sum(1, keepdims=True)))
-        prior = float(np.clip((weight * post).sum() / weight.sum(), 0.01, 0.99))
-        log_odds = (np.einsum("pjv,jv->p", onehot, table[1] - table[0])
-                    + math.log(prior) - math.log(1 - prior))
-        post = 1 / (1 + np.exp(-np.clip(log_odds, -30, 30)))
-    x = _design(features)
-    w = np.zeros(width)
-    for _ in range(50):                                                        # Newton, ridge 1
+    ratio = np.log(tables[kind, :, 1]) - np.log(tables[kind, :, 0])             # pattern, labeler, vote
+    log_odds = (onehot * ratio).sum(2) * LOOKS[kind]
+    prior = np.log(shares[kind]) - np.log1p(-shares[kind])
+    return 1 / (1 + np.exp(-np.clip(log_odds.sum(1) + prior, -30, 30)))
+
+
+def fit_labelers(votes: np.ndarray, kind: np.ndarray, n: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
+    """Per kind: vote chances (labeler, not/personal, vote) and the share of personal candidates, by EM."""
+    tables = VOTE_PRIOR.copy()
+    shares = KIND_PRIOR.copy()
+    onehot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
+    for _ in range(rounds if len(n) else 0):
+        post = posterior(votes, kind, tables, shares)
+        for k in np.unique(kind):
+            own = kind == k
+            w = np.stack([n[own] * (1 - post[own]), n[own] * post[own]])       # not/personal, pattern
+            seen = np.einsum("cp,pjv->jcv", w, onehot[own]) + STRENGTH * VOTE_PRIOR[k]
+            tables[k] = seen / seen.sum(2, keepdims=True)
+            shares[k] = (w[1].sum() + KIND_STRENGTH * KIND_PRIOR[k]) / (w.sum() + KIND_STRENGTH)
+    return tables, shares
+
+
+def defined_patterns() -> tuple[np.ndarray, np.ndarray]:
+    """Votes and features of every pattern a loose candidate can have."""
+    votes, features = [], []
+    for name, k in KINDS.items():
+        if name in BASE:
+            continue
+        for check, for_, against, named, label, crowd, one, size in itertools.product(
+                (-1, 1) if name in ("ssn", "iban") else (0,), (0, 1), (0, 1), (0, 1) if name == "person" else (0,),
+                (0, 1), (0, 1), (0, 1) if LOOKS[k, 7] else (0,), range(4)):
+            votes.append((0, check, for_, -against, named, label, -crowd, -one))
+            features.append((k, check + 1, for_, against, named, label, crowd, one, size))
+    return np.array(votes), np.array(features)
+
+
+def fit_patterns(votes: np.ndarray, features: np.ndarray, n: np.ndarray) -> SpanModel:
+    """EM over vote patterns (with counts ``n``), then the logistic classifier on its posteriors."""
+    tables, shares = fit_labelers(votes, features[:, 0], n)
+    more_votes, more = defined_patterns()
+    loose = features[:, 0] >= len(BASE)
+    all_votes, all_ = np.vstack([votes[loose], more_votes]), np.vstack([features[loose], more])
+    post = posterior(all_votes, all_[:, 0], tables, shares)
+    weight = np.concatenate([n[loose] * min(1.0, 1e6 / max(1.0, float(n[loose].sum()))),
+                             np.full(len(more), DEFINED_WEIGHT / len(more))])
+    x = _design(all_)
+    w = np.zeros(WIDTH)
+    for _ in range(50):                                                        # Newton, a small ridge
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (weight * (p - post)) + w
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(width)
+        grad = x.T @ (weight * (p - post)) + RIDGE * w
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(WIDTH)
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-9:
             break
-    rel = tuple((float(np.exp(table[1][j, 2])), float(np.exp(table[0][j, 0]))) for j in range(votes.shape[1]))
-    return SpanModel(weights=tuple(float(v) for v in w), reliability=rel)
+    return SpanModel(weights=tuple(float(v) for v in w), shares=tuple(float(v) for v in shares),
+                     reliability=tuple(tuple((float(t[j, 1, 2]), float(t[j, 0, 0])) for j in range(N_VOTES))
+                                       for t in tables))
 
 
 def fit_model(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SpanModel:
     """Label model and classifier from all candidates of all documents.
 
     What reaches the driver is one row per (votes, features) pattern: at most
-    3^7 x 9 x 2^6 x 4 by definition, some dozens in practice.
+    some 3,000 by definition, some dozens in practice.
     """
     def work(_ids, texts):
         counts: dict[tuple, int] = {}
@@ -235,10 +329,11 @@ def fit_model(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def find_spans(text: str, model: SpanModel) -> list[tuple[int, int, str]]:
     """All spans of one text: every base span, and loose candidates the classifier accepts."""
     base = base_spans(text)
-    extra = []
+    extra, taken = [], Cover(len(text))
     for span in loose_spans(text, base):
-        if not overlaps(span[0], span[1], extra) and model.probability(evidence(text, span)[1]) >= 0.5:
+        if not taken.hits(span[0], span[1]) and model.probability(evidence(text, span)[1]) >= 0.5:
             extra.append(span)
+            taken.add(span[0], span[1])
     return base + extra
 
 

@@ -38,7 +38,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batches import id_and_text, map_batches, overlaps
+from ._batches import Cover, id_and_text, map_batches
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(
@@ -220,15 +220,16 @@ def _accepted(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def scan_text(text: str) -> list[tuple[int, int, str]]:
     """All spans of one text: base finds, then accepted random tokens elsewhere."""
     base = base_spans(text)
+    known = Cover(len(text), base)
     tokens = [m.span() for m in _TOKEN.finditer(text)]
-    whole = _accepted(text, [x for x in tokens if not overlaps(*x, base)])
+    whole = _accepted(text, [x for x in tokens if not known.hits(*x)])
     pieces: set[tuple[int, int]] = set()
     for s, e in set(tokens).difference(whole):
         _pieces(text[s:e], s, pieces)
     parts: list[tuple[int, int]] = []
     last = -1
     # Longest first among those that start together; a part inside a longer one adds nothing.
-    found = _accepted(text, sorted(x for x in pieces if not overlaps(*x, base)))
+    found = _accepted(text, sorted(x for x in pieces if not known.hits(*x)))
     for s, e in sorted(found, key=lambda x: (x[0], -x[1])):
         if e > last:
             parts.append((s, e))

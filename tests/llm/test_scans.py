@@ -156,6 +156,84 @@ def test_span_model_learns_from_votes(spark):
     assert personal_data.redact_text(clean, model) == clean
 
 
+REFUSED = ["transfer to DE88 3704 0044 0532 0130 00 today", "my ssn is 000-45-6789 ok", "ssn 666-45-6789",
+           "version 555-123-4567 part", "order 555-555-5555 id", "isbn 978-316-1484 page 3", "invoice 123-45-6789 total"]
+FOUND = [("transfer to DE89 3704 0044 0532 0130 00 today", "iban"), ("my ssn is 123-45-6789 ok", "ssn"),
+         ("call 212-555-0147 now", "phone_local"), ("mail joe (at) site (dot) org please", "email_spelled"),
+         ("Dr. Anna Schmidt went home", "person"), ("yesterday Maria Lopez came", "person")]
+
+
+def test_personal_planted_in_the_real_table(spark, docs):
+    """Candidates that a checksum, a number range or a word speaks against are refused, others found."""
+    words = [r["text"][:300] for r in docs.orderBy("doc_id").limit(len(REFUSED + FOUND)).collect()]
+    planted = [f"{w}\n{t}\n" for w, t in zip(words, REFUSED + [t for t, _ in FOUND])]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(
+        [(10 ** 9 + i, t) for i, t in enumerate(planted)], "doc_id long, text string"))
+    for model in (personal_data.fit_model(both), personal_data.fit_model(both.limit(0))):
+        kinds = [[k for s, e, k in personal_data.find_spans(t, model) if s >= len(w)] for t, w in zip(planted, words)]
+        assert kinds[:len(REFUSED)] == [[]] * len(REFUSED)
+        assert kinds[len(REFUSED):] == [[k] for _, k in FOUND]
+
+
+def test_em_against_direct_likelihood():
+    """The posterior is Bayes' rule written out, and every round of EM raises the penalised likelihood."""
+    import math
+    import numpy as np
+    pd_ = personal_data
+    rng = np.random.default_rng(2)
+    votes, features = pd_.defined_patterns()
+    pick = rng.choice(len(votes), 60, replace=False)
+    votes, kind, n = votes[pick], features[pick, 0], rng.integers(1, 400, 60).astype(float)
+
+    def plain(tables, shares):
+        total, post = 0.0, []
+        for v, k, m in zip(votes.tolist(), kind.tolist(), n):
+            like = []
+            for c in (0, 1):
+                x = shares[k] if c else 1 - shares[k]
+                for j, vote in enumerate(v):
+                    if pd_.LOOKS[k, j]:
+                        x *= tables[k, j, c, vote + 1]
+                like.append(x)
+            total += m * math.log(sum(like))
+            post.append(like[1] / sum(like))
+        for k in sorted(set(kind.tolist())):
+            total += pd_.KIND_STRENGTH * (pd_.KIND_PRIOR[k] * math.log(shares[k])
+                                          + (1 - pd_.KIND_PRIOR[k]) * math.log(1 - shares[k]))
+            total += sum(pd_.STRENGTH * float((pd_.VOTE_PRIOR[k, j] * np.log(tables[k, j])).sum())
+                         for j in range(pd_.N_VOTES) if pd_.LOOKS[k, j])
+        return total, post
+    before = -math.inf
+    for rounds in range(8):
+        tables, shares = pd_.fit_labelers(votes, kind, n, rounds)
+        total, post = plain(tables, shares)
+        assert np.allclose(post, pd_.posterior(votes, kind, tables, shares))
+        assert total >= before - 1e-6
+        before = total
+
+
+def test_license_versions_are_told_apart():
+    for text, labels in [("GNU General Public License version 3", "gpl,gpl-3.0"),
+                         ("the gnu general public licence, version 2 or later", "gpl,gpl-2.0"),
+                         ("GNU General Public License version 7", "gpl,gpl-2.0,gpl-3.0"), ("GNU General Public License", "gpl"),
+                         ("Creative Commons Attribution 4.0 International", "cc-by,cc-by-4.0"),
+                         ("SPDX-License-Identifier: Apache-2.0", "apache-2.0")]:
+        assert ",".join(license_scan.scan_text(text)["labels"]) == labels, text
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+    model = personal_data.fit_patterns(np.zeros((0, 8), int), np.zeros((0, 9), int), np.zeros(0))
+    for scan, piece in ((license_scan.scan_text, "cc by x "), (secret_scan.scan_text, "token=abcdef0123456789abcdef "),
+                        (lambda t: personal_data.find_spans(t, model), "a@b.cc 555-123-4567 ")):
+        took = []
+        for n in (4000, 16000):
+            t0 = time.process_time()
+            scan(piece * n)
+            took.append(time.process_time() - t0)
+        assert took[1] < 10 * took[0] + 0.5
+
+
 def test_quality_matches_sql(spark, docs, awkward):
     con = duckdb.connect()
     for df in (docs, awkward):
