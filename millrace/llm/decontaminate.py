@@ -23,17 +23,18 @@ The test items are the stated query set. They are taken in blocks of about
 ``BLOCK_BYTES`` of text, one pair of passes each, so what is sent to executors
 is bounded whatever the size of the benchmark, and no text is ever shuffled.
 
-Defined results: null or empty texts and items, and items of fewer than ``GRAM``
-words, match nothing; null ids are kept; repeated items are reported each;
-repeated rows give repeated results; an item of four or five words whose edit
-leaves no ``GRAM`` words in a row is not found; a document matching one item in several
+Defined results: null or empty texts and items match nothing; items of fewer than
+``GRAM`` words are found as they stand; of items of four or five words, whose edit may
+leave no ``GRAM`` words in a row, pairs of words that are rare together are seeds too;
+null ids are kept; repeated items are reported each; repeated rows give repeated
+results; a very long item or text needs memory for a few rows of the alignment; a document matching one item in several
 places gives one row with its best place (ties: the first) and their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import math
 
@@ -95,15 +96,26 @@ class Seeds:
     item: np.ndarray
     offset: np.ndarray
     rare: np.ndarray
+    #: Items under GRAM words, by their words; word pairs of items of GRAM + 1 and GRAM + 2 words.
+    short: dict[tuple[int, ...], list[int]] = field(default_factory=dict)
+    pairs: dict[tuple[int, int], list[tuple[int, int]]] = field(default_factory=dict)
 
 
 def rare_seeds(items: Items, counts: np.ndarray, total: int) -> Seeds:
     """``counts``: occurrences of each word number in the corpus of ``total`` words."""
     share = counts / max(1, total)
     key, item, offset, rare = [], [], [], []
+    short: dict[tuple[int, ...], list[int]] = {}
+    pairs: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for i, x in enumerate(items.words):
         if len(x) < GRAM:
+            if len(x):
+                short.setdefault(tuple(x.tolist()), []).append(i)
             continue
+        if GRAM < len(x) <= GRAM + 2:
+            # An edit may leave no GRAM words in a row, but two that are rare together.
+            for at in np.flatnonzero(share[x[:-1]] * share[x[1:]] <= 1 / RARE_WORDS).tolist():
+                pairs.setdefault((int(x[at]), int(x[at + 1])), []).append((i, at))
         chance = share[x[:-2]] * share[x[1:-1]] * share[x[2:]]
         cut = max(1 / RARE_WORDS, np.sort(chance)[min(LEAST_SEEDS, len(chance)) - 1])
         keep = chance <= cut
@@ -117,11 +129,12 @@ def rare_seeds(items: Items, counts: np.ndarray, total: int) -> Seeds:
         rare.append(chance[at] <= 1 / RARE_WORDS)
     if not key:
         e = np.zeros(0, np.int64)
-        return Seeds(items, e, np.zeros(1, np.int64), e, e, e > 0)
+        return Seeds(items, e, np.zeros(1, np.int64), e, e, e > 0, short, pairs)
     k, i, o = np.concatenate(key), np.concatenate(item), np.concatenate(offset)
     order = np.lexsort((o, i, k))
     keys, first = np.unique(k[order], return_index=True)
-    return Seeds(items, keys, np.append(first, len(k)), i[order], o[order], np.concatenate(rare)[order])
+    return Seeds(items, keys, np.append(first, len(k)), i[order], o[order], np.concatenate(rare)[order],
+                 short, pairs)
 
 
 def align(item: np.ndarray, window: np.ndarray, mismatch: int = MISMATCH, gap: int = GAP) -> tuple[int, int, int, int]:
@@ -185,8 +198,9 @@ def find_items(text: str, seeds: Seeds) -> list[tuple[int, float, int, int, int,
     get = items.number.get
     words = words_of(text)
     x = np.array([get(w, 0) for w in words], np.int64)
+    exact = _exact_finds(x, seeds.short)
     if len(x) < GRAM or not len(seeds.keys):
-        return []
+        return exact
     known = np.flatnonzero((x[:-2] > 0) & (x[1:-1] > 0) & (x[2:] > 0))
     key = items.keys(x)[known]
     at = np.searchsorted(seeds.keys, key)
@@ -197,6 +211,10 @@ def find_items(text: str, seeds: Seeds) -> list[tuple[int, float, int, int, int,
         for s in range(seeds.first[a], seeds.first[a + 1]):
             own, d = spots.setdefault(int(seeds.item[s]), {}), int(p - seeds.offset[s])
             own[d] = own.get(d, False) or bool(seeds.rare[s])
+    if seeds.pairs:
+        for p in np.flatnonzero((x[:-1] > 0) & (x[1:] > 0)).tolist():
+            for i, offset in seeds.pairs.get((int(x[p]), int(x[p + 1])), ()):
+                spots.setdefault(i, {})[p - offset] = True
     out = []
     for i, diagonals in sorted(spots.items()):
         item = items.words[i]
@@ -231,7 +249,24 @@ def find_items(text: str, seeds: Seeds) -> list[tuple[int, float, int, int, int,
                     best = (score, equal, a + s, a + e)
         if best:
             out.append((i, best[0] / (MATCH * len(item)), best[1], best[2], best[3], places))
-    return out
+    return sorted(out + exact) if exact else out
+
+
+def _exact_finds(x: np.ndarray, short: dict[tuple[int, ...], list[int]]) -> list[tuple[int, float, int, int, int, int]]:
+    """Items under GRAM words, as they stand: their first place, and how many do not overlap."""
+    if not short:
+        return []
+    first: dict[tuple[int, ...], int] = {}
+    places: dict[tuple[int, ...], int] = {}
+    free: dict[tuple[int, ...], int] = {}
+    words = x.tolist()
+    for n in sorted({len(k) for k in short}):
+        for p in range(len(words) - n + 1):
+            k = tuple(words[p:p + n])
+            if k in short and p >= free.get(k, 0):
+                first.setdefault(k, p)
+                places[k], free[k] = places.get(k, 0) + 1, p + n
+    return sorted((i, 1.0, len(k), p, p + len(k), places[k]) for k, p in first.items() for i in short[k])
 
 
 def _blocks(benchmark: DataFrame, item_col: str) -> list[Items]:
@@ -278,12 +313,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows, with all their columns, in which no test item is found."""
+    """The rows, with all their columns, in which no test item of ``GRAM`` words or more is found
+    (one or two words in common are no contamination)."""
     names = docs.columns
     at = names.index("text") if "text" in names else [n.lower() for n in names].index("text")
     kept = docs
     for items in _blocks(benchmark, "item_id"):
-        seeds = fit_seeds(docs, items)
+        seeds = replace(fit_seeds(docs, items), short={})
 
         def run(batches, seeds=seeds):
             for b in slices(batches):

@@ -256,3 +256,30 @@ def test_decontamination_awkward_and_empty(spark, awkward, empty, benchmark):
     assert decontaminate.contaminated(awkward, none).count() == 0
     kept = decontaminate.drop_contaminated(awkward, none)
     assert kept.columns == awkward.columns and kept.count() == awkward.count()
+
+
+def test_short_items_as_they_stand_and_edited():
+    items = decontaminate.Items.of([(1, "foo bar"), (2, "solo"), (3, "alpha beta gamma delta"),
+                                    (4, "one two three four five"), (5, ""), (6, None)])
+    counts = np.array([10 ** 7] + [1] * len(items.number))
+    seeds = decontaminate.rare_seeds(items, counts, 10 ** 7)
+    for text, found in [("foo bar in FOO, bar", [(0, 2, 2)]), ("bar foo", []), ("Solo. solo", [(1, 1, 2)]), ("", []),
+                        ("alpha X gamma delta", [(2, 3, 1)]), ("one two X four five", [(3, 4, 1)]),
+                        ("alpha Y Z delta", [])]:
+        assert [(f[0], f[2], f[5]) for f in decontaminate.find_items(text, seeds)] == found
+
+
+def test_long_items_need_little_memory_and_clashing_text_columns(spark):
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    item = rng.integers(1, 5000, 6000)
+    tracemalloc.start()
+    score, equal, s, e = decontaminate.align(item, np.concatenate([item[:3000], [0], item[3001:], item[:900]]))
+    assert (equal, s, e) == (5999, 0, 6000)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20         # the matrix has 165 MB
+    tracemalloc.stop()
+    words = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, words, "x"), (2, "something else", None), (3, None, words)],
+                                 "doc_id long, Text string, item_id string")
+    bench = spark.createDataFrame([(7, words), (8, "else")], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()) == [2, 3]
