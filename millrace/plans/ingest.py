@@ -7,7 +7,7 @@ it until nothing is left:
 1. take the cutoff (last completed second) *before* listing;
 2. if a batch never finished and no other run holds it, re-run exactly that
    batch (same id, same files); otherwise
-3. list the landing folder (Spark listing, every name) and keep the files with
+3. list the landing folder (in executors, every name) and keep the files with
    ``mtime <= cutoff`` that no batch has taken yet (an anti-join of the listing
    with the ``files`` control table on path and mtime). The oldest ones, up to
    ``max_files`` and ``max_bytes``, are the batch; with files left over, the batch's
@@ -62,7 +62,8 @@ from ..sinks import claims as C
 from ..sinks import ledger as L
 from ..sinks.tables import write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
-from ..sources.manifest import hidden_files, list_files
+from ..sources.listing import can_list, list_everything
+from ..sources.manifest import MANIFEST_SCHEMA, hidden_files, list_files
 
 
 @dataclass
@@ -185,16 +186,30 @@ def _new_batch(spark: SparkSession, cfg: IngestConfig, number: int, low, cutoff:
     if cfg.day_folders and low and L.runs_since_full_listing(spark, cfg.control) + 1 < cfg.full_listing_every:
         where, full = day_folders_glob(cfg.landing, cfg.day_folders, low, cutoff, cfg.margin_days), False
     taken = L.taken_files(spark, cfg.control)
-    new = (select_new_files(list_files(spark, where, cfg.glob), None, cutoff)
+    hidden, seen = None, None
+    if full and can_list(spark, where):
+        # One listing, made in executors; it also counts the names that Spark's readers skip.
+        seen = Observation("listing")
+        listed = list_everything(spark, where, cfg.glob).observe(seen, F.count_if("hidden").alias("hidden"))
+        listed = listed.where(~F.col("hidden")).drop("hidden")
+    else:
+        listed = list_files(spark, where, cfg.glob)
+    new = (select_new_files(listed, None, cutoff)
            .join(taken, ["path", "modificationTime"], "left_anti"))
     cutoff, files = _bounded(new, cutoff, cfg)
-    hidden = _new_hidden(spark, cfg, taken, cutoff) if full else []
+    if seen is not None and seen.get["hidden"]:
+        hidden = list_everything(spark, where).where("hidden").drop("hidden")
+    elif full and seen is None:
+        hidden = spark.createDataFrame(hidden_files(spark, cfg.landing), MANIFEST_SCHEMA)
     batch_id, process_date = batch_identity(cutoff)
     batch_id = L.unused_batch_id(spark, cfg.control, batch_id)
-    base = dict(batch_id=batch_id, process_date=process_date, low_watermark=low, watermark_ts=cutoff,
-                n_files=len(files), hidden_files=len(hidden), full_listing=full)
     attempt = uuid.uuid4().hex if files else None
-    L.record_files(spark, cfg.control, batch_id, [(*f, "a name Spark's readers skip") for f in hidden], L.HIDDEN, attempt)
+    n_hidden = 0
+    if hidden is not None:
+        left = select_new_files(hidden, None, cutoff).join(taken, ["path", "modificationTime"], "left_anti")
+        n_hidden = L.record_listing(left, cfg.control, batch_id, L.HIDDEN, "a name Spark's readers skip", attempt)
+    base = dict(batch_id=batch_id, process_date=process_date, low_watermark=low, watermark_ts=cutoff,
+                n_files=len(files), hidden_files=n_hidden, full_listing=full)
     L.record_files(spark, cfg.control, batch_id, [(*f, None) for f in files], L.PLANNED, attempt)
     _told(cfg, "files")
     if not files:
@@ -224,16 +239,6 @@ def _bounded(new, cutoff: datetime, cfg: IngestConfig) -> tuple[datetime, list]:
     return cutoff, files
 
 
-def _new_hidden(spark: SparkSession, cfg: IngestConfig, taken, cutoff: datetime) -> list:
-    """Files no reader sees, not recorded yet (``(path, mtime, length)``)."""
-    found = [f for f in hidden_files(spark, cfg.landing) if f[1] <= cutoff]
-    if not found:
-        return []
-    rows = spark.createDataFrame(found, "path string, modificationTime timestamp, length bigint")
-    left = rows.join(taken, ["path", "modificationTime"], "left_anti").select("path", "modificationTime", "length")
-    return [(r["path"], L.as_utc(r["modificationTime"]), r["length"]) for r in left.collect()]
-
-
 def process_batch(spark: SparkSession, cfg: IngestConfig, batch: dict | None = None) -> dict:
     """Step two (process the files): read, standardize, split, write; then
     ``SUCCESS`` and the watermark, or ``FAILED`` and re-raise. Without

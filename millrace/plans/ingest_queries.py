@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from ..session import fresh_dir
 from ..sinks import ledger as L
 from ..sinks.tables import quarantine_path, write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
+from ..sources.listing import list_everything
 from ..sources.manifest import list_files
 from ..sources.tables import read_curated, test_table
 from .ingest import STEPS, IngestConfig, run_batch, run_until_drained
@@ -145,6 +147,19 @@ def _bound(spark, sf, before: str):
     return e.where(F.col("ts") < F.lit(before).cast("timestamp_ntz")).agg(F.max("ts")).scalar()
 
 
+def q_ingest_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The listing of a landing of nested folders and hidden names, one file of ``orders`` rows for
+    each customer digit and status: how many files each folder holds, and which Spark would skip."""
+    landing, o = fresh_dir(spark, "landing"), _orders(spark, sf)
+    rows = raw_transactions(o, "A").withColumn("digit", F.pmod(F.substring("custId", 2, 20).cast("long"), F.lit(10)))
+    for name, part in (("seen", rows.where("status <> 'O'")), ("_kept", rows.where("status = 'O'"))):
+        (part.withColumn("state", F.col("status")).repartition("state", "digit").write
+         .partitionBy("state", "digit").option("header", "true").csv(f"{landing}/{name}"))
+    files = list_everything(spark, landing)
+    folder = F.regexp_extract("path", r"/([^/]+/state=[^/]*/digit=[^/]*)/[^/]*$", 1)
+    return files.groupBy(folder.alias("folder"), "hidden").agg(F.count(F.lit(1)).alias("files"))
+
+
 def q_incremental_window(spark: SparkSession, sf: str) -> DataFrame:
     # Both bounds from one aggregate, as a scalar subquery.
     b = test_table(spark, sf, "events").agg(F.struct(*[
@@ -230,24 +245,33 @@ def q_ingest_batch_v1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _put(spark: SparkSession, lines: DataFrame, path: str, mtime: datetime | None = None) -> None:
-    """Write one column of lines as the one file ``path``, optionally back-dated."""
+    """Write one column of lines as files named like ``path`` behind a number, one for each
+    partition, optionally back-dated."""
     folder = fresh_dir(spark, "file")
-    lines.coalesce(1).write.mode("append").text(folder)
+    lines.write.mode("append").text(folder)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     to = jvm.org.apache.hadoop.fs.Path(path)
     fs = to.getFileSystem(conf)
-    part = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder))
-            if s.getPath().getName().startswith("part-")][0]
     fs.mkdirs(to.getParent())
-    fs.rename(part, to)
-    if mtime:
-        fs.setTimes(to, int(mtime.timestamp() * 1000), -1)
+    parts = sorted(s.getPath().toString() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder))
+                   if s.getPath().getName().startswith("part-"))
+    for k, part in enumerate(parts):
+        name = to if k == 0 else jvm.org.apache.hadoop.fs.Path(to.getParent(), f"{k}{to.getName()}")
+        fs.rename(jvm.org.apache.hadoop.fs.Path(part), name)
+        if mtime:
+            fs.setTimes(name, int(mtime.timestamp() * 1000), -1)
+
 
+def _csv_lines(rows: DataFrame, blank: int = 0) -> DataFrame:
+    """Rows as CSV lines; in each partition under a header, with some blank lines ahead of it."""
+    head = [""] * blank + [",".join(rows.columns)]
 
-def _csv_lines(spark: SparkSession, rows: DataFrame, blank: int = 0) -> DataFrame:
-    """Rows as CSV lines under a header, with some blank lines ahead of it."""
-    head = spark.createDataFrame([("",)] * blank + [(",".join(rows.columns),)], "value string").coalesce(1)
-    return head.union(rows.select(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in rows.columns])).coalesce(1))
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(head, pa.string())], names=["value"])
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0)], names=["value"])
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in rows.columns])
+    return rows.select(line.alias("value")).mapInArrow(run, "value string")
 
 
 # Names that globs, URIs or name filters would miss; one eighth of the orders each.
@@ -266,7 +290,7 @@ def q_ingest_awkward_landing(spark: SparkSession, sf: str) -> DataFrame:
         if name == "late.csv":
             run_batch(spark, cfg, cutoff=datetime.now(timezone.utc))
         old = datetime(2026, 1, 2, tzinfo=timezone.utc) if i > 5 else None
-        _put(spark, _csv_lines(spark, part, blank=i % 3), f"{landing}/{name}", old)
+        _put(spark, _csv_lines(part, blank=i % 3), f"{landing}/{name}", old)
     run_until_drained(spark, cfg, cutoff=datetime.now(timezone.utc))
     return _expected_cols(read_curated(spark, cfg.target))
 
@@ -369,6 +393,7 @@ QUERIES = {
     "ingest_stream": q_ingest_stream,
     "ingest_awkward_landing": q_ingest_awkward_landing,
     "ingest_crash_recovery": q_ingest_crash_recovery,
+    "ingest_manifest": q_ingest_manifest,
     "ingest_ledger": q_ingest_ledger,
     "ingest_quarantine": q_ingest_quarantine,
     "ingest_all_bad": q_ingest_all_bad,
@@ -446,6 +471,11 @@ SQL["ingest_ledger"] = f"""
     FROM ({_TYPED}) t
     UNION ALL
     SELECT 'NO_FILES', 0, 0, 0, 0, 0, 0, FALSE, TRUE"""
+SQL["ingest_manifest"] = f"""
+    SELECT DISTINCT CASE WHEN status = 'O' THEN '_kept' ELSE 'seen' END || '/state=' || status || '/digit=' ||
+           coalesce((CAST(substr(customer_id, 2) AS BIGINT) % 10)::VARCHAR, '__HIVE_DEFAULT_PARTITION__') AS folder,
+           status = 'O' AS hidden, CAST(1 AS BIGINT) AS files
+    FROM ({_TYPED}) t"""
 SQL["ingest_quarantine"] = f"SELECT {_CORE}, {_CHANNEL_B} FROM ({_TYPED}) t WHERE customer_id IS NULL"
 SQL["ingest_all_bad"] = f"""
     SELECT {_CORE}, 'quarantine' AS destination FROM ({_TYPED}) t WHERE customer_id IS NULL"""

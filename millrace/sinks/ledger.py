@@ -24,7 +24,7 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import path_exists
@@ -120,6 +120,18 @@ def record_files(spark: SparkSession, control: str, batch_id: str, rows: list, s
                                              FILES_SCHEMA), control.rstrip("/") + "/files")
 
 
+def record_listing(files: DataFrame, control: str, batch_id: str, state: str, error: str | None,
+                   attempt: str | None = None) -> int:
+    """Append a row for each file of a listing, without bringing them to the driver; their number."""
+    seen = Observation("files")
+    rows = files.select(F.lit(batch_id).alias("batch_id"), "path", "modificationTime", "length",
+                        F.lit(state).alias("state"), F.lit(error).alias("error"),
+                        F.current_timestamp().alias("event_time"), F.lit(attempt).cast("string").alias("attempt"))
+    folder = f"{control.rstrip('/')}/files/{now():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(folder)
+    return int(seen.get["n"])
+
+
 def file_rows(spark: SparkSession, control: str) -> DataFrame:
     """Every file row ever written."""
     return _read(spark, control.rstrip("/") + "/files", FILES_SCHEMA)
