@@ -1,6 +1,6 @@
-"""Write PLANS.md: the final (AQE) physical plan tree of every registered query.
+"""Print the final (AQE) physical plan tree of every registered query.
 
-    python tools/explain_all.py [/root/testdata/sf0.1] > PLANS.md
+    python tools/explain_all.py [/root/testdata/sf0.1] > plans.md
 
 Each query is executed once so the adaptive plan is final (broadcast decisions,
 reused exchanges, coalesced shuffles are the ones actually taken).
