@@ -22,10 +22,11 @@ change a component is found (up to a 64-bit hash collision).
    are the query of a T-occurrence search over the nodes it met: DivideSkip merges the
    short inverted lists with a heap, binary-probes the long ones, and retains
    nodes that reach the overlap. Pivots with many nodes are split into blocks.
-4. *Components* by alternating large and small stars, in checkpointed rounds.
-5. *Rest.* Groups whose nodes are still in different components take three more
-   pivots, each held against the nodes of other components, with components formed
-   anew in between. Then each node outside its group's largest component is held
+4. *Components* by union-find in one task up to ``ONE_TASK`` links, beyond that by
+   alternating large and small stars, in rounds written to the shared folder.
+5. *Rest.* Groups whose nodes are still in different components take another
+   pivot, held against the nodes of other components, and components are formed
+   anew. Then each node outside its group's largest component is held
    against the nearest nodes by finer sketches, and where it had more of them that
    may link, against all. The T-occurrence search decides each time.
 
@@ -66,8 +67,8 @@ WORDS = 5
 HOT = 0.005
 BAND = 1.6
 BLOCK = 512                     # nodes searched at once
-PIVOTS = 3                      # further pivots of a group before its outer nodes are searched one by one
-NEAREST = 8                     # nodes by sketch that an outer node is held against first
+PIVOTS = 1                      # further pivots of a group before its outer nodes are searched one by one
+NEAREST = 2                     # nodes by sketch that an outer node is held against first
 FINE = 2                        # times the bits of the sketches of that search
 BUCKET_ENTRIES = 1 << 20        # signatures in one bucket, about
 
@@ -618,8 +619,34 @@ def _near(rows: DataFrame, most: int | None) -> DataFrame:
     return found.select(F.col("u").alias("pivot"), F.col("v").alias("fp")).distinct()
 
 
-def components(spark: SparkSession, links: DataFrame, root: str, name: str) -> DataFrame:
-    """Rows fp, root (smallest node reachable), for nodes with links, by alternating stars."""
+#: Links that one task joins up in memory (some 100 MB there); more go through the stars.
+ONE_TASK = 1 << 19
+
+
+def _joined_up(batches):
+    """Rows fp, root of all links of one task, by union-find."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+    for b in batches:
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            a, c = find(u), find(v)
+            if a != c:
+                up[max(a, c)] = min(a, c)
+    nodes = [x for x in up if find(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())],
+                                     names=["fp", "root"])
+
+
+def components(spark: SparkSession, links: DataFrame, root: str, name: str, one_task: int = ONE_TASK) -> DataFrame:
+    """Rows fp, root (smallest node reachable), for nodes with links that are not their own root: by
+    union-find in one task up to a proven number of links, beyond it by alternating stars."""
+    if links.count() <= one_task:
+        return links.select("u", "v").repartition(1).mapInArrow(_joined_up, "fp long, root long")
     edges = _stored(spark, links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct(), root, f"{name}-0")
     before, step = None, 0
@@ -669,7 +696,8 @@ def _closed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, groups: Data
                 break
             pairs = _near(again.join(sketches, "fp"), None).join(near, ["pivot", "fp"], "left_anti")
         near = _stored(spark, pairs, root, f"open-pairs-{turn}")
-        new = linked(near.filter("pivot <> fp"), turn)
+        # Finer sketches of the pairs' nodes leave few to fetch whole sets for.
+        new = linked(_possible(near.filter("pivot <> fp"), sets.select("fp", "n", F.col("fine").alias("sketch"))), turn)
         if new is None:
             continue
         label = new
@@ -680,11 +708,12 @@ def _closed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, groups: Data
 
 
 def _with_sketches(sets: DataFrame) -> DataFrame:
-    """Rows fp, n, sketch, shingles, with sketches of ``FINE`` times the bits."""
+    """Rows fp, n, sketch, fine, shingles, with sketches of ``FINE`` and four times ``FINE`` times the bits."""
     def work(fps, raw):
         each = [np.frombuffer(x, _U) for x in raw]
-        return [fps, [len(x) for x in each], [sketch(x, FINE) for x in each], raw]
-    return map_batches(sets.select("fp", "shingles"), "fp long, n long, sketch binary, shingles binary", work)
+        return [fps, [len(x) for x in each], [sketch(x, FINE) for x in each], [sketch(x, 4 * FINE) for x in each], raw]
+    return map_batches(sets.select("fp", "shingles"),
+                       "fp long, n long, sketch binary, fine binary, shingles binary", work)
 
 
 def _prepared(spark: SparkSession, docs: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -245,3 +245,14 @@ def test_chains_of_near_copies_with_many_pivots(spark):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     assert got == {k: find(k) for k in sets}
+
+
+def test_both_ways_to_components(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)]
+    links = [(max(x), min(x)) for x in links if x[0] != x[1]]
+    df = spark.createDataFrame(links, "u long, v long")
+    one = nj.components(spark, df, fresh_dir(spark, "c"), "one").collect()
+    stars = nj.components(spark, df, fresh_dir(spark, "c"), "stars", one_task=0).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, stars))
+    assert nj.components(spark, df.limit(0), fresh_dir(spark, "c"), "none").collect() == []
