@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--max-files", type=int, default=IngestConfig.max_files,
                    help="bound one batch to the oldest N files (the rest wait)")
     p.add_argument("--max-bytes", type=int, default=IngestConfig.max_bytes)
+    p.add_argument("--rescue", action="store_true", help="keep raw values that do not convert, beside the table")
     p.add_argument("--batch", default=None, help="abandon, release: the batch to give up")
     p.add_argument("--master", default=None)
     return p
@@ -49,7 +50,7 @@ def main(argv=None) -> int:
     cfg = IngestConfig(landing=a.landing, target=a.target, control=a.control, version=a.version,
                        glob=a.glob, day_folders=a.day_folders, replay_safe=not a.append,
                        fmt=a.format, max_files=a.max_files, max_bytes=a.max_bytes,
-                       margin_days=a.margin_days, full_listing_every=a.full_listing_every)
+                       rescue=a.rescue, margin_days=a.margin_days, full_listing_every=a.full_listing_every)
     if a.command == "stream":
         from .streaming.ingest_stream import drain
         drain(spark, cfg)

@@ -49,6 +49,7 @@ BATCH_COLUMNS = ("batch_id", "process_date")
 
 # Prefix of the optional per-column "value present but not convertible" flags.
 FAIL_PREFIX = "__castfail_"
+RESCUED = "__rescued"
 
 
 class ConformError(ValueError):
@@ -89,7 +90,7 @@ def resolve_aliases(columns: list, aliases: dict = COLUMN_ALIASES) -> dict:
 
 
 def conform(df: DataFrame, schema=EXPECTED_SCHEMA, aliases: dict = COLUMN_ALIASES,
-            keep_extra: bool = True, flag_failures: bool = False) -> DataFrame:
+            keep_extra: bool = True, flag_failures: bool = False, rescue: bool = False) -> DataFrame:
     """Lower-case names, map aliases, add missing columns as typed NULLs, and
     convert every expected column (bad values become NULL). Columns that map
     to no standard name are kept as they are (after the expected ones) unless
@@ -97,7 +98,10 @@ def conform(df: DataFrame, schema=EXPECTED_SCHEMA, aliases: dict = COLUMN_ALIASE
 
     ``flag_failures`` appends a boolean ``__castfail_<name>`` per converted
     column: a value was present but did not convert (it became NULL). The ingest
-    job counts these with an Observation and drops them before writing."""
+    job counts these with an Observation and drops them before writing.
+
+    ``rescue`` appends ``__rescued``, a map from the name of every such column to the value
+    as it came (empty where nothing failed)."""
     df = lowercase_columns(df)
     mapping = resolve_aliases(df.columns, aliases)
     used = set(mapping.values())
@@ -115,6 +119,12 @@ def conform(df: DataFrame, schema=EXPECTED_SCHEMA, aliases: dict = COLUMN_ALIASE
             if dtype != "string":
                 raw = F.col(f"`{mapping[name]}`") if name in mapping else F.lit(None)
                 exprs.append((raw.isNotNull() & to_type(raw, dtype).isNull()).alias(FAIL_PREFIX + name))
+    if rescue:
+        kept = [F.when(F.col(f"`{mapping[name]}`").isNotNull() & to_type(F.col(f"`{mapping[name]}`"), dtype).isNull(),
+                       F.struct(F.lit(name).alias("key"), F.col(f"`{mapping[name]}`").alias("value")))
+                for name, dtype in schema if dtype != "string" and name in mapping]
+        entries = F.filter(F.array(*kept), lambda x: x.isNotNull()) if kept else None
+        exprs.append((F.map_from_entries(entries) if kept else F.create_map().cast("map<string,string>")).alias(RESCUED))
     return df.select(*exprs)
 
 
@@ -135,10 +145,10 @@ def transform_v1(df: DataFrame, batch_id: str, process_date) -> DataFrame:
 
 
 def transform_v2(df: DataFrame, batch_id: str, process_date, schema=EXPECTED_SCHEMA,
-                 aliases: dict = COLUMN_ALIASES, flag_failures: bool = False) -> DataFrame:
+                 aliases: dict = COLUMN_ALIASES, flag_failures: bool = False, rescue: bool = False) -> DataFrame:
     """Second-generation standardization: alias mapping, expected schema with
     NULL padding and conversions, extra columns kept, batch stamps."""
-    return stamp_batch(conform(df, schema, aliases, flag_failures=flag_failures),
+    return stamp_batch(conform(df, schema, aliases, flag_failures=flag_failures, rescue=rescue),
                        batch_id, process_date)
 
 

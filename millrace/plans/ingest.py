@@ -54,13 +54,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.conform import FAIL_PREFIX, failure_flags, transform_v1, transform_v2
+from ..operators.conform import FAIL_PREFIX, RESCUED, failure_flags, transform_v1, transform_v2
 from ..operators.incremental import (batch_identity, day_folders_glob, run_cutoff,
                                      select_new_files)
 from ..operators.quality import KEY_COLUMN, is_bad
 from ..sinks import claims as C
 from ..sinks import ledger as L
-from ..sinks.tables import write_curated, write_quarantine
+from ..sinks.tables import rescued_path, write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
 from ..sources.listing import can_list, list_everything
 from ..sources.manifest import MANIFEST_SCHEMA, hidden_files, list_files
@@ -80,6 +80,7 @@ class IngestConfig:
     max_files: int = 10_000          # bounds of one batch, and so of the paths the driver
     max_bytes: int = 1 << 40         # holds; the rest waits for the next batch
     fmt: str = "parquet"
+    rescue: bool = False             # v2: keep raw values that did not convert, and whole odd lines
     owner: str | None = None         # who holds leases; by default the Spark application
     lease_seconds: int = 6 * 3600    # how long another owner leaves an unfinished batch alone
     on_step: Callable[[str], None] | None = None     # told after each step is durable
@@ -108,6 +109,8 @@ def standardize(version: str, batch_id: str, process_date):
 
 
 SOURCE_FILE = "__source_file"
+CORRUPT = "__line"
+KEY_RECORD = "transaction_id"
 
 
 def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
@@ -122,7 +125,9 @@ def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
     read once and a batch with one bad file re-reads one file, not the batch."""
     step = standardize(cfg.version, batch_id, process_date)
     rejected: list = []
-    df = read_csv_batch(spark, files, per_header=step, file_column=SOURCE_FILE, rejected=rejected)
+    corrupt = CORRUPT if cfg.rescue and cfg.version == "v2" else None
+    df = read_csv_batch(spark, files, per_header=step, file_column=SOURCE_FILE, rejected=rejected,
+                        corrupt_column=corrupt)
     if df is None:
         return {"records_processed": 0, "bad_records": 0, "cast_failures": None, "rejected": rejected}
     flags = failure_flags(df)
@@ -132,24 +137,44 @@ def ingest_files(spark: SparkSession, files: list, batch_id: str, process_date,
         metrics += [F.count_if(is_bad(KEY_COLUMN)).alias("bad"),
                     F.collect_set(F.when(is_bad(KEY_COLUMN), F.col(SOURCE_FILE))).alias("bad_files")]
     metrics += [F.count_if(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in flags]
+    rescue = cfg.rescue and split
+    if rescue:
+        odd = F.col(CORRUPT).isNotNull()
+        for c in flags:
+            odd = odd | F.coalesce(F.col(c), F.lit(False))
+        metrics.append(F.collect_set(F.when(odd, F.col(SOURCE_FILE))).alias("odd_files"))
     obs = Observation("ingest")
     observed = df.observe(obs, *metrics)
     good = observed.where(~is_bad()) if split else observed
-    write_curated(good.drop(*flags, SOURCE_FILE), cfg.target, fmt=cfg.fmt,
+    write_curated(good.drop(*flags, SOURCE_FILE, CORRUPT), cfg.target, fmt=cfg.fmt,
                   replay_safe=cfg.replay_safe)
     _told(cfg, "data")
     m = obs.get
     bad = int(m.get("bad", 0) or 0)
     if bad > 0:
-        again = read_csv_batch(spark, sorted(m["bad_files"]), per_header=step)
+        again = read_csv_batch(spark, sorted(m["bad_files"]), per_header=step)      # without raw lines
         write_quarantine(again.where(is_bad()).drop(*failure_flags(again)), cfg.target,
                          fmt=cfg.fmt, replay_safe=cfg.replay_safe)
     _told(cfg, "quarantine")
+    if rescue and m["odd_files"]:
+        _write_rescued(spark, sorted(m["odd_files"]), batch_id, process_date, cfg)
     failures = {c[len(FAIL_PREFIX):]: int(m[c]) for c in flags}
     return {"records_processed": int(m["rows"]) - bad, "bad_records": bad,
             "cast_failures": failures or None, "rejected": rejected}
 
 
+def _write_rescued(spark: SparkSession, files: list, batch_id: str, process_date, cfg: IngestConfig) -> None:
+    """Raw values that did not convert, and whole lines with too many or too few fields, beside the
+    table; only the files that hold some are read again."""
+    def step(df):
+        return transform_v2(df, batch_id, process_date, rescue=True)
+    rows = read_csv_batch(spark, files, per_header=step, file_column=SOURCE_FILE, corrupt_column=CORRUPT)
+    kept = rows.where((F.size(RESCUED) > 0) | F.col(CORRUPT).isNotNull()).select(
+        F.col(KEY_RECORD), F.col(RESCUED).alias("rescued"), F.col(CORRUPT).alias("line"),
+        F.col(SOURCE_FILE).alias("source_file"), "batch_id", "process_date")
+    write_curated(kept, rescued_path(cfg.target), fmt=cfg.fmt, replay_safe=cfg.replay_safe)
+
+
 def plan_batch(spark: SparkSession, cfg: IngestConfig, cutoff: datetime | None = None) -> dict:
     """Step one (find the files): returns the batch to process as a dict, with its paths
     under ``files``.

@@ -23,7 +23,7 @@ from ..operators.incremental import select_new_files
 from ..operators.quality import quality_counts, split_by_key
 from ..session import fresh_dir
 from ..sinks import ledger as L
-from ..sinks.tables import quarantine_path, write_curated, write_quarantine
+from ..sinks.tables import quarantine_path, rescued_path, write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
 from ..sources.listing import list_everything
 from ..sources.manifest import list_files
@@ -352,6 +352,16 @@ def q_ingest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return _expected_cols(read_curated(spark, quarantine_path(_two_runs(spark, sf).target)))
 
 
+def q_ingest_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw value of every field of a run that did not convert to its type."""
+    cfg = IngestConfig(landing=_write_csv_landing(spark, sf), target=fresh_dir(spark, "curated"),
+                       control=fresh_dir(spark, "control"), rescue=True)
+    run_batch(spark, cfg, cutoff=datetime.now(timezone.utc))
+    rows = read_curated(spark, rescued_path(cfg.target))
+    return rows.select("transaction_id", F.explode("rescued").alias("field", "raw_value"),
+                       F.col("line").isNotNull().alias("odd_line"))
+
+
 def q_ingest_all_bad(spark: SparkSession, sf: str) -> DataFrame:
     """A landing of bad rows only: the table is there, typed and empty, and joins the
     quarantine's rows."""
@@ -397,6 +407,7 @@ QUERIES = {
     "ingest_ledger": q_ingest_ledger,
     "ingest_quarantine": q_ingest_quarantine,
     "ingest_all_bad": q_ingest_all_bad,
+    "ingest_rescued": q_ingest_rescued,
 }
 
 # Expected typed values, straight from orders.
@@ -471,6 +482,10 @@ SQL["ingest_ledger"] = f"""
     FROM ({_TYPED}) t
     UNION ALL
     SELECT 'NO_FILES', 0, 0, 0, 0, 0, 0, FALSE, TRUE"""
+SQL["ingest_rescued"] = """
+    SELECT 'TXN' || CAST(o_orderkey AS VARCHAR) AS transaction_id, 'transaction_amount' AS field,
+           'n/a' AS raw_value, FALSE AS odd_line
+    FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'"""
 SQL["ingest_manifest"] = f"""
     SELECT DISTINCT CASE WHEN status = 'O' THEN '_kept' ELSE 'seen' END || '/state=' || status || '/digit=' ||
            coalesce((CAST(substr(customer_id, 2) AS BIGINT) % 10)::VARCHAR, '__HIVE_DEFAULT_PARTITION__') AS folder,

@@ -90,3 +90,8 @@ def write_quarantine(bad: DataFrame, target: str, fmt: str = "parquet",
     path = quarantine_path(target)
     write_curated(bad, path, partition_by=partition_by, fmt=fmt, replay_safe=replay_safe)
     return path
+
+
+def rescued_path(target: str) -> str:
+    """Values that could not be kept in the table's types, beside it."""
+    return target.rstrip("/") + "_rescued"

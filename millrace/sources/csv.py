@@ -157,7 +157,7 @@ def header_schema(header: str, options: dict) -> StructType | None:
 def read_csv_batch(spark: SparkSession, paths: list,
                    per_header: Callable[[DataFrame], DataFrame] | None = None,
                    options: dict | None = None, file_column: str | None = None,
-                   rejected: list | None = None) -> DataFrame | None:
+                   rejected: list | None = None, corrupt_column: str | None = None) -> DataFrame | None:
     """Read CSV files (all columns as strings) with each file's own header.
 
     ``per_header`` (e.g. a conform step) runs on each header group before the
@@ -165,6 +165,9 @@ def read_csv_batch(spark: SparkSession, paths: list,
     adds each row's source file (from the scan's file metadata). Returns
     ``None`` when there is nothing to read (no files, or only empty files).
 
+    ``corrupt_column`` adds the whole line of rows whose number of fields is not the header's
+    (NULL for others); without it surplus fields are lost and missing ones NULL.
+
     With a list for ``rejected``, a file that is gone or whose header cannot be
     mapped is added to it as ``(path, error)`` and left out; without one it
     raises. One scan branch is planned for each distinct header of the batch.
@@ -183,9 +186,15 @@ def read_csv_batch(spark: SparkSession, paths: list,
         reader = spark.read.options(**opts)
         schema = header_schema(header, opts)
         if schema is not None:          # the header line is skipped, names are ours
+            if corrupt_column:
+                schema = StructType([*schema.fields, StructField(corrupt_column, StringType(), True)])
+                # With columns pruned, the parser would not count a line's fields.
+                reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("columnPruning", "false")
             reader = reader.schema(schema)
         try:
             df = reader.csv([_literal(p) for p in group])
+            if corrupt_column and schema is None:
+                df = df.withColumn(corrupt_column, F.lit(None).cast("string"))
             if file_column:
                 df = df.withColumn(file_column, file_of_row())
             parts.append(per_header(df) if per_header else df)

@@ -396,3 +396,22 @@ def test_command_line_stream(spark, workdir, capsys):
     assert _json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "DRAINED"
     assert read_curated(spark, f"{workdir}/curated").count() == 1
     assert read_curated(spark, quarantine_path(f"{workdir}/curated")).count() == 1
+
+
+def test_values_that_do_not_fit_are_rescued(spark, workdir):
+    from millrace.sinks.tables import rescued_path
+    cfg = cfg_for(workdir, rescue=True)
+    land(cfg.landing, "odd.csv", "transaction_id,custId,txnAmt,quantity\nA,K1,12,3\nB,K2,n/a,x1\nC,,1.5.2,4\n"
+         "D,K4,7,1,surplus,more\nE,K5\n", T0)
+    land(cfg.landing, "clean.csv", "transaction_id,custId,txnAmt,quantity\nF,K1,12,3\n", T0)
+    run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=1))
+    got = {r["transaction_id"]: (r["rescued"], r["line"]) for r in read_curated(spark, rescued_path(cfg.target)).collect()}
+    assert got == {"B": ({"transaction_amount": "n/a", "quantity": "x1"}, None),
+                   "C": ({"transaction_amount": "1.5.2"}, None),
+                   "D": ({}, "D,K4,7,1,surplus,more"), "E": ({}, "E,K5")}
+    table = read_curated(spark, cfg.target)
+    assert sorted(r["transaction_id"] for r in table.collect()) == ["A", "B", "D", "E", "F"]
+    assert not [c for c in table.columns if c.startswith("__")]
+    assert [r["transaction_id"] for r in read_curated(spark, quarantine_path(cfg.target)).collect()] == ["C"]
+    run_batch(spark, cfg, cutoff=T0 + dt.timedelta(hours=2))
+    assert read_curated(spark, rescued_path(cfg.target)).count() == 4
