@@ -694,7 +694,8 @@ def _closed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, groups: Data
             again = open_.join(open_.join(more, "fp", "left_semi").select("gid").distinct(), "gid")
             if again.isEmpty():
                 break
-            pairs = _near(again.join(sketches, "fp"), None).join(near, ["pivot", "fp"], "left_anti")
+            finer = sets.select("fp", "n", F.col("fine").alias("sketch"))
+            pairs = _near(again.join(finer, "fp"), None).join(near, ["pivot", "fp"], "left_anti")
         near = _stored(spark, pairs, root, f"open-pairs-{turn}")
         # Finer sketches of the pairs' nodes leave few to fetch whole sets for.
         new = linked(_possible(near.filter("pivot <> fp"), sets.select("fp", "n", F.col("fine").alias("sketch"))), turn)
