@@ -14,7 +14,10 @@ change a component is found (up to a 64-bit hash collision).
    so that linked sets agree on at least one whole non-empty segment, whose hash
    is the signature. Shared passages do not make whole segments equal; segments
    leave out hot shingles first, and use all shingles where the rest is too
-   little (then both sets of a pair do). Signatures travel packed by bucket.
+   little (then both sets of a pair do). Signatures travel packed by bucket. A set
+   with K segments and H differing shingles at most agrees with a linked set on K - H
+   of them, so it may leave the K - H - 1 signatures that most sets share: texts that have
+   a passage in common do not meet by it.
 3. *Star search.* In each group of nodes with a common signature the smallest
    node is the pivot. A node's sketch, one bit for each shingle's hash modulo a
    power of two, bounds from below how many shingles two sets differ in; pivot
@@ -57,7 +60,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
@@ -201,11 +204,23 @@ def _segment_hashes(h: np.ndarray, tag: int, universe: int) -> np.ndarray:
     seg = ((h >> _U(32)) * k) >> _U(32)
     first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
     total = np.add.reduceat(_mix(h ^ _U(0x5851F42D4C957F2D)), first)
-    return _mix(total + _mix(seg[first] * _U(1024) + _U(tag * 4 + universe)))
+    return _coded(_mix(total + _mix(seg[first] * _U(1024) + _U(tag * 4 + universe))), tag, universe)
 
 
-def signatures(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Signatures of one set; linked sets have at least one in common.
+def _code(tag: int, universe: int) -> int:
+    """Number of a universe among those of one set, which has at most two neighbouring tags."""
+    return (tag & 1) * 4 + universe
+
+
+def _coded(x: np.ndarray, tag: int, universe: int) -> np.ndarray:
+    """Signatures with their universe in the three upper bits."""
+    return (x >> _U(3)) | _U(_code(tag, universe) << 61)
+
+
+def signatures(h: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Signatures of one set, and how many of them it may leave: (code, number) by universe.
+    Linked sets have at least one in common that neither leaves, if both leave the last ones
+    in one order of all signatures.
 
     With more than H non-empty segments, H being the most shingles that differ,
     one of them must be whole in both sets. Universe 0 leaves out hot shingles;
@@ -215,26 +230,29 @@ def signatures(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
     in a universe, both emit it. Texts that share a template but hold more than H
     other shingles so never meet by the template.
 
-    Of more than H segments the first H + 1 do: the one of two sets whose H + 1 end
-    first has a whole one among them, and the other set's reach at least as far.
+    Of K > H segments at least K - H are whole in both sets, so the first of these in
+    any order is among the set's first H + 1. Segments come all, to be put in order by the
+    number of sets that share them; of single shingles the first H + 1 by value do.
     """
     rest = h
     if len(hot):
         at = np.searchsorted(hot, h)
         at[at == len(hot)] = 0
         rest = h[hot[at] != h]
-    out = []
+    out, spare = [], []
+
+    def add(segments: np.ndarray, tag: int, universe: int, differ: int) -> bool:
+        out.append(segments)
+        if len(segments) > differ + 1:
+            spare.append((_code(tag, universe), len(segments) - differ - 1))
+        return len(segments) > differ
     for tag, differ in _tags(len(h)):
-        own = _segment_hashes(rest, tag, 0)
-        out.append(own[:differ + 1])
-        if len(own) <= differ:
-            out.append(_mix(rest[:differ + 1] + _U(tag * 4 + 1)))
-            if len(rest) <= differ:
-                whole = _segment_hashes(h, tag, 2)
-                out.append(whole[:differ + 1])
-                if len(whole) <= differ:
-                    out.append(_mix(h[:differ + 1] + _U(tag * 4 + 3)))
-    return np.concatenate(out)
+        if add(_segment_hashes(rest, tag, 0), tag, 0, differ):
+            continue
+        out.append(_coded(_mix(rest[:differ + 1] + _U(tag * 4 + 1)), tag, 1))
+        if len(rest) <= differ and not add(_segment_hashes(h, tag, 2), tag, 2, differ):
+            out.append(_coded(_mix(h[:differ + 1] + _U(tag * 4 + 3)), tag, 3))
+    return np.concatenate(out), spare
 
 
 # -- T-occurrence search -----------------------------------------------------------------------
@@ -348,7 +366,8 @@ def _packed_signatures(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFr
     Of a signature that many sets of the slice share, only the smallest set goes to
     the bucket, with the number of sets it stands for; the group itself leaves as a
     row of bucket -1 (sig, pivot, set of each other one), dealt anywhere. So a signature that a third
-    of all sets share is a few numbers a slice where its bucket is put together.
+    of all sets share is a few numbers a slice where its bucket is put together. How many
+    signatures a set may leave are rows of bucket -2 (code, set, number).
     """
     schema = pa.schema([("deal", pa.int32()), ("bucket", pa.int32())]
                        + [(c, pa.binary()) for c in ("sig", "who", "fps", "ns")])
@@ -368,7 +387,10 @@ def _packed_signatures(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFr
             if not sets:
                 continue
             fps = np.sort(np.array(list(sets), np.int64))
-            each = [signatures(sets[f], hot) for f in fps.tolist()]
+            each, spare = zip(*(signatures(sets[f], hot) for f in fps.tolist()))
+            left = np.array([(i, c, n) for i, x in enumerate(spare) for c, n in x], np.int64).reshape(-1, 3)
+            yield row(int(fps[0] % buckets), -2, left[:, 1].astype(_U), left[:, 0].astype(np.uint32), fps,
+                      left[:, 2].astype(np.uint32))
             who = np.repeat(np.arange(len(each), dtype=np.uint32), [len(x) for x in each])
             sig = np.concatenate(each)
             order = np.argsort(sig, kind="stable")          # a signature's sets stay in ascending order
@@ -401,7 +423,8 @@ _GROUP = "gid long, pivot long, fp long, m long"
 
 
 def _groups(packed: DataFrame, buckets: int) -> DataFrame:
-    """Rows gid, pivot, fp, m: each node of a signature group of m >= 2 nodes but a pivot."""
+    """Rows gid, pivot, fp, m: each node of a signature group of m >= 2 nodes but a pivot. Rows
+    with m < 0 and no pivot: node fp may leave -m groups of the universe gid."""
     def groups_of(parts: list[tuple]) -> pa.RecordBatch:
         sig = np.concatenate([np.frombuffer(p[0], _U) for p in parts])
         fp = np.concatenate([np.frombuffer(p[2], np.int64)[np.frombuffer(p[1], np.uint32)] for p in parts])
@@ -425,13 +448,20 @@ def _groups(packed: DataFrame, buckets: int) -> DataFrame:
              pa.array(fps[np.frombuffer(who, np.uint32)]), pa.array(np.full(len(sig), COMBINE))],
             names=["gid", "pivot", "fp", "m"])
 
+    def left(code, who, fps, number):
+        code, number = np.frombuffer(code, np.int64), np.frombuffer(number, np.uint32).astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(code), pa.nulls(len(code), pa.int64()),
+             pa.array(np.frombuffer(fps, np.int64)[np.frombuffer(who, np.uint32)]), pa.array(-number)],
+            names=["gid", "pivot", "fp", "m"])
+
     def run(batches):
         bucket, parts = None, []
         for b in batches:
             cols = [b.column(i).to_pylist() for i in range(1, 6)]
             for row in zip(*cols):
                 if row[0] < 0:
-                    yield combined(*row[1:])
+                    yield combined(*row[1:]) if row[0] == -1 else left(*row[1:])
                     continue
                 if row[0] != bucket and parts:
                     yield groups_of(parts)
@@ -443,6 +473,28 @@ def _groups(packed: DataFrame, buckets: int) -> DataFrame:
     return packed.repartition(buckets, "deal").sortWithinPartitions("bucket").mapInArrow(run, _GROUP)
 
 
+def _prefixes(signed: DataFrame) -> DataFrame:
+    """Rows gid, pivot, fp, m of the groups after every node has left what it may.
+
+    A node's signatures that no other node has come first in the order, then those in few
+    groups; so a node that has no more groups than it may leave is in none. What
+    one window holds are the signatures of one node.
+    """
+    code = F.shiftrightunsigned("gid", 61).alias("code")
+    spare = (signed.filter("m < 0").groupBy("fp", F.col("gid").alias("code"))
+             .agg(F.max(-F.col("m")).alias("spare")))
+    node = Window.partitionBy("fp", "code")
+    members = (_members(signed.filter("m > 0")).select("gid", "fp", code)
+               .withColumn("own", F.count(F.lit(1)).over(node)).join(spare, ["fp", "code"], "left")
+               .withColumn("spare", F.coalesce("spare", F.lit(0))).filter("own > spare"))
+    size = members.groupBy("gid").agg(F.count(F.lit(1)).alias("m"))
+    kept = (members.join(size, "gid")
+            .withColumn("place", F.row_number().over(node.orderBy(F.desc("m"), "gid")))
+            .filter("place > spare").select("gid", "fp"))
+    group = kept.groupBy("gid").agg(F.min("fp").alias("pivot"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    return kept.join(group, "gid").filter("fp <> pivot").select("gid", "pivot", "fp", "m")
+
+
 BITS = 1 << 25                  # of the fixed-size filter of wanted ids (4 MB, whatever their number)
 
 
@@ -518,6 +570,19 @@ def _by_group(rows: DataFrame, keys: list[str], values: list[str], search) -> Da
             .mapInArrow(run, "u long, v long"))
 
 
+#: Nodes whose names are sent to all executors (some 30 MB there); beyond it the join alone picks.
+SENT = 1 << 20
+
+
+def _only(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``nodes`` (by fp) without those of no pair, where these are few enough to be named to each
+    executor; so that the join after it shuffles little. ``pairs`` is a written table."""
+    ends = pairs.select("fp").unionByName(pairs.select(F.col("pivot").alias("fp"))).distinct()
+    if 2 * pairs.count() > SENT:
+        return nodes
+    return nodes.join(F.broadcast(ends), "fp", "left_semi")
+
+
 def _star_links(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between pivots and the nodes they met."""
     degree = edges.groupBy("pivot").agg(F.count(F.lit(1)).alias("d"))
@@ -677,7 +742,10 @@ def _closed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, groups: Data
     sketches = sets.select("fp", "n", "sketch")
 
     def linked(pairs: DataFrame, turn: int) -> DataFrame | None:
-        links = _stored(spark, _star_links(pairs, sets.select("fp", "shingles")), root, f"open-links-{turn}")
+        # Finer sketches of the pairs' nodes leave few to fetch whole sets for.
+        finer = _only(sets.select("fp", "n", F.col("fine").alias("sketch")), pairs)
+        pairs = _stored(spark, _possible(pairs, finer), root, f"open-left-{turn}")
+        links = _stored(spark, _star_links(pairs, _only(sets.select("fp", "shingles"), pairs)), root, f"open-links-{turn}")
         if links.isEmpty():
             return None
         edges = links.unionByName(label.select(F.col("fp").alias("u"), F.col("root").alias("v")))
@@ -697,8 +765,7 @@ def _closed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, groups: Data
             finer = sets.select("fp", "n", F.col("fine").alias("sketch"))
             pairs = _near(again.join(finer, "fp"), None).join(near, ["pivot", "fp"], "left_anti")
         near = _stored(spark, pairs, root, f"open-pairs-{turn}")
-        # Finer sketches of the pairs' nodes leave few to fetch whole sets for.
-        new = linked(_possible(near.filter("pivot <> fp"), sets.select("fp", "n", F.col("fine").alias("sketch"))), turn)
+        new = linked(near.filter("pivot <> fp"), turn)
         if new is None:
             continue
         label = new
@@ -723,7 +790,8 @@ def _prepared(spark: SparkSession, docs: DataFrame, root: str) -> tuple[DataFram
     hot = _hot_shingles(nodes)
     entries = nodes.agg(F.sum("n")).first()[0] or 0
     buckets = max(32, -(-entries // (2 * BUCKET_ENTRIES)))
-    groups = _stored(spark, _groups(_packed_signatures(docs, hot, buckets), buckets), root, "groups")
+    signed = _stored(spark, _groups(_packed_signatures(docs, hot, buckets), buckets), root, "signed")
+    groups = _stored(spark, _prefixes(signed), root, "groups")
     one = _stored(spark, nodes.filter(F.col("fp").isNotNull()).select("fp", "n", "sketch").dropDuplicates(["fp"]),
                   root, "sketches")
     return nodes, groups, one
