@@ -473,7 +473,7 @@ def _groups(packed: DataFrame, buckets: int) -> DataFrame:
     return packed.repartition(buckets, "deal").sortWithinPartitions("bucket").mapInArrow(run, _GROUP)
 
 
-def _prefixes(signed: DataFrame) -> DataFrame:
+def _prefixes(spark: SparkSession, signed: DataFrame, root: str) -> DataFrame:
     """Rows gid, pivot, fp, m of the groups after every node has left what it may.
 
     A node's signatures that no other node has come first in the order, then those in few
@@ -487,6 +487,7 @@ def _prefixes(signed: DataFrame) -> DataFrame:
     members = (_members(signed.filter("m > 0")).select("gid", "fp", code)
                .withColumn("own", F.count(F.lit(1)).over(node)).join(spare, ["fp", "code"], "left")
                .withColumn("spare", F.coalesce("spare", F.lit(0))).filter("own > spare"))
+    members = _stored(spark, members.drop("own"), root, "members")       # read twice
     size = members.groupBy("gid").agg(F.count(F.lit(1)).alias("m"))
     kept = (members.join(size, "gid")
             .withColumn("place", F.row_number().over(node.orderBy(F.desc("m"), "gid")))
@@ -791,7 +792,7 @@ def _prepared(spark: SparkSession, docs: DataFrame, root: str) -> tuple[DataFram
     entries = nodes.agg(F.sum("n")).first()[0] or 0
     buckets = max(32, -(-entries // (2 * BUCKET_ENTRIES)))
     signed = _stored(spark, _groups(_packed_signatures(docs, hot, buckets), buckets), root, "signed")
-    groups = _stored(spark, _prefixes(signed), root, "groups")
+    groups = _stored(spark, _prefixes(spark, signed, root), root, "groups")
     one = _stored(spark, nodes.filter(F.col("fp").isNotNull()).select("fp", "n", "sketch").dropDuplicates(["fp"]),
                   root, "sketches")
     return nodes, groups, one
