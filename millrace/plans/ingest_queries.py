@@ -23,7 +23,7 @@ from ..operators.incremental import select_new_files
 from ..operators.quality import quality_counts, split_by_key
 from ..session import fresh_dir
 from ..sinks import ledger as L
-from ..sinks.tables import quarantine_path, rescued_path, write_curated, write_quarantine
+from ..sinks.tables import open_files, quarantine_path, rescued_path, write_curated, write_quarantine
 from ..sources.csv import read_csv_batch
 from ..sources.listing import list_everything
 from ..sources.manifest import list_files
@@ -152,9 +152,10 @@ def q_ingest_manifest(spark: SparkSession, sf: str) -> DataFrame:
     each customer digit and status: how many files each folder holds, and which Spark would skip."""
     landing, o = fresh_dir(spark, "landing"), _orders(spark, sf)
     rows = raw_transactions(o, "A").withColumn("digit", F.pmod(F.substring("custId", 2, 20).cast("long"), F.lit(10)))
-    for name, part in (("seen", rows.where("status <> 'O'")), ("_kept", rows.where("status = 'O'"))):
-        (part.withColumn("state", F.col("status")).repartition("state", "digit").write
-         .partitionBy("state", "digit").option("header", "true").csv(f"{landing}/{name}"))
+    with open_files(spark):
+        for name, part in (("seen", rows.where("status <> 'O'")), ("_kept", rows.where("status = 'O'"))):
+            (part.withColumn("state", F.col("status")).repartition("state", "digit").write
+             .partitionBy("state", "digit").option("header", "true").csv(f"{landing}/{name}"))
     files = list_everything(spark, landing)
     folder = F.regexp_extract("path", r"/([^/]+/state=[^/]*/digit=[^/]*)/[^/]*$", 1)
     return files.groupBy(folder.alias("folder"), "hidden").agg(F.count(F.lit(1)).alias("files"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,22 @@ from ..sources.tables import path_exists
 from .ledger import append_control, read_control
 
 PARTITION_COLUMNS = ("process_date",)
+#: Files that one task of ``open_files`` holds open at once.
+OPEN_FILES = 64
+
+
+@contextmanager
+def open_files(spark: SparkSession, most: int = OPEN_FILES) -> Iterator[None]:
+    """Writes begun inside keep a file open for each partition value that a task meets, up to
+    ``most``, and do not sort the task's rows by the partition columns first. Only the rows that
+    come after a task has met more values than that are sorted. The session's setting is put back."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.getAll.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def schema_path(path: str) -> str:

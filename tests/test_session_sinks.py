@@ -47,3 +47,25 @@ def test_window_bounds_accept_iso_strings_with_offsets(spark):
     # 08:53:08Z is inside (08:00Z, 10:53:08+02:00] = (08:00Z, 08:53:08Z]
     assert select_new_files(m, "2026-04-29T08:00:00Z", "2026-04-29T10:53:08+02:00").count() == 1
     assert select_new_files(m, "2026-04-29T10:53:08+02:00", "2026-04-30T00:00:00Z").count() == 0
+
+
+def test_manifest_landing_is_written_without_sorting(spark, workdir, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from millrace.plans.ingest_queries import q_ingest_manifest
+    rows = [(k, k % 7 if k % 5 else None, "OFP"[k % 3], 1.5 * k, None if k == 9 else "1-URGENT") for k in range(300)]
+    (spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                 "o_orderpriority string")
+     .selectExpr("*", "timestamp_ntz '1998-01-02 00:00:00' as o_orderdate").write.parquet(f"{workdir}/orders.parquet"))
+    name, seen, csv = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.csv
+
+    def noted(self, *a, **k):
+        seen.append(int(spark.conf.get(name)))
+        return csv(self, *a, **k)
+    monkeypatch.setattr(DataFrameWriter, "csv", noted)
+    before = spark.conf.get(name)
+    got = {(r.folder, r.hidden): r.files for r in q_ingest_manifest(spark, workdir).collect()}
+    digit = lambda c, s: "__HIVE_DEFAULT_PARTITION__" if c is None or s == "P" else c % 10      # noqa: E731
+    assert got == {(f"{'_kept' if s == 'O' else 'seen'}/state={s}/digit={digit(c, s)}", s == "O"): 1
+                   for _, c, s, _, _ in rows}
+    assert seen and min(seen) > 0 and spark.conf.get(name) == before
