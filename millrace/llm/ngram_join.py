@@ -74,6 +74,7 @@ PIVOTS = 1                      # further pivots of a group before its outer nod
 NEAREST = 2                     # nodes by sketch that an outer node is held against first
 FINE = 2                        # times the bits of the sketches of that search
 BUCKET_ENTRIES = 1 << 20        # signatures in one bucket, about
+SORTED = 1 << 18                # of them sorted at once, about
 
 _U = np.uint64
 _COEFFICIENTS = [_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9),
@@ -425,10 +426,24 @@ _GROUP = "gid long, pivot long, fp long, m long"
 def _groups(packed: DataFrame, buckets: int) -> DataFrame:
     """Rows gid, pivot, fp, m: each node of a signature group of m >= 2 nodes but a pivot. Rows
     with m < 0 and no pivot: node fp may leave -m groups of the universe gid."""
-    def groups_of(parts: list[tuple]) -> pa.RecordBatch:
-        sig = np.concatenate([np.frombuffer(p[0], _U) for p in parts])
-        fp = np.concatenate([np.frombuffer(p[2], np.int64)[np.frombuffer(p[1], np.uint32)] for p in parts])
-        weight = np.concatenate([np.frombuffer(p[3], np.uint32) for p in parts]).astype(np.int64)
+    def groups_of(parts: list[tuple]):
+        # A signature's sets are in one share of the bucket: those of a range of its middle bits.
+        shares = 1 << max(0, (sum(len(p[0]) for p in parts) // 8 // SORTED).bit_length())
+        for k in range(shares):
+            if (b := groups_in(parts, shares, k)) is not None:
+                yield b
+
+    def groups_in(parts: list[tuple], shares: int, k: int) -> pa.RecordBatch | None:
+        sig, fp, weight = [], [], []
+        for p in parts:
+            s = np.frombuffer(p[0], _U)
+            at = slice(None) if shares == 1 else (s >> _U(40)) & _U(shares - 1) == _U(k)
+            sig.append(s[at])
+            fp.append(np.frombuffer(p[2], np.int64)[np.frombuffer(p[1], np.uint32)[at]])
+            weight.append(np.frombuffer(p[3], np.uint32)[at].astype(np.int64))
+        sig, fp, weight = np.concatenate(sig), np.concatenate(fp), np.concatenate(weight)
+        if not len(sig):
+            return None
         order = np.lexsort((fp, sig))
         sig, fp, weight = sig[order], fp[order], weight[order]
         new = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (fp[1:] != fp[:-1])]))
@@ -464,12 +479,12 @@ def _groups(packed: DataFrame, buckets: int) -> DataFrame:
                     yield combined(*row[1:]) if row[0] == -1 else left(*row[1:])
                     continue
                 if row[0] != bucket and parts:
-                    yield groups_of(parts)
+                    yield from groups_of(parts)
                     parts = []
                 bucket = row[0]
                 parts.append(row[1:])
         if parts:
-            yield groups_of(parts)
+            yield from groups_of(parts)
     return packed.repartition(buckets, "deal").sortWithinPartitions("bucket").mapInArrow(run, _GROUP)
 
 

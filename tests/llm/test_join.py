@@ -166,6 +166,14 @@ def test_small_blocks_and_buckets(spark, monkeypatch):
     test_groups_chains_and_shared_passages(spark)
 
 
+def test_buckets_sorted_in_shares_give_the_same_groups(spark, docs, monkeypatch):
+    packed = nj._packed_signatures(id_and_text(docs), np.zeros(0, np.uint64), 2).cache()
+    whole = sorted(map(tuple, nj._groups(packed, 2).collect()), key=str)
+    monkeypatch.setattr(nj, "SORTED", 1000)
+    assert whole and sorted(map(tuple, nj._groups(packed, 2).collect()), key=str) == whole
+    packed.unpersist()
+
+
 def test_all_links_and_their_number(spark, empty, monkeypatch):
     rng = np.random.default_rng(4)
     vocab = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(2000)]

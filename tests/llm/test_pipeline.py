@@ -3,10 +3,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from millrace.llm import decontaminate, ngram_join, personal_data, rank_profiles, stages
+from millrace.llm._batches import SLICE_BYTES
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +72,24 @@ def test_stages_on_awkward_and_empty_tables(spark, awkward, empty, k):
     if name != "encode":
         assert got.columns == awkward.columns
     assert stage(spark, empty, SF).count() == 0
+
+
+def test_stages_limit_the_bytes_of_a_batch(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(name)
+    docs = spark.range(0, 3000, 1, 1).selectExpr(
+        "id as doc_id", "concat(repeat('the cat and the dog ', 150), id) as text", "'en' as lang")
+
+    def widest():
+        return docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches),
+                               "n long").agg({"n": "max"}).first()[0]
+    try:
+        spark.conf.unset(name)
+        assert widest() > 2 * SLICE_BYTES
+        assert stages.known_language(spark, docs, SF).count() == 3000
+        assert widest() < 1.5 * SLICE_BYTES
+        spark.conf.set(name, 2 * SLICE_BYTES)           # the caller's own limit stays
+        stages.known_language(spark, docs, SF)
+        assert spark.conf.get(name) == str(2 * SLICE_BYTES)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
