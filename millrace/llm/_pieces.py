@@ -50,28 +50,39 @@ class ChunkStore:
         self.row.update(zip(chunks, range(self.rows, end)))
         self.rows, self.used = end, self.used + total
 
-    def texts(self, texts: list[list]) -> list[np.ndarray]:
-        """Ids of each text, given as its list of chunks."""
-        chunks = list(chain.from_iterable(texts))
+    def _rows(self, chunks: list) -> tuple[np.ndarray, list]:
+        """Row of each chunk, and the chunks that had to be added."""
         rows = np.fromiter(map(self.row.get, chunks, repeat(-1)), np.int64, len(chunks))
         missing = np.flatnonzero(rows < 0).tolist()
+        new = list({chunks[i] for i in missing})
         if missing:
-            new = list({chunks[i] for i in missing})
             self._add(new)
             rows[missing] = [self.row[chunks[i]] for i in missing]
+        return rows, new
+
+    def _gathered(self, rows: np.ndarray, counts, new: list) -> list[np.ndarray]:
         size = self.size[rows]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         out = self.flat[np.arange(total) + np.repeat(self.start[rows] - (ends - size), size)]
-        upto = np.concatenate([[0], ends])[np.cumsum([0, *map(len, texts)])]
-        if missing:
-            for c in new:
-                if len(c) > LONG_CHUNK:
-                    del self.row[c]         # its ids stay in the arrays until the next clear
-            if self.rows > self.most or self.used > 8 * self.most:
-                self.clear()
+        upto = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
+        for c in new:
+            if len(c) > LONG_CHUNK:
+                del self.row[c]             # its ids stay in the arrays until the next clear
+        if new and (self.rows > self.most or self.used > 8 * self.most):
+            self.clear()
         return [out[a:b] for a, b in zip(upto, upto[1:])]
 
+    def texts(self, texts: list[list]) -> list[np.ndarray]:
+        """Ids of each text, given as its list of chunks."""
+        rows, new = self._rows(list(chain.from_iterable(texts)))
+        return self._gathered(rows, map(len, texts), new)
+
+    def coded(self, distinct: list, codes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text, given as ``counts`` numbers of ``distinct`` chunks."""
+        rows, new = self._rows(distinct)
+        return self._gathered(rows[codes], counts.tolist(), new)
+
 
 def in_groups(n_items: int, weight: Callable[[int], int], most: int = 1 << 21):
     """Slices of 0..n_items whose weights stay under ``most`` (one item at least)."""

@@ -10,9 +10,9 @@ start of a document only needs the files' totals (one row per file).
 
 The tokenizer is the ``tokenizers`` library with a vocabulary file given as a
 parameter. Its normaliser and splitter treat white space as a break and drop
-it, so a text has the ids of its chunks between ASCII white space, and each
-distinct chunk is encoded once per worker (``_pieces``), from the ids of its
-words and signs (``WordEncoder``).
+it, so a text has the ids of its chunks between ASCII white space. Arrow splits
+the texts of a slice and numbers their distinct chunks; each of these is encoded
+once per worker (``_pieces``), from the ids of its words and signs (``WordEncoder``).
 
 Defined results: a null or empty text has only the end id; equal ids (and null
 ids, which come first) are ordered by the text; an empty table writes an empty
@@ -31,13 +31,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from ._batches import id_and_text
+from ._batches import id_and_text, slices
 from ._pieces import LONG_CHUNK, ChunkStore, in_groups
 
 VOCABULARY = "word_bpe_49k.json"
@@ -66,7 +67,12 @@ class WordEncoder:
     PART = re.compile(_L + rb"+(?=" + _SIGN + rb"|\Z)|" + _SIGN + rb"+(?=[a-z])")
     WORD = re.compile(rb"(" + _L + rb"+)(" + _SIGN + rb"*)\Z")
     SIGNS = frozenset(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-    MOST = 800_000
+    MOST = 1_000_000
+    #: Bytes between which ``column`` cuts: a small ASCII letter, then a sign.
+    IS_SMALL = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz"))
+    IS_SIGN = np.isin(np.arange(256), list(SIGNS))
+    #: Texts with a mark that may join an ASCII letter, or a special token, are not cut so.
+    ODD = (b"\xcc", b"\xcd", b"<|")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -80,12 +86,11 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelled = {ord(c): spell.pre_tokenize_str(c)[0][0] for c in self.LETTERS}
-        self.known: dict[bytes, bytes] = {}         # part -> packed ids
-        self.store = ChunkStore(self.chunks)
+        self.store = ChunkStore(self.chunks, self.MOST)
 
     def parts(self, chunk: bytes) -> tuple[bytes, ...]:
         # By far the most: a word, then one sign or nothing.
-        if chunk.isalpha():
+        if chunk.isalpha() or not chunk:
             return (chunk,)
         if chunk[-1] in self.SIGNS and chunk[:-1].isalpha():
             return chunk[:-1], chunk[-1:]
@@ -103,35 +108,51 @@ class WordEncoder:
         return tuple(out)
 
     def chunks(self, chunks: list[bytes]) -> list[bytes]:
-        known = self.known
         cut = [self.parts(c) for c in chunks] if self.cuts else [(c,) for c in chunks]
-        tokenize, spelled, rest, fresh = self.tk.model.tokenize, self.spelled, [], {}
+        tokenize, spelled, rest = self.tk.model.tokenize, self.spelled, []
+        known: dict[bytes, bytes] = {b"": b""}              # part -> packed ids
         for p in set(chain.from_iterable(cut)) - known.keys():
             if self.cuts and p.isalpha() and p.islower():       # ASCII: spelled as it is
-                fresh[p] = array("i", [t.id for t in tokenize(p.decode("ascii"))]).tobytes()
+                known[p] = array("i", [t.id for t in tokenize(p.decode("ascii"))]).tobytes()
             elif self.cuts and (m := self.WORD.match(p)) and not m.group(2):
-                fresh[p] = array("i", [t.id for t in tokenize(p.decode("utf-8").translate(spelled))]).tobytes()
+                known[p] = array("i", [t.id for t in tokenize(p.decode("utf-8").translate(spelled))]).tobytes()
             else:
                 rest.append(p)
         for p, e in zip(rest, self.tk.encode_batch([p.decode("utf-8") for p in rest], add_special_tokens=False)):
-            fresh[p] = array("i", e.ids).tobytes()
-        known |= fresh
-        out = [known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c]) for c in cut]
-        for p in fresh:
-            if len(p) > LONG_CHUNK:
-                del known[p]
-        if len(known) > self.MOST:
-            known.clear()
-        return out
+            known[p] = array("i", e.ids).tobytes()
+        return [known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c]) for c in cut]
 
     def split(self, text: str) -> list[bytes]:
         """Chunks between ASCII white space. Capitals are lowered first, as the normaliser
         would, unless a combining mark (lead bytes CC, CD) could join an ASCII letter."""
         data = text.encode("utf-8")
-        if self.cuts and b"\xcc" not in data and b"\xcd" not in data and b"<|" not in data:
+        if self.cuts and not self.odd(data):
             data = data.lower()
         return data.split()
 
+    def odd(self, data: bytes) -> bool:
+        return any(x in data for x in self.ODD)
+
+    def column(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of the whole texts of a string column, which is split and numbered by Arrow."""
+        texts = texts.cast(pa.large_string())
+        ends = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+        data = texts.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes() if ends[-1] > ends[0] else b""
+        ends = ends - ends[0]
+        if not self.cuts or self.odd(data):
+            odd = np.array([not self.cuts or self.odd(data[a:b]) for a, b in zip(ends, ends[1:])])
+            plain = iter(self.column(texts.filter(pa.array(~odd)))) if not odd.all() else iter(())
+            rest = iter(self.store.texts([self.split(t) for t in texts.filter(pa.array(odd)).to_pylist()]))
+            return [next(rest) if o else next(plain) for o in odd]
+        x = np.frombuffer(data.lower(), np.uint8)
+        cuts = np.flatnonzero(self.IS_SMALL[x[:-1]] & self.IS_SIGN[x[1:]]) + 1
+        x, ends = np.insert(x, cuts, 32), ends + np.searchsorted(cuts, ends)
+        cut = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(x)])
+        chunks = pc.ascii_split_whitespace(cut)
+        numbered = chunks.flatten().dictionary_encode()
+        return self.store.coded(numbered.dictionary.cast(pa.large_binary()).to_pylist(), numbered.indices.to_numpy(),
+                                np.diff(chunks.offsets.to_numpy()))
+
 
 @functools.cache
 def word_encoder(path: str) -> WordEncoder:
@@ -143,7 +164,7 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of whole texts, without special tokens."""
     words, out = word_encoder(path), []
     for a, b in in_groups(len(texts), lambda i: len(texts[i])):
-        out += words.store.texts([words.split(t) for t in texts[a:b]])
+        out += words.column(pa.array(texts[a:b], pa.large_string()))
     return out
 
 
@@ -157,10 +178,8 @@ def encode_ranges(df: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END
 
     def run(batches):
         part, start = TaskContext.get().partitionId(), 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ids = encode_texts(b.column(1).to_pylist(), path)
+        for b in slices(batches):
+            ids = word_encoder(path).column(b.column(1))
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
             ends = np.cumsum(sizes)
             flat = np.full(ends[-1], end_id, np.int32)

@@ -5,6 +5,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -137,6 +138,18 @@ def test_chunk_store_survives_clearing():
             assert list(ids) == whole(path).encode(t, add_special_tokens=False).ids
 
 
+def test_words_and_their_signs_are_stored_apart():
+    path = public_tokenizers.path(token_orc.VOCABULARY)
+    enc = token_orc.WordEncoder(path)
+    texts = ["", "unread", " Word, word. \tWORD!? ", "H\u0331i, a<|endoftext|>b", "(word)-word's \u00e9t\u00e9.", "x1.5,y", ""]
+    got = enc.column(pa.array(["unread"] + texts)[2:])
+    assert [list(x) for x in got] == [whole(path).encode(t, add_special_tokens=False).ids for t in texts[1:]]
+    enc.store.clear()
+    enc.column(pa.array(["Word, word. word! word"]))
+    assert enc.store.row.keys() - {b""} == {b"word", b",", b".", b"!"}
+    assert enc.column(pa.array([], pa.string())) == []
+
+
 def expected(rows):
     path = public_tokenizers.path(token_orc.VOCABULARY)
     out, start = [], 0
