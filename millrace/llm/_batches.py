@@ -12,7 +12,7 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -44,6 +44,15 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 SLICE_BYTES = 4 << 20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Limit the bytes of the session's Arrow batches to ``SLICE_BYTES``, unless the caller has set a
+    limit: a partition of long texts would else be one batch, held several times over in the
+    executor and its workers."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, SLICE_BYTES)
+
+
 def slices(batches: Iterable[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in pieces of about ``most`` bytes (one row at least)."""
     for b in batches:

@@ -2,9 +2,7 @@
 
 Filters and rewrites are narrow passes that carry all columns of ``docs``; only
 the near-duplicate stage shuffles. Row order is not kept. Every stage limits the
-bytes of the session's Arrow batches to ``SLICE_BYTES``, unless the caller has set a
-limit: a partition of long texts would else be one batch, held several times over in
-the executor and its workers.
+bytes of the session's Arrow batches (``small_batches``).
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, ngram_join, personal_data, rank_profiles, sentencepiece_codec
-from ._batches import SLICE_BYTES, slices
+from ._batches import slices, small_batches
 
 #: A text whose nearest language profile scores less is none of the learned languages.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -25,19 +23,13 @@ def _column(b: pa.RecordBatch, name: str) -> int:
     return names.index(name) if name in names else [n.lower() for n in names].index(name.lower())
 
 
-def _small_batches(spark: SparkSession) -> None:
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if name not in spark.conf.getAll:
-        spark.conf.set(name, SLICE_BYTES)
-
-
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of a learned language; a null ``lang`` gets the predicted one.
 
     Rejected: null or empty text, text without letters, text far from every
     profile. If no language can be learned (no row has a lang), all rows go.
     """
-    _small_batches(spark)
+    small_batches(spark)
     profiles = rank_profiles.fit_profiles(docs)
 
     def run(batches):
@@ -59,7 +51,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows that share an id stand or fall together; identical rows of one id, or of
     no id, are reduced to one.
     """
-    _small_batches(spark)
+    small_batches(spark)
     linked = ngram_join.link_components(spark, docs)
     keep = (linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .select(F.col("doc_id").alias("kept_id")).distinct())
@@ -69,7 +61,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no item of ``benchmark`` is found."""
-    _small_batches(spark)
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -78,7 +70,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text stays null.
     """
-    _small_batches(spark)
+    small_batches(spark)
     model = personal_data.fit_model(docs)
 
     def run(batches):
@@ -95,6 +87,6 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, parity, round_trip of every document."""
-    _small_batches(spark)
+    small_batches(spark)
     ids = sentencepiece_codec.encode_documents(docs)
     return ids.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "parity", "round_trip")

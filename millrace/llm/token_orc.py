@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from ._batches import id_and_text, slices
+from ._batches import id_and_text, slices, small_batches
 from ._pieces import LONG_CHUNK, ChunkStore, in_groups
 
 VOCABULARY = "word_bpe_49k.json"
@@ -67,7 +67,7 @@ class WordEncoder:
     PART = re.compile(_L + rb"+(?=" + _SIGN + rb"|\Z)|" + _SIGN + rb"+(?=[a-z])")
     WORD = re.compile(rb"(" + _L + rb"+)(" + _SIGN + rb"*)\Z")
     SIGNS = frozenset(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-    MOST = 1_000_000
+    MOST = 1 << 18
     #: Bytes between which ``column`` cuts: a small ASCII letter, then a sign.
     IS_SMALL = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz"))
     IS_SIGN = np.isin(np.arange(256), list(SIGNS))
@@ -171,6 +171,7 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
 def encode_ranges(df: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID,
                   ranges: int | None = None) -> DataFrame:
     """Rows of the files, sorted and dealt by ranges of ``doc_id``."""
+    small_batches(df.sparkSession)
     docs = id_and_text(df)
     order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
     dealt = docs.repartitionByRange(ranges, "doc_id") if ranges else docs.repartitionByRange("doc_id")
@@ -218,6 +219,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 def crc_of_ids(tokens: DataFrame, *carry: str) -> DataFrame:
     """``carry`` columns and ids_crc32, the CRC-32 of ids as little-endian 32-bit integers."""
+    small_batches(tokens.sparkSession)
     kinds = dict(tokens.dtypes)
 
     def run(batches):

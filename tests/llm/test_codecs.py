@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm import sentencepiece_codec as sp
 from millrace.llm import token_orc
+from millrace.llm._batches import SLICE_BYTES
 
 TEXT = st.text(alphabet=st.one_of(st.sampled_from("aeinrst .,'\n\té́▁<>|-_0AÉÑ\x00\x1c"), st.characters(
     exclude_categories=("Cs",))), max_size=60)
@@ -150,6 +151,36 @@ def test_words_and_their_signs_are_stored_apart():
     assert enc.column(pa.array([], pa.string())) == []
 
 
+def test_word_store_is_bounded_under_many_distinct_words():
+    path = public_tokenizers.path(token_orc.VOCABULARY)
+    enc = token_orc.WordEncoder(path)
+    held = 0
+    for a in range(0, 400_000, 40_000):
+        words = [f"w{i:x}" for i in range(a, a + 40_000)]
+        ids, = enc.column(pa.array([" ".join(words)]))
+        held = max(held, len(enc.store.row))
+    assert held <= 300_000
+    assert list(ids[-40:]) == whole(path).encode(" ".join(words), add_special_tokens=False).ids[-40:]
+
+
+def test_tokens_limit_the_bytes_of_a_batch(spark, workdir):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(name)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "concat(repeat('the cat and the dog ', 150), id) as text")
+    try:
+        spark.conf.unset(name)
+        want = {(r.doc_id, r.n_tokens, r.ids_crc32)
+                for r in token_orc.tokens_report(spark, docs, f"{workdir}/orc").collect()}
+        assert len(want) == 3000
+        assert spark.conf.get(name) == str(SLICE_BYTES)
+        spark.conf.set(name, 8 * SLICE_BYTES)           # the caller's own limit stays
+        got = {(r.doc_id, r.n_tokens, r.ids_crc32)
+               for r in token_orc.tokens_report(spark, docs, f"{workdir}/orc-2").collect()}
+        assert spark.conf.get(name) == str(8 * SLICE_BYTES) and got == want
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def expected(rows):
     path = public_tokenizers.path(token_orc.VOCABULARY)
     out, start = [], 0
